@@ -1 +1,268 @@
-"""Registered storage queries (filled in below)."""
+"""Registered storage and streaming queries.
+
+Each runs the real jobs into a fresh folder below the session's shared
+checkpoint folder (``spark.checkpoint.dir``) and returns the final table read
+back; the oracle is the SQL of the one-shot result the runs must equal.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata import oracle, schemas
+from strata.catalog import (Layers, SIMULATED_CRM_SQL, data_end_date, distinct_users, out, register,
+                            simulated_crm)
+from strata.operators import tables
+from strata.plans import daily
+from strata.session import work_path
+from strata.sources import bronze as bronze_src
+from strata.sources import csv as csv_src
+from strata.sources.crm import scan_crm
+from strata.streaming import silver_stream
+
+# The fixture clickstream covers January 2024: landing files carry that
+# period in their names (the staging job takes the year from the name).
+LANDING_PERIOD = "2024-01"
+FIRST_BATCH_END = "2024-01-20"        # batch 1: days up to here
+SECOND_BATCH_START = "2024-01-15"     # batch 2 re-loads an overlap from here on
+RELOAD_DAY = "2024-01-10"
+STREAM_TIMEOUT_S = 1800
+
+RAW_WITH_ID = T.StructType([T.StructField("event_id", T.LongType(), True)] + schemas.RAW_CLICKSTREAM.fields)
+STAGED_WITH_ID = bronze_src.staged_schema(RAW_WITH_ID)
+
+w = oracle.with_ctes
+RAW_SELECT = oracle.RAW_COLS
+STAGED_SQL = (f"SELECT {RAW_SELECT}, substring(event_time, 1, 4) AS year, substring(event_time, 6, 2) AS month, "
+              f"substring(event_time, 9, 2) AS day FROM raw_clickstream "
+              f"WHERE substring(event_time, 1, 4) = '{LANDING_PERIOD[:4]}'")
+
+
+def workspace(L: Layers, name: str) -> daily.Paths:
+    return daily.Paths(work_path(L.spark, name))
+
+
+def land(L: Layers, P: daily.Paths) -> str:
+    """Write the raw clickstream as gzip CSV landing files named by period."""
+    csv_src.write_csv(L.raw, P.landing)
+    csv_src.name_files(L.spark, P.landing, f"clickstream-{LANDING_PERIOD}")
+    return P.landing
+
+
+def stage(L: Layers, P: daily.Paths) -> str:
+    land(L, P)
+    bronze_src.stage_by_day(csv_src.scan_csv(L.spark, P.landing, RAW_WITH_ID), P.staging)
+    return P.staging
+
+
+def staged_table(L: Layers, root: str) -> DataFrame:
+    return L.spark.read.schema(STAGED_WITH_ID).parquet(root)
+
+
+# ---------------------------------------------------------------- landing, staging, Bronze
+
+
+@register("scan_csv_raw", w(f"SELECT {RAW_SELECT}, '{LANDING_PERIOD[:4]}' AS file_year FROM raw_clickstream"))
+def q_scan_csv_raw(L: Layers) -> DataFrame:
+    P = workspace(L, "scan_csv_raw")
+    land(L, P)
+    return csv_src.scan_csv(L.spark, P.landing, RAW_WITH_ID)
+
+
+@register("stage_by_day", w(f"SELECT year, month, day, CAST(count(*) AS BIGINT) AS n FROM ({STAGED_SQL}) "
+                            f"GROUP BY year, month, day"))
+def q_stage_by_day(L: Layers) -> DataFrame:
+    P = workspace(L, "stage_by_day")
+    stage(L, P)
+    return staged_table(L, P.staging).groupBy(*bronze_src.PARTS).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("bronze_publish_day", w(STAGED_SQL))
+def q_bronze_publish_day(L: Layers) -> DataFrame:
+    """Publish every staged day (one publish per day, as the daily job does)."""
+    P = workspace(L, "bronze_publish_day")
+    stage(L, P)
+    for d in bronze_src.staged_days(L.spark, P.staging):
+        bronze_src.publish_day(L.spark, P.staging, P.bronze, d, STAGED_WITH_ID)
+    return staged_table(L, P.bronze)
+
+
+@register("scan_bronze_day", w(STAGED_SQL))
+def q_scan_bronze_day(L: Layers) -> DataFrame:
+    """The one-day reader applied to every staged day (each scan pruned to
+    its own folder), together covering the table."""
+    P = workspace(L, "scan_bronze_day")
+    stage(L, P)
+    days = bronze_src.staged_days(L.spark, P.staging)
+    frames = [bronze_src.scan_day(L.spark, P.staging, d, STAGED_WITH_ID) for d in days]
+    result = frames[0]
+    for f in frames[1:]:
+        result = result.unionByName(f)
+    return result
+
+
+# ---------------------------------------------------------------- CRM
+
+
+@register("scan_crm", w("SELECT user_id, loyalty_tier, acquisition_channel FROM user_loyalty"))
+def q_scan_crm(L: Layers) -> DataFrame:
+    P = workspace(L, "scan_crm")
+    tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
+    return scan_crm(L.spark, path=P.crm)
+
+
+@register("crm_insert_absent", w(f"""
+    SELECT * FROM user_loyalty
+    UNION ALL
+    SELECT * FROM ({SIMULATED_CRM_SQL}) s WHERE s.user_id NOT IN (SELECT user_id FROM user_loyalty)"""))
+def q_crm_insert_absent(L: Layers) -> DataFrame:
+    """Seed the CRM (truncate + insert), then insert simulated profiles for
+    every clickstream user, skipping users already present."""
+    P = workspace(L, "crm_insert_absent")
+    tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
+    end = data_end_date(L.silver).first()[0]
+    tables.insert_absent(L.spark, P.crm, simulated_crm(distinct_users(L.raw), end), "user_id")
+    return tables.read_table(L.spark, P.crm)
+
+
+# ---------------------------------------------------------------- Silver and serving storage
+
+
+def _days(first: str | None, last: str | None, days: list[str]) -> list[str]:
+    return [d for d in days if (first is None or d >= first) and (last is None or d <= last)]
+
+
+@register("silver_upsert", w("SELECT * FROM silver"))
+def q_silver_upsert(L: Layers) -> DataFrame:
+    """Two overlapping Bronze loads merged into Silver equal one load."""
+    P = workspace(L, "silver_upsert")
+    stage(L, P)
+    days = bronze_src.staged_days(L.spark, P.staging)
+    for batch in (_days(None, FIRST_BATCH_END, days), _days(SECOND_BATCH_START, None, days)):
+        raw = daily.bronze_days(L.spark, P.staging, batch, STAGED_WITH_ID)
+        daily.bronze_to_silver(L.spark, P, L.crm, raw)
+    return out(daily.read_silver(L.spark, P))
+
+
+def _silver_in_storage(L: Layers, name: str) -> daily.Paths:
+    P = workspace(L, name)
+    tables.upsert(L.spark, P.silver, L.silver, ["user_session", "event_time", "product_id", "event_type"],
+                  "event_date")
+    return P
+
+
+@register("serving_replace_day", w("SELECT * FROM serving"))
+def q_serving_replace_day(L: Layers) -> DataFrame:
+    """Load every day, clear one day with an empty load, reload it."""
+    P = _silver_in_storage(L, "serving_replace_day")
+    daily.silver_to_serving(L.spark, P, None)
+    empty = daily.read_serving(L.spark, P).where(F.lit(False))
+    tables.replace_partitions(L.spark, P.serving, empty, "event_date", owned=[RELOAD_DAY])
+    daily.silver_to_serving(L.spark, P, [RELOAD_DAY])
+    return out(daily.read_serving(L.spark, P).drop("event_date"))
+
+
+@register("serving_contract", w(
+    "SELECT user_id, event_type, product_id, category, sub_category, brand, price, user_session, "
+    "event_time, loyalty_tier, acquisition_channel FROM serving"))
+def q_serving_contract(L: Layers) -> DataFrame:
+    P = _silver_in_storage(L, "serving_contract")
+    daily.silver_to_serving(L.spark, P, None)
+    return out(schemas.conform(daily.read_serving(L.spark, P), schemas.SERVING))
+
+
+@register("run_metrics", w(f"""
+    SELECT 'quarantined' AS step, CAST(count(*) AS BIGINT) AS rows FROM quarantined
+      WHERE substring(event_time, 1, 4) = '{LANDING_PERIOD[:4]}'
+    UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM silver
+    UNION ALL SELECT 'serving_rows', CAST(count(*) AS BIGINT) FROM serving"""))
+def q_run_metrics(L: Layers) -> DataFrame:
+    """Row counts observed while the jobs write (no extra counting pass)."""
+    P = workspace(L, "run_metrics")
+    stage(L, P)
+    days = bronze_src.staged_days(L.spark, P.staging)
+    m = daily.bronze_to_silver(L.spark, P, L.crm, daily.bronze_days(L.spark, P.staging, days, STAGED_WITH_ID))
+    m["serving_rows"] = daily.silver_to_serving(L.spark, P, days)
+    rows = [(k, int(m[k])) for k in ("quarantined", "silver_rows", "serving_rows")]
+    return L.spark.createDataFrame(rows, "step string, rows bigint")
+
+
+# ---------------------------------------------------------------- incremental facts
+
+
+def _serving_in_storage(L: Layers, name: str) -> tuple[daily.Paths, DataFrame]:
+    P = _silver_in_storage(L, name)
+    daily.silver_to_serving(L.spark, P, None)
+    return P, daily.read_serving(L.spark, P)
+
+
+@register("fact_sales_incremental", w("SELECT * FROM f_sales"))
+def q_fact_sales_incremental(L: Layers) -> DataFrame:
+    P, serving = _serving_in_storage(L, "fact_sales_incremental")
+    first = serving.where(F.col("event_date") <= F.lit(FIRST_BATCH_END).cast("date"))
+    daily.fact_sales_incremental(L.spark, P.fact_sales, first)
+    daily.fact_sales_incremental(L.spark, P.fact_sales, serving)
+    return out(daily.read_fact(L.spark, P.fact_sales, "sale_date"))
+
+
+def _carts_sql(source: str, cart_filter: str, purchase_filter: str) -> str:
+    return f"""
+        SELECT md5(concat(c.user_session, '-', CAST(c.product_id AS VARCHAR), '-', CAST(c.cart_time AS VARCHAR),
+                          '-', CAST(c.rn AS VARCHAR))) AS abandonment_id,
+               c.user_id, c.user_session, c.product_id, c.brand, c.price, c.cart_time,
+               coalesce(c.loyalty_tier, 'Regular') AS loyalty_tier,
+               coalesce(c.acquisition_channel, 'Organic') AS acquisition_channel
+        FROM (
+          SELECT user_id, user_session, product_id, brand, price, event_time AS cart_time,
+                 loyalty_tier, acquisition_channel,
+                 row_number() OVER (PARTITION BY user_session, product_id, event_time ORDER BY event_id) AS rn
+          FROM {source} WHERE event_type = 'cart' AND {cart_filter}) c
+        LEFT JOIN (SELECT DISTINCT user_session, product_id FROM {source}
+                   WHERE event_type = 'purchase' AND {purchase_filter}) p
+          ON c.user_session = p.user_session AND c.product_id = p.product_id
+        WHERE p.user_session IS NULL"""
+
+
+CARTS_INCREMENTAL_SQL = w(
+    "SELECT * FROM b1 WHERE abandonment_id NOT IN (SELECT abandonment_id FROM b2) UNION ALL SELECT * FROM b2",
+    extra={
+        "b1": _carts_sql("serving", f"CAST(event_time AS DATE) <= DATE '{FIRST_BATCH_END}'",
+                         f"CAST(event_time AS DATE) <= DATE '{FIRST_BATCH_END}'"),
+        "hw": "SELECT max(cart_time) - INTERVAL 2 DAY AS bound FROM b1",
+        "b2": _carts_sql("serving", "event_time >= (SELECT bound FROM hw)", "event_time >= (SELECT bound FROM hw)"),
+    })
+
+
+@register("fact_cart_abandonment_incremental", CARTS_INCREMENTAL_SQL)
+def q_fact_cart_abandonment_incremental(L: Layers) -> DataFrame:
+    """Two loads; carts bought only in the later load stay (no retraction)."""
+    P, serving = _serving_in_storage(L, "fact_cart_abandonment_incremental")
+    first = serving.where(F.col("event_date") <= F.lit(FIRST_BATCH_END).cast("date"))
+    daily.fact_cart_abandonment_incremental(L.spark, P.fact_carts, first)
+    daily.fact_cart_abandonment_incremental(L.spark, P.fact_carts, serving)
+    return out(daily.read_fact(L.spark, P.fact_carts, "cart_date"))
+
+
+# ---------------------------------------------------------------- streaming
+
+
+@register("stream_silver", w("SELECT * FROM silver"))
+def q_stream_silver(L: Layers) -> DataFrame:
+    """Bronze files picked up by a file stream, a few day files per
+    micro-batch, each upserted into Silver."""
+    P = workspace(L, "stream_silver")
+    stage(L, P)
+    silver_stream.stream_silver(L.spark, P.staging, P, L.crm, STAGED_WITH_ID, P.stream_checkpoint,
+                                max_files_per_trigger=8, timeout_s=STREAM_TIMEOUT_S)
+    return out(daily.read_silver(L.spark, P))
+
+
+@register("stream_dedup", w("SELECT * FROM deduped"))
+def q_stream_dedup(L: Layers) -> DataFrame:
+    P = workspace(L, "stream_dedup")
+    stage(L, P)
+    silver_stream.stream_dedup(L.spark, P.staging, P.dedup, STAGED_WITH_ID, P.stream_checkpoint,
+                               max_files_per_trigger=4, timeout_s=STREAM_TIMEOUT_S)
+    return out(L.spark.read.parquet(P.dedup))

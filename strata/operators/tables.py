@@ -51,9 +51,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
     """Write Parquet, rows clustered by the partition value first so each task
-    writes few partition folders (no small-file explosion)."""
+    writes few partition folders (no small-file explosion).
+
+    Clustering uses the REBALANCE hint rather than ``repartition(col)``: AQE
+    splits a partition value that holds far more rows than the advisory size
+    (one busy day) over several tasks and merges small ones, where a plain
+    hash repartition would put each whole day into a single task."""
     if partition_by:
-        df = df.repartition(partition_by)
+        df = df.hint("rebalance", partition_by)
     writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -74,46 +79,73 @@ def _source_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- operators
 
+def list_partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of ``column=`` folders directly below ``path`` (listing only)."""
+    fs, p, _ = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    prefix = f"{column}="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
 def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
-           partition_col: str, schema: T.StructType | None = None, null_safe: bool = True) -> None:
+           partition_col: str, schema: T.StructType | None = None, null_safe: bool = True) -> list[str]:
     """MERGE on ``keys``: matched target rows are replaced by the source row,
-    unmatched source rows are inserted, other target rows stay.
-
-    Only partitions the source touches are read and rewritten (a key never
-    changes partition because the partition value derives from a key part).
-    Keys compare NULL-safe by default, so a re-run never duplicates rows
-    whose key holds a NULL. The source must hold one row per key (dedup first).
+    unmatched source rows are inserted, other target rows stay. Returns the
+    partitions rewritten.
+
+    The source batch is computed once and written partitioned to a staging
+    table in the shared checkpoint folder (this also cuts its lineage), so the
+    partitions it touches come from a folder listing, not a second pass.
+    Only those partitions of the target are read and rewritten (a key never
+    changes partition: the partition value derives from a key part). Keys
+    compare NULL-safe by default, so a re-run never duplicates rows whose key
+    holds a NULL. The source must hold one row per key (dedup first).
     """
+    from strata.session import work_path
     if not table_exists(spark, path):
         write_table(source, path, partition_col)
-        return
-    # Distinct partition values of the source: bounded by the calendar, not the data.
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+        return list_partitions(spark, path, partition_col)
+    stage = work_path(spark, "upsert-source")
+    write_table(source, stage, partition_col)
+    touched = list_partitions(spark, stage, partition_col)
     if not touched:
-        return
-    target = read_table(spark, path, schema).where(F.col(partition_col).isin(touched))
-    src_keys = _source_keys(source, keys)
-    kept = target.join(src_keys, _match(target, src_keys, keys, null_safe), "left_anti")
-    write_table(kept.unionByName(source.select(*target.columns)), path, partition_col)
+        return []
+    target = read_table(spark, path, schema)
+    src = read_table(spark, stage, target.schema)
+    pruned = target.where(F.col(partition_col).cast("string").isin(touched))
+    src_keys = _source_keys(src, keys)
+    kept = pruned.join(src_keys, _match(pruned, src_keys, keys, null_safe), "left_anti")
+    write_table(kept.unionByName(src.select(*target.columns)), path, partition_col)
+    delete_path(spark, stage)
+    return touched
 
 
 def replace_partitions(spark: SparkSession, path: str, df: DataFrame, partition_col: str,
-                       owned: list | None = None) -> list:
+                       owned: list | None = None) -> dict:
     """Make the table's ``owned`` partitions hold exactly ``df``'s rows (the
     day delete-then-insert). Partitions of ``owned`` that ``df`` has no rows
     for are removed, so re-loading an emptied day clears it.
 
-    The partition values actually written are observed during the write
-    itself (no second pass over ``df``). Returns them.
+    Rows per owned partition are observed during the write itself (no second
+    pass over ``df``). Returns those counts.
     """
-    obs = Observation("written_partitions")
-    observed = df.observe(obs, F.collect_set(F.col(partition_col).cast("string")).alias("parts"))
-    write_table(observed, path, partition_col)
-    written = set(obs.get.get("parts") or [])
-    for v in owned or []:
-        if str(v) not in written:
-            delete_path(spark, partition_path(path, partition_col, v))
-    return sorted(written)
+    owned = [str(v) for v in (owned or [])]
+    counts: dict = {}
+    if owned:
+        obs = Observation("owned_partitions")
+        value = F.col(partition_col).cast("string")
+        df = df.observe(obs, *[F.count(F.when(value == F.lit(v), F.lit(1))).alias(f"p{i}")
+                               for i, v in enumerate(owned)])
+    write_table(df, path, partition_col)
+    if owned:
+        got = obs.get
+        counts = {v: int(got.get(f"p{i}", 0)) for i, v in enumerate(owned)}
+        for v, n in counts.items():
+            if n == 0:
+                delete_path(spark, partition_path(path, partition_col, v))
+    return counts
 
 
 def insert_absent(spark: SparkSession, path: str, source: DataFrame, key: str,

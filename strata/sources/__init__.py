@@ -1,0 +1 @@
+"""Sources and sinks: landing CSV, staging/Bronze Parquet, CRM (Parquet/JDBC)."""

@@ -1,0 +1 @@
+"""Structured Streaming entry points (same transformations as the batch jobs)."""
