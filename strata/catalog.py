@@ -88,6 +88,7 @@ class Layers:
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
+STORAGE_QUERIES: set[str] = set()   # queries that write tables (filled by catalog_storage)
 
 
 def register(name: str, sql: str | None = None):
@@ -378,3 +379,7 @@ register("dq_referential", w(_sql_referential()))(dq_referential)
 @register("dq_report", w(f"{_sql_not_null()}\nUNION ALL {_sql_unique()}\nUNION ALL {_sql_referential()}"))
 def q_dq_report(L: Layers) -> DataFrame:
     return quality.union_all([dq_not_null(L), dq_unique(L), dq_referential(L)])
+
+
+# The storage and streaming queries register themselves on import.
+from strata import catalog_storage  # noqa: E402,F401

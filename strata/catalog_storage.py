@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import oracle, schemas
-from strata.catalog import (Layers, SIMULATED_CRM_SQL, data_end_date, distinct_users, out, register,
-                            simulated_crm)
+from strata.catalog import (QUERIES, STORAGE_QUERIES, Layers, SIMULATED_CRM_SQL, data_end_date,
+                            distinct_users, out, register, simulated_crm)
 from strata.operators import tables
 from strata.plans import daily
 from strata.session import work_path
@@ -34,6 +34,7 @@ RAW_WITH_ID = T.StructType([T.StructField("event_id", T.LongType(), True)] + sch
 STAGED_WITH_ID = bronze_src.staged_schema(RAW_WITH_ID)
 
 w = oracle.with_ctes
+_BEFORE = set(QUERIES)
 RAW_SELECT = oracle.RAW_COLS
 STAGED_SQL = (f"SELECT {RAW_SELECT}, substring(event_time, 1, 4) AS year, substring(event_time, 6, 2) AS month, "
               f"substring(event_time, 9, 2) AS day FROM raw_clickstream "
@@ -266,3 +267,6 @@ def q_stream_dedup(L: Layers) -> DataFrame:
     silver_stream.stream_dedup(L.spark, P.staging, P.dedup, STAGED_WITH_ID, P.stream_checkpoint,
                                max_files_per_trigger=4, timeout_s=STREAM_TIMEOUT_S)
     return out(L.spark.read.parquet(P.dedup))
+
+
+STORAGE_QUERIES.update(set(QUERIES) - _BEFORE)
