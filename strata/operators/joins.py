@@ -28,18 +28,30 @@ def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> Data
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
+# Buckets over which rows with a NULL join key are spread.
+NULL_KEY_SALT_BUCKETS = 1024
+
+
 def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` with no ``right`` row equal on all ``keys`` (SQL ``=``).
 
-    A left row with any NULL key can never match, so it bypasses the join: all
-    NULL-key rows would otherwise hash to one shuffle partition (one task).
-    ``right`` is reduced to its distinct keys before the shuffle.
+    One join, no union: a left row with a NULL key can never match, but it
+    would still hash to the single partition of the NULL key. An extra join key
+    ``_salt`` (0 on both sides for complete keys; a hash of the whole row for
+    rows with a NULL key) spreads those rows over many partitions without
+    changing the result. AQE's skew-join splitting covers the rest (e.g. a hot
+    complete key). ``right`` is reduced to its distinct complete keys first.
     """
     any_null = F.lit(False)
     all_set = F.lit(True)
     for k in keys:
         any_null = any_null | F.col(k).isNull()
         all_set = all_set & F.col(k).isNotNull()
-    r = right.select(*keys).where(all_set).distinct()
-    matched = left.where(all_set).join(maybe_broadcast(r), keys, "left_anti")
-    return matched.unionByName(left.where(any_null))
+    salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
+                                   F.lit(NULL_KEY_SALT_BUCKETS))).otherwise(F.lit(0).cast("bigint"))
+    salted = left.withColumn("_aj_salt", salt)
+    r = (right.where(all_set).select(*[F.col(k).alias(f"_aj_{k}") for k in keys]).distinct()
+         .withColumn("_aj_rsalt", F.lit(0).cast("bigint")))
+    r = maybe_broadcast(r)
+    cond = [salted[k] == r[f"_aj_{k}"] for k in keys] + [salted["_aj_salt"] == r["_aj_rsalt"]]
+    return salted.join(r, cond, "left_anti").drop("_aj_salt")
