@@ -289,9 +289,16 @@ SIMULATED_CRM_SQL = f"""
     FROM (SELECT DISTINCT user_id FROM raw_clickstream WHERE user_id IS NOT NULL)"""
 
 
+def signup_end(L: Layers):
+    """Last day of the latest month with valid events (one scalar). Taken over
+    cleaned rows: deduplication keeps every key's event_date, so the maximum
+    equals Silver's without its shuffles."""
+    return data_end_date(silver_plan.silver_clean(L.raw)).first()[0]
+
+
 @register("weighted_bucket", w(SIMULATED_CRM_SQL))
 def q_weighted_bucket(L: Layers) -> DataFrame:
-    end = data_end_date(L.silver).first()[0]
+    end = signup_end(L)
     return simulated_crm(distinct_users(L.raw), end)
 
 
@@ -324,26 +331,28 @@ DQ_VIEWS = {
 }
 
 
-def _tables(L: Layers) -> dict[str, DataFrame]:
+def gold_tables(L: Layers) -> dict[str, DataFrame]:
+    """The checked tables as plans over the provided tables (not stored)."""
     return {"ecommerce_events": L.serving, "user_loyalty": L.crm, "dim_users_loyalty": L.dim_users_loyalty,
             "dim_products": L.dim_products, "fact_sales": L.fact_sales, "fact_cart_abandonment": L.fact_carts}
 
 
-def dq_not_null(L: Layers) -> DataFrame:
-    t = _tables(L)
+def dq_not_null(t: dict[str, DataFrame]) -> DataFrame:
     return quality.union_all([quality.not_null(t[name], name, cols) for name, cols in NOT_NULL.items()])
 
 
-def dq_unique(L: Layers) -> DataFrame:
-    t = _tables(L)
+def dq_unique(t: dict[str, DataFrame]) -> DataFrame:
     return quality.union_all([quality.unique(t[name], name, col) for name, col in UNIQUE.items()])
 
 
-def dq_referential(L: Layers) -> DataFrame:
-    t = _tables(L)
+def dq_referential(t: dict[str, DataFrame]) -> DataFrame:
     return quality.union_all([quality.relationships(t[c], c, cc, t[p], pc, p) for c, cc, p, pc in REFERENTIAL])
 
 
+def dq_report(t: dict[str, DataFrame]) -> DataFrame:
+    return quality.union_all([dq_not_null(t), dq_unique(t), dq_referential(t)])
+
+
 def _sql_not_null() -> str:
     parts = []
     for name, cols in NOT_NULL.items():
@@ -371,14 +380,7 @@ def _sql_referential() -> str:
     return "\nUNION ALL ".join(parts)
 
 
-register("dq_not_null", w(_sql_not_null()))(dq_not_null)
-register("dq_unique", w(_sql_unique()))(dq_unique)
-register("dq_referential", w(_sql_referential()))(dq_referential)
-
-
-@register("dq_report", w(f"{_sql_not_null()}\nUNION ALL {_sql_unique()}\nUNION ALL {_sql_referential()}"))
-def q_dq_report(L: Layers) -> DataFrame:
-    return quality.union_all([dq_not_null(L), dq_unique(L), dq_referential(L)])
+SQL_NOT_NULL, SQL_UNIQUE, SQL_REFERENTIAL = _sql_not_null(), _sql_unique(), _sql_referential()
 
 
 # The storage and streaming queries register themselves on import.

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import oracle, schemas
+from strata import catalog
 from strata.catalog import (QUERIES, STORAGE_QUERIES, Layers, SIMULATED_CRM_SQL, data_end_date,
                             distinct_users, out, register, simulated_crm)
+from strata.plans import gold
 from strata.operators import tables
 from strata.plans import daily
 from strata.session import work_path
@@ -123,7 +125,7 @@ def q_crm_insert_absent(L: Layers) -> DataFrame:
     every clickstream user, skipping users already present."""
     P = workspace(L, "crm_insert_absent")
     tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
-    end = data_end_date(L.silver).first()[0]
+    end = catalog.signup_end(L)
     tables.insert_absent(L.spark, P.crm, simulated_crm(distinct_users(L.raw), end), "user_id")
     return tables.read_table(L.spark, P.crm)
 
@@ -246,6 +248,41 @@ def q_fact_cart_abandonment_incremental(L: Layers) -> DataFrame:
     return out(daily.read_fact(L.spark, P.fact_carts, "cart_date"))
 
 
+# ---------------------------------------------------------------- data quality on stored tables
+
+
+def stored_gold(L: Layers, name: str) -> dict[str, DataFrame]:
+    """Write serving, CRM, dimensions and facts as tables (Gold is built from
+    the *stored* serving table, as in production) and return them read back.
+    Checks then scan stored tables with column pruning instead of re-deriving
+    every layer once per check."""
+    P = workspace(L, name)
+    tables.write_table(L.serving, P.serving)
+    serving = tables.read_table(L.spark, P.serving)
+    tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
+    crm = tables.read_table(L.spark, P.crm)
+    built = {
+        "dim_users_loyalty": gold.dim_users_loyalty(serving, crm),
+        "dim_products": gold.dim_products(serving),
+        "fact_sales": gold.fact_sales(serving),
+        "fact_cart_abandonment": gold.fact_cart_abandonment(serving),
+    }
+    out_tables = {"ecommerce_events": serving, "user_loyalty": crm}
+    for t, df in built.items():
+        path = f"{P.root}/{t}"
+        tables.write_table(df, path)
+        out_tables[t] = tables.read_table(L.spark, path)
+    return out_tables
+
+
+register("dq_not_null", w(catalog.SQL_NOT_NULL))(lambda L: catalog.dq_not_null(stored_gold(L, "dq_not_null")))
+register("dq_unique", w(catalog.SQL_UNIQUE))(lambda L: catalog.dq_unique(stored_gold(L, "dq_unique")))
+register("dq_referential", w(catalog.SQL_REFERENTIAL))(
+    lambda L: catalog.dq_referential(stored_gold(L, "dq_referential")))
+register("dq_report", w(f"{catalog.SQL_NOT_NULL}\nUNION ALL {catalog.SQL_UNIQUE}\nUNION ALL {catalog.SQL_REFERENTIAL}"))(
+    lambda L: catalog.dq_report(stored_gold(L, "dq_report")))
+
+
 # ---------------------------------------------------------------- streaming
 
 

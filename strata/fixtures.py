@@ -32,72 +32,68 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHANNELS = ["Google", "Facebook", "Organic", "TikTok", "Instagram", "Referral"]
-TIER_BY_SEGMENT = {"MACHINERY": "VIP", "BUILDING": "Gold", "AUTOMOBILE": "Silver"}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Explicit input schemas: no footer-inference pass at plan time.
+INPUT_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+RAW_EXPRS = [
+    "event_id",
+    "CASE WHEN event_id % 89 = 0 THEN 'not-a-time' "
+    "ELSE concat(substring(cast(ts AS string), 1, 19), ' UTC') END AS event_time",
+    "CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_type = 'click' THEN 'cart' "
+    "WHEN event_type = 'purchase' THEN 'purchase' ELSE 'view' END AS event_type",
+    "CASE WHEN event_id % 101 = 0 THEN NULL ELSE cast(p_partkey AS int) END AS product_id",
+    "cast(p_size AS string) AS category_id",
+    "CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN lower(p_type) "
+    "ELSE concat(lower(p_type), '.', split_part(p_name, ' ', 2)) END AS category_code",
+    "CASE WHEN event_id % 7 = 0 THEN NULL ELSE lower(p_brand) END AS brand",
+    "CASE WHEN event_id % 103 = 0 THEN NULL ELSE value END AS price",
+    "CASE WHEN event_id % 107 = 0 THEN NULL ELSE cast(user_id AS int) END AS user_id",
+    "CASE WHEN event_id % 109 = 0 THEN NULL "
+    "ELSE concat(cast(user_id AS string), '-', cast(cast(date_trunc('week', ts) AS date) AS string)) END "
+    "AS user_session",
+]
 
+CRM_EXPRS = [
+    "cast(c_custkey AS int) AS user_id",
+    "CASE c_mktsegment WHEN 'MACHINERY' THEN 'VIP' WHEN 'BUILDING' THEN 'Gold' "
+    "WHEN 'AUTOMOBILE' THEN 'Silver' ELSE 'Regular' END AS loyalty_tier",
+    "date_add(DATE'2018-01-01', cast(c_custkey % 790 AS int)) AS signup_date",
+    "CASE c_nationkey % 6 WHEN 0 THEN 'Google' WHEN 1 THEN 'Facebook' WHEN 2 THEN 'Organic' "
+    "WHEN 3 THEN 'TikTok' WHEN 4 THEN 'Instagram' ELSE 'Referral' END AS acquisition_channel",
+]
 
-def _null_when(mod: int, value):
-    return F.when(F.col("event_id") % mod == 0, F.lit(None)).otherwise(value)
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reader = spark.read
+    if name in INPUT_SCHEMAS:
+        reader = reader.schema(INPUT_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_clickstream(events: DataFrame, part: DataFrame) -> DataFrame:
     """Clickstream rows with text times, as a landing CSV would carry them."""
-    ev = events.select(
-        "event_id", "ts", "user_id", "event_type", "value",
-        (F.regexp_extract("props", "[0-9]+", 0).try_cast("int") % 10).alias("_pk"))
+    ev = events.selectExpr("event_id", "ts", "user_id", "event_type", "value",
+                           "try_cast(regexp_extract(props, '[0-9]+', 0) AS int) % 10 AS _pk")
     # The join key is a value % 10 of a non-negative number, so only part keys
     # 0..9 can match: the build side holds at most 10 rows (p_partkey is the
     # part key), a proven bound for the broadcast.
-    parts = (part.where(F.col("p_partkey").between(0, 9))
+    parts = (part.where("p_partkey BETWEEN 0 AND 9")
              .select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
-    j = ev.join(F.broadcast(parts), F.col("_pk") == F.col("p_partkey"), "inner")
+    j = ev.join(F.broadcast(parts), F.expr("_pk = p_partkey"), "inner")
     # Exact second copy of every 13th event: a generator, not a join.
-    j = j.withColumn("_copy", F.explode(
-        F.when(F.col("event_id") % 13 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    ptype = F.lower("p_type")
-    category_code = (F.when(F.col("p_partkey") % 5 == 0, F.lit(None).cast("string"))
-                     .when(F.col("p_partkey") % 5 == 1, ptype)
-                     .otherwise(F.concat(ptype, F.lit("."),
-                                         F.split_part("p_name", F.lit(" "), F.lit(2)))))
-    etype = (F.when(F.col("event_type") == "click", "cart")
-             .when(F.col("event_type") == "purchase", "purchase").otherwise("view"))
-    session = F.concat(F.col("user_id").cast("string"), F.lit("-"),
-                       F.date_trunc("week", "ts").cast("date").cast("string"))
-    return j.select(
-        "event_id",
-        F.when(F.col("event_id") % 89 == 0, F.lit("not-a-time"))
-         .otherwise(F.concat(F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" UTC")))
-         .alias("event_time"),
-        _null_when(97, etype).alias("event_type"),
-        _null_when(101, F.col("p_partkey").cast("int")).alias("product_id"),
-        F.col("p_size").cast("string").alias("category_id"),
-        category_code.alias("category_code"),
-        _null_when(7, F.lower("p_brand")).alias("brand"),
-        _null_when(103, F.col("value")).alias("price"),
-        _null_when(107, F.col("user_id").cast("int")).alias("user_id"),
-        _null_when(109, session).alias("user_session"),
-    )
+    j = j.selectExpr("*", "explode(CASE WHEN event_id % 13 = 0 THEN array(0, 1) ELSE array(0) END) AS _copy")
+    return j.selectExpr(*RAW_EXPRS)
 
 
 def user_loyalty(customer: DataFrame) -> DataFrame:
     """CRM table: one row per seeded user (user_id unique)."""
-    tier = F.lit("Regular")
-    for seg, t in reversed(list(TIER_BY_SEGMENT.items())):
-        tier = F.when(F.col("c_mktsegment") == seg, t).otherwise(tier)
-    nk = F.col("c_nationkey") % 6
-    channel = F.lit(CHANNELS[-1])
-    for i in range(len(CHANNELS) - 2, -1, -1):
-        channel = F.when(nk == i, CHANNELS[i]).otherwise(channel)
-    return customer.where(F.col("c_custkey") % 10 != 9).select(
-        F.col("c_custkey").cast("int").alias("user_id"),
-        tier.alias("loyalty_tier"),
-        F.date_add(F.lit("2018-01-01").cast("date"), (F.col("c_custkey") % 790).cast("int"))
-         .alias("signup_date"),
-        channel.alias("acquisition_channel"),
-    )
+    return customer.where("c_custkey % 10 <> 9").selectExpr(*CRM_EXPRS)
 
 
 def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

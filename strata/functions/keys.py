@@ -35,4 +35,19 @@ def key_text(*parts) -> Column:
 
 def hash_key(*parts) -> Column:
     """md5 hex digest of ``key_text(*parts)``; never NULL."""
+    if all(isinstance(p, str) for p in parts):
+        return F.expr(hash_key_sql(*parts))
     return F.md5(key_text(*parts))
+
+
+def key_text_sql(*names: str) -> str:
+    pieces = []
+    for i, n in enumerate(names):
+        if i:
+            pieces.append(f"'{SEPARATOR}'")
+        pieces.append(f"coalesce(cast({n} AS string), '')")
+    return f"concat({', '.join(pieces)})"
+
+
+def hash_key_sql(*names: str) -> str:
+    return f"md5({key_text_sql(*names)})"

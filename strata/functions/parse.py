@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss z"
 
 
+def parse_event_time_sql(c: str = "event_time") -> str:
+    return f"try_to_timestamp({c}, '{EVENT_TIME_FORMAT}')"
+
+
+def category_level_sql(code: str, level: int) -> str:
+    return f"get(split({code}, '[.]'), {level})"
+
+
 def parse_event_time(c: str | Column = "event_time") -> Column:
     """Text → TIMESTAMP; malformed text gives NULL (and is quarantined) instead
     of failing the job, as ``to_timestamp`` would under ANSI mode."""

@@ -7,10 +7,9 @@ are exact complements.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from strata.functions.parse import category_level, parse_event_time
+from strata.functions.parse import category_level_sql, parse_event_time_sql
 
 # Fields whose NULL sends a row to quarantine, the dedup key,
 # and the defaults for missing descriptive text.
@@ -20,30 +19,40 @@ UNKNOWN = "unknown"
 TEXT_DEFAULTS = {"brand": UNKNOWN, "category": UNKNOWN, "sub_category": UNKNOWN}
 
 
+def _valid_sql() -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in CRITICAL)
+
+
 def parse(raw: DataFrame) -> DataFrame:
-    """Add the parsed time, its UTC date and the validity flag."""
-    parsed = parse_event_time("event_time")
-    valid: Column = F.lit(True)
-    for c in CRITICAL:
-        valid = valid & (parsed if c == "event_time_parsed" else F.col(c)).isNotNull()
-    return (raw.withColumn("event_time_parsed", parsed)
-               .withColumn("event_date", F.to_date("event_time_parsed"))
-               .withColumn("is_valid", valid))
+    """Add the parsed time, its UTC date and the validity flag (one projection)."""
+    return raw.selectExpr(
+        "*", f"{parse_event_time_sql('event_time')} AS event_time_parsed",
+        f"to_date({parse_event_time_sql('event_time')}) AS event_date",
+    ).selectExpr("*", f"({_valid_sql()}) AS is_valid")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Rows missing a critical field (or with unreadable time), raw columns."""
-    return parsed.where(~F.col("is_valid")).drop("event_time_parsed", "event_date", "is_valid")
+    keep = [c for c in parsed.columns if c not in ("event_time_parsed", "event_date", "is_valid")]
+    return parsed.where("NOT is_valid").select(*keep)
 
 
 def clean(parsed: DataFrame) -> DataFrame:
     """Valid rows with typed time, category split into two levels, defaults filled."""
-    return (parsed.where(F.col("is_valid"))
-            .withColumn("event_time", F.col("event_time_parsed"))
-            .withColumn("category", category_level("category_code", 0))
-            .withColumn("sub_category", category_level("category_code", 1))
-            .fillna(TEXT_DEFAULTS)
-            .drop("event_time_parsed", "category_code", "is_valid"))
+    cols = parsed.columns
+    exprs = []
+    for c in cols:
+        if c in ("event_time_parsed", "category_code", "is_valid"):
+            continue
+        if c == "event_time":
+            exprs.append("event_time_parsed AS event_time")
+        elif c in TEXT_DEFAULTS:
+            exprs.append(f"coalesce({c}, '{TEXT_DEFAULTS[c]}') AS {c}")
+        else:
+            exprs.append(c)
+    for level, name in ((0, "category"), (1, "sub_category")):
+        exprs.append(f"coalesce({category_level_sql('category_code', level)}, '{TEXT_DEFAULTS[name]}') AS {name}")
+    return parsed.where("is_valid").selectExpr(*exprs)
 
 
 def dedup(df: DataFrame, keys: list[str] | None = None, order_by: list[str] | None = None) -> DataFrame:
@@ -57,5 +66,7 @@ def dedup(df: DataFrame, keys: list[str] | None = None, order_by: list[str] | No
     keys = keys or DEDUP_KEYS
     order = list(order_by or [])
     order += [c for c in df.columns if c not in keys and c not in order]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    rn = (f"row_number() OVER (PARTITION BY {', '.join(keys)} "
+          f"ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in order)}) AS _rn")
+    cols = df.columns
+    return df.selectExpr("*", rn).where("_rn = 1").select(*cols)

@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest build side we hint for broadcast; above it the planner shuffles
-# (sort-merge, with AQE skew splitting and runtime broadcast conversion).
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Largest build side we hint for broadcast, unless the session sets
+# ``strata.broadcast.maxBytes``; by default the session's own
+# autoBroadcastJoinThreshold. Above it the planner shuffles (sort-merge, with
+# AQE skew splitting and runtime broadcast conversion from measured sizes).
+FALLBACK_BROADCAST_LIMIT = 10 * 1024 * 1024
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    raw = conf.get("strata.broadcast.maxBytes", None) or conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    if raw is None:
+        return FALLBACK_BROADCAST_LIMIT
+    raw = str(raw).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix) and raw[:-len(suffix)].strip().lstrip("-").isdigit():
+            return int(raw[:-len(suffix)]) * units[suffix]
+    return int(raw)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -23,9 +38,11 @@ def estimated_bytes(df: DataFrame) -> int:
         return 2 ** 63 - 1
 
 
-def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is within ``limit``, else ``df``."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its estimated size is within ``limit`` (default:
+    ``broadcast_limit``; a negative limit disables it), else ``df``."""
+    limit = broadcast_limit(df) if limit is None else limit
+    return F.broadcast(df) if 0 <= estimated_bytes(df) <= limit else df
 
 
 # Buckets over which rows with a NULL join key are spread.
@@ -42,16 +59,13 @@ def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     changing the result. AQE's skew-join splitting covers the rest (e.g. a hot
     complete key). ``right`` is reduced to its distinct complete keys first.
     """
-    any_null = F.lit(False)
-    all_set = F.lit(True)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-        all_set = all_set & F.col(k).isNotNull()
-    salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]),
-                                   F.lit(NULL_KEY_SALT_BUCKETS))).otherwise(F.lit(0).cast("bigint"))
-    salted = left.withColumn("_aj_salt", salt)
-    r = (right.where(all_set).select(*[F.col(k).alias(f"_aj_{k}") for k in keys]).distinct()
-         .withColumn("_aj_rsalt", F.lit(0).cast("bigint")))
-    r = maybe_broadcast(r)
-    cond = [salted[k] == r[f"_aj_{k}"] for k in keys] + [salted["_aj_salt"] == r["_aj_rsalt"]]
-    return salted.join(r, cond, "left_anti").drop("_aj_salt")
+    any_null = " OR ".join(f"{k} IS NULL" for k in keys)
+    all_set = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    cols = left.columns
+    salted = left.selectExpr(
+        "*", f"CASE WHEN {any_null} THEN pmod(xxhash64({', '.join(cols)}), {NULL_KEY_SALT_BUCKETS}) "
+             "ELSE 0L END AS _aj_salt")
+    r = (right.where(all_set).selectExpr(*[f"{k} AS _aj_{k}" for k in keys]).distinct()
+         .selectExpr("*", "0L AS _aj_rsalt"))
+    cond = " AND ".join([f"{k} = _aj_{k}" for k in keys] + ["_aj_salt = _aj_rsalt"])
+    return salted.join(maybe_broadcast(r), F.expr(cond), "left_anti").select(*cols)

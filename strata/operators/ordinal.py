@@ -28,21 +28,16 @@ def ordinal(df: DataFrame, keys: list[str], order_by: list[str] | None = None,
     cols = df.columns
     order = list(order_by or []) + [c for c in cols if c not in keys and c not in (order_by or [])]
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    w = (Window.partitionBy(*keys)
-         .orderBy(*[F.col(c).asc_nulls_first() for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranged = counted.withColumn("_end", F.sum("_n").over(w))
+    window = (f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in order)} "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    ranged = counted.selectExpr("*", f"sum(_n) OVER ({window}) AS _end")
 
-    small = ranged.where(F.col("_n") <= CHUNK)
-    small = small.withColumn(name, F.explode(F.sequence(F.col("_end") - F.col("_n") + 1, F.col("_end"))))
+    small = ranged.where(f"_n <= {CHUNK}").selectExpr(
+        *cols, f"explode(sequence(_end - _n + 1, _end)) AS {name}")
 
-    big = ranged.where(F.col("_n") > CHUNK)
-    last_chunk = F.floor((F.col("_n") - 1) / F.lit(CHUNK)).cast("bigint")
-    big = big.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last_chunk)))
+    big = ranged.where(f"_n > {CHUNK}").selectExpr(
+        "*", f"explode(sequence(0L, CAST(floor((_n - 1) / {CHUNK}) AS BIGINT))) AS _chunk")
     big = big.repartition(*([spread_partitions] if spread_partitions else []), "_end", "_chunk")
-    lo = F.col("_end") - F.col("_n") + 1 + F.col("_chunk") * CHUNK
-    hi = F.least(lo + (CHUNK - 1), F.col("_end"))
-    big = big.withColumn(name, F.explode(F.sequence(lo, hi))).drop("_chunk")
-
-    out = small.unionByName(big).drop("_n", "_end")
-    return out.withColumn(name, F.col(name).cast("bigint"))
+    lo = f"_end - _n + 1 + _chunk * {CHUNK}"
+    big = big.selectExpr(*cols, f"explode(sequence({lo}, least({lo} + {CHUNK - 1}, _end))) AS {name}")
+    return small.unionByName(big)

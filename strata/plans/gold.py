@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import hash_key
+from strata.functions.keys import hash_key_sql
 from strata.operators.enrich import DEFAULT_CHANNEL, DEFAULT_TIER
 from strata.operators.joins import anti_join, maybe_broadcast
 from strata.operators.ordinal import ordinal
@@ -27,9 +27,9 @@ def _tiebreak(df: DataFrame) -> list[str]:
     return ["event_id"] if "event_id" in df.columns else []
 
 
-def _attrs() -> list:
-    return [F.coalesce("loyalty_tier", F.lit(DEFAULT_TIER)).alias("loyalty_tier"),
-            F.coalesce("acquisition_channel", F.lit(DEFAULT_CHANNEL)).alias("acquisition_channel")]
+def _attrs() -> list[str]:
+    return [f"coalesce(loyalty_tier, '{DEFAULT_TIER}') AS loyalty_tier",
+            f"coalesce(acquisition_channel, '{DEFAULT_CHANNEL}') AS acquisition_channel"]
 
 
 def dim_users(serving: DataFrame) -> DataFrame:
@@ -51,13 +51,13 @@ def dim_products(serving: DataFrame, prefer_known: bool = False) -> DataFrame:
     parts = []
     for c in ("category", "sub_category", "brand"):
         if prefer_known:
-            parts.append((F.coalesce(F.col(c), F.lit("")) != F.lit(UNKNOWN)).alias(f"_k_{c}"))
-        parts.append(F.coalesce(F.col(c), F.lit("")).alias(f"_o_{c}"))
-    best = F.max(F.struct(*parts, F.col("category"), F.col("sub_category"), F.col("brand")))
-    return (serving.where(F.col("product_id").isNotNull())
+            parts.append(f"coalesce({c}, '') <> '{UNKNOWN}' AS _k_{c}")
+        parts.append(f"coalesce({c}, '') AS _o_{c}")
+    best = F.expr(f"max(struct({', '.join(parts)}, category, sub_category, brand))")
+    return (serving.where("product_id IS NOT NULL")
             .groupBy("product_id").agg(best.alias("_b"))
-            .select("product_id", F.col("_b.category").alias("category"),
-                    F.col("_b.sub_category").alias("sub_category"), F.col("_b.brand").alias("brand")))
+            .selectExpr("product_id", "_b.category AS category", "_b.sub_category AS sub_category",
+                        "_b.brand AS brand"))
 
 
 def dim_users_loyalty(serving: DataFrame, crm: DataFrame) -> DataFrame:
@@ -80,32 +80,31 @@ def dim_users_loyalty(serving: DataFrame, crm: DataFrame) -> DataFrame:
 def sales_rows(serving: DataFrame) -> DataFrame:
     """Purchase rows of the fact, before the key (input of the ordinal)."""
     extra = _tiebreak(serving)
-    return (serving.where(F.col("event_type") == "purchase")
-            .select("event_time", "user_id", "product_id", "brand", "price", "user_session",
-                    *_attrs(), *extra))
+    return (serving.where("event_type = 'purchase'")
+            .selectExpr("event_time", "user_id", "product_id", "brand", "price", "user_session",
+                        *_attrs(), *extra))
 
 
 def fact_sales(serving: DataFrame) -> DataFrame:
     """Every purchase (nothing filtered); ``rn`` among identical
     (time, user, product, session) rows only makes ``sale_id`` unique."""
     rows = ordinal(sales_rows(serving), SALE_KEYS, order_by=_tiebreak(serving))
-    return rows.select(
-        hash_key("event_time", "user_id", "product_id", "user_session", "rn").alias("sale_id"),
+    return rows.selectExpr(
+        f"{hash_key_sql('event_time', 'user_id', 'product_id', 'user_session', 'rn')} AS sale_id",
         "event_time", "user_id", "product_id", "brand", "price", "user_session",
         "loyalty_tier", "acquisition_channel")
 
 
 def cart_rows(serving: DataFrame) -> DataFrame:
     extra = _tiebreak(serving)
-    return (serving.where(F.col("event_type") == "cart")
-            .select("user_id", "user_session", "product_id", "brand", "price",
-                    F.col("event_time").alias("cart_time"), *_attrs(), *extra))
+    return (serving.where("event_type = 'cart'")
+            .selectExpr("user_id", "user_session", "product_id", "brand", "price",
+                        "event_time AS cart_time", *_attrs(), *extra))
 
 
 def purchased_pairs(serving: DataFrame) -> DataFrame:
     """Distinct (session, product) pairs that were bought."""
-    return (serving.where(F.col("event_type") == "purchase")
-            .select(*PAIR_KEYS).distinct())
+    return serving.where("event_type = 'purchase'").select(*PAIR_KEYS).distinct()
 
 
 def abandoned(carts: DataFrame, purchases: DataFrame) -> DataFrame:
@@ -113,12 +112,12 @@ def abandoned(carts: DataFrame, purchases: DataFrame) -> DataFrame:
     with a NULL session never matches, so it counts as abandoned), keyed."""
     left = anti_join(carts, purchases, PAIR_KEYS)
     rows = ordinal(left, CART_KEYS, order_by=[c for c in ("event_id",) if c in carts.columns])
-    return rows.select(
-        hash_key("user_session", "product_id", "cart_time", "rn").alias("abandonment_id"),
+    return rows.selectExpr(
+        f"{hash_key_sql('user_session', 'product_id', 'cart_time', 'rn')} AS abandonment_id",
         "user_id", "user_session", "product_id", "brand", "price", "cart_time",
         "loyalty_tier", "acquisition_channel")
 
 
 def fact_cart_abandonment(serving: DataFrame) -> DataFrame:
-    purchases = serving.where(F.col("event_type") == "purchase").select(*PAIR_KEYS)
+    purchases = serving.where("event_type = 'purchase'").select(*PAIR_KEYS)
     return abandoned(cart_rows(serving), purchases)

@@ -8,7 +8,7 @@ with a fixed DDL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,13 +85,14 @@ def conform(df: DataFrame, schema: T.StructType, keep_extra: list[str] | None =
     ``keep_extra`` names columns outside the contract to carry along at the end
     (e.g. a lineage id used as a deterministic tie-break).
     """
-    have = set(df.columns)
+    have = dict(df.dtypes)
     missing = [f.name for f in schema.fields if f.name not in have]
     if missing:
         raise ValueError(f"missing columns for contract: {missing}")
-    cols: list[Column] = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    cols += [F.col(c) for c in (keep_extra or []) if c in have]
-    return df.select(*cols)
+    exprs = [f.name if have[f.name] == f.dataType.simpleString()
+             else f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    exprs += [c for c in (keep_extra or []) if c in have]
+    return df.selectExpr(*exprs)
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -100,7 +101,5 @@ def ntz(df: DataFrame) -> DataFrame:
     Results compared with an engine whose TIMESTAMP has no zone are rendered as
     wall-clock values in the (UTC) session zone.
     """
-    return df.select(*[
-        F.col(f.name).cast(T.TimestampNTZType()).alias(f.name)
-        if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
-        for f in df.schema.fields])
+    return df.selectExpr(*[f"CAST({name} AS timestamp_ntz) AS {name}" if t == "timestamp" else name
+                           for name, t in df.dtypes])
