@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from strata import oracle, schemas
 from strata import catalog
-from strata.catalog import (QUERIES, STORAGE_QUERIES, Layers, SIMULATED_CRM_SQL, data_end_date,
+from strata.catalog import (QUERIES, STORAGE_QUERIES, Layers, SIMULATED_CRM_SQL,
                             distinct_users, out, register, simulated_crm)
 from strata.plans import gold
 from strata.operators import tables
@@ -145,7 +145,7 @@ def q_silver_upsert(L: Layers) -> DataFrame:
     days = bronze_src.staged_days(L.spark, P.staging)
     for batch in (_days(None, FIRST_BATCH_END, days), _days(SECOND_BATCH_START, None, days)):
         raw = daily.bronze_days(L.spark, P.staging, batch, STAGED_WITH_ID)
-        daily.bronze_to_silver(L.spark, P, L.crm, raw)
+        daily.bronze_to_silver(L.spark, P, L.crm, raw, run_dates=batch)
     return out(daily.read_silver(L.spark, P))
 
 
@@ -186,7 +186,8 @@ def q_run_metrics(L: Layers) -> DataFrame:
     P = workspace(L, "run_metrics")
     stage(L, P)
     days = bronze_src.staged_days(L.spark, P.staging)
-    m = daily.bronze_to_silver(L.spark, P, L.crm, daily.bronze_days(L.spark, P.staging, days, STAGED_WITH_ID))
+    m = daily.bronze_to_silver(L.spark, P, L.crm, daily.bronze_days(L.spark, P.staging, days, STAGED_WITH_ID),
+                               run_dates=days)
     m["serving_rows"] = daily.silver_to_serving(L.spark, P, days)
     rows = [(k, int(m[k])) for k in ("quarantined", "silver_rows", "serving_rows")]
     return L.spark.createDataFrame(rows, "step string, rows bigint")

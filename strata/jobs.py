@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import catalog, schemas
-from strata.operators import quality, sample, tables
-from strata.plans import daily, gold, kpi
+from strata.operators import sample, tables
+from strata.plans import daily, kpi
 from strata.session import build_session
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
@@ -90,7 +90,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
             bronze_src.publish_day(spark, P.staging, P.bronze, d)
     elif args.job == "silver":
         raw = daily.bronze_days(spark, P.bronze, dates, bronze_src.staged_schema())
-        print(daily.bronze_to_silver(spark, P, _crm(spark, args, P), raw))
+        print(daily.bronze_to_silver(spark, P, _crm(spark, args, P), raw, run_dates=dates))
     elif args.job == "serving":
         print({"serving_rows": daily.silver_to_serving(spark, P, dates, with_id=False)})
     elif args.job == "gold":

@@ -62,13 +62,15 @@ def bronze_days(spark: SparkSession, bronze_root: str, run_dates: list[str],
 
 
 def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFrame,
-                     observe: bool = True) -> dict:
+                     observe: bool = True, run_dates: list[str] | None = None) -> dict:
     """Quarantine (replaced per load day) and Silver (upsert) for the raw rows
     of some days. Returns the row counts observed during the writes.
 
     Both outputs come from one parse; quarantine is a scan + filter job, the
     Silver job does the shuffles (dedup, join, merge). ``observe=False``
     inside ``foreachBatch`` (micro-batch plans do not report observations).
+    ``run_dates`` are the load days this call owns: their quarantine
+    partitions are replaced even when a re-run quarantines nothing.
     """
     q_obs, s_obs = Observation("quarantine"), Observation("silver")
     q, s = silver_plan.silver_parts(raw, crm)
@@ -80,7 +82,7 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
     if observe:
         q = q.observe(q_obs, F.count(F.lit(1)).alias("rows"))
         s = s.observe(s_obs, F.count(F.lit(1)).alias("rows"))
-    tables.replace_partitions(spark, P.quarantine, q, "run_date")
+    tables.replace_partitions(spark, P.quarantine, q, "run_date", owned=run_dates)
     tables.upsert(spark, P.silver, s, DEDUP_KEYS, "event_date",
                   schema=silver_schema("event_id" in s.columns))
     if not observe:

@@ -9,7 +9,6 @@ with a fixed DDL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, I, D, L = T.StringType(), T.IntegerType(), T.DoubleType(), T.LongType()
