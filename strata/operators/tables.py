@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 from strata.operators.clean import dedup
 
 
+# Folder name Spark gives the partition of NULL values.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 # ---------------------------------------------------------------- file system
 
 def _fs(spark: SparkSession, path: str):
@@ -177,6 +180,19 @@ def lookback_bound(df: DataFrame, column: str, days: int) -> str | None:
     return None if row is None else row["b"]
 
 
+def partitioned_lookback_bound(spark: SparkSession, path: str, column: str, partition_col: str,
+                               days: int) -> str | None:
+    """``lookback_bound`` for a table partitioned by the date of ``column``:
+    the maximum lies in the newest partition, so only that partition is
+    scanned (found from the folder listing) instead of the whole table."""
+    parts = [v for v in list_partitions(spark, path, partition_col) if v != NULL_PARTITION]
+    if not parts:
+        return lookback_bound(read_table(spark, path), column, days) if table_exists(spark, path) else None
+    newest = read_table(spark, path).where(F.col(partition_col).cast("string") == F.lit(parts[-1]))
+    bound = lookback_bound(newest, column, days)
+    return bound if bound is not None else lookback_bound(read_table(spark, path), column, days)
+
+
 def within_lookback(df: DataFrame, column: str, bound: str | None) -> DataFrame:
     """Rows at or after ``bound``; a literal bound lets the scan prune files
     and row groups by min/max statistics."""

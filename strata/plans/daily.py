@@ -125,7 +125,7 @@ def fact_sales_incremental(spark: SparkSession, path: str, serving: DataFrame,
     """
     src = serving
     if tables.table_exists(spark, path) and not full_refresh:
-        bound = tables.lookback_bound(tables.read_table(spark, path), "event_time", lookback_days)
+        bound = tables.partitioned_lookback_bound(spark, path, "event_time", "sale_date", lookback_days)
         src = tables.within_lookback(serving, "event_time", bound)
     fact = gold.fact_sales(src).withColumn("sale_date", F.to_date("event_time"))
     return tables.upsert(spark, path, fact, ["sale_id"], "sale_date")
@@ -145,7 +145,7 @@ def fact_cart_abandonment_incremental(spark: SparkSession, path: str, serving: D
     carts = gold.cart_rows(serving)
     purchases = serving.where(F.col("event_type") == "purchase")
     if tables.table_exists(spark, path) and not full_refresh:
-        bound = tables.lookback_bound(tables.read_table(spark, path), "cart_time", lookback_days)
+        bound = tables.partitioned_lookback_bound(spark, path, "cart_time", "cart_date", lookback_days)
         carts = tables.within_lookback(carts, "cart_time", bound)
         purchases = tables.within_lookback(purchases, "event_time", bound)
     pairs = purchases.select(*gold.PAIR_KEYS)

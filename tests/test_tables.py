@@ -78,3 +78,13 @@ def test_csv_scan_takes_year_from_file_name(spark, workdir):
     assert got.file_year == "2019" and got.price == 1.5 and got.user_id == 7
     from strata.sources.bronze import staged
     assert staged(csv_src.scan_csv(spark, workdir + "/landing")).count() == 0
+
+
+def test_partitioned_lookback_reads_newest_partition(spark, workdir):
+    p = workdir + "/f"
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 3, 5),), (dt.datetime(2024, 1, 9, 23, 30),),
+                                (dt.datetime(2024, 1, 9, 1),)], "t timestamp").selectExpr("t", "to_date(t) AS d")
+    tables.write_table(df, p, "d")
+    assert tables.partitioned_lookback_bound(spark, p, "t", "d", 2) == tables.lookback_bound(df, "t", 2)
+    assert tables.partitioned_lookback_bound(spark, p, "t", "d", 2).startswith("2024-01-07 23:30:00")
+    assert tables.partitioned_lookback_bound(spark, workdir + "/missing", "t", "d", 2) is None
