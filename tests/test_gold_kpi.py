@@ -69,3 +69,13 @@ def test_kpis(spark):
     assert kpi.kpi_revenue(empty).first().revenue == 0.0
     top = kpi.top_brands(sales).collect()
     assert [t.brand for t in top] == ["b"] and top[0].volume == 2
+
+
+def test_abandonment_rate_approx_option(spark):
+    rows = [row("purchase", f"s{i}", 1) for i in range(200)] + [row("cart", "z", 2)]
+    df = serving(spark, rows)
+    sales, carts = gold.fact_sales(df), gold.fact_cart_abandonment(df)
+    exact = kpi.kpi_abandonment_rate(carts, sales).first()
+    approx = kpi.kpi_abandonment_rate(carts, sales, approx_rsd=0.02).first()
+    assert exact.purchased_sessions == 200
+    assert abs(approx.purchased_sessions - 200) <= 12
