@@ -60,3 +60,20 @@ def test_day_read_prunes_partitions(spark, workdir):
     df = daily.read_silver(spark, P)
     p = plan(serving_plan.serving(df, "2024-01-05"))
     assert "PartitionFilters: [isnotnull(event_date" in p and "2024-01-05" in p.split("PartitionFilters")[1][:200]
+
+
+def test_anti_join_is_a_single_join(spark):
+    from strata.operators.joins import anti_join
+    L = catalog.Layers(spark, SF)
+    from strata.plans import gold
+    p = plan(anti_join(gold.cart_rows(L.serving), L.serving.select("user_session", "product_id"),
+                       ["user_session", "product_id"]))
+    assert p.count("LeftAnti") == 1 and "Union" not in p
+
+
+def test_ordinal_pre_aggregates_copies(spark):
+    from strata.operators.ordinal import ordinal
+    df = spark.range(100).selectExpr("id % 7 AS k", "id % 3 AS v")
+    p = plan(ordinal(df, ["k"], ["v"]))
+    # identical rows are counted map-side (partial aggregate) before the window
+    assert "partial_count" in p and "sum(_n" in p
