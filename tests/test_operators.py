@@ -108,3 +108,19 @@ def test_conform_orders_casts_and_rejects_missing(spark):
     assert dict(out.dtypes)["product_id"] == "int"
     with pytest.raises(ValueError):
         conform(df.drop("brand"), DIM_PRODUCTS)
+
+
+def test_anti_join_spreads_null_key_rows(spark):
+    # a third of the rows carry a NULL key: they must all survive and must not
+    # share one shuffle partition
+    hot = spark.range(3000).selectExpr("CAST(NULL AS string) AS s", "CAST(id % 5 AS int) AS p", "id")
+    rest = spark.range(6000).selectExpr("CAST(id % 50 AS string) AS s", "CAST(id % 5 AS int) AS p", "id")
+    left = hot.unionByName(rest)
+    right = spark.range(100).selectExpr("CAST(id % 25 AS string) AS s", "CAST(id % 5 AS int) AS p")
+    out = anti_join(left, right, ["s", "p"])
+    assert out.where("s IS NULL").count() == 3000
+    salts = (left.selectExpr("s", "p", "pmod(xxhash64(s, p, id), 1024) AS salt").where("s IS NULL")
+             .select("salt").distinct().count())
+    assert salts > 500
+    want = left.join(right.distinct(), ["s", "p"], "left_anti").count()
+    assert out.count() == want
