@@ -25,6 +25,23 @@ REQUIRED_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested ``spark-submit --conf`` values for a load of ``input_bytes``
+    (e.g. one day of Bronze): enough initial shuffle partitions for ~256 MB
+    each, AQE sizing by bytes rather than by parallelism, and skew splitting
+    above 1 GB. Returned, not applied: cluster sizing belongs to the submitter."""
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "strata",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
