@@ -32,10 +32,18 @@ def staged(raw_with_file_year: DataFrame) -> DataFrame:
             .drop("file_year"))
 
 
-def stage_by_day(raw_with_file_year: DataFrame, staging_root: str) -> None:
-    """Write staged rows partitioned by year/month/day in one job; days are
-    clustered (and big days split) by the rebalance in ``write_table``."""
-    df = staged(raw_with_file_year).hint("rebalance", *PARTS)
+def stage_by_day(raw_with_file_year: DataFrame, staging_root: str, local_sort: bool = False) -> None:
+    """Write staged rows partitioned by year/month/day in one job.
+
+    Default: REBALANCE by day, so output files are sized by AQE whatever the
+    landing layout (big days split over tasks, small ones merged) at the
+    cost of one shuffle of the raw rows. ``local_sort=True`` skips the
+    shuffle and sorts each input split by day instead (one file per split
+    and day): the cheaper choice when landing files are time-ordered, such
+    as one file per month.
+    """
+    df = staged(raw_with_file_year)
+    df = df.sortWithinPartitions(*PARTS) if local_sort else df.hint("rebalance", *PARTS)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*PARTS).parquet(staging_root))
 

@@ -88,3 +88,17 @@ def test_partitioned_lookback_reads_newest_partition(spark, workdir):
     assert tables.partitioned_lookback_bound(spark, p, "t", "d", 2) == tables.lookback_bound(df, "t", 2)
     assert tables.partitioned_lookback_bound(spark, p, "t", "d", 2).startswith("2024-01-07 23:30:00")
     assert tables.partitioned_lookback_bound(spark, workdir + "/missing", "t", "d", 2) is None
+
+
+def test_stage_local_sort_equals_rebalance(spark, workdir):
+    from pyspark.sql import functions as F
+    from strata import catalog
+    from strata.sources import bronze
+    L = catalog.Layers(spark, "/root/testdata/sf0.001")
+    rows = L.raw.withColumn("file_year", F.lit("2024"))
+    bronze.stage_by_day(rows, workdir + "/a")
+    bronze.stage_by_day(rows, workdir + "/b", local_sort=True)
+    schema = bronze.staged_schema(L.raw.schema)
+    a = sorted(tuple(r) for r in spark.read.schema(schema).parquet(workdir + "/a").collect())
+    b = sorted(tuple(r) for r in spark.read.schema(schema).parquet(workdir + "/b").collect())
+    assert a == b and len(a) == 1064
