@@ -69,6 +69,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     ap.add_argument("--crm-partitions", type=int)
     ap.add_argument("--crm-lower", type=int)
     ap.add_argument("--crm-upper", type=int)
+    ap.add_argument("--local-sort", action="store_true", help="stage without a shuffle (time-ordered landing)")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--retract", action="store_true")
     ap.add_argument("--quota-bytes", type=int, default=512 * 1024 * 1024)
@@ -84,7 +85,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     if args.job == "stage":
         if not args.landing:
             ap.error("stage needs --landing")
-        bronze_src.stage_by_day(csv_src.scan_csv(spark, args.landing), P.staging)
+        bronze_src.stage_by_day(csv_src.scan_csv(spark, args.landing), P.staging, local_sort=args.local_sort)
     elif args.job == "publish":
         for d in dates:
             bronze_src.publish_day(spark, P.staging, P.bronze, d)
