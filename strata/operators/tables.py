@@ -125,6 +125,18 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
     return touched
 
 
+def observed(obs: Observation, source: DataFrame) -> dict:
+    """Metrics of ``obs`` after the action ran. A plan the optimizer proved
+    empty runs no task and reports nothing; only then is an empty result
+    (all counts 0) the right reading."""
+    try:
+        return dict(obs.get)
+    except Exception:
+        if not source.isEmpty():
+            raise
+        return {}
+
+
 def replace_partitions(spark: SparkSession, path: str, df: DataFrame, partition_col: str,
                        owned: list | None = None) -> dict:
     """Make the table's ``owned`` partitions hold exactly ``df``'s rows (the
@@ -144,14 +156,7 @@ def replace_partitions(spark: SparkSession, path: str, df: DataFrame, partition_
                                for i, v in enumerate(owned)])
     write_table(df, path, partition_col)
     if owned:
-        try:
-            got = obs.get
-        except Exception:
-            # A plan the optimizer proved empty runs no task and reports no
-            # metrics; only then is "no rows" the right reading.
-            if not source.isEmpty():
-                raise
-            got = {}
+        got = observed(obs, source)
         counts = {v: int(got.get(f"p{i}", 0)) for i, v in enumerate(owned)}
         for v, n in counts.items():
             if n == 0:

@@ -74,6 +74,7 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
     """
     q_obs, s_obs = Observation("quarantine"), Observation("silver")
     q, s = silver_plan.silver_parts(raw, crm)
+    q_src, s_src = q, s
     if all(c in q.columns for c in bronze_src.PARTS):
         load_day = F.concat_ws("-", *[F.col(c) for c in bronze_src.PARTS]).cast("date")
         q = q.withColumn("run_date", load_day).drop(*bronze_src.PARTS)
@@ -87,7 +88,8 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
                   schema=silver_schema("event_id" in s.columns))
     if not observe:
         return {}
-    return {"quarantined": q_obs.get.get("rows", 0), "silver_rows": s_obs.get.get("rows", 0)}
+    return {"quarantined": tables.observed(q_obs, q_src).get("rows", 0),
+            "silver_rows": tables.observed(s_obs, s_src).get("rows", 0)}
 
 
 # ---------------------------------------------------------------- Silver → serving
@@ -105,9 +107,10 @@ def silver_to_serving(spark: SparkSession, P: Paths, run_dates: list[str] | None
         silver = silver.where(F.col("event_date").isin([F.lit(d).cast("date") for d in run_dates]))
     rows = serving_plan.serving(silver).withColumn("event_date", F.to_date("event_time"))
     obs = Observation("serving")
+    source = rows
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
     tables.replace_partitions(spark, P.serving, rows, "event_date", owned=run_dates)
-    return obs.get.get("rows", 0)
+    return tables.observed(obs, source).get("rows", 0)
 
 
 def read_serving(spark: SparkSession, P: Paths, with_id: bool = True) -> DataFrame:

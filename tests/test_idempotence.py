@@ -74,3 +74,17 @@ def test_incremental_facts_rerun_and_retract(spark, workdir):
     carts = {r.abandonment_id: (r.user_session, r.product_id)
              for r in daily.read_fact(spark, path_c, "cart_date").collect()}
     assert all(carts[g] in pairs for g in gone)
+
+
+def test_loading_a_day_without_data(spark, workdir):
+    L = catalog.Layers(spark, SF)
+    P = daily.Paths(workdir)
+    stage = daily.Paths(workdir + "/stage")
+    staged(spark, L, stage)
+    schema = bronze_src.staged_schema(L.raw.schema)
+    m = daily.bronze_to_silver(spark, P, L.crm, daily.bronze_days(spark, stage.staging, ["2030-01-01"], schema),
+                               run_dates=["2030-01-01"])
+    assert m == {"quarantined": 0, "silver_rows": 0}
+    empty = L.raw.where("false")
+    assert daily.bronze_to_silver(spark, P, L.crm, empty)["silver_rows"] == 0
+    assert daily.silver_to_serving(spark, P, ["2030-01-01"]) == 0
