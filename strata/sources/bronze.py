@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import schemas
-from strata.operators.tables import write_table
 
 PARTS = ["year", "month", "day"]
 
@@ -88,7 +87,3 @@ def publish_day(spark: SparkSession, staging_root: str, bronze_root: str, run_da
     day = scan_day(spark, staging_root, run_date, schema)
     (day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTS).parquet(bronze_root))
-
-
-def write_day_table(df: DataFrame, root: str) -> None:
-    write_table(df, root)
