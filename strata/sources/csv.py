@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,18 +17,43 @@ FILE_YEAR_PATTERN = r"(\d{4})"
 DEFAULT_FILE_YEAR = "2020"
 
 
+def landing_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files under ``path`` (a folder or a glob), from a listing only."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and fs.getFileStatus(p).isDirectory():
+        statuses = fs.listStatus(p)
+    else:
+        statuses = fs.globStatus(p) or []
+    return sorted(st.getPath().toString() for st in statuses
+                  if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def file_year(name: str) -> str:
+    m = re.search(FILE_YEAR_PATTERN, name.rsplit("/", 1)[-1])
+    return m.group(1) if m else DEFAULT_FILE_YEAR
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_CLICKSTREAM) -> DataFrame:
-    """Read every CSV under ``path`` (a folder or glob) in one scan with a
-    fixed schema (no inference pass; PERMISSIVE: bad numbers become NULL),
-    adding ``file_year`` from each row's own file name.
+    """Read every CSV under ``path`` (a folder or glob) with a fixed schema (no
+    inference pass; PERMISSIVE: bad numbers become NULL), adding ``file_year``
+    from each file's name.
 
-    gzip files are not splittable — one task per file — so consumers that
+    The files are listed once and grouped by the year in their names; each
+    group is one scan with the year as a literal, so no per-row work derives
+    it. gzip files are not splittable (one task per file), so consumers that
     shuffle anyway (staging by day) rebalance after the scan.
     """
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .csv(path))
-    year = F.regexp_extract(F.col("_metadata.file_name"), FILE_YEAR_PATTERN, 1)
-    return df.withColumn("file_year", F.when(year == "", F.lit(DEFAULT_FILE_YEAR)).otherwise(year))
+    files = landing_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no landing files at {path}")
+    by_year: dict[str, list[str]] = {}
+    for f in files:
+        by_year.setdefault(file_year(f), []).append(f)
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    scans = [reader.csv(group).withColumn("file_year", F.lit(year)) for year, group in sorted(by_year.items())]
+    return reduce(DataFrame.unionByName, scans)
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
