@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 # Fixed value: layout of the raw event_time text, e.g. '2020-01-01 00:00:00 UTC'.
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss z"
+# Text that has exactly this layout with the UTC zone is read by the (zone-aware)
+# string cast, ~2x cheaper per row than the pattern parser and equal on it;
+# anything else goes through the pattern parser.
+UTC_LAYOUT = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2} UTC$"
 
 
 def parse_event_time_sql(c: str = "event_time") -> str:
-    return f"try_to_timestamp({c}, '{EVENT_TIME_FORMAT}')"
+    return (f"CASE WHEN {c} RLIKE '{UTC_LAYOUT}' THEN try_cast({c} AS timestamp) "
+            f"ELSE try_to_timestamp({c}, '{EVENT_TIME_FORMAT}') END")
 
 
 def category_level_sql(code: str, level: int) -> str:
@@ -20,8 +25,9 @@ def category_level_sql(code: str, level: int) -> str:
 def parse_event_time(c: str | Column = "event_time") -> Column:
     """Text → TIMESTAMP; malformed text gives NULL (and is quarantined) instead
     of failing the job, as ``to_timestamp`` would under ANSI mode."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(col, F.lit(EVENT_TIME_FORMAT))
+    if isinstance(c, str):
+        return F.expr(parse_event_time_sql(c))
+    return F.try_to_timestamp(c, F.lit(EVENT_TIME_FORMAT))
 
 
 def category_level(code: str | Column, level: int) -> Column:

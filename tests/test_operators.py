@@ -124,3 +124,15 @@ def test_anti_join_spreads_null_key_rows(spark):
     assert salts > 500
     want = left.join(right.distinct(), ["s", "p"], "left_anti").count()
     assert out.count() == want
+
+
+def test_parse_fast_path_equals_pattern_parser(spark):
+    from strata.functions.parse import EVENT_TIME_FORMAT, parse_event_time_sql
+    vals = ["2024-02-30 10:00:00 UTC", "2024-01-01 24:00:00 UTC", "2024-01-01T10:00:00 UTC",
+            "+024-01-01 10:00:00 UTC", "2024-1-01 10:00:00 UTC", "2024-01-01 10:00:00 PST", "not-a-time",
+            "2024-01-01 10:00:60 UTC", "0000-01-01 00:00:00 UTC", "2024-12-31 23:59:59 UTC",
+            "2024-01-01 10:00:00 UTC ", " 2024-01-01 10:00:00 UTC", "2024-01-01 10:00:00 utc",
+            "9999-12-31 23:59:59 UTC", "2024-13-01 00:00:00 UTC", None]
+    df = spark.createDataFrame([(v,) for v in vals], "t string")
+    got = df.selectExpr(f"try_to_timestamp(t, '{EVENT_TIME_FORMAT}') <=> ({parse_event_time_sql('t')}) AS same")
+    assert all(r.same for r in got.collect())
