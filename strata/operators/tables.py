@@ -115,7 +115,9 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
     touched = list_partitions(spark, stage, partition_col)
     if not touched:
         return []
-    target = read_table(spark, path, schema)
+    # The source's schema also reads a target that exists but holds no files
+    # yet (an earlier empty load), where inference would fail.
+    target = read_table(spark, path, schema or source.schema)
     src = read_table(spark, stage, target.schema)
     pruned = target.where(F.col(partition_col).cast("string").isin(touched))
     src_keys = _source_keys(src, keys)
@@ -192,10 +194,9 @@ def partitioned_lookback_bound(spark: SparkSession, path: str, column: str, part
     scanned (found from the folder listing) instead of the whole table."""
     parts = [v for v in list_partitions(spark, path, partition_col) if v != NULL_PARTITION]
     if not parts:
-        return lookback_bound(read_table(spark, path), column, days) if table_exists(spark, path) else None
+        return None   # no dated rows yet: everything is inside the window
     newest = read_table(spark, path).where(F.col(partition_col).cast("string") == F.lit(parts[-1]))
-    bound = lookback_bound(newest, column, days)
-    return bound if bound is not None else lookback_bound(read_table(spark, path), column, days)
+    return lookback_bound(newest, column, days)
 
 
 def within_lookback(df: DataFrame, column: str, bound: str | None) -> DataFrame:

@@ -161,8 +161,16 @@ def fact_cart_abandonment_incremental(spark: SparkSession, path: str, serving: D
     return touched
 
 
+FACT_SCHEMAS = {
+    "sale_date": T.StructType(schemas.FACT_SALES.fields + [T.StructField("sale_date", T.DateType(), True)]),
+    "cart_date": T.StructType(schemas.FACT_CART_ABANDONMENT.fields + [T.StructField("cart_date", T.DateType(), True)]),
+}
+
+
 def read_fact(spark: SparkSession, path: str, partition_col: str) -> DataFrame:
-    return tables.read_table(spark, path).drop(partition_col)
+    """A stored fact table without its partition column (declared schema, so
+    an empty table reads as empty rather than failing inference)."""
+    return tables.read_table(spark, path, FACT_SCHEMAS.get(partition_col)).drop(partition_col)
 
 
 def build_dims(spark: SparkSession, P: Paths, serving: DataFrame, crm: DataFrame) -> None:

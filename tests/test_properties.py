@@ -54,3 +54,26 @@ def test_anti_join_matches_brute_force(spark, left, right):
     rkeys = {(r[0], r[1]) for r in right if r[0] is not None and r[1] is not None}
     want = Counter(key(r) for r in left if r[0] is None or r[1] is None or (r[0], r[1]) not in rkeys)
     assert got == want
+
+
+batch_st = st.dictionaries(
+    st.tuples(st.sampled_from(["x", "y", None]), st.sampled_from([1, 2, 3])),
+    st.integers(0, 9), max_size=6)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(b1=batch_st, b2=batch_st)
+def test_upsert_matches_dictionary_merge(spark, b1, b2):
+    import datetime as dt
+    from strata.operators import tables
+    from strata.session import work_path
+    path = work_path(spark, "prop-upsert")
+    day = lambda t: dt.date(2024, 1, t)   # noqa: E731  (partition derived from a key part)
+    merged = {}
+    for batch in (b1, b2):
+        rows = [(k[0], k[1], v, day(k[1])) for k, v in batch.items()]
+        tables.upsert(spark, path, spark.createDataFrame(rows, "a string, t int, v int, d date"), ["a", "t"], "d")
+        merged.update(batch)
+    stored = tables.read_table(spark, path, spark.createDataFrame([], "a string, t int, v int, d date").schema)
+    got = sorted(key((r.a, r.t, r.v)) for r in stored.collect())
+    assert got == sorted(key((k[0], k[1], v)) for k, v in merged.items())

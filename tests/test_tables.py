@@ -102,3 +102,14 @@ def test_stage_local_sort_equals_rebalance(spark, workdir):
     a = sorted(tuple(r) for r in spark.read.schema(schema).parquet(workdir + "/a").collect())
     b = sorted(tuple(r) for r in spark.read.schema(schema).parquet(workdir + "/b").collect())
     assert a == b and len(a) == 1064
+
+
+def test_incremental_fact_after_an_empty_first_load(spark, workdir):
+    from strata import catalog
+    from strata.plans import daily, gold
+    L = catalog.Layers(spark, "/root/testdata/sf0.001")
+    path = workdir + "/sales"
+    daily.fact_sales_incremental(spark, path, L.serving.where("false"))
+    assert daily.read_fact(spark, path, "sale_date").count() == 0
+    daily.fact_sales_incremental(spark, path, L.serving)
+    assert daily.read_fact(spark, path, "sale_date").count() == gold.fact_sales(L.serving).count() == 192
