@@ -43,15 +43,15 @@ def _crm(spark: SparkSession, args, P: daily.Paths) -> DataFrame:
 
 
 def _serving(spark: SparkSession, P: daily.Paths) -> DataFrame:
-    return tables.read_table(spark, P.serving).drop("event_date")
+    return daily.read_serving(spark, P, with_id=False).drop("event_date")
 
 
 def stored_tables(spark: SparkSession, P: daily.Paths, crm: DataFrame) -> dict[str, DataFrame]:
     return {
         "ecommerce_events": _serving(spark, P),
         "user_loyalty": crm,
-        "dim_users_loyalty": tables.read_table(spark, P.dim_users_loyalty),
-        "dim_products": tables.read_table(spark, P.dim_products),
+        "dim_users_loyalty": tables.read_table(spark, P.dim_users_loyalty, schemas.DIM_USERS_LOYALTY),
+        "dim_products": tables.read_table(spark, P.dim_products, schemas.DIM_PRODUCTS),
         "fact_sales": daily.read_fact(spark, P.fact_sales, "sale_date"),
         "fact_cart_abandonment": daily.read_fact(spark, P.fact_carts, "cart_date"),
     }
@@ -110,7 +110,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     elif args.job == "kpi":
         sales = daily.read_fact(spark, P.fact_sales, "sale_date")
         carts = daily.read_fact(spark, P.fact_carts, "cart_date")
-        users = tables.read_table(spark, P.dim_users_loyalty)
+        users = tables.read_table(spark, P.dim_users_loyalty, schemas.DIM_USERS_LOYALTY)
         for name, df in [("revenue", kpi.kpi_revenue(sales)), ("customers", kpi.kpi_customers(users)),
                          ("abandonment", kpi.kpi_abandonment_rate(carts, sales)),
                          ("tiers", kpi.users_by_tier(users)), ("channels", kpi.users_by_channel(users)),

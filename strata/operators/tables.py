@@ -175,7 +175,7 @@ def insert_absent(spark: SparkSession, path: str, source: DataFrame, key: str,
     if not table_exists(spark, path):
         write_table(fresh, path)
         return
-    existing = read_table(spark, path).select(key)
+    existing = read_table(spark, path, fresh.schema).select(key)
     fresh.join(existing, key, "left_anti").write.mode("append").parquet(path)
 
 
