@@ -44,8 +44,9 @@ def dim_products(serving: DataFrame, prefer_known: bool = False) -> DataFrame:
     """One row per product: the greatest (category, sub_category, brand) in
     descending binary order of the NULL→'' values.
 
-    ``max(struct)`` is an aggregate (partial per map task) instead of a
-    ranked window, so a popular product never gathers its rows in one task.
+    ``max(struct)`` is an aggregate instead of a ranked window, over distinct
+    attribute combinations, so a popular product never gathers its rows in
+    one task.
     ``prefer_known=True`` ranks the 'unknown' default below real values.
     """
     parts = []
@@ -54,8 +55,12 @@ def dim_products(serving: DataFrame, prefer_known: bool = False) -> DataFrame:
             parts.append(f"coalesce({c}, '') <> '{UNKNOWN}' AS _k_{c}")
         parts.append(f"coalesce({c}, '') AS _o_{c}")
     best = F.expr(f"max(struct({', '.join(parts)}, category, sub_category, brand))")
-    return (serving.where("product_id IS NOT NULL")
-            .groupBy("product_id").agg(best.alias("_b"))
+    # Distinct (product, attributes) first: a hash aggregate with map-side
+    # combine over all rows, so the sort-based max(struct) only sees the few
+    # attribute combinations of each product.
+    combos = (serving.where("product_id IS NOT NULL")
+              .select("product_id", "category", "sub_category", "brand").distinct())
+    return (combos.groupBy("product_id").agg(best.alias("_b"))
             .selectExpr("product_id", "_b.category AS category", "_b.sub_category AS sub_category",
                         "_b.brand AS brand"))
 
