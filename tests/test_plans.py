@@ -41,9 +41,7 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 def test_dims_use_partial_aggregation(spark):
     p = plan(catalog.QUERIES["dim_products"](spark, SF))
-    import re
     assert "partial_max" in p
-    assert re.search(r"HashAggregate\(keys=\[product_id#\d+, category#\d+, sub_category#\d+, brand#\d+\]", p)
     p = plan(catalog.QUERIES["dim_users_loyalty"](spark, SF))
     assert "partial_count" in p or "partial_min" in p
 
