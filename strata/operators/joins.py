@@ -32,8 +32,9 @@ def estimated_bytes(df: DataFrame) -> int:
     never broadcast on a guess.
     """
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes().toString()))
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        # py4j hands a Scala BigInt over as a Python int; keep a string fallback.
+        return int(size) if isinstance(size, int) else int(str(size.toString()))
     except Exception:  # pragma: no cover - defensive: unknown size → do not broadcast
         return 2 ** 63 - 1
 

@@ -136,3 +136,30 @@ def test_parse_fast_path_equals_pattern_parser(spark):
     df = spark.createDataFrame([(v,) for v in vals], "t string")
     got = df.selectExpr(f"try_to_timestamp(t, '{EVENT_TIME_FORMAT}') <=> ({parse_event_time_sql('t')}) AS same")
     assert all(r.same for r in got.collect())
+
+
+def test_broadcast_limit_follows_session(spark):
+    from strata.operators import joins
+    small = spark.range(10)
+    big = spark.range(100000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # Spark itself never broadcasts
+        assert joins.broadcast_limit(small) == -1
+
+        def join_plan():
+            return big.join(joins.maybe_broadcast(small), "id")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in join_plan()
+        spark.conf.set("strata.broadcast.maxBytes", "20m")               # the library limit alone decides
+        assert joins.broadcast_limit(small) == 20 * 1024 * 1024
+        assert "BroadcastHashJoin" in join_plan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("strata.broadcast.maxBytes")
+
+
+def test_cluster_conf_sizes_partitions():
+    from strata.session import cluster_conf
+    c = cluster_conf(300 * (1 << 30))
+    assert c["spark.sql.shuffle.partitions"] == "1200"
+    assert cluster_conf(1)["spark.sql.shuffle.partitions"] == "200"
