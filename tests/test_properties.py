@@ -77,3 +77,32 @@ def test_upsert_matches_dictionary_merge(spark, b1, b2):
     stored = tables.read_table(spark, path, spark.createDataFrame([], "a string, t int, v int, d date").schema)
     got = sorted(key((r.a, r.t, r.v)) for r in stored.collect())
     assert got == sorted(key((k[0], k[1], v)) for k, v in merged.items())
+
+
+loads_st = st.lists(st.tuples(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 9)), max_size=6),
+                              st.lists(st.integers(1, 4), max_size=3)), min_size=1, max_size=3)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(loads=loads_st)
+def test_replace_partitions_matches_day_model(spark, loads):
+    """Each load replaces the days it writes plus the days it owns (owned days
+    it has no rows for are emptied); other days are untouched."""
+    import datetime as dt
+    from strata.operators import tables
+    from strata.session import work_path
+    path = work_path(spark, "prop-replace")
+    schema = "v int, d date"
+    model: dict[int, list[int]] = {}
+    for rows, owned in loads:
+        df = spark.createDataFrame([(v, dt.date(2024, 1, d)) for d, v in rows], schema)
+        tables.replace_partitions(spark, path, df, "d", owned=[dt.date(2024, 1, d) for d in owned])
+        new: dict[int, list[int]] = {}
+        for d, v in rows:
+            new.setdefault(d, []).append(v)
+        for d in set(owned) | set(new):
+            model[d] = new.get(d, [])
+    stored = tables.read_table(spark, path, spark.createDataFrame([], schema).schema) \
+        if tables.table_exists(spark, path) else None
+    got = sorted((r.d.day, r.v) for r in stored.collect()) if stored is not None else []
+    assert got == sorted((d, v) for d, vs in model.items() for v in vs)
