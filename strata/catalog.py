@@ -12,30 +12,31 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import fixtures, oracle, schemas
-from strata.functions.buckets import uniform_choice, weighted_bucket
+from strata.functions.buckets import weighted_bucket
 from strata.functions.keys import hash_key, key_text
-from strata.operators import quality, sample
+from strata.operators import sample
+from strata.operators.sample import distinct_users
 from strata.operators.tables import lookback_bound, within_lookback
-from strata.plans import gold, kpi
+from strata.plans import checks, gold, kpi
 from strata.plans import serving as serving_plan
 from strata.plans import silver as silver_plan
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-# Fixed values of the CRM simulation (tiers with weights, channels, first signup day).
-TIERS = ["VIP", "Gold", "Silver", "Regular"]
-TIER_WEIGHTS = [0.05, 0.15, 0.30, 0.50]
-SIGNUP_START = "2018-01-01"
+# Shares of the split that the weighted draw assigns to customers.
+SPLITS = ["test", "valid", "train"]
+SPLIT_WEIGHTS = [0.05, 0.15, 0.80]
+SPLIT_SALT = "split"
 LOOKBACK_DAYS = 2
 
 SAMPLE_SEED = "crm-seed"
 SAMPLE_ROWS = 100
-TIER_SALT, CHANNEL_SALT, SIGNUP_SALT = "tier", "channel", "signup"
 
 
 @dataclass
@@ -187,60 +188,7 @@ def q_lookback_window(L: Layers) -> DataFrame:
     return out(within_lookback(L.fact_sales, "event_time", bound))
 
 
-# ---------------------------------------------------------------- KPIs
-
-
-@register("kpi_revenue", w(f"""
-    SELECT coalesce({oracle.money('price')}, 0.0) AS revenue, CAST(count(*) AS BIGINT) AS items_sold
-    FROM f_sales"""))
-def q_kpi_revenue(L: Layers) -> DataFrame:
-    return kpi.kpi_revenue(L.fact_sales)
-
-
-@register("kpi_customers", w("SELECT CAST(count(*) AS BIGINT) AS total_customers FROM d_users_loyalty"))
-def q_kpi_customers(L: Layers) -> DataFrame:
-    return kpi.kpi_customers(L.dim_users_loyalty)
-
-
-@register("kpi_abandonment_rate", w("""
-    SELECT a AS abandoned_carts, s AS purchased_sessions,
-           CASE WHEN a + s > 0 THEN CAST(a AS DOUBLE) / CAST(a + s AS DOUBLE) * 100.0 ELSE 0.0 END
-             AS abandonment_rate
-    FROM (SELECT (SELECT CAST(count(*) AS BIGINT) FROM f_carts) AS a,
-                 (SELECT CAST(count(DISTINCT user_session) AS BIGINT) FROM f_sales) AS s)"""))
-def q_kpi_abandonment_rate(L: Layers) -> DataFrame:
-    return kpi.kpi_abandonment_rate(L.fact_carts, L.fact_sales)
-
-
-@register("users_by_tier", w(
-    "SELECT loyalty_tier, CAST(count(*) AS BIGINT) AS count FROM d_users_loyalty GROUP BY loyalty_tier"))
-def q_users_by_tier(L: Layers) -> DataFrame:
-    return kpi.users_by_tier(L.dim_users_loyalty)
-
-
-@register("users_by_channel", w(
-    "SELECT acquisition_channel, CAST(count(*) AS BIGINT) AS count FROM d_users_loyalty "
-    "GROUP BY acquisition_channel"))
-def q_users_by_channel(L: Layers) -> DataFrame:
-    return kpi.users_by_channel(L.dim_users_loyalty)
-
-
-@register("top_brands", w(f"""
-    SELECT brand, {oracle.money('price')} AS sales, CAST(count(*) AS BIGINT) AS volume
-    FROM f_sales GROUP BY brand ORDER BY sales DESC, brand ASC NULLS FIRST LIMIT {kpi.TOP_BRANDS}"""))
-def q_top_brands(L: Layers) -> DataFrame:
-    return kpi.top_brands(L.fact_sales)
-
-
-# ---------------------------------------------------------------- users, CRM seeding
-
-
-def distinct_users(raw: DataFrame) -> DataFrame:
-    return raw.select("user_id").where(F.col("user_id").isNotNull()).distinct()
-
-
-def data_end_date(silver: DataFrame) -> DataFrame:
-    return silver.agg(F.last_day(F.max("event_date")).alias("data_end_date"))
+# ---------------------------------------------------------------- users, draws
 
 
 @register("distinct_users", w("SELECT DISTINCT user_id FROM raw_clickstream WHERE user_id IS NOT NULL"))
@@ -250,7 +198,7 @@ def q_distinct_users(L: Layers) -> DataFrame:
 
 @register("data_end_date", w("SELECT last_day(max(event_date)) AS data_end_date FROM silver"))
 def q_data_end_date(L: Layers) -> DataFrame:
-    return data_end_date(L.silver)
+    return serving_plan.data_end_date(L.silver)
 
 
 @register("bounded_sample", w(f"""
@@ -260,71 +208,21 @@ def q_bounded_sample(L: Layers) -> DataFrame:
     return sample.bounded_sample(distinct_users(L.raw), SAMPLE_ROWS, "user_id", SAMPLE_SEED)
 
 
-def simulated_crm(users: DataFrame, end_date) -> DataFrame:
-    """CRM attributes drawn per user from md5 fractions (reproducible)."""
-    from strata.functions.buckets import hash_fraction
-    start = F.lit(SIGNUP_START).cast("date")
-    days = F.datediff(F.lit(str(end_date)).cast("date"), start)
-    offset = F.floor(hash_fraction("user_id", SIGNUP_SALT) * days).cast("int")
-    return users.select(
-        F.col("user_id").cast("int").alias("user_id"),
-        weighted_bucket("user_id", TIERS, TIER_WEIGHTS, TIER_SALT).alias("loyalty_tier"),
-        F.date_add(start, offset).alias("signup_date"),
-        uniform_choice("user_id", fixtures.CHANNELS, CHANNEL_SALT).alias("acquisition_channel"))
-
-
 def _bounds(weights: list[float]) -> list[float]:
-    from itertools import accumulate
     total = float(sum(weights))
     return [x / total for x in accumulate(weights)]
 
 
-SIMULATED_CRM_SQL = f"""
-    SELECT CAST(user_id AS INTEGER) AS user_id,
-           {oracle.bucket_sql('user_id', TIERS, _bounds(TIER_WEIGHTS), TIER_SALT)} AS loyalty_tier,
-           date '{SIGNUP_START}' + CAST(floor({oracle.hash_fraction_sql('user_id', SIGNUP_SALT)}
-              * (SELECT last_day(max(event_date)) - date '{SIGNUP_START}' FROM silver)) AS INTEGER) AS signup_date,
-           {oracle.bucket_sql('user_id', fixtures.CHANNELS, _bounds([1.0] * len(fixtures.CHANNELS)), CHANNEL_SALT)}
-             AS acquisition_channel
-    FROM (SELECT DISTINCT user_id FROM raw_clickstream WHERE user_id IS NOT NULL)"""
-
-
-def signup_end(L: Layers):
-    """Last day of the latest month with valid events (one scalar). Taken over
-    cleaned rows: deduplication keeps every key's event_date, so the maximum
-    equals Silver's without its shuffles."""
-    return data_end_date(silver_plan.silver_clean(L.raw)).first()[0]
-
-
-@register("weighted_bucket", w(SIMULATED_CRM_SQL))
+@register("weighted_bucket", w(f"""
+    SELECT user_id, loyalty_tier, {oracle.bucket_sql('user_id', SPLITS, _bounds(SPLIT_WEIGHTS), SPLIT_SALT)} AS split
+    FROM user_loyalty"""))
 def q_weighted_bucket(L: Layers) -> DataFrame:
-    end = signup_end(L)
-    return simulated_crm(distinct_users(L.raw), end)
+    """Every CRM row with its split, drawn by weight from the row's key."""
+    return L.crm.select("user_id", "loyalty_tier", weighted_bucket("user_id", SPLITS, SPLIT_WEIGHTS, SPLIT_SALT).alias("split"))
 
 
 # ---------------------------------------------------------------- data quality
 
-NOT_NULL = {
-    "ecommerce_events": ["event_time", "event_type", "user_id", "product_id", "price"],
-    "user_loyalty": ["user_id", "loyalty_tier"],
-    "dim_users_loyalty": ["user_id"],
-    "dim_products": ["product_id"],
-    "fact_sales": ["sale_id"],
-    "fact_cart_abandonment": ["abandonment_id"],
-}
-UNIQUE = {
-    "user_loyalty": "user_id",
-    "dim_users_loyalty": "user_id",
-    "dim_products": "product_id",
-    "fact_sales": "sale_id",
-    "fact_cart_abandonment": "abandonment_id",
-}
-REFERENTIAL = [
-    ("fact_sales", "product_id", "dim_products", "product_id"),
-    ("fact_sales", "user_id", "dim_users_loyalty", "user_id"),
-    ("fact_cart_abandonment", "product_id", "dim_products", "product_id"),
-    ("fact_cart_abandonment", "user_id", "dim_users_loyalty", "user_id"),
-]
 DQ_VIEWS = {
     "ecommerce_events": "serving", "user_loyalty": "user_loyalty", "dim_users_loyalty": "d_users_loyalty",
     "dim_products": "d_products", "fact_sales": "f_sales", "fact_cart_abandonment": "f_carts",
@@ -337,25 +235,9 @@ def gold_tables(L: Layers) -> dict[str, DataFrame]:
             "dim_products": L.dim_products, "fact_sales": L.fact_sales, "fact_cart_abandonment": L.fact_carts}
 
 
-def dq_not_null(t: dict[str, DataFrame]) -> DataFrame:
-    return quality.union_all([quality.not_null(t[name], name, cols) for name, cols in NOT_NULL.items()])
-
-
-def dq_unique(t: dict[str, DataFrame]) -> DataFrame:
-    return quality.union_all([quality.unique(t[name], name, col) for name, col in UNIQUE.items()])
-
-
-def dq_referential(t: dict[str, DataFrame]) -> DataFrame:
-    return quality.union_all([quality.relationships(t[c], c, cc, t[p], pc, p) for c, cc, p, pc in REFERENTIAL])
-
-
-def dq_report(t: dict[str, DataFrame]) -> DataFrame:
-    return quality.union_all([dq_not_null(t), dq_unique(t), dq_referential(t)])
-
-
 def _sql_not_null() -> str:
     parts = []
-    for name, cols in NOT_NULL.items():
+    for name, cols in checks.NOT_NULL.items():
         for c in cols:
             parts.append(f"SELECT '{name}' AS \"table\", '{c}' AS \"column\", 'not_null' AS \"check\", "
                          f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {DQ_VIEWS[name]}")
@@ -364,7 +246,7 @@ def _sql_not_null() -> str:
 
 def _sql_unique() -> str:
     parts = []
-    for name, c in UNIQUE.items():
+    for name, c in checks.UNIQUE.items():
         parts.append(f"SELECT '{name}' AS \"table\", '{c}' AS \"column\", 'unique' AS \"check\", "
                      f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c} FROM {DQ_VIEWS[name]} "
                      f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
@@ -373,7 +255,7 @@ def _sql_unique() -> str:
 
 def _sql_referential() -> str:
     parts = []
-    for c, cc, p, pc in REFERENTIAL:
+    for c, cc, p, pc in checks.REFERENTIAL:
         parts.append(f"SELECT '{c}' AS \"table\", '{cc}' AS \"column\", 'relationships:{p}.{pc}' AS \"check\", "
                      f"CAST(count(*) AS BIGINT) AS failures FROM {DQ_VIEWS[c]} x WHERE x.{cc} IS NOT NULL "
                      f"AND NOT EXISTS (SELECT 1 FROM {DQ_VIEWS[p]} y WHERE y.{pc} = x.{cc})")

@@ -11,26 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata import oracle, schemas
-from strata import catalog
-from strata.catalog import (QUERIES, STORAGE_QUERIES, Layers, SIMULATED_CRM_SQL,
-                            distinct_users, out, register, simulated_crm)
-from strata.plans import gold
+from strata import catalog, oracle, schemas
+from strata.catalog import QUERIES, STORAGE_QUERIES, Layers, out, register
 from strata.operators import tables
-from strata.plans import daily
+from strata.plans import checks, daily, gold, kpi
 from strata.session import work_path
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
 from strata.sources.crm import scan_crm
 from strata.streaming import silver_stream
 
-# The fixture clickstream covers January 2024: landing files carry that
-# period in their names (the staging job takes the year from the name).
-LANDING_PERIOD = "2024-01"
 FIRST_BATCH_END = "2024-01-20"        # batch 1: days up to here
 SECOND_BATCH_START = "2024-01-15"     # batch 2 re-loads an overlap from here on
 RELOAD_DAY = "2024-01-10"
-STREAM_TIMEOUT_S = 1800
 
 RAW_WITH_ID = T.StructType([T.StructField("event_id", T.LongType(), True)] + schemas.RAW_CLICKSTREAM.fields)
 STAGED_WITH_ID = bronze_src.staged_schema(RAW_WITH_ID)
@@ -38,9 +31,11 @@ STAGED_WITH_ID = bronze_src.staged_schema(RAW_WITH_ID)
 w = oracle.with_ctes
 _BEFORE = set(QUERIES)
 RAW_SELECT = oracle.RAW_COLS
+# Landing files are named by the period of their rows; those of unreadable times carry
+# none, count as of the default year and are not staged.
+DATED = "try_strptime(event_time, '%Y-%m-%d %H:%M:%S UTC') IS NOT NULL"
 STAGED_SQL = (f"SELECT {RAW_SELECT}, substring(event_time, 1, 4) AS year, substring(event_time, 6, 2) AS month, "
-              f"substring(event_time, 9, 2) AS day FROM raw_clickstream "
-              f"WHERE substring(event_time, 1, 4) = '{LANDING_PERIOD[:4]}'")
+              f"substring(event_time, 9, 2) AS day FROM raw_clickstream WHERE {DATED}")
 
 
 def workspace(L: Layers, name: str) -> daily.Paths:
@@ -48,9 +43,9 @@ def workspace(L: Layers, name: str) -> daily.Paths:
 
 
 def land(L: Layers, P: daily.Paths) -> str:
-    """Write the raw clickstream as gzip CSV landing files named by period."""
-    csv_src.write_csv(L.raw, P.landing)
-    csv_src.name_files(L.spark, P.landing, f"clickstream-{LANDING_PERIOD}")
+    """Write the raw clickstream as gzip CSV landing files, one folder per month."""
+    month = F.when(F.col("event_time").rlike("^[0-9]{4}-[0-9]{2}-"), F.substring("event_time", 1, 7)).otherwise("undated")
+    csv_src.write_csv(L.raw.withColumn("period", month), P.landing, "period")
     return P.landing
 
 
@@ -67,7 +62,9 @@ def staged_table(L: Layers, root: str) -> DataFrame:
 # ---------------------------------------------------------------- landing, staging, Bronze
 
 
-@register("scan_csv_raw", w(f"SELECT {RAW_SELECT}, '{LANDING_PERIOD[:4]}' AS file_year FROM raw_clickstream"))
+@register("scan_csv_raw", w(
+    f"SELECT {RAW_SELECT}, CASE WHEN {DATED} THEN substring(event_time, 1, 4) ELSE '{csv_src.DEFAULT_FILE_YEAR}' END "
+    "AS file_year FROM raw_clickstream"))
 def q_scan_csv_raw(L: Layers) -> DataFrame:
     P = workspace(L, "scan_csv_raw")
     land(L, P)
@@ -84,26 +81,21 @@ def q_stage_by_day(L: Layers) -> DataFrame:
 
 @register("bronze_publish_day", w(STAGED_SQL))
 def q_bronze_publish_day(L: Layers) -> DataFrame:
-    """Publish every staged day (one publish per day, as the daily job does)."""
+    """Publish every staged day in one job; one day again, as the daily job does."""
     P = workspace(L, "bronze_publish_day")
     stage(L, P)
-    for d in bronze_src.staged_days(L.spark, P.staging):
-        bronze_src.publish_day(L.spark, P.staging, P.bronze, d, STAGED_WITH_ID)
+    days = bronze_src.staged_days(L.spark, P.staging)
+    bronze_src.publish_days(L.spark, P.staging, P.bronze, days, STAGED_WITH_ID)
+    bronze_src.publish_day(L.spark, P.staging, P.bronze, days[0], STAGED_WITH_ID)
     return staged_table(L, P.bronze)
 
 
 @register("scan_bronze_day", w(STAGED_SQL))
 def q_scan_bronze_day(L: Layers) -> DataFrame:
-    """The one-day reader applied to every staged day (each scan pruned to
-    its own folder), together covering the table."""
+    """The day reader over every staged day's folder, together covering the table."""
     P = workspace(L, "scan_bronze_day")
     stage(L, P)
-    days = bronze_src.staged_days(L.spark, P.staging)
-    frames = [bronze_src.scan_day(L.spark, P.staging, d, STAGED_WITH_ID) for d in days]
-    result = frames[0]
-    for f in frames[1:]:
-        result = result.unionByName(f)
-    return result
+    return bronze_src.scan_days(L.spark, P.staging, bronze_src.staged_days(L.spark, P.staging), STAGED_WITH_ID)
 
 
 # ---------------------------------------------------------------- CRM
@@ -112,21 +104,22 @@ def q_scan_bronze_day(L: Layers) -> DataFrame:
 @register("scan_crm", w("SELECT user_id, loyalty_tier, acquisition_channel FROM user_loyalty"))
 def q_scan_crm(L: Layers) -> DataFrame:
     P = workspace(L, "scan_crm")
-    tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
+    tables.write_table(schemas.enforced(L.crm, schemas.CRM, schemas.CRM_LENGTHS), P.crm)
     return scan_crm(L.spark, path=P.crm)
 
 
-@register("crm_insert_absent", w(f"""
-    SELECT * FROM user_loyalty
-    UNION ALL
-    SELECT * FROM ({SIMULATED_CRM_SQL}) s WHERE s.user_id NOT IN (SELECT user_id FROM user_loyalty)"""))
+@register("crm_insert_absent", w("""
+    SELECT user_id, CASE WHEN user_id % 3 = 0 THEN upper(loyalty_tier) ELSE loyalty_tier END AS loyalty_tier,
+           signup_date, acquisition_channel
+    FROM user_loyalty"""))
 def q_crm_insert_absent(L: Layers) -> DataFrame:
-    """Seed the CRM (truncate + insert), then insert simulated profiles for
-    every clickstream user, skipping users already present."""
+    """Two overlapping slices that together are all customers: what the first stored
+    stays as it was, though the second brings it with another tier."""
     P = workspace(L, "crm_insert_absent")
-    tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
-    end = catalog.signup_end(L)
-    tables.insert_absent(L.spark, P.crm, simulated_crm(distinct_users(L.raw), end), "user_id")
+    crm = schemas.conform(L.crm, schemas.CRM)
+    tables.write_table(crm.where("user_id % 3 <> 0"), P.crm)
+    tables.insert_absent(L.spark, P.crm, crm.where("user_id % 3 <> 1").withColumn("loyalty_tier", F.upper("loyalty_tier")),
+                         "user_id")
     return tables.read_table(L.spark, P.crm)
 
 
@@ -173,12 +166,12 @@ def q_serving_replace_day(L: Layers) -> DataFrame:
 def q_serving_contract(L: Layers) -> DataFrame:
     P = _silver_in_storage(L, "serving_contract")
     daily.silver_to_serving(L.spark, P, None)
-    return out(schemas.conform(daily.read_serving(L.spark, P), schemas.SERVING))
+    return out(schemas.enforced(daily.read_serving(L.spark, P), schemas.SERVING, schemas.SERVING_LENGTHS))
 
 
 @register("run_metrics", w(f"""
     SELECT 'quarantined' AS step, CAST(count(*) AS BIGINT) AS rows FROM quarantined
-      WHERE substring(event_time, 1, 4) = '{LANDING_PERIOD[:4]}'
+      WHERE {DATED}
     UNION ALL SELECT 'silver_rows', CAST(count(*) AS BIGINT) FROM silver
     UNION ALL SELECT 'serving_rows', CAST(count(*) AS BIGINT) FROM serving"""))
 def q_run_metrics(L: Layers) -> DataFrame:
@@ -211,32 +204,19 @@ def q_fact_sales_incremental(L: Layers) -> DataFrame:
     return out(daily.read_fact(L.spark, P.fact_sales, "sale_date"))
 
 
-def _carts_sql(source: str, cart_filter: str, purchase_filter: str) -> str:
-    return f"""
-        SELECT md5(concat(c.user_session, '-', CAST(c.product_id AS VARCHAR), '-', CAST(c.cart_time AS VARCHAR),
-                          '-', CAST(c.rn AS VARCHAR))) AS abandonment_id,
-               c.user_id, c.user_session, c.product_id, c.brand, c.price, c.cart_time,
-               coalesce(c.loyalty_tier, 'Regular') AS loyalty_tier,
-               coalesce(c.acquisition_channel, 'Organic') AS acquisition_channel
-        FROM (
-          SELECT user_id, user_session, product_id, brand, price, event_time AS cart_time,
-                 loyalty_tier, acquisition_channel,
-                 row_number() OVER (PARTITION BY user_session, product_id, event_time ORDER BY event_id) AS rn
-          FROM {source} WHERE event_type = 'cart' AND {cart_filter}) c
-        LEFT JOIN (SELECT DISTINCT user_session, product_id FROM {source}
-                   WHERE event_type = 'purchase' AND {purchase_filter}) p
-          ON c.user_session = p.user_session AND c.product_id = p.product_id
-        WHERE p.user_session IS NULL"""
-
-
-CARTS_INCREMENTAL_SQL = w(
-    "SELECT * FROM b1 WHERE abandonment_id NOT IN (SELECT abandonment_id FROM b2) UNION ALL SELECT * FROM b2",
-    extra={
-        "b1": _carts_sql("serving", f"CAST(event_time AS DATE) <= DATE '{FIRST_BATCH_END}'",
-                         f"CAST(event_time AS DATE) <= DATE '{FIRST_BATCH_END}'"),
-        "hw": "SELECT max(cart_time) - INTERVAL 2 DAY AS bound FROM b1",
-        "b2": _carts_sql("serving", "event_time >= (SELECT bound FROM hw)", "event_time >= (SELECT bound FROM hw)"),
-    })
+_EARLY = f"CAST({{}}event_time AS DATE) <= DATE '{FIRST_BATCH_END}'"
+_RECENT = "{}event_time >= (SELECT bound FROM hw)"
+_BATCHES = {
+    "b1": oracle.open_carts_sql("serving", _EARLY.format("c."), _EARLY.format("bought.")),
+    "hw": "SELECT max(cart_time) - INTERVAL 2 DAY AS bound FROM b1",
+    "b2": oracle.open_carts_sql("serving", _RECENT.format("c."), _RECENT.format("bought.")),
+}
+_MERGED = "SELECT * FROM b1 WHERE abandonment_id NOT IN (SELECT abandonment_id FROM b2) UNION ALL SELECT * FROM b2"
+CARTS_INCREMENTAL_SQL = w(_MERGED, extra=_BATCHES)
+CARTS_RETRACTED_SQL = w(f"""
+    SELECT * FROM ({_MERGED}) m WHERE NOT (m.cart_time >= (SELECT bound FROM hw) AND EXISTS (
+      FROM serving p WHERE p.event_type = 'purchase' AND p.event_time >= (SELECT bound FROM hw)
+      AND p.user_session = m.user_session AND p.product_id = m.product_id))""", extra=_BATCHES)
 
 
 @register("fact_cart_abandonment_incremental", CARTS_INCREMENTAL_SQL)
@@ -249,18 +229,29 @@ def q_fact_cart_abandonment_incremental(L: Layers) -> DataFrame:
     return out(daily.read_fact(L.spark, P.fact_carts, "cart_date"))
 
 
-# ---------------------------------------------------------------- data quality on stored tables
+@register("fact_cart_abandonment_retracted", CARTS_RETRACTED_SQL)
+def q_fact_cart_abandonment_retracted(L: Layers) -> DataFrame:
+    """Two loads; carts of the window bought only in the later load go. The later load's
+    own window is loaded with its days, then once more with nothing new."""
+    P, serving = _serving_in_storage(L, "fact_cart_abandonment_retracted")
+    first = serving.where(F.col("event_date") <= F.lit(FIRST_BATCH_END).cast("date"))
+    daily.fact_cart_abandonment_incremental(L.spark, P.fact_carts, first)
+    daily.fact_cart_abandonment_incremental(L.spark, P.fact_carts, serving, retract=True)
+    return out(daily.read_fact(L.spark, P.fact_carts, "cart_date"))
+
 
+# ---------------------------------------------------------------- KPIs and checks on stored tables
 
-def stored_gold(L: Layers, name: str) -> dict[str, DataFrame]:
-    """Write serving, CRM, dimensions and facts as tables (Gold is built from
-    the *stored* serving table, as in production) and return them read back.
-    Checks then scan stored tables with column pruning instead of re-deriving
-    every layer once per check."""
+
+def stored_gold(L: Layers, name: str, only: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Write serving, CRM, dimensions and facts (``only`` some of them) as tables
+    (Gold is built from the *stored* serving table, as in production) and return
+    them read back. KPIs and checks then scan stored tables with column pruning
+    instead of re-deriving every layer."""
     P = workspace(L, name)
     tables.write_table(L.serving, P.serving)
     serving = tables.read_table(L.spark, P.serving)
-    tables.write_table(schemas.conform(L.crm, schemas.CRM), P.crm)
+    tables.write_table(schemas.enforced(L.crm, schemas.CRM, schemas.CRM_LENGTHS), P.crm)
     crm = tables.read_table(L.spark, P.crm)
     built = {
         "dim_users_loyalty": gold.dim_users_loyalty(serving, crm),
@@ -269,19 +260,62 @@ def stored_gold(L: Layers, name: str) -> dict[str, DataFrame]:
         "fact_cart_abandonment": gold.fact_cart_abandonment(serving),
     }
     out_tables = {"ecommerce_events": serving, "user_loyalty": crm}
-    for t, df in built.items():
+    for t, df in ((t, df) for t, df in built.items() if not only or t in only):
         path = f"{P.root}/{t}"
         tables.write_table(df, path)
         out_tables[t] = tables.read_table(L.spark, path)
     return out_tables
 
 
-register("dq_not_null", w(catalog.SQL_NOT_NULL))(lambda L: catalog.dq_not_null(stored_gold(L, "dq_not_null")))
-register("dq_unique", w(catalog.SQL_UNIQUE))(lambda L: catalog.dq_unique(stored_gold(L, "dq_unique")))
+@register("kpi_revenue", w(f"""
+    SELECT coalesce({oracle.money('price')}, 0.0) AS revenue, CAST(count(*) AS BIGINT) AS items_sold
+    FROM f_sales"""))
+def q_kpi_revenue(L: Layers) -> DataFrame:
+    return kpi.kpi_revenue(stored_gold(L, "kpi_revenue", ("fact_sales",))["fact_sales"])
+
+
+@register("kpi_customers", w("SELECT CAST(count(*) AS BIGINT) AS total_customers FROM d_users_loyalty"))
+def q_kpi_customers(L: Layers) -> DataFrame:
+    return kpi.kpi_customers(stored_gold(L, "kpi_customers", ("dim_users_loyalty",))["dim_users_loyalty"])
+
+
+@register("kpi_abandonment_rate", w("""
+    SELECT a AS abandoned_carts, s AS purchased_sessions,
+           CASE WHEN a + s > 0 THEN CAST(a AS DOUBLE) / CAST(a + s AS DOUBLE) * 100.0 ELSE 0.0 END
+             AS abandonment_rate
+    FROM (SELECT (SELECT CAST(count(*) AS BIGINT) FROM f_carts) AS a,
+                 (SELECT CAST(count(DISTINCT user_session) AS BIGINT) FROM f_sales) AS s)"""))
+def q_kpi_abandonment_rate(L: Layers) -> DataFrame:
+    t = stored_gold(L, "kpi_abandonment_rate", ("fact_sales", "fact_cart_abandonment"))
+    return kpi.kpi_abandonment_rate(t["fact_cart_abandonment"], t["fact_sales"])
+
+
+@register("users_by_tier", w(
+    "SELECT loyalty_tier, CAST(count(*) AS BIGINT) AS count FROM d_users_loyalty GROUP BY loyalty_tier"))
+def q_users_by_tier(L: Layers) -> DataFrame:
+    return kpi.users_by_tier(stored_gold(L, "users_by_tier", ("dim_users_loyalty",))["dim_users_loyalty"])
+
+
+@register("users_by_channel", w(
+    "SELECT acquisition_channel, CAST(count(*) AS BIGINT) AS count FROM d_users_loyalty "
+    "GROUP BY acquisition_channel"))
+def q_users_by_channel(L: Layers) -> DataFrame:
+    return kpi.users_by_channel(stored_gold(L, "users_by_channel", ("dim_users_loyalty",))["dim_users_loyalty"])
+
+
+@register("top_brands", w(f"""
+    SELECT brand, {oracle.money('price')} AS sales, CAST(count(*) AS BIGINT) AS volume
+    FROM f_sales GROUP BY brand ORDER BY sales DESC, brand ASC NULLS FIRST LIMIT {kpi.TOP_BRANDS}"""))
+def q_top_brands(L: Layers) -> DataFrame:
+    return kpi.top_brands(stored_gold(L, "top_brands", ("fact_sales",))["fact_sales"])
+
+
+register("dq_not_null", w(catalog.SQL_NOT_NULL))(lambda L: checks.dq_not_null(stored_gold(L, "dq_not_null")))
+register("dq_unique", w(catalog.SQL_UNIQUE))(lambda L: checks.dq_unique(stored_gold(L, "dq_unique")))
 register("dq_referential", w(catalog.SQL_REFERENTIAL))(
-    lambda L: catalog.dq_referential(stored_gold(L, "dq_referential")))
+    lambda L: checks.dq_referential(stored_gold(L, "dq_referential")))
 register("dq_report", w(f"{catalog.SQL_NOT_NULL}\nUNION ALL {catalog.SQL_UNIQUE}\nUNION ALL {catalog.SQL_REFERENTIAL}"))(
-    lambda L: catalog.dq_report(stored_gold(L, "dq_report")))
+    lambda L: checks.dq_report(stored_gold(L, "dq_report")))
 
 
 # ---------------------------------------------------------------- streaming
@@ -294,17 +328,31 @@ def q_stream_silver(L: Layers) -> DataFrame:
     P = workspace(L, "stream_silver")
     stage(L, P)
     silver_stream.stream_silver(L.spark, P.staging, P, L.crm, STAGED_WITH_ID, P.stream_checkpoint,
-                                max_files_per_trigger=8, timeout_s=STREAM_TIMEOUT_S)
+                                max_files_per_trigger=8)
     return out(daily.read_silver(L.spark, P))
 
 
 @register("stream_dedup", w("SELECT * FROM deduped"))
 def q_stream_dedup(L: Layers) -> DataFrame:
+    """Day files written by several tasks, found in no order of time."""
     P = workspace(L, "stream_dedup")
     stage(L, P)
-    silver_stream.stream_dedup(L.spark, P.staging, P.dedup, STAGED_WITH_ID, P.stream_checkpoint,
-                               max_files_per_trigger=4, timeout_s=STREAM_TIMEOUT_S)
-    return out(L.spark.read.parquet(P.dedup))
+    staged_table(L, P.staging).repartition(4, F.xxhash64("event_id")).write.partitionBy(*bronze_src.PARTS).parquet(P.bronze)
+    silver_stream.stream_dedup(L.spark, P.bronze, P.dedup, STAGED_WITH_ID, P.stream_checkpoint,
+                               max_files_per_trigger=40)
+    return out(tables.read_table(L.spark, P.dedup))
+
+
+@register("stream_quarantine", w(f"SELECT {RAW_SELECT}, CAST(strptime(event_time, '%Y-%m-%d %H:%M:%S UTC') AS DATE) "
+                                 f"AS run_date FROM quarantined WHERE {DATED}"))
+def q_stream_quarantine(L: Layers) -> DataFrame:
+    """The quarantine of a stream whose days are split over many micro-batches."""
+    P = workspace(L, "stream_quarantine")
+    stage(L, P)
+    # Several files a day, found in no order of time.
+    staged_table(L, P.staging).repartition(6, F.xxhash64("event_id")).write.partitionBy(*bronze_src.PARTS).parquet(P.bronze)
+    silver_stream.stream_silver(L.spark, P.bronze, P, L.crm, STAGED_WITH_ID, P.stream_checkpoint, max_files_per_trigger=40)
+    return tables.read_table(L.spark, P.quarantine_stream).drop("batch_id")
 
 
 STORAGE_QUERIES.update(set(QUERIES) - _BEFORE)

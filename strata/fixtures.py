@@ -14,12 +14,12 @@ Fixed values (must equal FIXTURES.md for identical rows on both engines):
   NULL user_id             event_id % 107 = 0
   NULL user_session        event_id % 109 = 0
   exact second copy        event_id % 13 = 0
-  product                  first integer in props, % 10, joined to part.p_partkey
+  product                  (user_id * 100 + first integer in props) % rows of part, joined to part.p_partkey
   category_code            p_partkey % 5: 0 -> NULL, 1 -> lower(p_type),
                            else lower(p_type) || '.' || second word of p_name
   event_type               'click' -> 'cart', 'purchase' -> 'purchase', else 'view'
   session                  user_id || '-' || Monday of the event's week
-  CRM rows                 c_custkey % 10 <> 9
+  user unknown to the CRM  user_id % 10 = 9 -> user_id + 1000000000 (no such customer)
   loyalty_tier             MACHINERY VIP, BUILDING Gold, AUTOMOBILE Silver, else Regular
   signup_date              2018-01-01 + (c_custkey % 790) days
   acquisition_channel      c_nationkey % 6: Google, Facebook, Organic, TikTok,
@@ -53,7 +53,8 @@ RAW_EXPRS = [
     "ELSE concat(lower(p_type), '.', split_part(p_name, ' ', 2)) END AS category_code",
     "CASE WHEN event_id % 7 = 0 THEN NULL ELSE lower(p_brand) END AS brand",
     "CASE WHEN event_id % 103 = 0 THEN NULL ELSE value END AS price",
-    "CASE WHEN event_id % 107 = 0 THEN NULL ELSE cast(user_id AS int) END AS user_id",
+    "CASE WHEN event_id % 107 = 0 THEN NULL WHEN user_id % 10 = 9 THEN cast(user_id + 1000000000 AS int) "
+    "ELSE cast(user_id AS int) END AS user_id",
     "CASE WHEN event_id % 109 = 0 THEN NULL "
     "ELSE concat(cast(user_id AS string), '-', cast(cast(date_trunc('week', ts) AS date) AS string)) END "
     "AS user_session",
@@ -78,22 +79,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_clickstream(events: DataFrame, part: DataFrame) -> DataFrame:
     """Clickstream rows with text times, as a landing CSV would carry them."""
+    products = part.count()  # from the file footers; part keys run from 0
     ev = events.selectExpr("event_id", "ts", "user_id", "event_type", "value",
-                           "try_cast(regexp_extract(props, '[0-9]+', 0) AS int) % 10 AS _pk")
-    # The join key is a value % 10 of a non-negative number, so only part keys
-    # 0..9 can match: the build side holds at most 10 rows (p_partkey is the
-    # part key), a proven bound for the broadcast.
-    parts = (part.where("p_partkey BETWEEN 0 AND 9")
-             .select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
-    j = ev.join(F.broadcast(parts), F.expr("_pk = p_partkey"), "inner")
+                           "(user_id * 100 + try_cast(regexp_extract(props, '[0-9]+', 0) AS bigint)) "
+                           f"% {max(products, 1)} AS _pk")
+    parts = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    j = ev.join(parts, F.expr("_pk = p_partkey"), "inner")
     # Exact second copy of every 13th event: a generator, not a join.
     j = j.selectExpr("*", "explode(CASE WHEN event_id % 13 = 0 THEN array(0, 1) ELSE array(0) END) AS _copy")
     return j.selectExpr(*RAW_EXPRS)
 
 
 def user_loyalty(customer: DataFrame) -> DataFrame:
-    """CRM table: one row per seeded user (user_id unique)."""
-    return customer.where("c_custkey % 10 <> 9").selectExpr(*CRM_EXPRS)
+    """CRM table: one row per customer (user_id unique)."""
+    return customer.selectExpr(*CRM_EXPRS)
 
 
 def load(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

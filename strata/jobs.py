@@ -7,10 +7,11 @@
     python -m strata.jobs gold     --root R --crm-path P [--full-refresh] [--retract]
     python -m strata.jobs dq       --root R --crm-path P      (exit 1 when a check fails)
     python -m strata.jobs kpi      --root R
-    python -m strata.jobs seed-crm --root R --quota-bytes N --used-bytes N
+    python -m strata.jobs day      --root R --date 2024-01-05 --crm-path P   (publish to checks; exit 1 when one fails)
+    python -m strata.jobs sample   --root R --quota-bytes N --used-bytes N  (users that fit the quota)
 
 Folders below ``--root``: staging, bronze, silver, quarantine, serving,
-dim_users, dim_products, dim_users_loyalty, fact_sales, fact_carts, crm.
+dim_users, dim_products, dim_users_loyalty, fact_sales, fact_carts, crm, sampled_users.
 Every job can be re-run for the same date with the same result. Cluster sizing
 comes from ``spark-submit``; the session only gets the settings results depend
 on (``strata.session``).
@@ -24,9 +25,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata import catalog, schemas
-from strata.operators import sample, tables
-from strata.plans import daily, kpi
+from strata import schemas
+from strata.operators import quality, sample, tables
+from strata.plans import checks, daily, kpi
 from strata.session import build_session
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
@@ -57,9 +58,40 @@ def stored_tables(spark: SparkSession, P: daily.Paths, crm: DataFrame) -> dict[s
     }
 
 
+def load_gold(spark: SparkSession, P: daily.Paths, crm: DataFrame, full_refresh: bool = False,
+              retract: bool = False) -> None:
+    """Dimensions (full refresh) and facts (incremental) from the stored serving table."""
+    serving = _serving(spark, P)
+    daily.build_dims(spark, P, serving, crm)
+    daily.fact_sales_incremental(spark, P.fact_sales, serving, full_refresh=full_refresh)
+    daily.fact_cart_abandonment_incremental(spark, P.fact_carts, serving, full_refresh=full_refresh, retract=retract)
+
+
+def run_day(spark: SparkSession, P: daily.Paths, run_date: str, crm: DataFrame, retract: bool = False) -> dict:
+    """One staged day from Bronze to checked Gold; returns the row counts.
+
+    Stops with an error at the first step that fails; the checks come last and raise
+    when one finds a failure, so a caller never goes on with a bad day."""
+    bronze_src.publish_day(spark, P.staging, P.bronze, run_date)
+    raw = bronze_src.scan_day(spark, P.bronze, run_date)
+    counts = daily.bronze_to_silver(spark, P, crm, raw, run_dates=[run_date])
+    counts["serving_rows"] = daily.silver_to_serving(spark, P, [run_date], with_id=False)
+    load_gold(spark, P, crm, retract=retract)
+    quality.enforce(checks.dq_report(stored_tables(spark, P, crm)))
+    return counts
+
+
+def register_views(spark: SparkSession, P: daily.Paths, crm: DataFrame) -> list[str]:
+    """Name the stored tables as temporary views for SQL; returns the names."""
+    named = stored_tables(spark, P, crm)
+    for name, df in named.items():
+        df.createOrReplaceTempView(name)
+    return sorted(named)
+
+
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="strata.jobs")
-    ap.add_argument("job", choices=["stage", "publish", "silver", "serving", "gold", "dq", "kpi", "seed-crm"])
+    ap.add_argument("job", choices=["stage", "publish", "silver", "serving", "gold", "dq", "kpi", "day", "sample"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--date", action="append", help="run date YYYY-MM-DD (repeatable)")
     ap.add_argument("--landing")
@@ -79,29 +111,31 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     spark = spark or build_session(app_name=f"strata-{args.job}")
     P = daily.Paths(args.root)
     dates = args.date or []
-    if args.job in ("publish", "silver", "serving") and not dates:
+    if args.job in ("publish", "silver", "serving", "day") and not dates:
         ap.error(f"{args.job} needs --date")
 
     if args.job == "stage":
         if not args.landing:
             ap.error("stage needs --landing")
-        bronze_src.stage_by_day(csv_src.scan_csv(spark, args.landing), P.staging, local_sort=args.local_sort)
+        print(bronze_src.stage_by_day(csv_src.scan_csv(spark, args.landing), P.staging, local_sort=args.local_sort))
     elif args.job == "publish":
-        for d in dates:
-            bronze_src.publish_day(spark, P.staging, P.bronze, d)
+        bronze_src.publish_days(spark, P.staging, P.bronze, dates)
     elif args.job == "silver":
         raw = daily.bronze_days(spark, P.bronze, dates, bronze_src.staged_schema())
         print(daily.bronze_to_silver(spark, P, _crm(spark, args, P), raw, run_dates=dates))
     elif args.job == "serving":
         print({"serving_rows": daily.silver_to_serving(spark, P, dates, with_id=False)})
     elif args.job == "gold":
-        serving = _serving(spark, P)
-        daily.build_dims(spark, P, serving, _crm(spark, args, P))
-        daily.fact_sales_incremental(spark, P.fact_sales, serving, full_refresh=args.full_refresh)
-        daily.fact_cart_abandonment_incremental(spark, P.fact_carts, serving, full_refresh=args.full_refresh,
-                                                retract=args.retract)
+        load_gold(spark, P, _crm(spark, args, P), full_refresh=args.full_refresh, retract=args.retract)
+    elif args.job == "day":
+        try:
+            for d in dates:
+                print(run_day(spark, P, d, _crm(spark, args, P), retract=args.retract))
+        except AssertionError as e:
+            print(e)
+            return 1
     elif args.job == "dq":
-        report = catalog.dq_report(stored_tables(spark, P, _crm(spark, args, P)))
+        report = checks.dq_report(stored_tables(spark, P, _crm(spark, args, P)))
         rows = report.collect()          # one row per check (20)
         for r in rows:
             print(f"{r['table']:24} {r['column']:16} {r['check']:40} {r['failures']}")
@@ -116,15 +150,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
                          ("tiers", kpi.users_by_tier(users)), ("channels", kpi.users_by_channel(users)),
                          ("top_brands", kpi.top_brands(sales))]:
             print(name, [r.asDict() for r in df.collect()])   # small reports (≤ 10 rows)
-    elif args.job == "seed-crm":
-        staged = spark.read.schema(bronze_src.staged_schema()).parquet(P.staging)
-        users = catalog.distinct_users(staged)
-        budget = sample.row_budget(args.quota_bytes, args.used_bytes)
-        chosen = sample.bounded_sample(users, budget, "user_id", SEED_SALT)
-        valid = staged.where(F.col("year").rlike("^[0-9]{4}$"))
-        end = valid.agg(F.last_day(F.max(F.to_date(F.concat_ws("-", "year", "month", F.lit("01")))))).first()[0]
-        tables.delete_path(spark, P.crm)                    # truncate
-        tables.insert_absent(spark, P.crm, catalog.simulated_crm(chosen, end), "user_id")
+    elif args.job == "sample":
+        users = sample.distinct_users(spark.read.schema(bronze_src.staged_schema()).parquet(P.staging))
+        chosen = sample.bounded_sample(users, sample.row_budget(args.quota_bytes, args.used_bytes), "user_id", SEED_SALT)
+        tables.write_table(chosen, P.sampled_users)
     return 0
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from strata.operators.joins import maybe_broadcast
 
 # Defaults for users absent from the CRM.
 DEFAULT_TIER = "Regular"
@@ -15,10 +14,10 @@ CRM_COLUMNS = ["user_id", "loyalty_tier", "acquisition_channel"]
 def enrich(clean: DataFrame, crm: DataFrame) -> DataFrame:
     """Left join on ``user_id`` (CRM key is unique) and fill missing attributes.
 
-    The CRM side is broadcast only when its estimated size is small; a CRM
-    with hundreds of millions of users falls back to a shuffle join, where
-    AQE splits a hot user's partition (left outer joins split the left side).
+    The planner chooses the join from the CRM's size, AQE again from measured
+    sizes; in a shuffle join AQE splits a hot user's partition (left outer
+    joins split the left side).
     """
     side = crm.select(*CRM_COLUMNS)
-    return (clean.join(maybe_broadcast(side), "user_id", "left")
+    return (clean.join(side, "user_id", "left")
                  .fillna({"loyalty_tier": DEFAULT_TIER, "acquisition_channel": DEFAULT_CHANNEL}))

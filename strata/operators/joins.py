@@ -1,72 +1,22 @@
-"""Join helpers: size-checked broadcast and skew-safe anti join."""
+"""Skew-safe anti join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest build side we hint for broadcast, unless the session sets
-# ``strata.broadcast.maxBytes``; by default the session's own
-# autoBroadcastJoinThreshold. Above it the planner shuffles (sort-merge, with
-# AQE skew splitting and runtime broadcast conversion from measured sizes).
-FALLBACK_BROADCAST_LIMIT = 10 * 1024 * 1024
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    raw = conf.get("strata.broadcast.maxBytes", None) or conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    if raw is None:
-        return FALLBACK_BROADCAST_LIMIT
-    raw = str(raw).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix) and raw[:-len(suffix)].strip().lstrip("-").isdigit():
-            return int(raw[:-len(suffix)]) * units[suffix]
-    return int(raw)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of ``df`` (file sizes × projection ratio).
-
-    Sources without statistics (e.g. JDBC) report Long.MaxValue, so they are
-    never broadcast on a guess.
-    """
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        # py4j hands a Scala BigInt over as a Python int; keep a string fallback.
-        return int(size) if isinstance(size, int) else int(str(size.toString()))
-    except Exception:  # pragma: no cover - defensive: unknown size → do not broadcast
-        return 2 ** 63 - 1
-
-
-def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is within ``limit`` (default:
-    ``broadcast_limit``; a negative limit disables it), else ``df``."""
-    limit = broadcast_limit(df) if limit is None else limit
-    return F.broadcast(df) if 0 <= estimated_bytes(df) <= limit else df
-
-
-# Buckets over which rows with a NULL join key are spread.
-NULL_KEY_SALT_BUCKETS = 1024
-
 
 def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` with no ``right`` row equal on all ``keys`` (SQL ``=``).
 
-    One join, no union: a left row with a NULL key can never match, but it
-    would still hash to the single partition of the NULL key. An extra join key
-    ``_salt`` (0 on both sides for complete keys; a hash of the whole row for
-    rows with a NULL key) spreads those rows over many partitions without
-    changing the result. AQE's skew-join splitting covers the rest (e.g. a hot
-    complete key). ``right`` is reduced to its distinct complete keys first.
+    A left row with a NULL key can never match, but in the join it would hash to
+    the one partition of the NULL key. Those rows take a branch of their own that
+    joins and shuffles nothing; a hot complete key is left to AQE's skew join.
+    ``right`` is reduced to its distinct complete keys first.
     """
-    any_null = " OR ".join(f"{k} IS NULL" for k in keys)
-    all_set = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     cols = left.columns
-    salted = left.selectExpr(
-        "*", f"CASE WHEN {any_null} THEN pmod(xxhash64({', '.join(cols)}), {NULL_KEY_SALT_BUCKETS}) "
-             "ELSE 0L END AS _aj_salt")
-    r = (right.where(all_set).selectExpr(*[f"{k} AS _aj_{k}" for k in keys]).distinct()
-         .selectExpr("*", "0L AS _aj_rsalt"))
-    cond = " AND ".join([f"{k} = _aj_{k}" for k in keys] + ["_aj_salt = _aj_rsalt"])
-    return salted.join(maybe_broadcast(r), F.expr(cond), "left_anti").select(*cols)
+    r = right.where(complete).selectExpr(*[f"{k} AS _aj_{k}" for k in keys]).distinct()
+    on = F.expr(" AND ".join(f"{k} = _aj_{k}" for k in keys))
+    matched = left.where(complete).join(r, on, "left_anti").select(*cols)
+    return matched.unionByName(left.where(f"NOT ({complete})"))

@@ -1,43 +1,21 @@
-"""Ordinal of a row among rows sharing a key — ``ROW_NUMBER()`` that feeds a
+"""Ordinal of a row among rows sharing a key: ``ROW_NUMBER()`` that feeds a
 surrogate key and filters nothing.
 
-A plain window puts each key's rows into one task. If one key holds a large
-share of the data it is almost always because of *copies* (replayed or
-double-sent events), so the rows are first collapsed to
-``(distinct row, copies)`` with a partial (map-side) aggregation; the window
-then runs over distinct rows only and yields each row's range of ordinals.
-Ranges are expanded back in bounded chunks; chunks of a large range are
-spread across tasks before the inner expansion, so no task materialises or
-emits an unbounded group.
+One window, one shuffle on the keys. Behind deduplication a key has one row or a
+few, so a key's group stays small; rows of a NULL key part are spread by the
+other parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows expanded from one array at most (bounds per-row memory of the generator).
-CHUNK = 1 << 16
 
-
-def ordinal(df: DataFrame, keys: list[str], order_by: list[str] | None = None,
-            name: str = "rn", spread_partitions: int | None = None) -> DataFrame:
+def ordinal(df: DataFrame, keys: list[str], order_by: list[str] | None = None, name: str = "rn") -> DataFrame:
     """Add ``name`` = 1..n within each ``keys`` group, ordered by ``order_by``
     and then by every other column (a total order, so results are
     deterministic; identical rows are interchangeable)."""
-    cols = df.columns
-    order = list(order_by or []) + [c for c in cols if c not in keys and c not in (order_by or [])]
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    window = (f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(f'{c} ASC NULLS FIRST' for c in order)} "
-              "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
-    ranged = counted.selectExpr("*", f"sum(_n) OVER ({window}) AS _end")
-
-    small = ranged.where(f"_n <= {CHUNK}").selectExpr(
-        *cols, f"explode(sequence(_end - _n + 1, _end)) AS {name}")
-
-    big = ranged.where(f"_n > {CHUNK}").selectExpr(
-        "*", f"explode(sequence(0L, CAST(floor((_n - 1) / {CHUNK}) AS BIGINT))) AS _chunk")
-    big = big.repartition(*([spread_partitions] if spread_partitions else []), "_end", "_chunk")
-    lo = f"_end - _n + 1 + _chunk * {CHUNK}"
-    big = big.selectExpr(*cols, f"explode(sequence({lo}, least({lo} + {CHUNK - 1}, _end))) AS {name}")
-    return small.unionByName(big)
+    order = list(order_by or []) + [c for c in df.columns if c not in keys and c not in (order_by or [])]
+    window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))

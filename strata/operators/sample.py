@@ -3,9 +3,8 @@
 ``bounded_sample`` keeps exactly the ``n`` keys with the smallest
 ``md5(key || seed)``: the same rows on every run, partitioning and engine.
 It finds the n-th smallest hash by refining a hash-prefix histogram — the
-driver only ever sees at most 4,096 bucket counts per level and, at the last
-level, a bounded list of hashes — and then filters with one predicate. No
-global sort, no single-task limit.
+driver only ever sees the counts of one level's buckets — and then filters with
+one predicate. No global sort, no single-task limit.
 """
 
 from __future__ import annotations
@@ -19,8 +18,8 @@ BYTES_PER_ROW = 120
 SAFETY_BUFFER = 50 * 1024 * 1024
 MIN_ROWS = 1000
 
-HEX_PER_LEVEL = 3          # 16^3 = 4,096 buckets per refinement level
-EXACT_LIMIT = 20_000       # collect at most this many hashes to pick the cut
+HEX_PER_LEVEL = 4          # 16^4 = 65,536 buckets per refinement level at most
+HEX_DIGITS = 32            # of an md5
 
 
 def row_budget(quota_bytes: int, used_bytes: int, buffer_bytes: int = SAFETY_BUFFER,
@@ -30,6 +29,10 @@ def row_budget(quota_bytes: int, used_bytes: int, buffer_bytes: int = SAFETY_BUF
     return floor_rows if usable <= 0 else int(usable // bytes_per_row)
 
 
+def distinct_users(raw: DataFrame) -> DataFrame:
+    return raw.select("user_id").where(F.col("user_id").isNotNull()).distinct()
+
+
 def sample_hash(key: str, seed: str):
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))
 
@@ -49,17 +52,21 @@ def _cut(keyed: DataFrame, n: int) -> str | None:
             if c < need:
                 need -= c
                 continue
-            if c <= EXACT_LIMIT or width >= 32:
-                hashes = sorted(r[0] for r in keyed.where(F.col("_h").startswith(bucket)).select("_h").collect())
-                return hashes[need - 1]
             prefix = bucket
             break
+        if c == need:  # the whole bucket
+            return prefix.ljust(HEX_DIGITS, "f")
+        if width >= HEX_DIGITS:  # keys are distinct: the whole hash is reached
+            return prefix
 
 
 def bounded_sample(df: DataFrame, n: int, key: str, seed: str) -> DataFrame:
-    """The ``n`` rows of ``df`` (distinct ``key`` values) with the smallest
-    ``md5(key || seed)``; all rows when there are at most ``n``."""
-    keyed = df.withColumn("_h", sample_hash(key, seed))
+    """The ``n`` rows of ``df`` with the smallest ``md5(key || seed)``; all rows when
+    there are at most ``n``, none when ``n`` is not positive. NULL keys are left out,
+    and of rows of the same key one is used."""
+    if n <= 0:
+        return df.limit(0)
+    keyed = (df.where(F.col(key).isNotNull()).dropDuplicates([key]).withColumn("_h", sample_hash(key, seed)))
     probe = keyed.select("_h").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         cut = _cut(probe, n)

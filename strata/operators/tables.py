@@ -2,15 +2,19 @@
 insert-if-absent, and the late-data lookback.
 
 All writes use dynamic partition overwrite: a job replaces exactly the
-partitions it writes, staged and committed at the end of the job, so a failed
-or retried job (lost executors included) leaves the previous partitions in
-place and a re-run of the same input gives the same table (idempotent).
+partitions it writes, staged and committed at the end of the job, so tasks that
+fail or are retried (lost executors included) leave the previous partitions in
+place, and a re-run of the same input gives the same table. The commit itself
+replaces folder by folder: a driver that dies in it leaves some partitions old
+and some new (one may be missing); running the job again repairs that. Where a
+commit must be atomic, use a table format with a log.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,8 +56,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """Write Parquet, rows clustered by the partition value first so each task
+def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite",
+                whole: bool = False) -> None:
+    """Write Parquet (``whole``: replace the table, else only the partitions written), rows clustered by the partition value first so each task
     writes few partition folders (no small-file explosion).
 
     Clustering uses the REBALANCE hint rather than ``repartition(col)``: AQE
@@ -62,7 +67,7 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode:
     hash repartition would put each whole day into a single task."""
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static" if whole else "dynamic")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -76,8 +81,14 @@ def _match(target: DataFrame, source: DataFrame, keys: list[str], null_safe: boo
     return reduce(lambda a, b: a & b, conds)
 
 
+def in_partitions(df: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """Rows of the partitions named by folder values, the one of NULL included."""
+    cond = F.col(column).cast("string").isin([v for v in values if v != NULL_PARTITION])
+    return df.where(cond | F.col(column).isNull() if NULL_PARTITION in values else cond)
+
+
 def _source_keys(source: DataFrame, keys: list[str]) -> DataFrame:
-    return source.select(*[F.col(k).alias(f"_src_{k}") for k in keys]).distinct()
+    return source.select(*[F.col(k).alias(f"_src_{k}") for k in keys])
 
 
 # ---------------------------------------------------------------- operators
@@ -111,20 +122,45 @@ def upsert(spark: SparkSession, path: str, source: DataFrame, keys: list[str],
         write_table(source, path, partition_col)
         return list_partitions(spark, path, partition_col)
     stage = work_path(spark, "upsert-source")
-    write_table(source, stage, partition_col)
-    touched = list_partitions(spark, stage, partition_col)
-    if not touched:
-        return []
-    # The source's schema also reads a target that exists but holds no files
-    # yet (an earlier empty load), where inference would fail.
-    target = read_table(spark, path, schema or source.schema)
-    src = read_table(spark, stage, target.schema)
-    pruned = target.where(F.col(partition_col).cast("string").isin(touched))
-    src_keys = _source_keys(src, keys)
-    kept = pruned.join(src_keys, _match(pruned, src_keys, keys, null_safe), "left_anti")
-    write_table(kept.unionByName(src.select(*target.columns)), path, partition_col)
-    delete_path(spark, stage)
-    return touched
+    try:
+        write_table(source, stage, partition_col)
+        touched = list_partitions(spark, stage, partition_col)
+        if not touched:
+            return []
+        # The source's schema also reads a target that exists but holds no files
+        # yet (an earlier empty load), where inference would fail.
+        target = read_table(spark, path, schema or source.schema)
+        src = read_table(spark, stage, target.schema)
+        pruned = in_partitions(target, partition_col, touched)
+        src_keys = _source_keys(src, keys)
+        kept = pruned.join(src_keys, _match(pruned, src_keys, keys, null_safe), "left_anti")
+        write_table(kept.unionByName(src.select(*target.columns)), path, partition_col)
+        return touched
+    finally:
+        delete_path(spark, stage)
+
+
+def merge_distinct(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_col: str,
+                   order_by: list[str] | None = None) -> list[str]:
+    """Keep one row per key over the table and ``source`` together: the first by
+    ``order_by``, whichever load brought it, so loads in any order (and replayed
+    ones) give the same table. Only partitions ``source`` has rows in are rewritten;
+    a key must not change partition. Returns them."""
+    from strata.session import work_path
+    stage = work_path(spark, "merge-source")
+    try:
+        write_table(source, stage, partition_col)
+        touched = list_partitions(spark, stage, partition_col)
+        if not touched:
+            return []
+        rows = read_table(spark, stage, source.schema)
+        if table_exists(spark, path):
+            stored = in_partitions(read_table(spark, path, source.schema), partition_col, touched)
+            rows = rows.unionByName(stored)
+        write_table(dedup(rows, keys=keys, order_by=order_by), path, partition_col)
+        return touched
+    finally:
+        delete_path(spark, stage)
 
 
 def observed(obs: Observation, source: DataFrame) -> dict:
@@ -133,7 +169,7 @@ def observed(obs: Observation, source: DataFrame) -> dict:
     (all counts 0) the right reading."""
     try:
         return dict(obs.get)
-    except Exception:
+    except Py4JJavaError:  # no metrics were reported
         if not source.isEmpty():
             raise
         return {}

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from strata import schemas
 from strata.operators import tables
 from strata.operators.clean import DEDUP_KEYS
-from strata.operators.joins import anti_join
 from strata.plans import gold
 from strata.plans import serving as serving_plan
 from strata.plans import silver as silver_plan
@@ -61,11 +60,15 @@ def bronze_days(spark: SparkSession, bronze_root: str, run_dates: list[str],
     return df.where(cond)
 
 
-def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFrame,
-                     observe: bool = True, run_dates: list[str] | None = None) -> dict:
+def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFrame, observe: bool = True,
+                     run_dates: list[str] | None = None, batch_id: int | None = None) -> dict:
     """Quarantine (replaced per load day) and Silver (upsert) for the raw rows
     of some days. Returns the row counts observed during the writes.
 
+    With ``batch_id`` (a micro-batch) the quarantine is kept per batch instead,
+    below ``quarantine_stream``: a day may come in many batches, and a replayed
+    batch replaces its own rows only.
+
     Both outputs come from one parse; quarantine is a scan + filter job, the
     Silver job does the shuffles (dedup, join, merge). ``observe=False``
     inside ``foreachBatch`` (micro-batch plans do not report observations).
@@ -83,7 +86,11 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
     if observe:
         q = q.observe(q_obs, F.count(F.lit(1)).alias("rows"))
         s = s.observe(s_obs, F.count(F.lit(1)).alias("rows"))
-    tables.replace_partitions(spark, P.quarantine, q, "run_date", owned=run_dates)
+    if batch_id is None:
+        tables.replace_partitions(spark, P.quarantine, q, "run_date", owned=run_dates)
+    else:
+        tables.replace_partitions(spark, P.quarantine_stream, q.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
+                                  "batch_id", owned=[batch_id])
     tables.upsert(spark, P.silver, s, DEDUP_KEYS, "event_date",
                   schema=silver_schema("event_id" in s.columns))
     if not observe:
@@ -109,7 +116,10 @@ def silver_to_serving(spark: SparkSession, P: Paths, run_dates: list[str] | None
     obs = Observation("serving")
     source = rows
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
-    tables.replace_partitions(spark, P.serving, rows, "event_date", owned=run_dates)
+    if run_dates is None:
+        tables.write_table(rows, P.serving, "event_date", whole=True)
+    else:
+        tables.replace_partitions(spark, P.serving, rows, "event_date", owned=run_dates)
     return tables.observed(obs, source).get("rows", 0)
 
 
@@ -141,10 +151,11 @@ def fact_cart_abandonment_incremental(spark: SparkSession, path: str, serving: D
     lookback), judged against purchases inside the same window.
 
     By default a stored cart is never removed when its purchase arrives in a
-    later load (upsert only). ``retract=True`` also deletes, within the
-    rewritten partitions, stored carts whose (session, product) now has a
-    purchase in the window.
+    later load (upsert only). ``retract=True`` also deletes every stored cart
+    of the window whose (session, product) has a purchase in the window, on
+    whatever day it is stored and also when no new cart came.
     """
+    bound = None
     carts = gold.cart_rows(serving)
     purchases = serving.where(F.col("event_type") == "purchase")
     if tables.table_exists(spark, path) and not full_refresh:
@@ -154,10 +165,15 @@ def fact_cart_abandonment_incremental(spark: SparkSession, path: str, serving: D
     pairs = purchases.select(*gold.PAIR_KEYS)
     fact = gold.abandoned(carts, pairs).withColumn("cart_date", F.to_date("cart_time"))
     touched = tables.upsert(spark, path, fact, ["abandonment_id"], "cart_date")
-    if retract and touched:
-        stored = tables.read_table(spark, path).where(F.col("cart_date").cast("string").isin(touched))
-        keep = anti_join(stored, pairs, gold.PAIR_KEYS)
-        tables.replace_partitions(spark, path, keep, "cart_date", owned=touched)
+    if retract and tables.table_exists(spark, path):
+        stored = tables.read_table(spark, path, FACT_SCHEMAS["cart_date"])
+        window = tables.within_lookback(stored, "cart_time", bound)
+        bought = window.join(pairs.distinct(), gold.PAIR_KEYS, "left_semi")
+        days = [tables.NULL_PARTITION if r[0] is None else str(r[0]) for r in bought.select("cart_date").distinct().collect()]
+        if days:
+            ids = bought.select("abandonment_id").distinct()
+            keep = tables.in_partitions(stored, "cart_date", days).join(ids, "abandonment_id", "left_anti")
+            tables.replace_partitions(spark, path, keep.select(*stored.columns), "cart_date", owned=days)
     return touched
 
 

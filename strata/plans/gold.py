@@ -3,7 +3,7 @@ facts, as DataFrame plans.
 
 Dimensions aggregate per key with partial (map-side) aggregation, so a hot
 user or product is reduced before the shuffle. Facts compute the ordinal that
-feeds their surrogate key with the skew-safe ``ordinal`` operator.
+feeds their surrogate key with the ``ordinal`` operator.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import hash_key_sql
 from strata.operators.enrich import DEFAULT_CHANNEL, DEFAULT_TIER
-from strata.operators.joins import anti_join, maybe_broadcast
+from strata.operators.joins import anti_join
 from strata.operators.ordinal import ordinal
 from strata.operators.clean import UNKNOWN
 
@@ -72,7 +72,7 @@ def dim_users_loyalty(serving: DataFrame, crm: DataFrame) -> DataFrame:
                 F.min("event_time").alias("first_active_time"),
                 F.max("event_time").alias("last_active_time")))
     side = crm.select("user_id", "loyalty_tier", "signup_date", "acquisition_channel")
-    return (act.join(maybe_broadcast(side), "user_id", "left")
+    return (act.join(side, "user_id", "left")
             .select("user_id", "loyalty_tier", "signup_date", "acquisition_channel",
                     "total_sessions", "first_active_time", "last_active_time"))
 

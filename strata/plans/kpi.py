@@ -1,8 +1,8 @@
 """Dashboard KPIs and chart queries over the Gold tables — one Spark query
 each, no driver-side arithmetic.
 
-Money sums are exact: prices are summed as DECIMAL(18,2) (order-independent,
-so every partitioning gives the same total) and returned as DOUBLE.
+Money sums are exact: prices are summed as DECIMAL(38,10), so no price below a
+cent is lost and every partitioning gives the same total; returned as DOUBLE.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(38,10)"
 TOP_BRANDS = 10
 
 

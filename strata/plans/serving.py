@@ -25,3 +25,8 @@ def serving(silver: DataFrame, run_date: str | _dt.date | None = None) -> DataFr
     if run_date is not None:
         cond = (F.col("event_date") == F.lit(str(run_date)).cast("date")) & cond
     return schemas.conform(silver.where(cond), schemas.SERVING, keep_extra=lineage(silver))
+
+
+def data_end_date(silver: DataFrame) -> DataFrame:
+    """Last day of the latest month with events."""
+    return silver.agg(F.last_day(F.max("event_date")).alias("data_end_date"))

@@ -9,6 +9,7 @@ with a fixed DDL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 S, I, D, L = T.StringType(), T.IntegerType(), T.DoubleType(), T.LongType()
@@ -78,6 +79,29 @@ DQ_RESULT = _struct(("table", S, False), ("column", S, False),
                     ("check", S, False), ("failures", L, False))
 
 
+# Longest texts of the contracts' text columns (fixed values).
+CRM_LENGTHS = {"loyalty_tier": 20, "acquisition_channel": 50}
+SERVING_LENGTHS = {"event_type": 20, "category": 100, "sub_category": 100, "brand": 100, "user_session": 50,
+                   "loyalty_tier": 20, "acquisition_channel": 50}
+
+
+def enforced(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
+    """``conform``, and the job fails on a NULL in a column the contract declares not
+    nullable or on a text longer than ``lengths`` allows (checked row by row while the
+    rows are written, no extra pass). Keys are checked by ``quality.unique``."""
+    lengths = lengths or {}
+    out = []
+    for f in schema.fields:
+        col, value = F.col(f.name), F.col(f.name)
+        if f.name in lengths:
+            said = F.lit(f"contract: {f.name} is longer than {lengths[f.name]}")
+            value = F.when(F.length(col) > lengths[f.name], F.raise_error(said).cast(f.dataType)).otherwise(value)
+        if not f.nullable:
+            value = F.when(col.isNull(), F.raise_error(F.lit(f"contract: {f.name} is NULL")).cast(f.dataType)).otherwise(value)
+        out.append(value.alias(f.name))
+    return conform(df, schema).select(*out)
+
+
 def conform(df: DataFrame, schema: T.StructType, keep_extra: list[str] | None = None) -> DataFrame:
     """Project ``df`` onto ``schema`` (order + types); raise if a column is missing.
 

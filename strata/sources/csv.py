@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from strata import schemas
 
-# The year is the first 4-digit run in the file name; a file
-# without one is taken as 2020.
+# The year is the first 4-digit run in the file's name (in its
+# folder's, for files in a folder per period); a file without one is taken as 2020,
+# unless the caller says otherwise.
 FILE_YEAR_PATTERN = r"(\d{4})"
 DEFAULT_FILE_YEAR = "2020"
 
@@ -22,20 +23,25 @@ def landing_files(spark: SparkSession, path: str) -> list[str]:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p) and fs.getFileStatus(p).isDirectory():
-        statuses = fs.listStatus(p)
-    else:
-        statuses = fs.globStatus(p) or []
+    statuses = list(fs.listStatus(p)) if fs.exists(p) and fs.getFileStatus(p).isDirectory() else list(fs.globStatus(p) or [])
+    for st in [x for x in statuses if x.isDirectory() and not x.getPath().getName().startswith(("_", "."))]:
+        statuses += list(fs.listStatus(st.getPath()))  # one folder per period
     return sorted(st.getPath().toString() for st in statuses
                   if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
 
 
-def file_year(name: str) -> str:
-    m = re.search(FILE_YEAR_PATTERN, name.rsplit("/", 1)[-1])
-    return m.group(1) if m else DEFAULT_FILE_YEAR
+def file_year(path: str, default: str = DEFAULT_FILE_YEAR) -> str:
+    """The year a landing file's name carries; Spark's own part files carry that of
+    their folder's name."""
+    folder, _, name = path.rpartition("/")
+    if name.startswith("part-"):
+        name = folder.rsplit("/", 1)[-1]
+    m = re.search(FILE_YEAR_PATTERN, name)
+    return m.group(1) if m else default
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_CLICKSTREAM) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_CLICKSTREAM,
+             default_year: str = DEFAULT_FILE_YEAR) -> DataFrame:
     """Read every CSV under ``path`` (a folder or glob) with a fixed schema (no
     inference pass; PERMISSIVE: bad numbers become NULL), adding ``file_year``
     from each file's name.
@@ -50,27 +56,16 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_
         raise FileNotFoundError(f"no landing files at {path}")
     by_year: dict[str, list[str]] = {}
     for f in files:
-        by_year.setdefault(file_year(f), []).append(f)
+        by_year.setdefault(file_year(f, default_year), []).append(f)
     reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
     scans = [reader.csv(group).withColumn("file_year", F.lit(year)) for year, group in sorted(by_year.items())]
     return reduce(DataFrame.unionByName, scans)
 
 
-def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
-    df.write.mode("overwrite").option("header", True).option("compression", compression).csv(path)
-
-
-def name_files(spark: SparkSession, folder: str, prefix: str, suffix: str = ".csv.gz") -> list[str]:
-    """Give the part files Spark wrote in ``folder`` landing-style names
-    (``<prefix>-<n><suffix>``) — landing files carry their period in the name."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = []
-    for st in fs.listStatus(root):
-        p = st.getPath()
-        if p.getName().startswith("part-") and p.getName().endswith(suffix):
-            target = jvm.org.apache.hadoop.fs.Path(root, f"{prefix}-{len(names):05d}{suffix}")
-            fs.rename(p, target)
-            names.append(target.toString())
-    return names
+def write_csv(df: DataFrame, path: str, period: str | None = None, compression: str = "gzip") -> None:
+    """Write landing files; with ``period`` (a column) one folder per value, which
+    names the files' period. Rows are rebalanced by it, so a period is several files
+    of one task each."""
+    writer = (df.hint("rebalance", period) if period else df).write.mode("overwrite")
+    writer = writer.option("header", True).option("compression", compression)
+    (writer.partitionBy(period) if period else writer).csv(path)

@@ -19,3 +19,15 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     if num_partitions:
         props.setdefault("numPartitions", str(num_partitions))
     df.write.jdbc(url, table, mode=mode, properties=props)
+
+
+def replace_day_jdbc(df: DataFrame, url: str, table: str, delete, run_date: str, column: str = "event_time",
+                     properties: dict | None = None, num_partitions: int | None = None) -> None:
+    """Reload one day: ``delete`` runs a statement on the database (a function the caller
+    brings, e.g. of its own driver library), then the day's rows are appended. The day is
+    passed as checked ISO text. Not tried against a database here."""
+    import datetime
+
+    day = datetime.date.fromisoformat(str(run_date))
+    delete(f"DELETE FROM {table} WHERE CAST({column} AS DATE) = DATE '{day.isoformat()}'")
+    write_jdbc(df, url, table, properties, num_partitions)

@@ -3,10 +3,13 @@
 * ``stream_silver`` — incremental pick-up of newly landed Bronze files
   (file source + checkpoint), each micro-batch going through the same
   parse → quarantine/clean → dedup → enrich → upsert code as the batch job
-  (``foreachBatch``; the keyed upsert makes a replayed batch harmless).
-* ``stream_dedup`` — deduplication with bounded state:
-  ``dropDuplicatesWithinWatermark`` keeps one row per key while the key can
-  still recur within the 2-day lateness window, then drops the state.
+  (``foreachBatch``; Silver by key and quarantine by batch, so a replayed batch
+  replaces what it wrote).
+* ``stream_dedup`` — exact deduplication: each micro-batch is merged into the
+  stored table (``tables.merge_distinct``), so late files and any order of files
+  give the table of one load. The state is the table itself.
+* ``dedup_stream`` — deduplication with bounded state, for sources known to be
+  no later than the watermark: ``dropDuplicatesWithinWatermark`` drops later rows.
 
 ``trigger(availableNow=True)`` drains what is there and stops — the daily
 schedule of the batch job; a long-running trigger works the same way.
@@ -17,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from strata.operators import tables
 from strata.operators.clean import DEDUP_KEYS, clean, parse
 from strata.plans import daily
 from strata.sources import bronze as bronze_src
@@ -39,7 +43,7 @@ def stream_silver(spark: SparkSession, bronze_root: str, P: daily.Paths, crm: Da
     src = bronze_stream(spark, bronze_root, schema, max_files_per_trigger)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        daily.bronze_to_silver(batch.sparkSession, P, crm, batch, observe=False)
+        daily.bronze_to_silver(batch.sparkSession, P, crm, batch, observe=False, batch_id=batch_id)
 
     q = (src.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -59,10 +63,16 @@ def dedup_stream(bronze: DataFrame) -> DataFrame:
 def stream_dedup(spark: SparkSession, bronze_root: str, out_path: str, schema: T.StructType,
                  checkpoint: str, max_files_per_trigger: int | None = None,
                  timeout_s: float | None = None):
-    """Write the deduplicated stream to a Parquet sink (exactly-once file sink)."""
+    """Merge the cleaned stream into a Parquet table by day, one row per dedup key
+    (the smallest by lineage id, where rows carry one)."""
     src = bronze_stream(spark, bronze_root, schema, max_files_per_trigger)
-    q = (dedup_stream(src).writeStream.format("parquet").outputMode("append")
-         .option("path", out_path).option("checkpointLocation", checkpoint)
+    order = ["event_id"] if "event_id" in schema.names else None
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        rows = clean(parse(batch)).drop(*[c for c in bronze_src.PARTS if c in batch.columns])
+        tables.merge_distinct(batch.sparkSession, out_path, rows, DEDUP_KEYS, "event_date", order_by=order)
+
+    q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
     if q.isActive:

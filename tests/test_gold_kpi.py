@@ -79,3 +79,11 @@ def test_abandonment_rate_approx_option(spark):
     approx = kpi.kpi_abandonment_rate(carts, sales, approx_rsd=0.02).first()
     assert exact.purchased_sessions == 200
     assert abs(approx.purchased_sessions - 200) <= 12
+
+
+def test_revenue_keeps_parts_of_cents_and_large_prices(spark):
+    df = serving(spark, [row("purchase", "s1", 1, price=0.004), row("purchase", "s1", 2, price=0.004),
+                         row("purchase", "s1", 3, price=0.004)])
+    assert kpi.kpi_revenue(gold.fact_sales(df)).first().revenue == 0.012
+    big = serving(spark, [row("purchase", "s1", 1, price=1e17), row("purchase", "s1", 2, price=0.5)])
+    assert kpi.kpi_revenue(gold.fact_sales(big)).first().revenue == 1e17

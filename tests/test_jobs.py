@@ -1,9 +1,11 @@
 """The command-line jobs end to end: landing CSV -> staging -> Bronze ->
-Silver -> serving -> Gold -> DQ gate -> KPIs, then CRM seeding."""
+Silver -> serving -> Gold -> DQ gate -> KPIs, then the gated day and a sample."""
+
+from pyspark.sql import functions as F
 
 from strata import catalog, jobs
 from strata.operators import tables
-from strata.plans import daily
+from strata.plans import daily, gold
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
 
@@ -13,12 +15,15 @@ SF = "/root/testdata/sf0.001"
 def test_daily_jobs_end_to_end(spark, workdir, capsys):
     L = catalog.Layers(spark, SF)
     landing = workdir + "/landing"
-    csv_src.write_csv(L.raw.drop("event_id"), landing)
-    csv_src.name_files(spark, landing, "2024-Jan")
+    csv_src.write_csv(L.raw.drop("event_id").withColumn("period", F.lit("2024-01")), landing, "period")
     root = workdir + "/lake"
     crm_path = workdir + "/crm_src"
     L.crm.write.parquet(crm_path)
 
+    want = {"silver": L.silver.count(), "sales": gold.fact_sales(L.serving).count(),
+            "carts": gold.fact_cart_abandonment(L.serving).count()}
+    assert min(want.values()) > 50
+
     def job(*argv):
         return jobs.run(list(argv) + ["--root", root], spark=spark)
 
@@ -31,19 +36,24 @@ def test_daily_jobs_end_to_end(spark, workdir, capsys):
     assert job("serving", *dates) == 0
     assert job("gold", "--crm-path", crm_path) == 0
     P = daily.Paths(root)
-    assert daily.read_silver(spark, P, with_id=False).count() == 951
-    assert daily.read_fact(spark, P.fact_sales, "sale_date").count() == 192
-    assert daily.read_fact(spark, P.fact_carts, "cart_date").count() == 145
+    assert daily.read_silver(spark, P, with_id=False).count() == want["silver"]
+    assert daily.read_fact(spark, P.fact_sales, "sale_date").count() == want["sales"]
+    assert daily.read_fact(spark, P.fact_carts, "cart_date").count() == want["carts"]
     # rerunning a day and the Gold job changes nothing
     assert job("silver", "--crm-path", crm_path, "--date", days[3]) == 0
     assert job("serving", "--date", days[3]) == 0
     assert job("gold", "--crm-path", crm_path) == 0
-    assert daily.read_fact(spark, P.fact_sales, "sale_date").count() == 192
+    assert daily.read_fact(spark, P.fact_sales, "sale_date").count() == want["sales"]
     assert job("dq", "--crm-path", crm_path) == 0
     assert job("kpi") == 0
     out = capsys.readouterr().out
     assert "revenue" in out and "top_brands" in out
-    assert job("seed-crm") == 0
-    crm = tables.read_table(spark, P.crm)
-    assert crm.count() == catalog.distinct_users(L.raw).count()
-    assert crm.select("user_id").distinct().count() == crm.count()
+    assert job("sample") == 0
+    assert tables.read_table(spark, P.sampled_users).count() == L.raw.select("user_id").na.drop().distinct().count()
+    assert "fact_sales" in jobs.register_views(spark, P, L.crm)
+    assert spark.sql("SELECT count(*) FROM fact_sales").first()[0] == want["sales"]
+    assert job("day", "--crm-path", crm_path, "--date", days[5]) == 0
+    # a CRM with a missing tier fails the checks and so the day
+    bad = workdir + "/bad_crm"
+    L.crm.withColumn("loyalty_tier", F.when(F.col("user_id") > 3, F.col("loyalty_tier"))).write.parquet(bad)
+    assert job("day", "--crm-path", bad, "--date", days[5]) == 1

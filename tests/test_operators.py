@@ -88,8 +88,7 @@ def test_ordinal_numbers_copies_and_ties(spark):
     assert got == [("j", 5, 1), ("k", 1, 1), ("k", 1, 2), ("k", 2, 3)]
 
 
-def test_ordinal_hot_group_is_chunked(spark, monkeypatch):
-    monkeypatch.setattr(ordinal_mod, "CHUNK", 7)
+def test_ordinal_is_one_window_over_a_hot_key(spark):
     df = spark.range(100).select(F.lit("hot").alias("k"), F.lit(1).alias("v")).unionByName(
         spark.createDataFrame([("hot", 2), ("cold", 1)], "k string, v int"))
     got = ordinal_mod.ordinal(df, ["k"], ["v"])
@@ -111,19 +110,52 @@ def test_conform_orders_casts_and_rejects_missing(spark):
 
 
 def test_anti_join_spreads_null_key_rows(spark):
-    # a third of the rows carry a NULL key: they must all survive and must not
-    # share one shuffle partition
-    hot = spark.range(3000).selectExpr("CAST(NULL AS string) AS s", "CAST(id % 5 AS int) AS p", "id")
-    rest = spark.range(6000).selectExpr("CAST(id % 50 AS string) AS s", "CAST(id % 5 AS int) AS p", "id")
+    # most rows carry a NULL key: they must all survive and must not meet in one partition
+    hot = spark.range(0, 20000, 1, 16).selectExpr("CAST(NULL AS string) AS s", "CAST(id % 5 AS int) AS p", "id")
+    rest = spark.range(0, 6000, 1, 16).selectExpr("CAST(id % 50 AS string) AS s", "CAST(id % 5 AS int) AS p", "id")
     left = hot.unionByName(rest)
     right = spark.range(100).selectExpr("CAST(id % 25 AS string) AS s", "CAST(id % 5 AS int) AS p")
-    out = anti_join(left, right, ["s", "p"])
-    assert out.where("s IS NULL").count() == 3000
-    salts = (left.selectExpr("s", "p", "pmod(xxhash64(s, p, id), 1024) AS salt").where("s IS NULL")
-             .select("salt").distinct().count())
-    assert salts > 500
-    want = left.join(right.distinct(), ["s", "p"], "left_anti").count()
-    assert out.count() == want
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = anti_join(left, right, ["s", "p"])
+        sizes = [r[1] for r in out.where("s IS NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20000 and max(sizes) <= 20000 / 8
+        assert out.count() == left.join(right.distinct(), ["s", "p"], "left_anti").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_user_is_split_in_the_crm_join(spark):
+    # with the CRM too large to broadcast, AQE splits the join of a user holding most rows
+    from strata.operators.enrich import enrich
+    events = spark.range(0, 200000, 1, 8).selectExpr("CAST(if(id % 10 < 9, 1, id) AS int) AS user_id", "id", "sha2(CAST(id AS string), 256) AS pad")
+    crm = spark.range(0, 200000).selectExpr("CAST(id AS int) AS user_id", "'VIP' AS loyalty_tier", "'Google' AS acquisition_channel")
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300k"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        sizes = [r[1] for r in enrich(events, crm).groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 200000 and max(sizes) < 100000
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_enforced_contract_rejects_nulls_and_long_texts(spark):
+    import datetime
+
+    import pytest
+    from strata import schemas
+    good = [(1, "VIP", datetime.date(2020, 1, 1), "Google")]
+    cols = "user_id int, loyalty_tier string, signup_date date, acquisition_channel string"
+    assert schemas.enforced(spark.createDataFrame(good, cols), schemas.CRM, schemas.CRM_LENGTHS).count() == 1
+    for bad in ((None, "VIP", good[0][2], "x"), (1, "VIP", None, "x"), (1, "V" * 21, good[0][2], "x")):
+        with pytest.raises(Exception, match="contract"):
+            schemas.enforced(spark.createDataFrame([bad], cols), schemas.CRM, schemas.CRM_LENGTHS).collect()
 
 
 def test_parse_fast_path_equals_pattern_parser(spark):
@@ -138,26 +170,6 @@ def test_parse_fast_path_equals_pattern_parser(spark):
     assert all(r.same for r in got.collect())
 
 
-def test_broadcast_limit_follows_session(spark):
-    from strata.operators import joins
-    small = spark.range(10)
-    big = spark.range(100000)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # Spark itself never broadcasts
-        assert joins.broadcast_limit(small) == -1
-
-        def join_plan():
-            return big.join(joins.maybe_broadcast(small), "id")._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in join_plan()
-        spark.conf.set("strata.broadcast.maxBytes", "20m")               # the library limit alone decides
-        assert joins.broadcast_limit(small) == 20 * 1024 * 1024
-        assert "BroadcastHashJoin" in join_plan()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-        spark.conf.unset("strata.broadcast.maxBytes")
-
-
 def test_cluster_conf_sizes_partitions():
     from strata.session import cluster_conf
     c = cluster_conf(300 * (1 << 30))

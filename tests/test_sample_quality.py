@@ -16,14 +16,21 @@ def test_row_budget():
 
 @pytest.mark.parametrize("n", [1, 37, 500, 2000])
 def test_bounded_sample_is_exact_smallest_hashes(spark, monkeypatch, n):
-    monkeypatch.setattr(sample, "EXACT_LIMIT", 5)   # force several refinement levels
-    monkeypatch.setattr(sample, "HEX_PER_LEVEL", 1)
+    monkeypatch.setattr(sample, "HEX_PER_LEVEL", 1)   # several refinement levels
     df = spark.range(1000).select(F.col("id").cast("int").alias("user_id"))
     got = sorted(r.user_id for r in sample.bounded_sample(df, n, "user_id", "s").collect())
     want = sorted(sorted(range(1000), key=lambda i: hashlib.md5(f"{i}s".encode()).hexdigest())[:n])
     assert got == want
 
 
+def test_bounded_sample_edges(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "k int, v string")
+    assert sample.bounded_sample(df, 0, "k", "s").count() == 0
+    assert sample.bounded_sample(df, -3, "k", "s").count() == 0
+    assert sorted(r.k for r in sample.bounded_sample(df, 10, "k", "s").collect()) == [1, 2]
+    assert sample.bounded_sample(df, 1, "k", "s").count() == 1
+
+
 def test_weighted_bucket_proportions(spark):
     from strata.functions.buckets import hash_fraction, weighted_bucket
     df = spark.range(20000).select(weighted_bucket("id", ["a", "b"], [0.25, 0.75], "x").alias("l"),
