@@ -1,9 +1,10 @@
 """Ordinal of a row among rows sharing a key: ``ROW_NUMBER()`` that feeds a
 surrogate key and filters nothing.
 
-One window, one shuffle on the keys. Behind deduplication a key has one row or a
-few, so a key's group stays small; rows of a NULL key part are spread by the
-other parts.
+One window, one shuffle on all of the keys: the rows are dealt out anew even if they
+lie by one of them already, so a hot user's or session's rows, which a join before
+gathered (and AQE split), are spread by time and product. Behind deduplication a whole
+key has one row or a few.
 """
 
 from __future__ import annotations
@@ -18,4 +19,4 @@ def ordinal(df: DataFrame, keys: list[str], order_by: list[str] | None = None, n
     deterministic; identical rows are interchangeable)."""
     order = list(order_by or []) + [c for c in df.columns if c not in keys and c not in (order_by or [])]
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    return df.repartition(*keys).withColumn(name, F.row_number().over(window).cast("bigint"))
