@@ -3,11 +3,13 @@
 1. A document's set: the distinct n-word shingles of its whole text, as 64-bit hashes.
    Documents of equal sets become one node (their links are certain).
 2. Nodes that agree in a band of their MinHash signature are candidates. First every
-   member of a bucket is compared with the bucket's smallest node only; after the
-   components of those links are known, a second pass compares, in every bucket, the
-   members outside its largest component with all members of other components. Pairs
-   already joined are never made, so a large group of near copies costs its size, not
-   its square, and no pair that shares a bucket is left out across components.
+   member of a bucket is compared with the bucket's most central node only (the one of
+   the largest buckets over all bands: an original rather than one of its copies). After
+   the components of those links are known, a second pass compares, in every bucket, the
+   members outside its largest component with all members of other components, in blocks
+   of signatures inside a task. Pairs already joined are never made, so a large group of
+   near copies costs its size, not its square, and no pair that shares a bucket is left
+   out across components.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
    reaches the threshold; below ``miss`` the pair is pruned.
@@ -23,7 +25,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import connected_components, materialise
@@ -33,6 +35,7 @@ SIGNATURE = 256              # hashes; those beyond the bands serve verification
 BATCH = 32                   # hashes compared at a time
 MISS = 1e-6                  # posterior chance below which a pair is pruned
 SEED = 20240506
+BLOCK = 256                  # signatures of a bucket compared at once
 REMEMBERED = 500_000         # word hashes a task keeps; bounds memory, changes no result
 
 
@@ -127,27 +130,64 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold_percent: int) -> Data
     return both.select("a", "b", "x", "y").mapInPandas(check, "a binary, b binary")
 
 
+def _sequential(x: np.ndarray, y: np.ndarray, limits: list[tuple[int, int]]) -> np.ndarray:
+    """Rows of the paired signatures ``x`` and ``y`` that no batch prunes."""
+    alive, matches, done = np.arange(len(x)), np.zeros(len(x), int), 0
+    for n, least in limits:
+        matches = matches + (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
+        keep = matches >= least
+        alive, matches, done = alive[keep], matches[keep], n
+    return alive
+
+
+def _signatures(raw) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), -1)
+
+
 def _likely(pairs: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     """Pairs that the sequential Bayesian test doesn't prune."""
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if not len(pdf):
-                continue
-            x = np.frombuffer(b"".join(pdf["x"]), np.uint32).reshape(len(pdf), -1)
-            y = np.frombuffer(b"".join(pdf["y"]), np.uint32).reshape(len(pdf), -1)
-            alive, matches, done = np.arange(len(pdf)), np.zeros(len(pdf), int), 0
-            for n, least in limits:
-                matches = matches + (x[alive, done:n] == y[alive, done:n]).sum(axis=1)
-                keep = matches >= least
-                alive, matches, done = alive[keep], matches[keep], n
-            yield pdf.iloc[alive][["a", "b"]]
+            if len(pdf):
+                yield pdf.iloc[_sequential(_signatures(pdf["x"]), _signatures(pdf["y"]), limits)][["a", "b"]]
 
     right = pairs.join(signatures.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
     both = right.join(signatures.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInPandas(test, "a binary, b binary")
 
 
+def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
+    """Unpruned pairs between members of different components of a bucket.
+
+    ``members(key, n, main, node, root)``: the rows of buckets of several components, n of
+    them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
+    outside the main component meets every block of its bucket, and their signatures are
+    compared there, so what leaves a task is only what the test leaves."""
+    signed = members.join(signatures, "node")
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
+
+    def blocks(rows: DataFrame, prefix: str) -> DataFrame:
+        gathered = rows.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"))
+        return gathered.select("key", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
+
+    pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y"), "key")
+
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
+                x, y, (n, least) = _signatures(xs), _signatures(ys), limits[0]
+                other = np.array([[r != q for q in yr] for r in xr])
+                i, j = np.nonzero(((x[:, None, :n] == y[None, :, :n]).sum(axis=2) >= least) & other)
+                for k in range(0, len(i), 65_536):
+                    at = _sequential(x[i[k:k + 65_536]], y[j[k:k + 65_536]], limits)
+                    got = {(min(xn[p], yn[q]), max(xn[p], yn[q])) for p, q in zip(i[k:][at], j[k:][at])}
+                    yield pd.DataFrame(sorted(got), columns=["a", "b"])
+
+    columns = [p + c for p in "xy" for c in ("node", "root", "signature")]
+    return pairs.select(*columns).mapInPandas(test, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
                     threshold_percent: int = 80, bands: int = BANDS, rows: int = ROWS, hashes: int = SIGNATURE,
                     miss: float = MISS, seed: int = SEED) -> DataFrame:
@@ -179,21 +219,27 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     described = materialise(source.mapInPandas(describe, "doc_id long, n_shingles long, node binary, signature binary"))
-    # Equal sets have equal signatures: one row a node.
-    nodes = materialise(described.filter("node is not null").groupBy("node").agg(F.first("signature").alias("signature")))
     members = described.select("doc_id", "n_shingles", "node")
 
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(k), F.substr("signature", F.lit(1 + k * width), F.lit(width))) for k in range(bands)])
-    banded = nodes.select("node", F.explode(keys).alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).filter("n > 1")
-    banded = materialise(banded.join(shared.select("key", "lead"), "key"))
+    # Equal sets have equal signatures and keys: one row a node.
+    banded = described.filter("node is not null").select("node", F.explode(keys).alias("key")).distinct()
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    banded = materialise(banded.join(shared, "key"))
+    # The most central node of each bucket: that of the largest buckets over all bands.
+    central = banded.groupBy("node").agg(F.sum("n").alias("reach"))
+    leads = banded.join(central, "node").groupBy("key").agg(F.max(F.struct("reach", "node")).alias("m"))
+    star = (banded.join(leads.select("key", F.col("m.node").alias("lead")), "key").filter("node <> lead")
+            .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct())
+    # Signatures of nodes without a bucket partner are needed no more.
+    signatures = materialise(described.join(banded.select("node").distinct(), "node", "left_semi")
+                             .groupBy("node").agg(F.first("signature").alias("signature")))
 
     limits = least_matches(threshold_percent / 100, miss, hashes)
-    signatures = nodes
 
     def linked(pairs: DataFrame) -> DataFrame:
-        likely = materialise(_likely(pairs.distinct(), signatures, limits))
+        likely = materialise(pairs)
         wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
 
         def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -209,19 +255,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         sets = texts.mapInPandas(sets_of, "node binary, shingles binary").dropDuplicates(["node"])
         return _verified(likely, sets, threshold_percent)
 
-    star = banded.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    first = materialise(linked(star))
+    first = materialise(linked(_likely(star, signatures, limits)))
     roots = connected_components(first)
-    grouped = banded.select("key", "node").join(roots, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"))
+    grouped = banded.join(roots, "node", "left").select("key", "n", "node", F.coalesce("root", "node").alias("root"))
     # In each bucket of several components: those outside the largest against all others.
-    per_root = grouped.groupBy("key", "root").agg(F.count("*").alias("n"))
-    largest = per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("m")).filter("roots > 1")
-    mixed = materialise(grouped.join(largest.select("key", F.col("m.root").alias("main")), "key"))
-    few = mixed.filter("root <> main").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    across = (mixed.select("key", F.col("node").alias("y"), F.col("root").alias("ry")).join(few, "key").filter("rx <> ry")
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
-    second = linked(across)
+    per_root = grouped.groupBy("key", "root").agg(F.count("*").alias("c"))
+    largest = per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("m")).filter("roots > 1")
+    mixed = grouped.join(largest.select("key", F.col("m.root").alias("main")), "key")
+    second = linked(_likely_across(mixed, signatures, limits).distinct())
     roots = connected_components(first.unionByName(second))
 
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
