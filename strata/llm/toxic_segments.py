@@ -185,7 +185,8 @@ def learn_weights(rows: DataFrame, marked: DataFrame, *, fit_rows: int = FIT_ROW
     n = marked.count()
     sample = marked if n <= fit_rows else marked.filter(
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * fit_rows / n)))
-    texts = rows.join(sample, "doc_id").select("text", "y")
+    # At most about ``fit_rows`` pairs of numbers: sent to the tasks, so no text is moved.
+    texts = rows.join(F.broadcast(sample), "doc_id").select("text", "y")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, docs, size = Remember(tokens_of), [Counter(), Counter()], [0, 0]
