@@ -18,7 +18,7 @@ Fixed values (must equal FIXTURES.md for identical rows on both engines):
   category_code            p_partkey % 5: 0 -> NULL, 1 -> lower(p_type),
                            else lower(p_type) || '.' || second word of p_name
   event_type               'click' -> 'cart', 'purchase' -> 'purchase', else 'view'
-  session                  user_id || '-' || Monday of the event's week
+  session                  user_id || '-' || first day of the event's month
   user unknown to the CRM  user_id % 10 = 9 -> user_id + 1000000000 (no such customer)
   loyalty_tier             MACHINERY VIP, BUILDING Gold, AUTOMOBILE Silver, else Regular
   signup_date              2018-01-01 + (c_custkey % 790) days
@@ -56,7 +56,7 @@ RAW_EXPRS = [
     "CASE WHEN event_id % 107 = 0 THEN NULL WHEN user_id % 10 = 9 THEN cast(user_id + 1000000000 AS int) "
     "ELSE cast(user_id AS int) END AS user_id",
     "CASE WHEN event_id % 109 = 0 THEN NULL "
-    "ELSE concat(cast(user_id AS string), '-', cast(cast(date_trunc('week', ts) AS date) AS string)) END "
+    "ELSE concat(cast(user_id AS string), '-', cast(cast(date_trunc('month', ts) AS date) AS string)) END "
     "AS user_session",
 ]
 

@@ -24,7 +24,7 @@ SELECT event_id, event_time, event_type, product_id, category_id, category_code,
     CASE WHEN e.event_id % 7 = 0 THEN NULL ELSE lower(p.p_brand) END AS brand,
     CASE WHEN e.event_id % 103 = 0 THEN NULL ELSE e.value END AS price,
     CASE WHEN e.event_id % 107 = 0 THEN NULL WHEN e.user_id % 10 = 9 THEN cast(e.user_id + 1000000000 AS int) ELSE cast(e.user_id AS int) END AS user_id,
-    CASE WHEN e.event_id % 109 = 0 THEN NULL ELSE cast(e.user_id AS string) || '-' || cast(cast(date_trunc('week', e.ts) AS date) AS string) END AS user_session
+    CASE WHEN e.event_id % 109 = 0 THEN NULL ELSE cast(e.user_id AS string) || '-' || cast(cast(date_trunc('month', e.ts) AS date) AS string) END AS user_session
   FROM events e
   JOIN part p ON p.p_partkey = (e.user_id * 100 + cast(regexp_extract(e.props,'[0-9]+',0) AS bigint)) % (SELECT count(*) FROM part)
   JOIN (SELECT 0 AS copy UNION ALL SELECT 1 AS copy) d ON d.copy = 0 OR e.event_id % 13 = 0
