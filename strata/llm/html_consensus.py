@@ -45,6 +45,7 @@ NOISE = re.compile(
     r"popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|"
     r"teaser|teasers|tags|pagination|pager|copyright|legal|disclaimer|skip|hidden|alert|paywall|search|outbrain|taboola)(?:$|[\s_-])")
 NOISY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+SALTS = 32           # places a host's pages are dealt to
 MOST = 0.8           # share of the score a container must hold to descend into it
 DEEPEST = 200        # open elements; deeper ones are read as part of the deepest
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -257,6 +258,9 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
     # A host's paths are few: its templates. Most votes first.
     winners = counted.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(
         F.struct((-F.col("votes")).alias("v"), F.length("path").alias("l"), "path"))), lambda x: x["path"]).alias("winners"))
-    return (rows.join(winners, "host", "left")
+    # A host may hold a third of the pages: its pages go to SALTS places, its few paths to each of them.
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    winners = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (salted.join(winners, ["host", "_salt"], "left")
             .mapInPandas(texts, "page_id long, url string, host string, path string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))
