@@ -9,7 +9,9 @@
    members outside its largest component with all members of other components, in blocks
    of signatures inside a task. Pairs already joined are never made, so a large group of
    near copies costs its size, not its square, and no pair that shares a bucket is left
-   out across components.
+   out across components. Between the two passes, members outside a bucket's largest
+   component meet a few of its members, other ones in each bucket and round, which joins
+   most that belong to it; and of the buckets a pair shares only the first makes it.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
    reaches the threshold; below ``miss`` the pair is pruned.
@@ -35,6 +37,7 @@ SIGNATURE = 256              # hashes; those beyond the bands serve verification
 BATCH = 32                   # hashes compared at a time
 MISS = 1e-6                  # posterior chance below which a pair is pruned
 SEED = 20240506
+ROUNDS = 2                   # rounds of single comparisons before the last pass
 BLOCK = 256                  # signatures of a bucket compared at once
 REMEMBERED = 500_000         # word hashes a task keeps; bounds memory, changes no result
 
@@ -157,34 +160,38 @@ def _likely(pairs: DataFrame, signatures: DataFrame, limits: list[tuple[int, int
     return both.select("a", "b", "x", "y").mapInPandas(test, "a binary, b binary")
 
 
-def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
-    """Unpruned pairs between members of different components of a bucket.
+def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]], rows: int) -> DataFrame:
+    """Unpruned pairs between members of different components of a bucket, each made in
+    the first band that the two share.
 
-    ``members(key, n, main, node, root)``: the rows of buckets of several components, n of
-    them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
+    ``members(key, band, n, main, node, root)``: the rows of buckets of several
+    components, n of them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
     outside the main component meets every block of its bucket, and their signatures are
     compared there, so what leaves a task is only what the test leaves."""
     signed = members.join(signatures, "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
 
-    def blocks(rows: DataFrame, prefix: str) -> DataFrame:
-        gathered = rows.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"))
-        return gathered.select("key", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
+    def blocks(part: DataFrame, prefix: str) -> DataFrame:
+        gathered = part.groupBy("key", "band", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"))
+        return gathered.select("key", "band", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
 
-    pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y"), "key")
+    pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y").drop("band"), "key")
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
+            for band, xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
                 x, y, (n, least) = _signatures(xs), _signatures(ys), limits[0]
                 other = np.array([[r != q for q in yr] for r in xr])
                 i, j = np.nonzero(((x[:, None, :n] == y[None, :, :n]).sum(axis=2) >= least) & other)
                 for k in range(0, len(i), 65_536):
-                    at = _sequential(x[i[k:k + 65_536]], y[j[k:k + 65_536]], limits)
-                    got = {(min(xn[p], yn[q]), max(xn[p], yn[q])) for p, q in zip(i[k:][at], j[k:][at])}
+                    p, q = i[k:k + 65_536], j[k:k + 65_536]
+                    before = (x[p, :band * rows] == y[q, :band * rows]).reshape(len(p), band, rows).all(axis=2).any(axis=1)
+                    p, q = p[~before], q[~before]
+                    at = _sequential(x[p], y[q], limits)
+                    got = {(min(xn[a], yn[b]), max(xn[a], yn[b])) for a, b in zip(p[at], q[at])}
                     yield pd.DataFrame(sorted(got), columns=["a", "b"])
 
-    columns = [p + c for p in "xy" for c in ("node", "root", "signature")]
+    columns = ["band", *[p + c for p in "xy" for c in ("node", "root", "signature")]]
     return pairs.select(*columns).mapInPandas(test, "a binary, b binary")
 
 
@@ -224,7 +231,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(k), F.substr("signature", F.lit(1 + k * width), F.lit(width))) for k in range(bands)])
     # Equal sets have equal signatures and keys: one row a node.
-    banded = described.filter("node is not null").select("node", F.explode(keys).alias("key")).distinct()
+    banded = described.filter("node is not null").select("node", F.posexplode(keys).alias("band", "key")).distinct()
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     banded = materialise(banded.join(shared, "key"))
     # The most central node of each bucket: that of the largest buckets over all bands.
@@ -256,13 +263,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         return _verified(likely, sets, threshold_percent)
 
     first = materialise(linked(_likely(star, signatures, limits)))
-    roots = connected_components(first)
-    grouped = banded.join(roots, "node", "left").select("key", "n", "node", F.coalesce("root", "node").alias("root"))
+
+    def mixed_buckets(links: DataFrame) -> DataFrame:
+        """Rows of the buckets of several components, with the largest of them (``main``)."""
+        roots = connected_components(links)
+        grouped = banded.join(roots, "node", "left").select("key", "band", "n", "node", F.coalesce("root", "node").alias("root"))
+        per_root = grouped.groupBy("key", "root").agg(F.count("*").alias("c"))
+        largest = (per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("m"))
+                   .filter("roots > 1").select("key", F.col("m.root").alias("main")))
+        return materialise(grouped.join(largest, "key"))
+
+    for turn in range(ROUNDS):
+        mixed = mixed_buckets(first)
+        one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64(F.lit(turn), "key", "node").alias("h"), "node")).alias("m"))
+        met = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("other")), "key")
+               .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+        first = materialise(first.unionByName(linked(_likely(met, signatures, limits))))
     # In each bucket of several components: those outside the largest against all others.
-    per_root = grouped.groupBy("key", "root").agg(F.count("*").alias("c"))
-    largest = per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("m")).filter("roots > 1")
-    mixed = grouped.join(largest.select("key", F.col("m.root").alias("main")), "key")
-    second = linked(_likely_across(mixed, signatures, limits).distinct())
+    second = linked(_likely_across(mixed_buckets(first), signatures, limits, rows).distinct())
     roots = connected_components(first.unionByName(second))
 
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
