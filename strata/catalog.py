@@ -15,7 +15,6 @@ from functools import cached_property
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata import fixtures, oracle, schemas
 from strata.functions.buckets import weighted_bucket
@@ -23,7 +22,7 @@ from strata.functions.keys import hash_key, key_text
 from strata.operators import sample
 from strata.operators.sample import distinct_users
 from strata.operators.tables import lookback_bound, within_lookback
-from strata.plans import checks, gold, kpi
+from strata.plans import checks, gold
 from strata.plans import serving as serving_plan
 from strata.plans import silver as silver_plan
 

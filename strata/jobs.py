@@ -23,7 +23,6 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators import quality, sample, tables
