@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -101,7 +100,3 @@ def connected_components(links: DataFrame) -> DataFrame:
         state = tuple(now)
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())
-
-
-def frame(rows: dict, columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({c: rows[c] for c in columns})
