@@ -47,7 +47,6 @@ NOISE = re.compile(
 NOISY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SALTS = 32           # places a host's pages are dealt to
 MOST = 0.8           # share of the score a container must hold to descend into it
-DEEPEST = 200        # open elements; deeper ones are read as part of the deepest
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-zA-Z][^<>]*+>"
                     r"|</?[a-zA-Z][^<]*\Z|[^<]+|<", re.S)
@@ -100,6 +99,22 @@ def parse(page: str) -> Node:
     root.items.append(body)
     root.children.append(body)
     stack, raw = [body], None
+    # Where the open elements are: below each open barrier, by tag; and the barriers, by tag.
+    below: list[dict[str, list[int]]] = [{}]
+    barriers: dict[str, list[int]] = {}
+    articles = 0
+
+    def close(k: int):
+        nonlocal articles
+        while len(stack) > k:
+            tag = stack.pop().tag
+            if tag in BARRIERS:
+                below.pop()
+                barriers[tag].pop()
+            else:
+                below[-1][tag].pop()
+            articles -= tag in ("article", "main")
+
     at = 0
     while at < len(page):
         if raw is not None:
@@ -120,12 +135,10 @@ def parse(page: str) -> Node:
         if token[1] == "/":
             if tag in ("html", "body"):
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in BARRIERS and tag not in BARRIERS:
-                    break
+            # An end tag passes a barrier only if it is one.
+            opened = (barriers if tag in BARRIERS else below[-1]).get(tag)
+            if opened:
+                close(opened[-1])
             continue
         if tag in ("html", "body"):
             a = _attributes(token)
@@ -136,32 +149,41 @@ def parse(page: str) -> Node:
             raw = tag
             continue
         closes = CLOSES.get(tag)
-        if closes:
-            k = len(stack) - 1
-            while k > 0 and (stack[k].tag in closes or stack[k].tag not in BARRIERS):
-                if stack[k].tag in closes:
-                    del stack[k:]
-                k -= 1
+        while closes:
+            first = min((o[0] for c in closes if (o := below[-1].get(c))), default=None)
+            if first is not None:
+                close(first)
+            k = max((o[-1] for o in barriers.values() if o), default=0)
+            if k == 0 or stack[k].tag not in closes:
+                break
+            close(k)
         parent = stack[-1]
         a = _attributes(token)
-        article = any(n.tag in ("article", "main") for n in stack)
-        node = Node(tag, parent, _label(tag, a.get("class", "")), _is_noise(tag, a, article))
+        node = Node(tag, parent, _label(tag, a.get("class", "")), _is_noise(tag, a, articles > 0))
         parent.items.append(node)
         parent.children.append(node)
-        if tag not in VOID and not token.endswith("/>") and len(stack) < DEEPEST:
+        if tag not in VOID and not token.endswith("/>"):
+            if tag in BARRIERS:
+                barriers.setdefault(tag, []).append(len(stack))
+                below.append({})
+            else:
+                below[-1].setdefault(tag, []).append(len(stack))
+            articles += tag in ("article", "main")
             stack.append(node)
     return body
 
 
-def _score(node: Node, in_link: bool = False) -> float:
+def _score(body: Node) -> None:
     """Characters of text outside boilerplate, those of links counted against it."""
-    own = sum(len(" ".join(entities.unescape(x).split())) for x in node.items if isinstance(x, str))
-    own = -0.5 * own if in_link else float(own)
-    for child in node.children:
-        if not child.noise:
-            own += _score(child, in_link or child.tag == "a")
-    node.score = own
-    return own
+    order, todo = [], [(body, False)]
+    while todo:
+        node, in_link = todo.pop()
+        order.append(node)
+        own = sum(len(" ".join(entities.unescape(x).split())) for x in node.items if isinstance(x, str))
+        node.score = -0.5 * own if in_link else float(own)
+        todo.extend((c, in_link or c.tag == "a") for c in node.children if not c.noise)
+    for node in reversed(order[1:]):
+        node.parent.score += node.score
 
 
 def best_container(body: Node) -> Node:
@@ -192,21 +214,24 @@ def blocks(node: Node) -> list[str]:
     """Texts of the blocks below ``node``, boilerplate left out, in page order."""
     out: list[list[str]] = [[]]
 
-    def walk(n: Node):
-        for item in n.items:
-            if isinstance(item, str):
-                out[-1].append(item)
-            elif item.tag == "br":
-                out[-1].append(" ")
-            elif not item.noise:
-                block = item.tag in BLOCKS
-                if block:
-                    out.append([])
-                walk(item)
-                if block:
-                    out.append([])
-
-    walk(node)
+    todo = [iter(node.items)]
+    ends = [False]  # whether the element is a block, which ends at its last item
+    while todo:
+        item = next(todo[-1], None)
+        if item is None:
+            todo.pop()
+            if ends.pop():
+                out.append([])
+        elif isinstance(item, str):
+            out[-1].append(item)
+        elif item.tag == "br":
+            out[-1].append(" ")
+        elif not item.noise:
+            block = item.tag in BLOCKS
+            if block:
+                out.append([])
+            todo.append(iter(item.items))
+            ends.append(block)
     texts = (" ".join(entities.unescape("".join(parts)).split()) for parts in out)
     return [t for t in texts if t]
 

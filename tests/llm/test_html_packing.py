@@ -71,6 +71,16 @@ def test_pages_of_odd_tables(spark):
     assert sorted(t for p, t in got if p == 7) == ["k", "k©"]
 
 
+def test_elements_of_any_depth_are_closed_and_left_out(spark):
+    deep = "<article><p>Start of it.</p>" + "<div>" * 250 + "inside" + "</div>" * 250 + "<p>" + "words after it " * 9 + "</p></article><div>out</div>"
+    noise = "<article><p>" + "words of the text " * 9 + "<b>" * 300 + "more<footer>the foot</footer><nav>a menu</nav></article>"
+    rows = [(1, "http://a/", deep), (2, "http://b/", noise)]
+    got = {r.page_id: r.text for r in html_consensus.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "Start of it.\ninside\n" + " ".join(["words after it"] * 9)
+    assert got[2] == " ".join(["words of the text"] * 9) + " more"
+    assert html_consensus.vote("<b><p>x" * 20_000)[1] == 20_000
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
