@@ -4,10 +4,13 @@
    boilerplate, links discounted. From the body down, the page descends as long as one
    container holds most of the score; where it stops is its vote.
 2. A vote is a generalised path: the tags from the body down, with their classes (digits
-   and hashes taken out). Votes are added up per host and path in Spark.
-3. Each page is extracted again from its host's winning path: the path of most votes that
-   the page has. So pages that are short, cut off or full of adverts follow their
-   siblings. A page without any winning path follows its own vote.
+   and hashes taken out, and words that few of the host's pages have: names of an article,
+   a category or a tag). Votes are added up per host and path in Spark, and each page's own
+   containers are joined with them; no list of a host's paths is made.
+3. Each page is extracted again from its host's winning path: the path of most votes of
+   other pages that the page has. So pages that are short, cut off or full of adverts
+   follow their siblings. A page without any such path, or without a host, follows its
+   own vote.
 """
 
 from __future__ import annotations
@@ -17,9 +20,12 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import materialise
+
 # Elements whose content is never text of the page; the content of RAW is not markup.
 RAW = frozenset("script style title textarea noscript template iframe xmp noembed noframes".split())
 BOILERPLATE = frozenset(
@@ -46,6 +52,7 @@ NOISE = re.compile(
     r"teaser|teasers|tags|pagination|pager|copyright|legal|disclaimer|skip|hidden|alert|paywall|search|outbrain|taboola)(?:$|[\s_-])")
 NOISY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SALTS = 32           # places a host's pages are dealt to
+COMMON = 10          # a class word counts if one in so many of the host's pages has it
 MOST = 0.8           # share of the score a container must hold to descend into it
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-zA-Z][^<>]*+>"
@@ -56,11 +63,11 @@ _HASHED = re.compile(r"[0-9]+|(?<=[_-])[0-9a-f]{6,}")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "label", "noise", "score", "items", "children")
+    __slots__ = ("tag", "parent", "label", "noise", "score", "chars", "items", "children")
 
     def __init__(self, tag, parent, label, noise):
         self.tag, self.parent, self.label, self.noise = tag, parent, label, noise
-        self.score, self.items, self.children = 0.0, [], []
+        self.score, self.chars, self.items, self.children = 0.0, 0, [], []
 
     def path(self) -> str:
         out, node = [], self
@@ -75,7 +82,7 @@ def _attributes(tag_text: str) -> dict[str, str]:
 
 
 def _label(tag: str, classes: str) -> str:
-    names = sorted({g for c in classes.lower().split() if (g := _HASHED.sub("", c).strip("_-"))})
+    names = sorted({g for c in re.split(r"[\s.>]+", classes.lower()) if (g := _HASHED.sub("", c).strip("_-"))})
     return ".".join([tag, *names])
 
 
@@ -174,16 +181,19 @@ def parse(page: str) -> Node:
 
 
 def _score(body: Node) -> None:
-    """Characters of text outside boilerplate, those of links counted against it."""
+    """Characters of text outside boilerplate (``chars``); those of links counted against
+    it (``score``)."""
     order, todo = [], [(body, False)]
     while todo:
         node, in_link = todo.pop()
         order.append(node)
         own = sum(len(" ".join(entities.unescape(x).split())) for x in node.items if isinstance(x, str))
+        node.chars = own
         node.score = -0.5 * own if in_link else float(own)
         todo.extend((c, in_link or c.tag == "a") for c in node.children if not c.noise)
     for node in reversed(order[1:]):
         node.parent.score += node.score
+        node.parent.chars += node.chars
 
 
 def best_container(body: Node) -> Node:
@@ -198,15 +208,15 @@ def best_container(body: Node) -> Node:
     return node
 
 
-def containers(body: Node) -> dict[str, list[Node]]:
-    """Containers outside boilerplate by generalised path, in page order."""
-    found: dict[str, list[Node]] = {}
-    todo = [body]
+def containers(body: Node) -> list[Node]:
+    """Containers of any text outside boilerplate, in page order, once ``_score`` ran."""
+    found, todo = [], [body]
     while todo:
         node = todo.pop()
-        if node.tag in CONTAINERS:
-            found.setdefault(node.path(), []).append(node)
-        todo.extend(c for c in reversed(node.children) if not c.noise)
+        if node.chars:
+            if node.tag in CONTAINERS:
+                found.append(node)
+            todo.extend(c for c in reversed(node.children) if not c.noise)
     return found
 
 
@@ -243,13 +253,56 @@ def vote(page: str | None) -> tuple[str, float]:
     return (node.path(), node.score) if node.score > 0 else ("", 0.0)
 
 
-def extract(page: str | None, winners: list[str]) -> tuple[str, str]:
-    """(text, path) from the first path of ``winners`` that the page has, else its own best."""
+def outline(page: str | None) -> tuple[int, list[int], list[str]]:
+    """(place of the page's vote or -1, places of the containers' next outer containers or
+    -1, their paths from there): a page's containers without their text."""
     body = parse(page or "")
+    best = best_container(body)
     found = containers(body)
-    path = next((w for w in winners if w in found), None)
-    nodes = found[path] if path is not None else [best_container(body)]
-    return "\n".join(t for n in nodes for t in blocks(n)), path if path is not None else nodes[0].path()
+    place = {id(n): i for i, n in enumerate(found)}
+    outer, steps = [], []
+    for node in found:
+        labels, up = [node.label], node.parent
+        while up is not None and id(up) not in place and up.tag != "html":
+            labels.append(up.label)
+            up = up.parent
+        outer.append(place.get(id(up), -1))
+        steps.append(">".join(reversed(labels)))
+    return (place[id(best)] if best.score > 0 else -1), outer, steps
+
+
+def class_words(step: str) -> set[str]:
+    return {w for label in step.split(">") for w in label.split(".")[1:]}
+
+
+def common_path(step: str, words: frozenset[str]) -> str:
+    """``step`` without the class words that are not in ``words``."""
+    labels = (label.split(".") for label in step.split(">"))
+    return ">".join(".".join([tag, *(w for w in names if w in words)]) for tag, *names in labels)
+
+
+def choose(found: list[Node], listed: dict[str, tuple[int, list[int]]]) -> str | None:
+    """The path of ``listed`` (votes of other pages, places in ``found``) to read the page from."""
+    return min((p for p, (votes, _) in listed.items() if votes > 0), key=lambda p: (-listed[p][0], len(p), p), default=None)
+
+
+def extract(page: str | None, voted: list[tuple[int, int, str]]) -> tuple[str, str]:
+    """(text, path) of a page from its containers that have votes (place, votes, path), its
+    own vote among them; from its own best if no other page voted for any."""
+    body = parse(page or "")
+    best = best_container(body)
+    found = containers(body)
+    listed: dict[str, tuple[int, list[int]]] = {}
+    for at, votes, path in sorted(set(voted)):
+        listed.setdefault(path, (votes, []))[1].append(at)
+    own = next((p for p, (_, places) in listed.items() if any(found[i] is best for i in places)), None)
+    if own is not None and best.score > 0:
+        listed[own] = (listed[own][0] - 1, listed[own][1])
+    path = choose(found, listed)
+    nodes = [best] if path is None else [found[i] for i in listed[path][1]]
+    if path is None:
+        path = best.path() if own is None else own
+    return "\n".join(t for n in nodes for t in blocks(n)), path
 
 
 def host_of(url):
@@ -262,30 +315,67 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
 
     Blocks are joined by one line feed, white space inside a block is one space, character
     references are decoded. Null and empty pages give an empty text; pages without a host
-    vote together; repeated rows vote and are extracted once each; ties in votes go to the
-    shorter, then smaller path; an empty table gives no row; other columns are ignored."""
+    follow their own vote; repeated rows vote and are extracted once each; ties in votes go
+    to the shorter, then smaller path; an empty table gives no row; other columns are
+    ignored. A class word counts if two pages of the host, and one in ``COMMON``, have it
+    (a host of one page: any)."""
+
+    def outlines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [outline(h) for h in pdf["html"]]
+            yield pd.DataFrame({"row": pdf["row"], "host": pdf["host"], "best": [b for b, _, _ in got],
+                                "outer": [o for _, o, _ in got], "steps": [s for _, _, s in got],
+                                "words": [sorted(set().union(*map(class_words, s))) for _, _, s in got]})
 
-    def votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh3_128_digest
         for pdf in batches:
-            got = [vote(h) for h in pdf["html"]]
-            yield pd.DataFrame({"host": pdf["host"], "path": [p for p, _ in got], "score": [s for _, s in got]})
+            out = []
+            for row, host, best, outer, steps, words in zip(*[pdf[c] for c in ("row", "host", "best", "outer", "steps", "common")]):
+                common = frozenset(words if words is not None else ())
+                steps = [common_path(s, common) for s in steps]
+                made: list[bytes] = []
+                for o, s in zip(outer, steps):
+                    made.append(digest((made[o] if o >= 0 else host.encode() + b"\0") + s.encode()))
+                path, at = [], best
+                while at >= 0:
+                    path.append(steps[at])
+                    at = outer[at]
+                vote = ">".join(reversed(path))
+                out += [(row, i, k, vote if i == best else None) for i, k in enumerate(made)]
+            yield pd.DataFrame(out, columns=["row", "place", "key", "vote"])
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [extract(h, list(w) if w is not None else []) for h, w in zip(pdf["html"], pdf["winners"])]
+            got = [extract(h, [(v["place"], v["votes"], v["path"]) for v in w] if w is not None else [])
+                   for h, w in zip(pdf["html"], pdf["voted"])]
             yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "host": pdf["host"],
                                 "path": [p for _, p in got], "text": [t for t, _ in got]})
 
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
                         F.col(f"`{html_col}`").alias("html"), host_of(F.col(f"`{url_col}`")).alias("host"))
-    counted = (rows.select("host", "html").mapInPandas(votes, "host string, path string, score double")
-               .filter("path <> ''").groupBy("host", "path").agg(F.count("*").alias("votes")))
-    # A host's paths are few: its templates. Most votes first.
-    winners = counted.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(
-        F.struct((-F.col("votes")).alias("v"), F.length("path").alias("l"), "path"))), lambda x: x["path"]).alias("winners"))
-    # A host may hold a third of the pages: its pages go to SALTS places, its few paths to each of them.
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    winners = winners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (salted.join(winners, ["host", "_salt"], "left")
+    # Rows of the same id, host and page have the same outcome.
+    rows = rows.withColumn("row", F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("-")),
+                                                            F.length("host"), "host", F.coalesce("html", F.lit(""))))))
+    # Pages without a host have no siblings.
+    made = materialise(rows.filter("host <> ''").select("row", "host", "html").mapInPandas(
+        outlines, "row binary, host string, best int, outer array<int>, steps array<string>, words array<string>")
+        .filter("size(steps) > 0"))
+    sizes = made.groupBy("host").agg(F.count("*").alias("pages"))
+    counted = made.select("host", F.explode("words").alias("word")).groupBy("host", "word").agg(F.count("*").alias("n"))
+    # Of a host, at most COMMON times the words of a page: their shares add up to that mean.
+    common = (counted.join(sizes, "host").filter((F.col("n") * COMMON >= F.col("pages")) & ((F.col("n") > 1) | (F.col("pages") == 1)))
+              .groupBy("host").agg(F.collect_list("word").alias("common")))
+    # A host may hold a third of the pages: its outlines go to SALTS places, its words to each of them.
+    common = common.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = made.drop("words").withColumn("_salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    keyed = materialise(salted.join(common, ["host", "_salt"], "left").mapInPandas(
+        keys, "row binary, place int, key binary, vote string"))
+    votes = keyed.filter("vote is not null").groupBy("key").agg(F.count("*").alias("votes"), F.min("vote").alias("path"))
+    # A path may be on most pages (the body): its votes go to SALTS places as well.
+    votes = votes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    voted = (keyed.drop("vote").withColumn("_salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(votes, ["key", "_salt"])
+             .groupBy("row").agg(F.collect_list(F.struct("place", "votes", "path")).alias("voted")))
+    return (rows.join(voted, "row", "left").drop("row")
             .mapInPandas(texts, "page_id long, url string, host string, path string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -81,6 +81,19 @@ def test_elements_of_any_depth_are_closed_and_left_out(spark):
     assert html_consensus.vote("<b><p>x" * 20_000)[1] == 20_000
 
 
+def test_pages_with_their_own_class_words_vote_together(spark):
+    page = "<body class='single slug-{a}'><div class='post category-{b} tag-{a}'><p>{text}</p></div><div class='extra'><p>{more}</p></div></body>"
+    name = lambda n: "".join(chr(103 + int(c)) for c in str(n))  # noqa: E731  no digits, no hash
+    rows = [(i, "http://h/x", page.format(a=name(i), b=name(i % 15), text="text " * 100, more="")) for i in range(40)]
+    rows += [(90, "http://h/y", page.format(a="short", b="other", text="Short.", more="noise " * 50))]
+    rows += [(91, url, page.format(a="short", b="other", text="Short.", more="noise " * 50)) for url in (None, "/rel", "//h/x")]
+    rows += [(92, None, page.format(a=name(i), b="q", text="text " * 100, more="")) for i in range(5)]
+    got = html_consensus.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    assert {(r.text, r.path) for r in got if r.page_id == 90} == {("Short.", "body.single>div.post")}
+    assert [r.text for r in got if r.page_id == 91] == [" ".join(["noise"] * 50)] * 3  # no host: their own votes
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
