@@ -7,8 +7,8 @@
    and hashes taken out, and words that few of the host's pages have: names of an article,
    a category or a tag). Votes are added up per host and path in Spark, and each page's own
    containers are joined with them; no list of a host's paths is made.
-3. Each page is extracted again from its host's winning path: the path of most votes of
-   other pages that the page has. So pages that are short, cut off or full of adverts
+3. Each page is extracted again from its host's winning path: of the paths that hold text
+   on the page, the one of most votes of other pages times the page's own score. So pages that are short, cut off or full of adverts
    follow their siblings. A page without any such path, or without a host, follows its
    own vote.
 """
@@ -282,8 +282,20 @@ def common_path(step: str, words: frozenset[str]) -> str:
 
 
 def choose(found: list[Node], listed: dict[str, tuple[int, list[int]]]) -> str | None:
-    """The path of ``listed`` (votes of other pages, places in ``found``) to read the page from."""
-    return min((p for p, (votes, _) in listed.items() if votes > 0), key=lambda p: (-listed[p][0], len(p), p), default=None)
+    """The path of ``listed`` (votes of other pages, places in ``found``) to read the page from.
+
+    Votes count by the score the path has on this page, so an empty or short container of
+    another template does not win over the page's own; inside the one chosen, a path of
+    more votes goes first. If all have only links, votes alone count."""
+    voted = {p: (votes, sum(found[i].score for i in places)) for p, (votes, places) in listed.items() if votes > 0}
+    scored = {p: v for p, v in voted.items() if v[1] > 0}
+    if not scored:
+        return min(voted, key=lambda p: (-voted[p][0], len(p), p), default=None)
+    path, inside = None, scored
+    while inside:
+        path = min(inside, key=lambda p: (-inside[p][0] * inside[p][1], -inside[p][0], len(p), p))
+        inside = {p: v for p, v in inside.items() if p.startswith(path + ">") and v[0] > inside[path][0]}
+    return path
 
 
 def extract(page: str | None, voted: list[tuple[int, int, str]]) -> tuple[str, str]:
@@ -315,8 +327,8 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
 
     Blocks are joined by one line feed, white space inside a block is one space, character
     references are decoded. Null and empty pages give an empty text; pages without a host
-    follow their own vote; repeated rows vote and are extracted once each; ties in votes go
-    to the shorter, then smaller path; an empty table gives no row; other columns are
+    follow their own vote; repeated rows vote and are extracted once each; ties go
+    to more votes, then the shorter, then smaller path; an empty table gives no row; other columns are
     ignored. A class word counts if two pages of the host, and one in ``COMMON``, have it
     (a host of one page: any)."""
 

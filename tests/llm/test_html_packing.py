@@ -94,6 +94,16 @@ def test_pages_with_their_own_class_words_vote_together(spark):
     assert [r.text for r in got if r.page_id == 91] == [" ".join(["noise"] * 50)] * 3  # no host: their own votes
 
 
+def test_a_page_of_a_second_template_keeps_its_article(spark):
+    first = "<body><div class='content'><p>" + "first kind " * 50 + "</p></div></body>"
+    second = "<body><div class='content'>{teaser}</div><div class='story'><p>" + "second kind " * 50 + "</p></div></body>"
+    rows = [(i, "http://h/1", first) for i in range(30)]
+    rows += [(100 + i, "http://h/2", second.format(teaser=t)) for i, t in enumerate(["", "<p>Read on</p>", "<p> </p>", "<p><a href='/'>more</a></p>"] * 3)]
+    got = {r.page_id: (r.text, r.path) for r in html_consensus.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert set(got[i] for i in range(30)) == {(" ".join(["first kind"] * 50), "body>div.content")}
+    assert set(got[100 + i] for i in range(12)) == {(" ".join(["second kind"] * 50), "body>div.story")}
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
