@@ -5,8 +5,9 @@
 2. *Weights.* Counts of labelled toxic and other documents give each token a log-odds
    ratio with a Dirichlet prior (its share of all documents of the corpus); the lower
    confidence bound, if above zero, is its weight. Tokens that pass are weighed again by
-   the distinct contexts (the words on both sides) they occur in, so that copies of a
-   document, or a word repeated in it, count once. A word has its best token's weight;
+   the distinct documents they occur in, told apart by MinHashes of their word pairs: copies
+   and near copies of a document count once, a passage repeated in different documents
+   counts in each. A word has its best token's weight;
    every word without one costs ``GAP``.
 3. *Segments.* A linear scan finds every maximal-scoring segment of a text.
 4. *Calibration.* For random words the best score follows an extreme-value law,
@@ -30,16 +31,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import materialise
+from strata.llm.minhash_bayes import SEED, Shingler, hash_functions, signature
 
 #: Labelled rows read for learning words at most (in expectation; by a hash of the id).
 FIT_ROWS = 24_000
 BEGINNINGS = range(4, 9)  # lengths of beginnings that are tokens
-MIN_TOXIC = 4        # toxic documents, and contexts, a token must occur in to be learnt
+MIN_TOXIC = 4        # distinct toxic documents a token must occur in to be learnt
+SKETCHES = 5         # MinHashes whose distinct values are counted, on average
 PRIOR = 10.0         # pseudo-documents of the corpus' shares
 FLOOR = 0.5          # pseudo-count of any token in either class
 BOUND = 2.33         # standard errors below the log-odds
@@ -222,17 +224,16 @@ def learn_weights(rows: DataFrame, marked: DataFrame, *, fit_rows: int = FIT_ROW
                     got[i] += 1
         yield pd.DataFrame({"i": np.arange(-1, len(names)), "n": np.concatenate([[docs], got])})
 
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, digest = Remember(places_of), xxhash.xxh3_64_intdigest
+    def sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, shingler, (a, b) = Remember(places_of), Shingler(2), hash_functions(SEED, SKETCHES)
         for pdf in batches:
             out = set()
             for text, y in zip(pdf["text"], pdf["y"]):
-                words = ["", *(text or "").split(), ""]
-                for k in range(1, len(words) - 1):
-                    if known[words[k]]:
-                        code = digest(f"{words[k - 1]} {words[k + 1]}") >> 1
-                        out.update((i, y, code) for i in known[words[k]])
-            yield pd.DataFrame(sorted(out), columns=["i", "y", "code"])
+                met = {i for w in set((text or "").split()) for i in known[w]}
+                if met:
+                    codes = signature(shingler(text), a, b).tolist()
+                    out.update((i, y, j, code) for i in met for j, code in enumerate(codes))
+            yield pd.DataFrame(sorted(out), columns=["i", "y", "j", "code"])
 
     share, docs = np.zeros(len(names)), 1
     for r in rows.select("text").mapInPandas(corpus, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
@@ -242,10 +243,10 @@ def learn_weights(rows: DataFrame, marked: DataFrame, *, fit_rows: int = FIT_ROW
             share[r["i"]] = r["n"]
     share = share / docs
     met = np.zeros((len(names), 2))
-    for r in (texts.mapInPandas(contexts, "i int, y int, code long").distinct()
+    for r in (texts.mapInPandas(sketches, "i int, y int, j int, code long").distinct()
               .groupBy("i", "y").agg(F.count("*").alias("n")).collect()):
-        met[r["i"], r["y"]] = r["n"]
-    # Fewer contexts than documents: copies. Then the documents count as much as the contexts.
+        met[r["i"], r["y"]] = r["n"] / SKETCHES
+    # Fewer sketches than documents: copies.
     d1, d0 = likely["d1"].to_numpy(float), likely["d0"].to_numpy(float)
     n1, n0 = np.minimum(met[:, 1], d1), np.minimum(met[:, 0], d0)
     delta = log_odds_bound(n1, n0, size["d1"], size["d0"], share)

@@ -64,6 +64,33 @@ def test_toxicity_on_held_out_labels(spark):
         assert not r.predicted or words & {w.lower().strip(".,") for w in said}
 
 
+def test_a_repeated_toxic_passage_counts_in_each_document(spark, make_docs):
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    vocabulary = ["".join(rng.choice(letters, 6)) for _ in range(3000)]
+    said = lambda: list(rng.choice(vocabulary, 120))
+    passage = "grawlix mumpsimus snollygoster fopdoodle zounderkite rakefire".split()
+    rows, labels = [], []
+    for d in range(400):
+        words = said()
+        at = int(rng.integers(0, 120))
+        rows.append((d, " ".join(words[:at] + passage * (d < 100) + words[at:])))
+        labels.append((d, int(d < 100)))
+    copied = ["qq" + w for w in said()]  # words of no other document
+    for d in range(400, 450):  # near copies of one toxic document
+        words = [*copied]
+        words[int(rng.integers(0, 120))] = f"edit{d}"
+        rows.append((d, " ".join(words)))
+        labels.append((d, 1))
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    docs = make_docs(*rows)
+    learnt = toxic_segments.learn_weights(docs.select("doc_id", "text"), labels.withColumnRenamed("toxic", "y"))
+    assert all(learnt.of(w) for w in passage) and not any(learnt.of(w) for w in copied)
+    got = {r.doc_id: r.predicted for r in toxic_segments.score_documents(docs, labels, learn=F.col("doc_id") % 2 == 0).collect()}
+    assert all(got[d] == 1 for d in range(1, 100, 2))  # 50 learnt from, 50 held out
+    assert np.mean([got[d] for d in range(101, 400, 2)]) <= 0.05
+
+
 def brute_segments(scores):
     """All maximal segments by their definition: recursion on the best segment."""
     out = []
