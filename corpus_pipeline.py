@@ -21,9 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the rows whose text the classifier does not reject. It learns from the labels
     that the operator's query learns from."""
     prepare(spark)
-    scored = quality_qda.score_documents(docs, table(spark, sf_dir, "labels"), learn=crc_mod(F.col("doc_id"), 3) != 1)
-    rejected = scored.filter("predicted = 0").select(F.col("doc_id").alias("_rejected")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_rejected")), "left_anti")
+    return quality_qda.accepted(docs, table(spark, sf_dir, "labels"), learn=crc_mod(F.col("doc_id"), 3) != 1)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -207,7 +207,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     id counts as larger than any other (a group of null ids only has a null component).
     An empty table gives no row; other columns are ignored.
     """
+    rooted = _rooted(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, threshold_percent=threshold_percent,
+                     bands=bands, rows=rows, hashes=hashes, miss=miss, seed=seed)
+    lowest = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("_low"))
+    return (rooted.join(lowest, "root", "left")
+            .select("doc_id", "n_shingles",
+                    F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("_low")).alias("component_id"))
+            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
+            threshold_percent: int = 80, bands: int = BANDS, rows: int = ROWS, hashes: int = SIGNATURE,
+            miss: float = MISS, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, node, root) of every row; with ``hashed`` also the text's hash,
+    ``sha``. Rows of one group have one root; those of no words have none."""
     a, b = hash_functions(seed, hashes)
+    more = ["sha"] if hashed else []
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(shingle_words)
@@ -222,11 +237,12 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     out.append((doc_id, 0, None, None))
             made = pd.DataFrame(out, columns=["doc_id", "n_shingles", "node", "signature"])
             made["doc_id"] = made["doc_id"].astype("Int64")
-            yield made
+            yield made.assign(**{c: pdf[c].to_numpy() for c in more})
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    described = materialise(source.mapInPandas(describe, "doc_id long, n_shingles long, node binary, signature binary"))
-    members = described.select("doc_id", "n_shingles", "node")
+    described = materialise(source.select("*", *[_text_hash("text").alias(c) for c in more]).mapInPandas(describe, ", ".join(
+        ["doc_id long, n_shingles long, node binary, signature binary", *(f"{c} string" for c in more)])))
+    members = described.select("doc_id", "n_shingles", "node", *more)
 
     width = 4 * rows
     keys = F.array(*[F.xxhash64(F.lit(k), F.substr("signature", F.lit(1 + k * width), F.lit(width))) for k in range(bands)])
@@ -283,15 +299,31 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     second = linked(_likely_across(mixed_buckets(first), signatures, limits, rows).distinct())
     roots = connected_components(first.unionByName(second))
 
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    lowest = rooted.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("_low"))
-    return (rooted.join(lowest, "root", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("_low")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
-
-
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is kept, with all their columns."""
-    kept = near_duplicates(docs, id_col=id_col, **options).filter("kept").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep")), "left_semi")
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _text_hash(text_col: str):
+    return F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
+
+
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each group of ``docs``, with all its columns: that of the smallest id (null
+    ids last), then of the smallest text hash; of equal rows one. Rows whose text has no
+    words are in no group and all stay."""
+    rooted = _rooted(docs, id_col=id_col, text_col=text_col, hashed=True, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("sha").alias("s")))
+    grouped = rooted.filter("root is not null")
+    chosen = grouped.groupBy("root").agg(first.alias("m")).select(F.col("m.d").alias("_id"), F.col("m.s").alias("_sha"))
+    wordless = rooted.filter("root is null").select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")).distinct()
+    copies = grouped.groupBy(F.col("doc_id").alias("_i"), F.col("sha").alias("_s")).agg(F.count("*").alias("_n"))
+    kept = materialise(chosen.join(copies, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_sha") == F.col("_s")))
+                       .select("_id", "_sha", "_n").unionByName(wordless.withColumn("_n", F.lit(0).cast("long"))))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (_text_hash(text_col) == F.col("_sha"))
+    if kept.filter("_n > 1").isEmpty():
+        return docs.join(kept, same, "left_semi")
+    once = docs.join(kept.filter("_n <= 1"), same, "left_semi")
+    repeated = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_did"),
+                            _text_hash(text_col).alias("_dsha"))
+                .join(kept.filter("_n > 1"), F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dsha") == F.col("_sha")), "left_semi")
+                .dropDuplicates(["_did", "_dsha"]).select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
+    return once.unionByName(repeated)

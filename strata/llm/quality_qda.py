@@ -137,15 +137,18 @@ def moments_to_model(count: np.ndarray, total: np.ndarray, outer: np.ndarray, to
     return Discriminant(centre, scale, priors, means, np.stack(shrunk))
 
 
-def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, x): the feature vector of every row."""
+def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
+    """(doc_id, x): the feature vector of every row; with ``key``, a column of ``docs``, also that."""
+    more = [] if key is None else ["key"]
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "x": [statistics(t) for t in pdf["text"]]})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "x": [statistics(t) for t in pdf["text"]],
+                                **{c: pdf[c] for c in more}})
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInPandas(describe, "doc_id long, x array<double>")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
+                       *([] if key is None else [key.alias("key")]))
+    return rows.mapInPandas(describe, ", ".join(["doc_id long, x array<double>", *(f"{c} string" for c in more)]))
 
 
 def fit(described: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
@@ -180,21 +183,33 @@ def fit(described: DataFrame, labels: DataFrame, *, label_col: str = "quality",
     return moments_to_model(v[:2], v[2:2 + 2 * d].reshape(2, d), v[2 + 2 * d:].reshape(2, d, d), **shrinkage)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns. Each row goes by
+    its own text: null and repeated ids carry no decision to other rows."""
+    said = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
+    scored = score_documents(docs, labels, id_col=id_col, text_col=text_col, key=said, **options)
+    rejected = scored.filter("predicted = 0").select(F.col("doc_id").alias("_rejected"), F.col("key").alias("_text")).distinct()
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_rejected")) & (said == F.col("_text"))
+    return docs.join(rejected, same, "left_anti")
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "quality", learn: Column | None = None, threshold: float = 0.5,
-                    fit_rows: int = FIT_ROWS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, score (probability of label 1), predicted.
+                    fit_rows: int = FIT_ROWS, key: Column | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, score (probability of label 1), predicted; and
+    ``key``, if given.
 
     Null and empty texts are scored as texts of no words. Without any label the score is
     the prior, one half. Repeated rows and null ids are scored like any other; an empty
     table gives no row; only the text enters a score."""
-    described = materialise(with_statistics(docs, id_col, text_col))
+    more = [] if key is None else ["key"]
+    described = materialise(with_statistics(docs, id_col, text_col, key))
     model = fit(described, labels, label_col=label_col, learn=learn, fit_rows=fit_rows)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             s = model.score(np.stack(pdf["x"].to_numpy())) if len(pdf) else np.zeros(0)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s, **{c: pdf[c] for c in more}})
 
-    return (described.mapInPandas(score, "doc_id long, score double")
+    return (described.mapInPandas(score, ", ".join(["doc_id long, score double", *(f"{c} string" for c in more)]))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -78,3 +78,28 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in mixed.collect()}
     assert packed.filter("piece = 0").count() == mixed.count()
     assert corpus_pipeline.run(spark, SF).count() == packed.count()
+
+
+def test_stages_decide_on_rows_of_null_and_repeated_ids(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline
+    from strata.llm import minhash_bayes
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    marked = docs.join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality"), "doc_id")
+    good = corpus_pipeline.quality(spark, docs, SF).select("doc_id")
+    clean = marked.filter("quality = 1").join(good, "doc_id", "left_semi").drop("quality").limit(6)
+    bad = marked.filter("quality = 0").join(good, "doc_id", "left_anti").drop("quality").limit(2)
+    for shared in (None, -7):
+        rows = clean.unionByName(bad).withColumn("doc_id", F.lit(shared).cast("long")).select(docs.columns)
+        left = sorted(r.text for r in corpus_pipeline.quality(spark, docs.unionByName(rows), SF)
+                      .filter(F.col("doc_id").eqNullSafe(F.lit(shared).cast("long"))).collect())
+        assert left == sorted(r.text for r in clean.collect())
+
+    a, b, c, d = ("".join(f"{k}{i} " for i in range(60)) for k in "abcd")
+    rows = [(None, a), (None, a + "end"), (None, b), (3, b), (None, c), (None, c), (5, d), (5, d), (5, d + "end"), (5, "other words"),
+            (None, ""), (None, ""), (6, None)]
+    got = [(r.doc_id, r.text) for r in minhash_bayes.deduplicate(make_docs(*rows)).collect()]
+    count = lambda *texts: [i for i, t in got if t in texts]
+    assert count(a, a + "end") == [None] and count(b) == [3] and count(c) == [None] and count(d, d + "end") == [5]
+    assert count("other words") == [5] and count("") == [None, None] and count(None) == [6] and len(got) == 8
