@@ -12,6 +12,8 @@
    out across components. Between the two passes, members outside a bucket's largest
    component meet a few of its members, other ones in each bucket and round, which joins
    most that belong to it; and of the buckets a pair shares only the first makes it.
+   Members that stay below the threshold are never joined: a bucket of n of them (much
+   shared boilerplate) still costs n * n comparisons of signatures.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
    reaches the threshold; below ``miss`` the pair is pruned.
