@@ -7,12 +7,14 @@ for those that SQL can express."""
 from __future__ import annotations
 
 import os
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import (bestfit_packing, chat_roundtrip, chunk_dedup, crosspolytope, html_consensus, lowdisc_mix,
-                        minhash_bayes, quality_qda, stratified_shards, toxic_segments)
+                        minhash_bayes, periodic_runs, quality_qda, relative_lz, spelling_tiles, stratified_shards,
+                        toxic_segments)
 from strata.llm.common import crc_mod, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -92,6 +94,47 @@ def op10_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stratified_shards.assign_shards(table(spark, sf_dir, "documents"), 40).drop("source")
 
 
+def op11_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_lz.repeated_passages(table(spark, sf_dir, "documents"), window=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _misspelt(doc_id: int | None):
+    """Runs of a document as the query reads them: of some, a code point is left out."""
+    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+
+    def change(run: str) -> str:
+        h = zlib.crc32(run.encode(), start)
+        at = h % len(run)
+        return run[:at] + run[at + 1:] if h % 97 == 0 else run
+
+    return change
+
+
+def op12_spelling_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling_tiles.word_counts(table(spark, sf_dir, "documents"), least_length=5, least_count=3, rewrite=_misspelt)
+    return spelling_tiles.spelling_groups(counts, ratio=2)
+
+
+def _with_period(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Words of a document as the query reads them: those of some repeat from a place on."""
+    h, n = zlib.crc32(b"" if doc_id is None else str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    a = h // 10 % n
+    p = 1 + (n - a) // (3 + h // 10 % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def op13_multiscale_minimizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents"), least_words=24, least_periods=3, rewrite=_with_period)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -108,9 +151,26 @@ def _prepared(query):
 
 QUERIES = {q.__name__: _prepared(q) for q in (
     op1_quality_qda, op2_crosspolytope, op3_html_consensus, op4_bestfit_packing, op5_chat_roundtrip, op6_minhash_bayes,
-    op7_chunk_recipes, op8_lowdisc_mix, op9_toxic_segments, op10_stratified_shards, pipeline)}
+    op7_chunk_recipes, op8_lowdisc_mix, op9_toxic_segments, op10_stratified_shards, op11_relative_lz,
+    op12_spelling_tiles, op13_multiscale_minimizers, pipeline)}
 
 _SPACE = r"[\x20\x09-\x0D]"
+# The table of crc32 (its polynomial, bits reversed, is the fixed value 3988292384).
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce([b] || list_transform(range(8), lambda k: 0::BIGINT),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS b))
+)"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of the UTF-8 bytes of a SQL text that isn't empty, with the table at hand."""
+    codes = f"list_transform(string_split(rtrim(regexp_replace(hex(encode({text})), '(..)', '\\1 ', 'g')), ' '), lambda x: ('0x' || x)::BIGINT)"
+    return (f"xor(4294967295, list_reduce([4294967295::BIGINT] || {codes}, "
+            "lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1])))")
+
 
 ORACLE = {
     "op2_crosspolytope": """
@@ -187,4 +247,88 @@ WITH t AS (
          count(*) OVER (PARTITION BY k) AS group_size FROM t
 )
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(k) AS text_sha256 FROM ranked""",
+    "op11_relative_lz": rf"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS words FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i + 1:i + 50], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(0, len(words) - 49)) AS i FROM w WHERE len(words) >= 50)
+), seen AS (SELECT h, min(doc_id) AS holder FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)
+), covered AS (
+  SELECT doc_id, list(DISTINCT i) AS places FROM (
+    SELECT doc_id, unnest(range(i, i + 50)) AS i FROM windows JOIN seen USING (h) WHERE holder < doc_id)
+  GROUP BY doc_id
+), placed AS (
+  SELECT doc_id, generate_subscripts(words, 1) - 1 AS i, unnest(words) AS word FROM w
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM placed p ANTI JOIN (SELECT doc_id, unnest(places) AS i FROM covered) c USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+    "op12_spelling_tiles": f"""
+WITH RECURSIVE {_CRC_TABLE.strip()}, runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY doc_id, run
+), hashed AS (SELECT run, c, {_crc32("doc_id::VARCHAR || ':' || run")} AS h FROM runs, crc_table
+), words AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), gaps AS (
+  SELECT DISTINCT word, n, i, left(word, i - 1) AS before, substr(word, i + 1) AS after
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b USING (i, before, after) WHERE a.word <> b.word
+  UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.before || g.after = w.word
+  UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.before || g.after = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS top FROM pairs GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+         CASE WHEN b.top >= 2 * w.n THEN (SELECT min(p.near) FROM pairs p WHERE p.word = w.word AND p.near_n = b.top) END AS form,
+         CASE WHEN b.top >= 2 * w.n THEN b.top END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), way AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT way.word, f.form FROM way JOIN formed f ON f.word = way.at WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, way.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN way USING (word) JOIN formed last ON last.word = way.at WHERE last.form IS NULL""",
+    "op13_multiscale_minimizers": rf"""
+WITH {_CRC_TABLE.strip()}, w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}+'), lambda x: x <> '') AS words FROM documents
+), h AS (SELECT doc_id, words, len(words) AS n, {_crc32("doc_id::VARCHAR")} AS h FROM w, crc_table
+), planted AS (
+  SELECT doc_id, n, words, h % 10 = 0 AND n > 0 AS planted, (h // 10) % greatest(n, 1) AS a, 3 + (h // 10) % 8 AS k FROM h
+), p AS (SELECT *, 1 + (n - a) // k AS p FROM planted
+), placed AS (
+  SELECT doc_id, n, i, CASE WHEN planted AND i >= a THEN words[a + (i - a) % p + 1] ELSE words[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM p)
+), equal AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM placed x JOIN placed y
+    ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), islands AS (
+  SELECT doc_id, q, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g, i FROM equal
+), stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length
+), best AS (
+  SELECT doc_id, count(*) AS n_runs,
+         sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256
+  FROM runs GROUP BY doc_id
+), top AS (
+  SELECT DISTINCT ON (doc_id) doc_id, start, length, period FROM runs r
+  WHERE NOT EXISTS (SELECT 1 FROM runs s WHERE s.doc_id = r.doc_id AND s.length * r.period > r.length * s.period)
+  ORDER BY doc_id, start, period
+), dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM placed ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id
+)
+SELECT w.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+       (1000 * length // period)::BIGINT AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+       sha256(coalesce(text, '')) AS collapsed_sha256
+FROM w LEFT JOIN best USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
