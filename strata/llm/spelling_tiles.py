@@ -61,9 +61,10 @@ def word_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             if len(lowered) >= HELD:
                 lowered.clear()
             if len(held) >= HELD:
-                yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+                yield pd.DataFrame(held.items(), columns=["word", "n"])
                 held = {}
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())})
+        if held:
+            yield pd.DataFrame(held.items(), columns=["word", "n"])
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     counted = source.mapInPandas(count, "word string, n long").filter(F.length("word") >= least_length)

@@ -35,7 +35,7 @@ def test_queries_are_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert set(queries.QUERIES) <= names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
 def test_columns_of_the_queries(spark):
@@ -44,6 +44,9 @@ def test_columns_of_the_queries(spark):
         "op3_": ["page_id", "url", "text", "n_chars"],
         "op4_": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
         "op8_": ["doc_id", "size", "source_size", "target", "taken"],
+        "op11_": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+        "op12_": ["word", "form", "root", "n", "n_near", "form_n"],
+        "op13_": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
         "op10_": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     }
     for start, columns in want.items():
