@@ -36,6 +36,7 @@ from strata.llm.common import materialise
 WINDOW = 50              # words that make a passage
 GRAM = 16                # words of a minimizer
 REMEMBERED = 500_000     # word hashes a task keeps; bounds memory, changes no result
+HELD = 200_000           # windows a task looks up at a time; bounds memory
 LARGEST = (1 << 63) - 1  # stands for a null id: after all others
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))  # odd: they have inverses
 _HIGH = np.uint64(0xFFFFFFFF00000000)
@@ -114,8 +115,8 @@ def blocks_of(hashes: np.ndarray, powers: list[Powers], window: int = WINDOW, gr
     return first, size, grams[place[first]], prints[0](first, ends), prints[1](first, ends)
 
 
-def _signed(x: np.ndarray) -> list[int]:
-    return x.view(np.int64).tolist() if x.dtype == np.uint64 else x.tolist()
+def _signed(x: np.ndarray) -> np.ndarray:
+    return x.view(np.int64) if x.dtype == np.uint64 else x
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -156,20 +157,25 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashed = WordHashes()
         for pdf in batches:
-            out = []
-            for uid, doc, text, parts in zip(pdf["uid"], pdf["id"], pdf["text"], pdf["parts"]):
+            out, held = [], 0
+            for uid, doc, text, first, size in zip(*[pdf[c] for c in ("uid", "id", "text", "first", "size")]):
                 hashes = hashed((text or "").encode().split())
-                at = np.unique(np.concatenate([np.arange(p["first"], p["first"] + p["size"]) for p in parts]))
+                at = np.unique(np.concatenate([np.arange(f, f + n) for f, n in zip(first, size)]))
                 h, g = (Fingerprints(p, hashes)(at, at + window) for p in fingerprints)
-                out.append((uid, doc, _signed(at), _signed(h), _signed(g)))
-            yield pd.DataFrame(out, columns=["uid", "id", "at", "h", "g"])
+                out.append((uid, doc, at.astype(np.int32), _signed(h), _signed(g)))
+                held += len(at)
+                if held >= HELD:
+                    yield pd.DataFrame(out, columns=["uid", "id", "at", "h", "g"])
+                    out, held = [], 0
+            if out:
+                yield pd.DataFrame(out, columns=["uid", "id", "at", "h", "g"])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for doc_id, text, spans in zip(pdf["doc_id"], pdf["text"], pdf["spans"]):
+            for doc_id, text, starts, stops in zip(*[pdf[c] for c in ("doc_id", "text", "start", "end")]):
                 words = (text or "").encode().split()
-                factors = merged([(s["start"], s["end"]) for s in spans]) if spans is not None else []
+                factors = merged(list(zip(starts.tolist(), stops.tolist()))) if starts is not None else []
                 kept, at = [], 0
                 for start, end in factors:
                     kept += words[at:start]
@@ -206,9 +212,11 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     parts = (found.filter("holder = id").join(several, "mini", "left_semi")
              .groupBy("uid").agg(F.collect_list(F.struct("first", "size")).alias("parts")))  # at most a text's blocks
     named = outlined.select("uid", "id", "key")
-    texts = rows.select("id", "key", "text").dropDuplicates(["id", "key"])
-    looked = materialise(named.join(parts, "uid").join(texts, ["id", "key"]).select("uid", "id", "text", "parts").mapInPandas(
-        windows, "uid long, id long, at array<int>, h array<long>, g array<long>"))
+    # Rows of one id and text have the same blocks: those of one of them.
+    wanted = named.join(parts, "uid").groupBy("id", "key").agg(F.max_by(F.struct("uid", "parts"), "uid").alias("w"))
+    looked = materialise(wanted.join(rows.select("id", "key", "text"), ["id", "key"])
+                         .select("w.uid", "id", "text", "w.parts.first", "w.parts.size")
+                         .mapInPandas(windows, "uid long, id long, at array<int>, h array<long>, g array<long>"))
     windowed = looked.select("uid", "id", F.explode(F.arrays_zip("at", "h", "g")).alias("w")).select("uid", "id", "w.*")
     first = materialise(windowed.groupBy("h", "g").agg(F.min("id").alias("holder"), F.max("id").alias("high"))
                         .filter("holder < high").select("h", "g", "holder"))
@@ -216,6 +224,6 @@ def repeated_passages(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
               .select("uid", F.col("at").alias("start"), (F.col("at") + window).alias("end")))
 
     spans = (whole.unionByName(single).groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # a text's own
-             .join(named, "uid").groupBy("id", "key").agg(F.first("spans").alias("spans")))
-    return (rows.join(spans, ["id", "key"], "left").select("doc_id", "text", "spans")
+             .join(named, "uid").groupBy("id", "key").agg(F.max_by("spans", "uid").alias("spans")))
+    return (rows.join(spans, ["id", "key"], "left").select("doc_id", "text", "spans.start", "spans.end")
             .mapInPandas(parse, "doc_id long, n_words long, n_removed long, factors array<struct<start:bigint,length:bigint>>, kept string"))
