@@ -19,7 +19,7 @@ from strata.session import work_path
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
 from strata.sources.crm import scan_crm
-from strata.streaming import silver_stream
+from strata.streaming import cart_stream, silver_stream
 
 FIRST_BATCH_END = "2024-01-20"        # batch 1: days up to here
 SECOND_BATCH_START = "2024-01-15"     # batch 2 re-loads an overlap from here on
@@ -142,6 +142,34 @@ def q_silver_upsert(L: Layers) -> DataFrame:
     return out(daily.read_silver(L.spark, P))
 
 
+@register("silver_merge_on_read", w("SELECT * FROM silver"))
+def q_silver_merge_on_read(L: Layers) -> DataFrame:
+    """Silver as base and deltas: a load, its compaction, an overlapping load and one
+    that comes again under its number; read merged, it equals one load."""
+    P = workspace(L, "silver_merge_on_read")
+    stage(L, P)
+    days = bronze_src.staged_days(L.spark, P.staging)
+    first, second = _days(None, FIRST_BATCH_END, days), _days(SECOND_BATCH_START, None, days)
+    daily.bronze_to_silver(L.spark, P, L.crm, daily.bronze_days(L.spark, P.staging, first, STAGED_WITH_ID), run_dates=first, delta=1)
+    daily.compact_silver(L.spark, P)
+    for _ in range(2):
+        raw = daily.bronze_days(L.spark, P.staging, second, STAGED_WITH_ID)
+        daily.bronze_to_silver(L.spark, P, L.crm, raw, run_dates=second, delta=2)
+    return out(daily.read_silver(L.spark, P))
+
+
+@register("stream_silver_deltas", w("SELECT * FROM silver"))
+def q_stream_silver_deltas(L: Layers) -> DataFrame:
+    """The stream of Bronze files into base and deltas: each micro-batch writes its own rows
+    only; compacted once, then read merged."""
+    P = workspace(L, "stream_silver_deltas")
+    stage(L, P)
+    silver_stream.stream_silver(L.spark, P.staging, P, L.crm, STAGED_WITH_ID, P.stream_checkpoint, max_files_per_trigger=8,
+                                merge_on_read=True)
+    daily.compact_silver(L.spark, P)
+    return out(daily.read_silver(L.spark, P))
+
+
 def _silver_in_storage(L: Layers, name: str) -> daily.Paths:
     P = workspace(L, name)
     tables.upsert(L.spark, P.silver, L.silver, ["user_session", "event_time", "product_id", "event_type"],
@@ -343,6 +371,33 @@ def q_stream_dedup(L: Layers) -> DataFrame:
     return out(tables.read_table(L.spark, P.dedup))
 
 
+_WATERMARK_AT = "(SELECT max(event_time) - INTERVAL 2 DAY FROM cleaned WHERE event_date <= DATE '2024-01-25')"
+
+
+@register("stream_dedup_watermark", w(f"""
+    SELECT 'read' AS rows, CAST(count(*) FILTER (event_date <= DATE '2024-01-25') + count(*) FILTER (event_date >= DATE '2024-01-15') AS BIGINT) AS n FROM cleaned
+    UNION ALL SELECT 'late', CAST(count(*) AS BIGINT) FROM cleaned WHERE event_date >= DATE '2024-01-15' AND event_time <= {_WATERMARK_AT}
+    UNION ALL SELECT 'written', CAST(count(*) AS BIGINT) FROM deduped
+    UNION ALL SELECT 'duplicates', CAST((SELECT count(*) FROM cleaned WHERE event_date <= DATE '2024-01-25')
+      + (SELECT count(*) FROM cleaned WHERE event_date >= DATE '2024-01-15' AND event_time > {_WATERMARK_AT}) - (SELECT count(*) FROM deduped) AS BIGINT)
+    """))
+def q_stream_dedup_watermark(L: Layers) -> DataFrame:
+    """Two drops of day files that overlap by ten days into one deduplicating stream: rows of
+    the second drop behind the watermark are late, the others of the overlap duplicates."""
+    P = workspace(L, "stream_dedup_watermark")
+    stage(L, P)
+    days, counts = bronze_src.staged_days(L.spark, P.staging), {"read": 0, "late": 0, "written": 0, "duplicates": 0}
+    for drop, (first, last) in enumerate([(None, "2024-01-25"), ("2024-01-15", None)]):
+        rows = bronze_src.scan_days(L.spark, P.staging, _days(first, last, days), STAGED_WITH_ID)
+        rows.write.mode("append").partitionBy(*bronze_src.PARTS).parquet(P.bronze)
+        got = silver_stream.stream_dedup_watermark(L.spark, P.bronze, P.dedup, STAGED_WITH_ID, P.stream_checkpoint)
+        counts = {k: n + got.get(k, 0) for k, n in counts.items()}
+        counts["read"] += sum(got.values())
+    stored = tables.read_table(L.spark, P.dedup).agg(F.lit("written").alias("rows"), F.count(F.lit(1)).alias("n"))
+    told = L.spark.createDataFrame([(k, n) for k, n in counts.items() if k != "written"], "rows string, n bigint")
+    return told.unionByName(stored)
+
+
 @register("stream_quarantine", w(f"SELECT {RAW_SELECT}, CAST(strptime(event_time, '%Y-%m-%d %H:%M:%S UTC') AS DATE) "
                                  f"AS run_date FROM quarantined WHERE {DATED}"))
 def q_stream_quarantine(L: Layers) -> DataFrame:
@@ -355,4 +410,22 @@ def q_stream_quarantine(L: Layers) -> DataFrame:
     return tables.read_table(L.spark, P.quarantine_stream).drop("batch_id")
 
 
+@register("stream_cart_abandonment", w("SELECT * FROM f_carts"))
+def q_stream_cart_abandonment(L: Layers) -> DataFrame:
+    """Carts and purchases in day files of several tasks, found in no order of time, joined
+    as streams; sessions last a month, so rows may come a month late and still count."""
+    P = workspace(L, "stream_cart_abandonment")
+    stage(L, P)
+    staged = staged_table(L, P.staging)
+    staged.repartition(4, F.xxhash64("event_id")).write.partitionBy(*bronze_src.PARTS).parquet(P.bronze)
+    last = staged.agg(F.max(F.try_to_timestamp(F.substring("event_time", 1, 19)))).first()[0]
+    closing = cart_stream.closing_events(L.spark, STAGED_WITH_ID, last, delay=cart_stream.HORIZON)
+    closing.write.mode("append").partitionBy(*bronze_src.PARTS).parquet(P.bronze)
+    got = cart_stream.stream_cart_abandonment(L.spark, P.bronze, P.fact_carts, L.crm, STAGED_WITH_ID, P.stream_checkpoint,
+                                              delay=cart_stream.HORIZON, max_files_per_trigger=50)
+    if got["late"]:
+        raise RuntimeError(f"{got['late']} rows came behind the watermark")
+    return out(cart_stream.read_stream_fact(L.spark, P.fact_carts))
+
+
 STORAGE_QUERIES.update(set(QUERIES) - _BEFORE)

@@ -176,17 +176,24 @@ def observed(obs: Observation, source: DataFrame) -> dict:
 
 
 def replace_partitions(spark: SparkSession, path: str, df: DataFrame, partition_col: str,
-                       owned: list | None = None) -> dict:
+                       owned: list | None = None, observe: bool = True) -> dict:
     """Make the table's ``owned`` partitions hold exactly ``df``'s rows (the
     day delete-then-insert). Partitions of ``owned`` that ``df`` has no rows
     for are removed, so re-loading an emptied day clears it.
 
     Rows per owned partition are observed during the write itself (no second
-    pass over ``df``). Returns those counts.
+    pass over ``df``). Returns those counts. ``observe=False`` is for micro-batches,
+    whose plans report no observations: the owned partitions are removed first, and
+    no counts are returned.
     """
     owned = [str(v) for v in (owned or [])]
     counts: dict = {}
     source = df
+    if not observe:
+        for v in owned:
+            delete_path(spark, partition_path(path, partition_col, v))
+        write_table(df, path, partition_col)
+        return counts
     if owned:
         obs = Observation("owned_partitions")
         value = F.col(partition_col).cast("string")

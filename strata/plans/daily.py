@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import schemas
-from strata.operators import tables
+from strata.operators import deltas, tables
 from strata.operators.clean import DEDUP_KEYS
 from strata.plans import gold
 from strata.plans import serving as serving_plan
@@ -51,17 +51,12 @@ def serving_schema(with_id: bool) -> T.StructType:
 
 def bronze_days(spark: SparkSession, bronze_root: str, run_dates: list[str],
                 schema: T.StructType) -> DataFrame:
-    """Rows of the given days; partition filters prune to those folders."""
-    df = spark.read.schema(schema).parquet(bronze_root)
-    cond = F.lit(False)
-    for d in run_dates:
-        p = bronze_src.day_parts(d)
-        cond = cond | ((F.col("year") == p["year"]) & (F.col("month") == p["month"]) & (F.col("day") == p["day"]))
-    return df.where(cond)
+    """Rows of the given days, read from their folders; the rest of the tree isn't listed."""
+    return bronze_src.scan_days(spark, bronze_root, run_dates, schema)
 
 
 def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFrame, observe: bool = True,
-                     run_dates: list[str] | None = None, batch_id: int | None = None) -> dict:
+                     run_dates: list[str] | None = None, batch_id: int | None = None, delta: int | None = None) -> dict:
     """Quarantine (replaced per load day) and Silver (upsert) for the raw rows
     of some days. Returns the row counts observed during the writes.
 
@@ -74,6 +69,10 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
     inside ``foreachBatch`` (micro-batch plans do not report observations).
     ``run_dates`` are the load days this call owns: their quarantine
     partitions are replaced even when a re-run quarantines nothing.
+
+    With ``delta`` (the load's number) Silver is a merge-on-read table
+    (``operators.deltas``): the rows are appended as that delta, and no stored day is
+    read or rewritten.
     """
     q_obs, s_obs = Observation("quarantine"), Observation("silver")
     q, s = silver_plan.silver_parts(raw, crm)
@@ -91,8 +90,10 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
     else:
         tables.replace_partitions(spark, P.quarantine_stream, q.withColumn("batch_id", F.lit(batch_id).cast("bigint")),
                                   "batch_id", owned=[batch_id])
-    tables.upsert(spark, P.silver, s, DEDUP_KEYS, "event_date",
-                  schema=silver_schema("event_id" in s.columns))
+    if delta is None:
+        tables.upsert(spark, P.silver, s, DEDUP_KEYS, "event_date", schema=silver_schema("event_id" in s.columns))
+    else:
+        deltas.append_delta(spark, P.silver, s, "event_date", delta)
     if not observe:
         return {}
     return {"quarantined": tables.observed(q_obs, q_src).get("rows", 0),
@@ -102,9 +103,16 @@ def bronze_to_silver(spark: SparkSession, P: Paths, crm: DataFrame, raw: DataFra
 # ---------------------------------------------------------------- Silver → serving
 
 def read_silver(spark: SparkSession, P: Paths, with_id: bool = True) -> DataFrame:
+    """Silver as stored: a table, or base and deltas merged."""
+    if tables.table_exists(spark, f"{P.silver}/delta") or tables.table_exists(spark, f"{P.silver}/base"):
+        return deltas.read_merged(spark, P.silver, silver_schema(with_id), DEDUP_KEYS, "event_date")
     return tables.read_table(spark, P.silver, silver_schema(with_id))
 
 
+def compact_silver(spark: SparkSession, P: Paths, with_id: bool = True) -> list[str]:
+    return deltas.compact(spark, P.silver, silver_schema(with_id), DEDUP_KEYS, "event_date")
+
+
 def silver_to_serving(spark: SparkSession, P: Paths, run_dates: list[str] | None,
                       with_id: bool = True) -> int:
     """Replace the serving days ``run_dates`` (every Silver day when None)

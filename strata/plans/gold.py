@@ -111,7 +111,11 @@ def abandoned(carts: DataFrame, purchases: DataFrame) -> DataFrame:
     """Carts with no purchase of the same product in the same session (a cart
     with a NULL session never matches, so it counts as abandoned), keyed."""
     left = anti_join(carts, purchases, PAIR_KEYS)
-    rows = ordinal(left, CART_KEYS, order_by=[c for c in ("event_id",) if c in carts.columns])
+    return keyed_carts(ordinal(left, CART_KEYS, order_by=[c for c in ("event_id",) if c in carts.columns]))
+
+
+def keyed_carts(rows: DataFrame) -> DataFrame:
+    """The fact's columns, with the key, of carts that have their ordinal."""
     return rows.selectExpr(
         f"{hash_key_sql('user_session', 'product_id', 'cart_time', 'rn')} AS abandonment_id",
         "user_id", "user_session", "product_id", "brand", "price", "cart_time",
