@@ -7,6 +7,8 @@ back; the oracle is the SQL of the one-shot result the runs must equal.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 from strata import catalog, oracle, schemas
 from strata.catalog import QUERIES, STORAGE_QUERIES, Layers, out, register
 from strata.operators import tables
-from strata.plans import checks, daily, gold, kpi
+from strata.plans import checks, daily, gold, kpi, publish
 from strata.session import work_path
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
@@ -346,6 +348,50 @@ register("dq_report", w(f"{catalog.SQL_NOT_NULL}\nUNION ALL {catalog.SQL_UNIQUE}
     lambda L: checks.dq_report(stored_gold(L, "dq_report")))
 
 
+# ---------------------------------------------------------------- published versions
+
+
+@register("gold_published", w("""
+    SELECT 'fact_sales' AS name, sale_id AS key, CAST(price AS VARCHAR) AS value FROM f_sales
+    UNION ALL SELECT 'fact_cart_abandonment', abandonment_id, loyalty_tier FROM f_carts
+    UNION ALL SELECT 'dim_products', CAST(product_id AS VARCHAR), category FROM d_products
+    UNION ALL SELECT 'dim_users', CAST(user_id AS VARCHAR), CAST(total_sessions AS VARCHAR) FROM d_users
+    UNION ALL SELECT 'dim_users_loyalty', CAST(user_id AS VARCHAR), loyalty_tier FROM d_users_loyalty"""))
+def q_gold_published(L: Layers) -> DataFrame:
+    """Gold published twice, then a draft with a broken dimension that its checks stop: what
+    is read is the second version, its facts made of days of both."""
+    P, serving = _serving_in_storage(L, "gold_published")
+    tables.write_table(schemas.enforced(L.crm, schemas.CRM, schemas.CRM_LENGTHS), P.crm)
+    crm, store = tables.read_table(L.spark, P.crm), publish.GoldStore(L.spark, P.gold)
+    rows = serving.drop("event_date")
+
+    def audit(draft: publish.Draft) -> DataFrame:
+        return checks.dq_report({"ecommerce_events": rows, "user_loyalty": crm, **{
+            n: draft.read(n) for n in ("dim_users_loyalty", "dim_products", "fact_sales", "fact_cart_abandonment")}})
+
+    first = serving.where(F.col("event_date") <= F.lit(FIRST_BATCH_END).cast("date")).drop("event_date")
+    publish.build(store, first, crm).publish(audit)
+    draft = publish.build(store, rows, crm)
+    # Carts whose purchase came later than the lookback are judged again.
+    draft.load("fact_cart_abandonment", lambda path: daily.fact_cart_abandonment_incremental(
+        L.spark, path, rows, full_refresh=True), full_refresh=True)
+    draft.publish(audit)
+    broken = store.draft()
+    broken.write("dim_products", store.read("dim_products").where("product_id % 2 = 0"))
+    try:
+        broken.publish(audit)
+    except AssertionError:
+        pass
+    else:
+        raise RuntimeError("a broken draft passed its checks")
+    shown = {"fact_sales": ("sale_id", "price"), "fact_cart_abandonment": ("abandonment_id", "loyalty_tier"),
+             "dim_products": ("product_id", "category"), "dim_users": ("user_id", "total_sessions"),
+             "dim_users_loyalty": ("user_id", "loyalty_tier")}
+    parts = [store.read(n).select(F.lit(n).alias("name"), F.col(k).cast("string").alias("key"), F.col(v).cast("string").alias("value"))
+             for n, (k, v) in shown.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---------------------------------------------------------------- streaming
 
 

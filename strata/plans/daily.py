@@ -116,11 +116,13 @@ def compact_silver(spark: SparkSession, P: Paths, with_id: bool = True) -> list[
 def silver_to_serving(spark: SparkSession, P: Paths, run_dates: list[str] | None,
                       with_id: bool = True) -> int:
     """Replace the serving days ``run_dates`` (every Silver day when None)
-    with Silver's non-view rows of those days; a day without rows is cleared."""
+    with Silver's non-view rows of those days; a day without rows is cleared. A row that
+    breaks the serving contract fails the job, and the stored days stay as they were."""
     silver = read_silver(spark, P, with_id)
     if run_dates is not None:
         silver = silver.where(F.col("event_date").isin([F.lit(d).cast("date") for d in run_dates]))
-    rows = serving_plan.serving(silver).withColumn("event_date", F.to_date("event_time"))
+    rows = schemas.enforced(serving_plan.serving(silver), schemas.SERVING, schemas.SERVING_LENGTHS, keep_extra=silver_plan.LINEAGE)
+    rows = rows.withColumn("event_date", F.to_date("event_time"))
     obs = Observation("serving")
     source = rows
     rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))

@@ -44,10 +44,11 @@ SILVER = _struct(
     ("loyalty_tier", S, True), ("acquisition_channel", S, True),
 )
 
+# What makes an event (its time, type, user, product and price) is never NULL.
 SERVING = _struct(
-    ("user_id", I, True), ("event_type", S, True), ("product_id", I, True),
+    ("user_id", I, False), ("event_type", S, False), ("product_id", I, False),
     ("category", S, True), ("sub_category", S, True), ("brand", S, True),
-    ("price", D, True), ("user_session", S, True), ("event_time", TS, True),
+    ("price", D, False), ("user_session", S, True), ("event_time", TS, False),
     ("loyalty_tier", S, True), ("acquisition_channel", S, True),
 )
 
@@ -85,7 +86,8 @@ SERVING_LENGTHS = {"event_type": 20, "category": 100, "sub_category": 100, "bran
                    "loyalty_tier": 20, "acquisition_channel": 50}
 
 
-def enforced(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
+def enforced(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None = None,
+             keep_extra: list[str] | None = None) -> DataFrame:
     """``conform``, and the job fails on a NULL in a column the contract declares not
     nullable or on a text longer than ``lengths`` allows (checked row by row while the
     rows are written, no extra pass). Keys are checked by ``quality.unique``."""
@@ -99,7 +101,8 @@ def enforced(df: DataFrame, schema: T.StructType, lengths: dict[str, int] | None
         if not f.nullable:
             value = F.when(col.isNull(), F.raise_error(F.lit(f"contract: {f.name} is NULL")).cast(f.dataType)).otherwise(value)
         out.append(value.alias(f.name))
-    return conform(df, schema).select(*out)
+    rows = conform(df, schema, keep_extra)
+    return rows.select(*out, *[c for c in (keep_extra or []) if c in rows.columns])
 
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: list[str] | None = None) -> DataFrame:

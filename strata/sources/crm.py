@@ -11,14 +11,15 @@ def scan_crm(spark: SparkSession, *, path: str | None = None, url: str | None =
              table: str = "crm.user_loyalty", properties: dict | None = None,
              partition_column: str = "user_id", lower_bound: int | None = None,
              upper_bound: int | None = None, num_partitions: int | None = None,
-             columns: list[str] | None = None) -> DataFrame:
+             columns: list[str] | None = None, predicates: list[str] | None = None) -> DataFrame:
     """The CRM table from Parquet (``path``) or a database (``url``).
 
-    Over JDBC the read is split into ``num_partitions`` range queries on
-    ``partition_column`` when bounds are given (one connection per task
-    instead of one for the whole table); the column selection is pushed into
-    the query. A JDBC relation has no size statistics, so joins against it
-    are never broadcast on a guess.
+    Over JDBC the read is split into several range queries on ``partition_column`` (one
+    connection per task instead of one for the whole table): those of ``predicates``
+    (``jdbc.balanced_predicates``), or ``num_partitions`` ranges of equal width between the
+    bounds, which are asked of the database where they aren't given. The column selection
+    is pushed into the query. A JDBC relation has no size statistics, so joins against
+    it are never broadcast on a guess.
     """
     cols = columns or CRM_SELECT
     if path is not None:
@@ -26,6 +27,11 @@ def scan_crm(spark: SparkSession, *, path: str | None = None, url: str | None =
     if url is None:
         raise ValueError("give path= or url=")
     props = dict(properties or {})
+    if predicates:
+        return spark.read.jdbc(url, table, predicates=predicates, properties=props).select(*cols)
+    if num_partitions and num_partitions > 1 and (lower_bound is None or upper_bound is None):
+        asked = f"(SELECT min({partition_column}) AS low, max({partition_column}) AS high FROM {table}) bounds"
+        lower_bound, upper_bound = spark.read.jdbc(url, asked, properties=props).first()
     if num_partitions and lower_bound is not None and upper_bound is not None:
         df = spark.read.jdbc(url, table, column=partition_column, lowerBound=lower_bound,
                              upperBound=upper_bound, numPartitions=num_partitions, properties=props)
