@@ -59,7 +59,8 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc
 
 def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One range, sorted by size (pieces before gaps of the same size). Rows out: a piece
-    with the gap it got (``bin``), or left over with its rank among the range's leftovers."""
+    with the gap it got (``bin``), a piece or gap left over with its rank among the range's
+    leftovers, and how many of either are left (kind 3: pieces in ``id``, gaps in ``size``)."""
     pieces: list[tuple] = []  # free pieces passed, the largest on top
     placed: list[tuple] = []
     gaps: list[tuple] = []    # gaps below which no piece was free
@@ -77,7 +78,8 @@ def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 gaps.append((ident, size))
     left = [(range_id, 0, i, n, None, k) for k, (i, n) in enumerate(pieces)]
     left += [(range_id, 1, i, n, None, k) for k, (i, n) in enumerate(gaps)]
-    out = pd.DataFrame(placed + left, columns=["range", "kind", "id", "size", "bin", "rank"])
+    told = [(range_id, 3, len(pieces), len(gaps), None, 0)] if left else []
+    out = pd.DataFrame(placed + left + told, columns=["range", "kind", "id", "size", "bin", "rank"])
     out["bin"] = out["bin"].astype("Int64")
     yield out
 
@@ -104,81 +106,82 @@ def _across(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int
     return out
 
 
-def _round(pieces: DataFrame, gaps: DataFrame, rows: int, largest: int) -> DataFrame:
-    """One round. ``pieces(id, size)``, ``gaps(bin, gap)``; returns rows of (kind, id, size,
-    bin): kind 2 placed, 0 a piece left."""
+def _round(state: DataFrame, rows: int, largest: int) -> DataFrame:
+    """One round over ``state(kind, id, size, bin)``: pieces (kind 0) and gaps (kind 1, ``id`` is
+    the sequence). Returns the next state, with what was placed in this round as kind 2."""
+    pieces = state.filter("kind = 0").select("size", F.lit(0).alias("is_gap"), "id", F.lit(0).alias("_share"))
+    gaps = state.filter("kind = 1").select(F.col("id").alias("bin"), F.col("size").alias("gap"))
     shares = gaps.withColumn("_n", F.greatest(F.lit(1), F.floor(F.col("gap") / largest)).cast("int"))
     as_gaps = shares.select(F.floor(F.col("gap") / F.col("_n")).cast("long").alias("size"), F.lit(1).alias("is_gap"),
                             F.col("bin").alias("id"), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_share"))
-    events = (pieces.select(F.col("size").cast("long"), F.lit(0).alias("is_gap"), "id", F.lit(0).alias("_share"))
-              .unionByName(as_gaps))
     order = ["size", "is_gap", "id", "_share"]
     swept = materialise(
-        events.repartitionByRange(max(1, -(-rows // ROWS_PER_RANGE)), *order).sortWithinPartitions(*order)
+        pieces.unionByName(as_gaps).repartitionByRange(max(1, -(-rows // ROWS_PER_RANGE)), *order).sortWithinPartitions(*order)
         .withColumn("_range", F.spark_partition_id()).select("size", "is_gap", "id", "_range")
         .mapInPandas(_sweep, "range int, kind int, id long, size long, bin long, rank long"))
-    counts = (swept.filter("kind < 2").groupBy("range")
-              .agg(F.sum(F.expr("int(kind = 0)")).alias("p"), F.sum(F.expr("int(kind = 1)")).alias("g")).collect())
-    pairs = _across(sorted((r["range"], r["p"], r["g"]) for r in counts))  # one row a range
-    if not pairs:
-        return swept.filter("kind <> 1").select("kind", "id", "size", "bin")
-    # At most two intervals a range.
-    spans = F.broadcast(swept.sparkSession.createDataFrame(
-        [(0, p, a, a + n, m - a) for p, a, _, _, n, m in pairs] + [(1, g, b, b + n, m - b) for _, _, g, b, n, m in pairs],
-        "kind int, range int, lo long, hi long, shift long"))
-    left = swept.filter("kind < 2").alias("l").join(
-        spans.alias("s"), (F.col("l.kind") == F.col("s.kind")) & (F.col("l.range") == F.col("s.range"))
-        & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")), "left").select(
-        F.col("l.kind").alias("kind"), "id", "size", (F.col("rank") + F.col("shift")).alias("number"))
-    met = (left.filter("kind = 0 and number is not null")
-           .join(left.filter("kind = 1").select("number", F.col("id").alias("got")), "number"))
-    return (swept.filter("kind = 2").select("kind", "id", "size", "bin")
-            .unionByName(met.select(F.lit(2).alias("kind"), "id", "size", F.col("got").alias("bin")))
-            .unionByName(left.filter("kind = 0 and number is null").select("kind", "id", "size", F.lit(None).cast("long").alias("bin"))))
+    pairs = _across(sorted((r["range"], r["id"], r["size"]) for r in swept.filter("kind = 3").collect()))  # one row a range
+    placed = swept.filter("kind = 2").select("kind", "id", "size", "bin")
+    left = swept.filter("kind = 0").select("kind", "id", "size", "bin")
+    if pairs:
+        # At most two intervals a range.
+        spans = F.broadcast(swept.sparkSession.createDataFrame(
+            [(0, p, a, a + n, m - a) for p, a, _, _, n, m in pairs] + [(1, g, b, b + n, m - b) for _, _, g, b, n, m in pairs],
+            "kind int, range int, lo long, hi long, shift long"))
+        numbered = swept.filter("kind < 2").alias("l").join(
+            spans.alias("s"), (F.col("l.kind") == F.col("s.kind")) & (F.col("l.range") == F.col("s.range"))
+            & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")), "left").select(
+            F.col("l.kind").alias("kind"), "id", "size", (F.col("rank") + F.col("shift")).alias("number"))
+        is_piece = F.col("kind") == 0
+        met = (numbered.filter("number is not null").groupBy("number")  # a piece and a gap each
+               .agg(F.max(F.when(is_piece, F.col("id"))).alias("id"), F.max(F.when(is_piece, F.col("size"))).alias("size"),
+                    F.max(F.when(~is_piece, F.col("id"))).alias("bin")))
+        placed = placed.unionByName(met.select(F.lit(2).alias("kind"), "id", "size", "bin"))
+        left = numbered.filter("kind = 0 and number is null").select("kind", "id", "size", F.lit(None).cast("long").alias("bin"))
+    rooms = (gaps.unionByName(placed.select("bin", (-F.col("size")).alias("gap"))).groupBy("bin").agg(F.sum("gap").alias("size"))
+             .filter("size > 0").select(F.lit(1).alias("kind"), F.col("bin").alias("id"), "size", F.lit(None).cast("long").alias("bin")))
+    return materialise(placed.unionByName(left).unionByName(rooms))
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to ``pieces`` (any columns, among them ``length``
-    from 1 to ``capacity``). Places in a sequence are gapless from 0."""
+    """Add ``sequence_id`` and ``offset`` to ``pieces`` (any columns, of any names but these,
+    among them ``length`` from 1 to ``capacity``). Places in a sequence are gapless from 0."""
     spark = pieces.sparkSession
-    pieces = materialise(pieces.withColumn("_id", F.monotonically_increasing_id()))
-    todo = pieces.filter(F.col("length") < capacity).select(F.col("_id").alias("id"), F.col("length").alias("size"))
+    columns = pieces.columns
+    whole = F.struct(*[F.col(f"`{c}`") for c in columns])
+    pieces = materialise(pieces.select(whole.alias("row"), F.col("length").cast("long").alias("length"), F.monotonically_increasing_id().alias("place")))
+    state = pieces.filter(F.col("length") < capacity).select(F.lit(0).alias("kind"), F.col("place").alias("id"), F.col("length").alias("size"),
+                                                             F.lit(None).cast("long").alias("bin"))
     placed: list[DataFrame] = []
-    gaps = spark.createDataFrame([], "bin long, gap long")
-    opened, stuck = 0, False
+    opened = 0
     while True:
-        n, tokens, largest, large = todo.agg(
-            F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(1)),
-            F.coalesce(F.sum(F.expr(f"int(size > {capacity // 2})")), F.lit(0))).first()
-        if not n:
+        now = state.agg(*[F.coalesce(F.expr(x), F.lit(0)).alias(k) for k, x in {
+            "n": "count_if(kind = 0)", "tokens": "sum(size) filter (where kind = 0)", "largest": "max(size) filter (where kind = 0)",
+            "large": f"count_if(kind = 0 and size > {capacity // 2})", "gaps": "count_if(kind = 1)",
+            "room": "sum(size) filter (where kind = 1)", "done": "count_if(kind = 2)"}.items()]).first()
+        if not now["n"]:
             break
-        n_gaps, room = gaps.agg(F.count("*"), F.coalesce(F.sum("gap"), F.lit(0))).first()
+        stuck = opened and not now["done"]  # a round that placed nothing: no piece left fits any gap
         if not opened:
-            new = max(large, -(-tokens // capacity))
-        else:  # a round that placed nothing: no piece left fits any gap
-            new = -(-(tokens if stuck else max(0, tokens - room)) // capacity)
+            new = max(now["large"], -(-now["tokens"] // capacity))
+        else:
+            new = -(-(now["tokens"] if stuck else max(0, now["tokens"] - now["room"])) // capacity)
         if new:
-            fresh = spark.range(opened + 1, opened + new + 1).select((-F.col("id")).alias("bin"), F.lit(capacity).cast("long").alias("gap"))
-            gaps, opened = gaps.unionByName(fresh), opened + new
-        result = materialise(_round(todo, gaps, n + n_gaps + new, largest))
-        done = result.filter("kind = 2").select("id", "size", "bin", F.lit(len(placed)).alias("round"))
-        placed.append(done)
-        used = done.groupBy("bin").agg(F.sum("size").alias("_used"))
-        gaps = materialise(gaps.join(used, "bin", "left").select("bin", (F.col("gap") - F.coalesce("_used", F.lit(0))).alias("gap"))
-                           .filter("gap > 0"))
-        todo = result.filter("kind = 0").select("id", "size")
-        stuck = done.isEmpty()
+            state = state.unionByName(spark.range(opened + 1, opened + new + 1).select(
+                F.lit(1).alias("kind"), (-F.col("id")).alias("id"), F.lit(capacity).cast("long").alias("size"), F.lit(None).cast("long").alias("bin")))
+            opened += new
+        state = _round(state, now["n"] + now["gaps"] + new, now["largest"])
+        placed.append(state.filter("kind = 2").select("id", "size", "bin", F.lit(len(placed)).alias("round")))
     # Full pieces are sequences of their own; their numbers are not below 0, the others' are.
-    full = pieces.filter(F.col("length") >= capacity).select(F.col("_id").alias("id"), F.col("_id").alias("sequence_id"),
-                                                             F.lit(0).cast("long").alias("offset"))
+    at = pieces.filter(F.col("length") >= capacity).select(F.col("place").alias("id"), F.col("place").alias("sequence_id"),
+                                                           F.lit(0).cast("long").alias("offset"))
     if placed:
         rows = placed[0]
         for more in placed[1:]:
             rows = rows.unionByName(more)
         before = Window.partitionBy("bin").orderBy("round", F.col("size").desc(), "id").rowsBetween(Window.unboundedPreceding, -1)
-        full = full.unionByName(rows.select("id", F.col("bin").alias("sequence_id"),
-                                            F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")))
-    return pieces.join(full, pieces["_id"] == full["id"]).drop("_id", "id")
+        at = at.unionByName(rows.select("id", F.col("bin").alias("sequence_id"),
+                                        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset")))
+    return pieces.join(at, pieces["place"] == at["id"]).select(*[F.col(f"row.`{c}`").alias(c) for c in columns], "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -186,7 +189,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_i
     """Pack all documents: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are pieces of one id; only documents of more than ``capacity``
-    ids are cut; repeated rows are packed once each; an empty table gives no row; other
-    columns are ignored."""
+    ids are cut, a text of any length whole; pieces of equal length go by their place; repeated
+    rows are packed once each, null ids kept; an empty table gives no row; other columns,
+    of any name, are ignored."""
     return pack_pieces(tokenised_pieces(docs, tokenizer_path, id_col=id_col, text_col=text_col,
                                         capacity=capacity, end_id=end_id), capacity)

@@ -1,12 +1,15 @@
 """Token ids of whole texts with a word-level memory.
 
-The tokenizer used for packing drops white space and never joins ids across it, so a
+A tokenizer of the rules below drops white space and never joins ids across it, so a
 text's ids are its words' ids, one after the other. Words repeat; each task keeps the ids
 of the words it has met (a bounded number of them) and asks the tokenizer for the others.
+The rules are read from the tokenizer's file; one of any other rules encodes each text
+whole, by itself.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -18,6 +21,9 @@ REMEMBERED = 600_000
 _SIMPLE = re.compile(r"[a-zA-Z0-9À-ÖØ-öø-ÿ!\"#$%&()*+,./:;=?@\[\]^_`{}~-]+\Z")
 _RUN = re.compile(r"[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
 _SPACES = re.compile("[\x20\x09-\x0d]+")
+# How such a tokenizer's file states its rules.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORDS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _ODD_SPACES = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -31,6 +37,21 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def by_words(rules: dict) -> bool:
+    """Whether a tokenizer file's rules are those that this module takes apart."""
+    def parts(name: str, inner: str) -> list:
+        given = rules.get(name) or {}
+        return given.get(inner, []) if given.get("type") == "Sequence" else [given]
+
+    split, *then = parts("pre_tokenizer", "pretokenizers")
+    model = rules.get("model") or {}
+    return (parts("normalizer", "normalizers") == _NORMALIZERS and split.get("pattern") == {"Regex": _WORDS}
+            and split.get("invert") is True and split.get("behavior") == "Removed" and len(then) == 1
+            and (then[0].get("type"), then[0].get("add_prefix_space"), then[0].get("use_regex")) == ("ByteLevel", False, False)
+            and model.get("type") == "BPE" and not model.get("dropout") and not model.get("byte_fallback")
+            and model.get("unk_token") is None)
+
+
 class WordEncoder:
     """``encode(text)``: ids of the whole text as little-endian unsigned 32-bit bytes."""
 
@@ -39,11 +60,14 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.by_words = by_words(json.loads(self.tokenizer.to_str()))
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        if not self.by_words:
+            return self._whole(text)
         words = [w for w in _SPACES.split(text) if w] if _ODD_SPACES.search(text) else text.split()
         found = list(map(self.words.get, words))
         if None in found:
@@ -63,10 +87,13 @@ class WordEncoder:
         elif _SIMPLE.match(word):
             ids = b"".join([self.runs.get(r) or self._run(r) for r in _RUN.findall(word.lower())])
         else:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self._whole(word)
         self.words[word] = ids
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _run(self, run: str) -> bytes:
         spelled = run if run.isascii() else "".join([self.letters[b] for b in run.encode()])
         ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])

@@ -119,6 +119,35 @@ def test_word_memory_gives_the_tokenizers_ids(tokenizer, spark):
         assert list(np.frombuffer(encoder.encode(text), "<u4")) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_a_tokenizer_of_other_rules_encodes_whole_texts(tokenizer, tmp_path):
+    import json
+    rules = json.loads(tokenizer.to_str())
+    assert WordEncoder(tokenizer_path()).by_words
+    changes = [lambda r: r.update(normalizer=None), lambda r: r["normalizer"]["normalizers"].pop(),
+               lambda r: r["pre_tokenizer"]["pretokenizers"][0]["pattern"].update(Regex="\\S+"),
+               lambda r: r.update(pre_tokenizer={"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True})]
+    from tokenizers import Tokenizer
+    for k, change in enumerate(changes):
+        other = json.loads(json.dumps(rules))
+        change(other)
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(other))
+        encoder = WordEncoder(str(path))
+        assert not encoder.by_words
+        for text in ("Some words, twice:  some WORDS 123", "", " a\n\nb "):
+            assert list(np.frombuffer(encoder.encode(text), "<u4")) == Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+
+
+def test_packing_keeps_all_columns_of_pieces(spark):
+    names = ["id", "length", "_id", "size", "kind", "bin", "place", "row", "a.b"]
+    df = spark.createDataFrame([(i, 10 + i % 90, i, "s", 1, 2, 3, "r", i * 2) for i in range(60)], names)
+    got = bestfit_packing.pack_pieces(df, 100)
+    assert got.columns == [*names, "sequence_id", "offset"]
+    rows = got.collect()
+    assert sorted((r["id"], r["length"], r["a.b"]) for r in rows) == [(i, 10 + i % 90, i * 2) for i in range(60)]
+    check_packing(rows, 100)
+
+
 def brute_pieces(tokenizer, rows, capacity):
     out = []
     for d, text in rows:
