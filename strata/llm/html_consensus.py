@@ -1,7 +1,8 @@
 """HTML main-text extraction with consensus host paths.
 
 1. Each page is parsed and its containers are scored by the text they hold outside
-   boilerplate, links discounted. From the body down, the page descends as long as one
+   boilerplate, links discounted. Tags, roles and hiding mark boilerplate for sure; words in
+   classes only hint at it, and give way to what names the article. From the body down, the page descends as long as one
    container holds most of the score; where it stops is its vote.
 2. A vote is a generalised path: the tags from the body down, with their classes (digits
    and hashes taken out, and words that few of the host's pages have: names of an article,
@@ -43,13 +44,23 @@ CLOSES = {**{b: {"p"} for b in BLOCKS - {"td", "th", "tr", "tbody", "thead", "tf
           "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"},
           "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th", "p"}, "body": {"head"}}
 BARRIERS = frozenset("div section article main body table ul ol dl td th blockquote aside nav header footer form".split())
-# Words in a class, id or role that mark menus, adverts, notices and reader comments.
-NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promoted|banner|banners|"
-    r"menu|nav|navbar|navigation|breadcrumb|breadcrumbs|sidebar|side|widget|widgets|header|footer|masthead|topbar|toolbar|"
-    r"comment|comments|commentlist|discussion|replies|respond|disqus|reader-comments|cookie|cookies|consent|gdpr|notice|notices|"
-    r"popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|related|recommended|"
-    r"teaser|teasers|tags|pagination|pager|copyright|legal|disclaimer|skip|hidden|alert|paywall|search|outbrain|taboola)(?:$|[\s_-])")
+# Words in a class or id that hint at menus, adverts and notices, and those of reader comments.
+NOISE = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted banner banners menu nav navbar navigation "
+    "breadcrumb breadcrumbs sidebar side widget widgets header footer masthead topbar toolbar cookie cookies consent gdpr notice notices "
+    "popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended teaser teasers tags "
+    "pagination pager copyright legal disclaimer skip hidden alert paywall search outbrain taboola".split())
+COMMENTS = frozenset("comment comments commentlist discussion replies respond disqus".split())
+# What says something about an element rather than what it is: a state, a layout or a subject.
+_ABOUT = re.compile(
+    r"(?:has|no|not|non|with|without|is|are|can|show|shows|hide|hides|js|category|cat|tag|topic|subject|section|type|format|status|author|"
+    r"lang|page|single|template|theme|layout|view|style|skin|color|bg|col|row|grid|span|size|align|float|m|p|u)[-_].*"
+    r"|.*[-_](?:enabled|disabled|on|off|open|closed|active|inactive|visible|allowed|ready|loaded|less|free|layout|theme|template|style)", re.S)
+# Classes that usually name the article's own text.
+ARTICLE_WORDS = frozenset(
+    "article articlebody article-body article-content article-text article__body article__content content entry entry-content "
+    "entry__content main-content page-content post post-body post-content post-text post__body post__content single-content story "
+    "story-body story-content story-text story__body text-content td-post-content".split())
 NOISY_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 SALTS = 32           # places a host's pages are dealt to
 COMMON = 10          # a class word counts if one in so many of the host's pages has it
@@ -58,15 +69,15 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
                     r"|</?[a-zA-Z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|</?[a-zA-Z][^<>]*+>"
                     r"|</?[a-zA-Z][^<]*\Z|[^<]+|<", re.S)
 _TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _HASHED = re.compile(r"[0-9]+|(?<=[_-])[0-9a-f]{6,}")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "label", "noise", "score", "chars", "items", "children")
+    __slots__ = ("tag", "parent", "label", "noise", "hint", "named", "score", "chars", "items", "children")
 
-    def __init__(self, tag, parent, label, noise):
-        self.tag, self.parent, self.label, self.noise = tag, parent, label, noise
+    def __init__(self, tag, parent, label, noise, hint="", named=False):
+        self.tag, self.parent, self.label, self.noise, self.hint, self.named = tag, parent, label, noise, hint, named
         self.score, self.chars, self.items, self.children = 0.0, 0, [], []
 
     def path(self) -> str:
@@ -87,15 +98,104 @@ def _label(tag: str, classes: str) -> str:
 
 
 def _is_noise(tag: str, a: dict[str, str], inside_article: bool) -> bool:
+    """Whether an element is surely no text of the article: by its tag, its role, or hidden."""
     if tag in BOILERPLATE and not (tag == "header" and inside_article):
         return True
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or a.get("role", "").lower() in NOISY_ROLES:
         return True
-    if re.search(r"display\s*:\s*none", a.get("style", ""), re.I):
-        return True
+    return bool(re.search(r"display\s*:\s*none", a.get("style", ""), re.I))
+
+
+def _hint(tag: str, a: dict[str, str]) -> str:
+    """What the class and id hint at: "noise", "comments" or nothing. The words of a name count
+    where it says what the element is (``share-bar``, ``post__comments``), not in what it says
+    about it (``has-sidebar``, ``category-search``, ``story--no-comments``)."""
     if tag in ("body", "html", "main"):
-        return False
-    return bool(NOISE.search(a.get("class", "").lower()) or NOISE.search(a.get("id", "").lower()))
+        return ""
+    found = ""
+    for name in f"{a.get('class', '')} {a.get('id', '')}".lower().split():
+        name = name.split("--")[0]
+        if not name or _ABOUT.fullmatch(name):
+            continue
+        words = set(re.split(r"[-_]+", name))
+        if words & COMMENTS:
+            return "comments"
+        if words & NOISE:
+            found = "noise"
+    return found
+
+
+def _names_article(tag: str, a: dict[str, str]) -> bool:
+    return (tag in ("article", "main") or a.get("role", "").lower() in ("main", "article") or a.get("itemprop", "").lower() == "articlebody"
+            or not ARTICLE_WORDS.isdisjoint(a.get("class", "").lower().split()) or a.get("id", "").lower() in ARTICLE_WORDS)
+
+
+def _text_size(parts: list) -> int:
+    return sum(len(" ".join(entities.unescape(x).split())) for x in parts if isinstance(x, str))
+
+
+def _weigh_hints(body: Node) -> None:
+    """Settle which elements with a hint are left out (``noise``).
+
+    A hint alone doesn't take the article away. Text is weighed where it lies: in full
+    outside all hints, a quarter of it under a hint of noise, none under one of comments; links count
+    against it. Of the elements that name an article, the one of most weight is the
+    article, and no hint on it or above it counts. Where there is none and the hints would
+    leave no text, the same holds for the element under hints that has most. Hints inside
+    the article count, unless nothing but headings would be left of it."""
+    order, todo = [], [(body, "", False)]
+    outer: dict[int, str] = {}  # the strongest hint on or above an element
+    weight: dict[int, float] = {}
+    while todo:
+        node, above, in_link = todo.pop()
+        mark = "comments" if "comments" in (above, node.hint) else node.hint or above
+        outer[id(node)] = mark
+        order.append(node)
+        own = _text_size(node.items)
+        weight[id(node)] = (-0.5 if in_link else 1.0) * own * {"": 1.0, "noise": 0.25, "comments": 0.0}[mark]
+        node.chars = own if not mark and node.tag not in HEADINGS else 0
+        todo.extend((c, mark, in_link or c.tag == "a") for c in node.children if not c.noise)
+    for node in reversed(order[1:]):
+        weight[id(node.parent)] += weight[id(node)]
+        if node.tag not in HEADINGS:
+            node.parent.chars += node.chars
+    if all(not outer[id(n)] for n in order):
+        return
+
+    def clear(node: Node) -> None:
+        while node is not None:
+            node.hint = ""
+            node = node.parent
+
+    named = [n for n in order if n.named and weight[id(n)] > 0]
+    article = max(named, key=lambda n: weight[id(n)], default=None)  # of equal ones the outermost
+    if article is None and body.chars == 0:
+        hinted = [n for n in order if n.hint == "noise" and outer[id(n)] == "noise" and weight[id(n)] > 0]
+        article = max(hinted, key=lambda n: weight[id(n)], default=None)
+    if article is not None:
+        clear(article)
+        size, hinted = _open_text(article)
+        while not size and any(weight[id(n)] > 0 for n in hinted):  # the largest part under a hint is the text
+            part = max(hinted, key=lambda n: weight[id(n)])
+            part.hint = ""
+            size, hinted = _open_text(part)
+    for node in order:
+        node.noise = node.noise or bool(node.hint)
+
+
+def _open_text(node: Node) -> tuple[int, list[Node]]:
+    """Size of the text below ``node`` outside headings, hints and noise; the elements hinted
+    to be noise that are met on the way."""
+    size, hinted, todo = 0, [], [node]
+    while todo:
+        n = todo.pop()
+        size += _text_size(n.items)
+        for c in n.children:
+            if c.hint == "noise" and not c.noise:
+                hinted.append(c)
+            elif not c.noise and not c.hint and c.tag not in HEADINGS:
+                todo.append(c)
+    return size, hinted
 
 
 def parse(page: str) -> Node:
@@ -166,7 +266,7 @@ def parse(page: str) -> Node:
             close(k)
         parent = stack[-1]
         a = _attributes(token)
-        node = Node(tag, parent, _label(tag, a.get("class", "")), _is_noise(tag, a, articles > 0))
+        node = Node(tag, parent, _label(tag, a.get("class", "")), _is_noise(tag, a, articles > 0), _hint(tag, a), _names_article(tag, a))
         parent.items.append(node)
         parent.children.append(node)
         if tag not in VOID and not token.endswith("/>"):
@@ -177,6 +277,7 @@ def parse(page: str) -> Node:
                 below[-1].setdefault(tag, []).append(len(stack))
             articles += tag in ("article", "main")
             stack.append(node)
+    _weigh_hints(body)
     return body
 
 
@@ -187,7 +288,7 @@ def _score(body: Node) -> None:
     while todo:
         node, in_link = todo.pop()
         order.append(node)
-        own = sum(len(" ".join(entities.unescape(x).split())) for x in node.items if isinstance(x, str))
+        own = _text_size(node.items)
         node.chars = own
         node.score = -0.5 * own if in_link else float(own)
         todo.extend((c, in_link or c.tag == "a") for c in node.children if not c.noise)
@@ -387,7 +488,7 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
     # A path may be on most pages (the body): its votes go to SALTS places as well.
     votes = votes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     voted = (keyed.drop("vote").withColumn("_salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(votes, ["key", "_salt"])
-             .groupBy("row").agg(F.collect_list(F.struct("place", "votes", "path")).alias("voted")))
+             .groupBy("row").agg(F.collect_set(F.struct("place", "votes", "path")).alias("voted")))  # repeated rows: once
     return (rows.join(voted, "row", "left").drop("row")
             .mapInPandas(texts, "page_id long, url string, host string, path string, text string")
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -202,3 +202,67 @@ def test_packing_of_odd_tables(spark, make_docs, tokenizer):
     rows = bestfit_packing.pack_documents(make_docs(*source), tokenizer_path()).collect()
     assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == brute_pieces(tokenizer, source, 4096)
     check_packing(rows, 4096)
+
+
+PROSE = "<h1>The title</h1><p>" + "words of the article " * 12 + "</p><p>and its end.</p>"
+WANT = "The title\n" + " ".join(["words of the article"] * 12) + "\nand its end."
+AROUND = ("<div class='sidebar'><p>Popular things to see and do and buy this week in town.</p></div><section class='related'><article class='card'>"
+          "<p>Another story you may like to read.</p></article><article class='card'><p>And another one.</p></article></section>"
+          "<ol class='comment-list'><li><article class='comment-body'><p>" + "A reader writes at length about it. " * 30 + "</p></article></li></ol>"
+          "<div id='comments-area'><p>Leave a reply</p></div><div class='post__share-bar'>Share this</div><footer>The foot.</footer>")
+THEMES = {
+    "sidebar": "<div class='content has-sidebar'><article>{}</article></div>{}",
+    "subject": "<article class='post category-search tag-legal'>{}</article>{}",
+    "flags": "<article class='story story--no-comments share-enabled'>{}</article>{}",
+    "layout": "<div id='wrap' class='sidebar-right'><main><div class='entry-content'>{}</div></main></div>{}",
+    "layout without tags": "<div class='layout sidebar-right'><div class='post-content'>{}</div></div>{}",
+    "share above": "<div class='share-wrap'><div class='article-body'>{}</div></div>{}",
+    "widget above": "<div class='elementor-widget widget'><div class='widget-inner'><article>{}</article></div></div>{}",
+    "role": "<div class='promo' role='main'>{}</div>{}",
+    "property": "<div class='header-wide'><div itemprop='articleBody'>{}</div></div>{}",
+    "article in a hint": "<article class='post'><div class='notice-body'>{}</div></article>{}",
+    "hints in hints": "<article><div class='side'><div class='widget'>{}</div></div></article>{}",
+    "no names": "<div class='alert'><div>{}</div></div><footer>x</footer>",
+    "comments off": "<body class='no-comments single-post'><div class='comments-closed post'>{}</div>{}",
+}
+
+
+@pytest.mark.parametrize("theme", THEMES)
+def test_class_words_do_not_take_the_article(theme):
+    page = "<html><body><nav>Home</nav>" + THEMES[theme].format(PROSE, AROUND) + "</body></html>"
+    assert html_consensus.extract(page, [])[0] == WANT
+
+
+@pytest.mark.parametrize("text", [PROSE, "<p>Short.</p>"])
+def test_what_the_words_name_stays_out(text):
+    inner = "<div class='advert'><p>" + "buy this now " * 40 + "</p></div><div class='share-bar'>Share</div><ul class='tags'><li>one</li></ul>"
+    page = f"<body><div class='cookie-notice'><p>{'We use cookies on this site. ' * 20}</p></div><article>{text}{inner}</article>{AROUND}</body>"
+    assert html_consensus.extract(page, [])[0] == (WANT if text is PROSE else "Short.")
+
+
+def test_hints_of_any_depth_take_linear_time():
+    deep = "<article>" + "<div class='widget'>" * 4000 + "<p>deep text</p>" + "</div>" * 4000 + "</article>"
+    many = "<article>" + "<div class='widget'><p>part of it</p></div>" * 4000 + "</article>"
+    assert html_consensus.extract(deep, [])[0] == "deep text"
+    assert html_consensus.extract(many, [])[0] == "part of it"
+
+
+def test_words_of_classes():
+    hint = lambda c: html_consensus._hint("div", {"class": c})
+    assert {hint(c) for c in ("sidebar", "page sidebar-left", "ad", "top_ads", "post__share", "share-bar--wide", "menu")} == {"noise"}
+    assert {hint(c) for c in ("comments", "comment-body", "post__comments", "ad comment-list")} == {"comments"}
+    assert {hint(c) for c in ("", "has-sidebar", "no-comments", "category-search", "tag-legal", "story--no-comments", "share-enabled", "comments-closed",
+                              "adrift", "headers-of-state", "layout-sidebar", "search-layout")} == {""}
+
+
+def test_repeated_pages_cost_their_number(spark):
+    import time
+    page = "<body><div class='a'><div class='b'><article><p>" + "text " * 30 + "</p></article></div></div></body>"
+    took = []
+    for n in (200, 3000):
+        rows = spark.createDataFrame([(None, "http://h/x", page)] * n, "page_id long, url string, html string")
+        start = time.time()
+        got = html_consensus.extract_pages(rows).collect()
+        took.append(time.time() - start)
+        assert len(got) == n and {r.text for r in got} == {" ".join(["text"] * 30)}
+    assert took[1] < 6 * took[0] + 10
