@@ -32,6 +32,7 @@ from strata.llm.tokens import WordEncoder
 CAPACITY = 4096
 END_ID = 1
 ROWS_PER_RANGE = 100_000
+LEAST_PARTS = 16      # partitions of a state at least
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -115,10 +116,12 @@ def _round(state: DataFrame, rows: int, largest: int) -> DataFrame:
     as_gaps = shares.select(F.floor(F.col("gap") / F.col("_n")).cast("long").alias("size"), F.lit(1).alias("is_gap"),
                             F.col("bin").alias("id"), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_share"))
     order = ["size", "is_gap", "id", "_share"]
+    # Unions and shuffles add up partitions; rows are few bytes, so as many as their number needs are kept.
+    parts = max(LEAST_PARTS, -(-rows // ROWS_PER_RANGE))
     swept = materialise(
         pieces.unionByName(as_gaps).repartitionByRange(max(1, -(-rows // ROWS_PER_RANGE)), *order).sortWithinPartitions(*order)
         .withColumn("_range", F.spark_partition_id()).select("size", "is_gap", "id", "_range")
-        .mapInPandas(_sweep, "range int, kind int, id long, size long, bin long, rank long"))
+        .mapInPandas(_sweep, "range int, kind int, id long, size long, bin long, rank long")).coalesce(parts)
     pairs = _across(sorted((r["range"], r["id"], r["size"]) for r in swept.filter("kind = 3").collect()))  # one row a range
     placed = swept.filter("kind = 2").select("kind", "id", "size", "bin")
     left = swept.filter("kind = 0").select("kind", "id", "size", "bin")
@@ -139,7 +142,7 @@ def _round(state: DataFrame, rows: int, largest: int) -> DataFrame:
         left = numbered.filter("kind = 0 and number is null").select("kind", "id", "size", F.lit(None).cast("long").alias("bin"))
     rooms = (gaps.unionByName(placed.select("bin", (-F.col("size")).alias("gap"))).groupBy("bin").agg(F.sum("gap").alias("size"))
              .filter("size > 0").select(F.lit(1).alias("kind"), F.col("bin").alias("id"), "size", F.lit(None).cast("long").alias("bin")))
-    return materialise(placed.unionByName(left).unionByName(rooms))
+    return materialise(placed.unionByName(left).unionByName(rooms).coalesce(parts))
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
