@@ -25,6 +25,7 @@ CONTROL = r"<(\\*)(/?s>)"
 ESCAPED = r"<\\(\\*)(/?s>)"
 PLAIN_ROLE = r"\A[a-z0-9_-]+\z"
 LOSS_ROLE = "assistant"
+BLOCK = 512  # sums added to an array before it is set aside
 
 
 def escape(text: Column) -> Column:
@@ -48,14 +49,28 @@ def render_turn(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN + "["), token, F.lit("] "), text, F.lit(" [/"), token, F.lit("]" + CLOSE))
 
 
+def running_starts(sizes: Column) -> Column:
+    """Where each of ``sizes`` (array of long) starts when they lie one behind the other.
+
+    A step copies the array it adds to, so sums gather in blocks of ``BLOCK`` that are
+    joined at the end: time grows as the array times a block, not as its square."""
+    longs, zero = "array<bigint>", F.lit(0).cast("long")
+    begin = F.struct(F.array().cast(f"array<{longs}>").alias("done"), F.array().cast(longs).alias("block"), zero.alias("at"))
+
+    def step(acc, n):
+        full, own = F.size(acc["block"]) >= BLOCK, F.array(acc["at"])
+        return F.struct(F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"),
+                        F.when(full, own).otherwise(F.concat(acc["block"], own)).alias("block"), (acc["at"] + n).alias("at"))
+
+    return F.aggregate(sizes, begin, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+
+
 def parse(formatted: Column) -> Column:
     """Turns of a formatted conversation: array of (role, raw, text, start).
 
     ``raw`` is the text as it stands in the output, from code point ``start`` (from 0) on."""
     pieces = F.filter(F.split(formatted, CLOSE, -1), lambda p: p != "")
-    ends = F.aggregate(
-        F.transform(pieces, lambda p: (F.length(p) + len(CLOSE)).cast("long")), F.array(F.lit(0).cast("long")),
-        lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    starts = running_starts(F.transform(pieces, lambda p: (F.length(p) + len(CLOSE)).cast("long")))
 
     def turn(piece, begin):
         token = F.regexp_extract(piece, r"^<s>\[([^\]]*)\] ", 1)
@@ -64,7 +79,7 @@ def parse(formatted: Column) -> Column:
         return F.struct(role_of(token).alias("role"), raw.alias("raw"), unescape(raw).alias("text"),
                         (begin + head).alias("start"))
 
-    return F.zip_with(pieces, F.slice(ends, F.lit(1), F.size(pieces)), turn)
+    return F.zip_with(pieces, starts, turn)
 
 
 def _returns(rendered: Column, role: Column, text: Column) -> Column:
@@ -82,7 +97,8 @@ def format_conversations(turns: DataFrame, *, conv_col: str = "conv_id", turn_co
     Turns stand by ``turn`` (nulls first), ties by role, then text; repeated rows are
     repeated turns. Null roles and texts count as empty. Rows of null id are one
     conversation. A conversation is one training example and so one row: its turns are
-    gathered, nothing else. An empty table gives no row; other columns are ignored. A
+    gathered, nothing else; time grows with its length, also for very long texts and very
+    many turns. An empty table gives no row; other columns, of any name, are ignored. A
     turn that no escape restores stops the job (none is known).
     """
     role, text = (F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in (role_col, text_col))
@@ -103,12 +119,19 @@ def format_conversations(turns: DataFrame, *, conv_col: str = "conv_id", turn_co
     return joined.select("conv_id", "formatted", spans.alias("loss_spans"), "escaped_turns")
 
 
-def read_back(formatted: DataFrame) -> DataFrame:
+def read_back(formatted: DataFrame, loss_role: str = LOSS_ROLE) -> DataFrame:
     """Digests of formatted conversations, from the output alone: n_turns, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars. The loss text is cut out by ``loss_spans``."""
+    loss_chars, loss_sha256, formatted_chars. The loss text is what ``loss_spans`` cover: a
+    span that is the text of the turn it should be is taken from there, which takes one pass,
+    any other is cut out of the output."""
     text = F.col("formatted")
-    lossy = F.array_join(F.transform("loss_spans", lambda s: unescape(
-        F.substr(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+
+    def covered(turn, span):
+        same = (turn["start"] == span["start"]) & (turn["start"] + F.length(turn["raw"]) == span["end"])
+        cut = F.substr(text, (span["start"] + 1).cast("int"), (span["end"] - span["start"]).cast("int"))
+        return F.when(span.isNull(), F.lit("")).otherwise(unescape(F.when(same, turn["raw"]).otherwise(cut)))
+
+    lossy = F.array_join(F.zip_with(F.filter("turns", lambda t: t["role"] == loss_role), "loss_spans", covered), "")
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return (formatted.withColumn("turns", parse(text)).withColumn("loss", lossy)
             .select("conv_id", F.size("turns").cast("long").alias("n_turns"),

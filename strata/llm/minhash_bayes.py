@@ -3,20 +3,21 @@
 1. A document's set: the distinct n-word shingles of its whole text, as 64-bit hashes.
    Documents of equal sets become one node (their links are certain).
 2. Nodes that agree in a band of their MinHash signature are candidates. First every
-   member of a bucket is compared with the bucket's most central node only (the one of
-   the largest buckets over all bands: an original rather than one of its copies). After
-   the components of those links are known, a second pass compares, in every bucket, the
-   members outside its largest component with all members of other components, in blocks
-   of signatures inside a task. Pairs already joined are never made, so a large group of
-   near copies costs its size, not its square, and no pair that shares a bucket is left
-   out across components. Between the two passes, members outside a bucket's largest
-   component meet a few of its members, other ones in each bucket and round, which joins
-   most that belong to it; and of the buckets a pair shares only the first makes it.
+   node is compared with one other: the most central node (the one of the largest buckets
+   over all bands: an original rather than one of its copies) of the buckets that the two
+   share most of. After the components of those links are known, a few rounds do
+   the same for nodes that are still outside the largest component of one of their buckets,
+   with a member of it, and a last pass compares, in every bucket, the members outside its
+   largest component with all members of other components, in blocks of signatures inside
+   a task. Pairs already joined are never made, so a large group of near copies costs its
+   size, not its square, and no pair that shares a bucket is left out across components.
    Members that stay below the threshold are never joined: a bucket of n of them (much
-   shared boilerplate) still costs n * n comparisons of signatures.
+   shared boilerplate) still costs n * n comparisons of signatures, inside tasks.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
-   reaches the threshold; below ``miss`` the pair is pruned.
+   reaches the threshold; below ``miss`` the pair is pruned. Bands are made of whole hashes;
+   what is compared here, and travels, is the lowest byte of each: two sets agree in it at
+   least as often as in the hash, so the bound holds.
 4. Survivors are verified exactly, on their full sets, made anew from the texts.
 """
 
@@ -36,11 +37,13 @@ from strata.llm.common import connected_components, materialise
 
 BANDS, ROWS = 40, 6          # a pair of similarity 0.8 misses all bands once in 190,000
 SIGNATURE = 256              # hashes; those beyond the bands serve verification only
-BATCH = 32                   # hashes compared at a time
+BATCH = 32                   # hashes compared at a time (a byte of each)
 MISS = 1e-6                  # posterior chance below which a pair is pruned
 SEED = 20240506
 ROUNDS = 2                   # rounds of single comparisons before the last pass
 BLOCK = 256                  # signatures of a bucket compared at once
+HELD = 100_000               # pairs a task holds before it hands them on
+NO_ID = (1 << 63) - 1         # stands for a null id in joins
 REMEMBERED = 500_000         # word hashes a task keeps; bounds memory, changes no result
 
 
@@ -96,6 +99,14 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """A 64-bit key for each band of ``rows`` whole hashes."""
+    key = np.arange(1, bands + 1, dtype=np.uint64)
+    for column in minima[:bands * rows].reshape(bands, rows).T:
+        key = _mix(key) + column
+    return _mix(key)
+
+
 def hash_functions(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return (rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1),
@@ -146,7 +157,7 @@ def _sequential(x: np.ndarray, y: np.ndarray, limits: list[tuple[int, int]]) ->
 
 
 def _signatures(raw) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), np.uint32).reshape(len(raw), -1)
+    return np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
 
 
 def _likely(pairs: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
@@ -162,38 +173,40 @@ def _likely(pairs: DataFrame, signatures: DataFrame, limits: list[tuple[int, int
     return both.select("a", "b", "x", "y").mapInPandas(test, "a binary, b binary")
 
 
-def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]], rows: int) -> DataFrame:
-    """Unpruned pairs between members of different components of a bucket, each made in
-    the first band that the two share.
+def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
+    """Unpruned pairs between members of different components of a bucket.
 
-    ``members(key, band, n, main, node, root)``: the rows of buckets of several
-    components, n of them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
+    ``members(key, n, main, node, root)``: the rows of buckets of several components, n of
+    them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
     outside the main component meets every block of its bucket, and their signatures are
     compared there, so what leaves a task is only what the test leaves."""
     signed = members.join(signatures, "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
 
     def blocks(part: DataFrame, prefix: str) -> DataFrame:
-        gathered = part.groupBy("key", "band", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"))
-        return gathered.select("key", "band", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
+        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"))
+        return gathered.select("key", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
 
-    pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y").drop("band"), "key")
+    pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y"), "key")
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for band, xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
+            found: set[tuple[bytes, bytes]] = set()
+            for xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
                 x, y, (n, least) = _signatures(xs), _signatures(ys), limits[0]
-                other = np.array([[r != q for q in yr] for r in xr])
+                same = {r: i for i, r in enumerate(set(xr) | set(yr))}
+                other = np.array([same[r] for r in xr])[:, None] != np.array([same[r] for r in yr])
                 i, j = np.nonzero(((x[:, None, :n] == y[None, :, :n]).sum(axis=2) >= least) & other)
                 for k in range(0, len(i), 65_536):
                     p, q = i[k:k + 65_536], j[k:k + 65_536]
-                    before = (x[p, :band * rows] == y[q, :band * rows]).reshape(len(p), band, rows).all(axis=2).any(axis=1)
-                    p, q = p[~before], q[~before]
                     at = _sequential(x[p], y[q], limits)
-                    got = {(min(xn[a], yn[b]), max(xn[a], yn[b])) for a, b in zip(p[at], q[at])}
-                    yield pd.DataFrame(sorted(got), columns=["a", "b"])
+                    found |= {(min(xn[a], yn[b]), max(xn[a], yn[b])) for a, b in zip(p[at], q[at])}
+                if len(found) >= HELD:
+                    yield pd.DataFrame(sorted(found), columns=["a", "b"])
+                    found = set()
+            yield pd.DataFrame(sorted(found), columns=["a", "b"])
 
-    columns = ["band", *[p + c for p in "xy" for c in ("node", "root", "signature")]]
+    columns = [p + c for p in "xy" for c in ("node", "root", "signature")]
     return pairs.select(*columns).mapInPandas(test, "a binary, b binary")
 
 
@@ -205,9 +218,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ``component_id`` is the smallest doc_id reachable over links of similarity (shared
     shingles over all shingles of both) of ``threshold_percent`` or more; ``kept`` marks
     the document of that id. Null, empty and wordless texts have no shingles and link
-    with nothing, not even each other. Repeated rows are equal sets and so linked. A null
-    id counts as larger than any other (a group of null ids only has a null component).
-    An empty table gives no row; other columns are ignored.
+    with nothing, not even each other. Texts of any length are read whole. Repeated rows are
+    equal sets and so linked. A null id counts as larger than any other (a group of null ids
+    only has a null component). An empty table gives no row; other columns, of any name, are
+    ignored.
     """
     rooted = _rooted(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, threshold_percent=threshold_percent,
                      bands=bands, rows=rows, hashes=hashes, miss=miss, seed=seed)
@@ -233,36 +247,36 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
                 s = shingler(text)
                 if len(s):
-                    raw = s.tobytes()
-                    out.append((doc_id, len(s), _node(raw), signature(s, a, b).tobytes()))
+                    minima = signature(s, a, b)
+                    out.append((doc_id, len(s), _node(s.tobytes()), band_keys(minima, bands, rows).view(np.int64), minima.astype(np.uint8).tobytes()))
                 else:
-                    out.append((doc_id, 0, None, None))
-            made = pd.DataFrame(out, columns=["doc_id", "n_shingles", "node", "signature"])
+                    out.append((doc_id, 0, None, None, None))
+            made = pd.DataFrame(out, columns=["doc_id", "n_shingles", "node", "keys", "signature"])
             made["doc_id"] = made["doc_id"].astype("Int64")
-            yield made.assign(**{c: pdf[c].to_numpy() for c in more})
+            yield made.assign(**{c: pdf[c].to_numpy() for c in ["said", *more]})
 
-    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("said"))
     described = materialise(source.select("*", *[_text_hash("text").alias(c) for c in more]).mapInPandas(describe, ", ".join(
-        ["doc_id long, n_shingles long, node binary, signature binary", *(f"{c} string" for c in more)])))
-    members = described.select("doc_id", "n_shingles", "node", *more)
+        ["doc_id long, n_shingles long, node binary, keys array<long>, signature binary, said long", *(f"{c} string" for c in more)])))
+    members = described.select("doc_id", "n_shingles", "node", "said", *more)
 
-    width = 4 * rows
-    keys = F.array(*[F.xxhash64(F.lit(k), F.substr("signature", F.lit(1 + k * width), F.lit(width))) for k in range(bands)])
     # Equal sets have equal signatures and keys: one row a node.
-    banded = described.filter("node is not null").select("node", F.posexplode(keys).alias("band", "key")).distinct()
+    banded = described.filter("node is not null").select("node", F.explode("keys").alias("key")).distinct()
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     banded = materialise(banded.join(shared, "key"))
-    # The most central node of each bucket: that of the largest buckets over all bands.
-    central = banded.groupBy("node").agg(F.sum("n").alias("reach"))
-    leads = banded.join(central, "node").groupBy("key").agg(F.max(F.struct("reach", "node")).alias("m"))
-    star = (banded.join(leads.select("key", F.col("m.node").alias("lead")), "key").filter("node <> lead")
-            .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct())
     # Signatures of nodes without a bucket partner are needed no more.
     signatures = materialise(described.join(banded.select("node").distinct(), "node", "left_semi")
                              .groupBy("node").agg(F.first("signature").alias("signature")))
 
     limits = least_matches(threshold_percent / 100, miss, hashes)
 
+    def closest(offers: DataFrame, by: list[str]) -> DataFrame:
+        """Of the partners offered to a node (a row for each bucket), the one of most buckets, then of
+        the largest ``weight``, for each ``by``."""
+        often = offers.groupBy(*by, "partner").agg(F.count("*").alias("times"), F.max("weight").alias("weight"))
+        best = often.groupBy(*by).agg(F.max(F.struct("times", "weight", "partner")).alias("m"))
+        return best.select(F.least("node", "m.partner").alias("a"), F.greatest("node", "m.partner").alias("b")).distinct()
+
     def linked(pairs: DataFrame) -> DataFrame:
         likely = materialise(pairs)
         wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
@@ -271,37 +285,45 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             shingler = Shingler(shingle_words)
             for pdf in batches:
                 made = pd.DataFrame({"node": pdf["node"], "shingles": [shingler(t).tobytes() for t in pdf["text"]]})
-                # Rows of the same id may hold another text.
                 yield made[[_node(x) == n for x, n in zip(made["shingles"], made["node"])]]
 
-        # One document stands for a node; only the texts of surviving nodes are read again.
-        chosen = wanted.join(members.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("_id")), "node")
-        texts = source.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
-        sets = texts.mapInPandas(sets_of, "node binary, shingles binary").dropDuplicates(["node"])
+        # One row stands for a node, by its id and text, as many rows may share either; only the texts
+        # of surviving nodes are read again.
+        first = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.col("said").alias("t"))).alias("m")
+        chosen = wanted.join(members.filter("node is not null").groupBy("node").agg(first), "node").select("node", F.col("m.i").alias("i"), F.col("m.t").alias("t"))
+        keyed = source.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.col("said").alias("t"), "text")
+        sets = keyed.join(chosen, ["i", "t"]).select("node", "text").mapInPandas(sets_of, "node binary, shingles binary").dropDuplicates(["node"])
         return _verified(likely, sets, threshold_percent)
 
-    first = materialise(linked(_likely(star, signatures, limits)))
+    # Each node with the most central node (that of the largest buckets) it shares most buckets with.
+    central = banded.groupBy("node").agg(F.sum("n").alias("reach"))
+    leads = banded.join(central, "node").groupBy("key").agg(F.max(F.struct("reach", "node")).alias("m"))
+    offers = (banded.join(leads.select("key", F.col("m.node").alias("partner"), F.col("m.reach").alias("weight")), "key")
+              .filter("node <> partner"))
+    links = materialise(linked(_likely(closest(offers, ["node"]), signatures, limits)))
 
-    def mixed_buckets(links: DataFrame) -> DataFrame:
+    def mixed_buckets() -> DataFrame:
         """Rows of the buckets of several components, with the largest of them (``main``)."""
         roots = connected_components(links)
-        grouped = banded.join(roots, "node", "left").select("key", "band", "n", "node", F.coalesce("root", "node").alias("root"))
+        grouped = banded.join(roots, "node", "left").select("key", "n", "node", F.coalesce("root", "node").alias("root"))
         per_root = grouped.groupBy("key", "root").agg(F.count("*").alias("c"))
         largest = (per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("m"))
                    .filter("roots > 1").select("key", F.col("m.root").alias("main")))
         return materialise(grouped.join(largest, "key"))
 
     for turn in range(ROUNDS):
-        mixed = mixed_buckets(first)
-        one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64(F.lit(turn), "key", "node").alias("h"), "node")).alias("m"))
-        met = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("other")), "key")
-               .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-        first = materialise(first.unionByName(linked(_likely(met, signatures, limits))))
+        mixed = mixed_buckets()
+        # A member of the main component, the same one in as many buckets as can be, others each round.
+        one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64(F.lit(turn), "node").alias("weight"), "node")).alias("m"))
+        offers = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("partner"), F.col("m.weight").alias("weight")), "key"))
+        links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))))
     # In each bucket of several components: those outside the largest against all others.
-    second = linked(_likely_across(mixed_buckets(first), signatures, limits, rows).distinct())
-    roots = connected_components(first.unionByName(second))
+    across = linked(_likely_across(mixed_buckets(), signatures, limits).distinct())
+    roots = connected_components(links.unionByName(across))
 
-    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    out = members.filter("node is not null").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Rows without a node have no partner: they take no part in the join.
+    return out.unionByName(members.filter("node is null").withColumn("root", F.col("node")), allowMissingColumns=True)
 
 
 def _text_hash(text_col: str):
@@ -309,23 +331,20 @@ def _text_hash(text_col: str):
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each group of ``docs``, with all its columns: that of the smallest id (null
-    ids last), then of the smallest text hash; of equal rows one. Rows whose text has no
-    words are in no group and all stay."""
+    """One row of each group of ``docs``, with all its columns (of any names): that of the
+    smallest id (null ids last), then of the smallest text hash; of equal rows one. Rows
+    whose text has no words are in no group and all stay. An empty table gives no row."""
     rooted = _rooted(docs, id_col=id_col, text_col=text_col, hashed=True, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("sha").alias("s")))
     grouped = rooted.filter("root is not null")
-    chosen = grouped.groupBy("root").agg(first.alias("m")).select(F.col("m.d").alias("_id"), F.col("m.s").alias("_sha"))
-    wordless = rooted.filter("root is null").select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha")).distinct()
-    copies = grouped.groupBy(F.col("doc_id").alias("_i"), F.col("sha").alias("_s")).agg(F.count("*").alias("_n"))
-    kept = materialise(chosen.join(copies, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_sha") == F.col("_s")))
-                       .select("_id", "_sha", "_n").unionByName(wordless.withColumn("_n", F.lit(0).cast("long"))))
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (_text_hash(text_col) == F.col("_sha"))
-    if kept.filter("_n > 1").isEmpty():
-        return docs.join(kept, same, "left_semi")
-    once = docs.join(kept.filter("_n <= 1"), same, "left_semi")
-    repeated = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_did"),
-                            _text_hash(text_col).alias("_dsha"))
-                .join(kept.filter("_n > 1"), F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dsha") == F.col("_sha")), "left_semi")
-                .dropDuplicates(["_did", "_dsha"]).select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns]))
-    return once.unionByName(repeated)
+    chosen = grouped.groupBy("root").agg(first.alias("m")).select(F.coalesce("m.d", F.lit(NO_ID)).alias("i"), F.col("m.s").alias("s"), F.col("m.z").alias("z"))
+    copies = grouped.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.col("sha").alias("s"), F.col("doc_id").isNull().alias("z")).agg(F.count("*").alias("n"))
+    kept = materialise(chosen.join(copies, ["i", "s", "z"]))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("i"),
+                       _text_hash(text_col).alias("s"), F.col(f"`{id_col}`").cast("long").isNull().alias("z"),
+                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    stay = rows.filter("worded").join(kept.filter("n = 1"), ["i", "s", "z"], "left_semi").unionByName(rows.filter("not worded"))
+    if not kept.filter("n > 1").isEmpty():  # of rows of the same id and text one stays
+        repeated = rows.filter("worded").join(kept.filter("n > 1"), ["i", "s", "z"], "left_semi")
+        stay = stay.unionByName(repeated.dropDuplicates(["i", "s", "z"]))
+    return stay.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

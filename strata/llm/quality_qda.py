@@ -19,6 +19,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,18 +138,15 @@ def moments_to_model(count: np.ndarray, total: np.ndarray, outer: np.ndarray, to
     return Discriminant(centre, scale, priors, means, np.stack(shrunk))
 
 
-def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
-    """(doc_id, x): the feature vector of every row; with ``key``, a column of ``docs``, also that."""
-    more = [] if key is None else ["key"]
+def with_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, x): the feature vector of every row."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "x": [statistics(t) for t in pdf["text"]],
-                                **{c: pdf[c] for c in more}})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "x": [statistics(t) for t in pdf["text"]]})
 
-    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-                       *([] if key is None else [key.alias("key")]))
-    return rows.mapInPandas(describe, ", ".join(["doc_id long, x array<double>", *(f"{c} string" for c in more)]))
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return rows.mapInPandas(describe, "doc_id long, x array<double>")
 
 
 def fit(described: DataFrame, labels: DataFrame, *, label_col: str = "quality", id_col: str = "doc_id",
@@ -156,11 +154,10 @@ def fit(described: DataFrame, labels: DataFrame, *, label_col: str = "quality",
     """Fit on ``described(doc_id, x)`` rows that ``labels`` marks 0 or 1 (other labels and
     null ids are left out) and ``learn`` (a condition on ``doc_id``) allows. Of more than
     ``fit_rows`` such rows, a share by hash of the id is used."""
-    marked = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("y in (0, 1)")
-    marked = marked if learn is None else marked.filter(learn)
-    n = marked.count()
-    if n > fit_rows:
-        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * fit_rows / n)))
+    return _fitted(described, _marked(labels, label_col, id_col, learn, fit_rows), **shrinkage)
+
+
+def _fitted(described: DataFrame, marked: DataFrame, **shrinkage) -> Discriminant:
     d = len(FEATURES)
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,33 +180,56 @@ def fit(described: DataFrame, labels: DataFrame, *, label_col: str = "quality",
     return moments_to_model(v[:2], v[2:2 + 2 * d].reshape(2, d), v[2 + 2 * d:].reshape(2, d, d), **shrinkage)
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with all their columns. Each row goes by
-    its own text: null and repeated ids carry no decision to other rows."""
-    said = F.sha2(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), 256)
-    scored = score_documents(docs, labels, id_col=id_col, text_col=text_col, key=said, **options)
-    rejected = scored.filter("predicted = 0").select(F.col("doc_id").alias("_rejected"), F.col("key").alias("_text")).distinct()
-    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_rejected")) & (said == F.col("_text"))
-    return docs.join(rejected, same, "left_anti")
+def _marked(labels: DataFrame, label_col: str, id_col: str, learn: Column | None, fit_rows: int) -> DataFrame:
+    """(doc_id, y) of the labelled rows to learn from. Of more than ``fit_rows``, a share by hash of the id."""
+    marked = labels.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("y")).filter("y in (0, 1)")
+    marked = marked if learn is None else marked.filter(learn)
+    n = marked.count()
+    if n > fit_rows:
+        marked = marked.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * fit_rows / n)))
+    return marked
+
+
+def accepted(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+             learn: Column | None = None, threshold: float = 0.5, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns (of any names and
+    types). Each row goes by its own text: null and repeated ids carry no decision to other
+    rows. Null and empty texts are scored as texts of no words; an empty table gives no row.
+
+    The statistics of labelled texts are made first, for the fit; then every row is scored
+    and filtered where it lies, so no text moves. The ids to learn from are at most
+    ``fit_rows`` (in expectation), which bounds what is sent to the tasks for it."""
+    marked = materialise(_marked(labels, label_col, id_col, learn, fit_rows))
+    ids = F.broadcast(marked.select("doc_id").distinct())
+    known = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).join(ids, "doc_id", "left_semi")
+    model = _fitted(materialise(with_statistics(known)), marked)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [statistics(t) for t in batch.column(at).to_pylist()]
+            if x:
+                yield batch.filter(pa.array(model.score(np.stack(x)) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "quality", learn: Column | None = None, threshold: float = 0.5,
-                    fit_rows: int = FIT_ROWS, key: Column | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, score (probability of label 1), predicted; and
-    ``key``, if given.
-
-    Null and empty texts are scored as texts of no words. Without any label the score is
-    the prior, one half. Repeated rows and null ids are scored like any other; an empty
-    table gives no row; only the text enters a score."""
-    more = [] if key is None else ["key"]
-    described = materialise(with_statistics(docs, id_col, text_col, key))
+                    fit_rows: int = FIT_ROWS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, score (probability of label 1), predicted.
+
+    Null and empty texts are scored as texts of no words; texts of any length are read whole.
+    Without any label the score is the prior, one half. Repeated rows and null ids are scored
+    like any other; an empty table gives no row; only the text enters a score; other
+    columns, of any name, are ignored."""
+    described = materialise(with_statistics(docs, id_col, text_col))
     model = fit(described, labels, label_col=label_col, learn=learn, fit_rows=fit_rows)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             s = model.score(np.stack(pdf["x"].to_numpy())) if len(pdf) else np.zeros(0)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s, **{c: pdf[c] for c in more}})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "score": s})
 
-    return (described.mapInPandas(score, ", ".join(["doc_id long, score double", *(f"{c} string" for c in more)]))
+    return (described.mapInPandas(score, "doc_id long, score double")
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

@@ -30,7 +30,7 @@ def make_docs(spark):
         rows = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", 0) for r in rows]
         df = spark.createDataFrame(rows, DOCS)
         from pyspark.sql import functions as F
-        for name in ("size", "node", "score", "uid", "key", "kept", "length", "_row", "_b"):
+        for name in ("size", "node", "score", "uid", "key", "kept", "length", "_row", "_b", "_id", "_sha", "_text", "_rejected", "id", "i", "s", "row"):
             df = df.withColumn(name, F.lit("clash"))
         return df
     return make

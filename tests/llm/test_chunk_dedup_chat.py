@@ -105,3 +105,35 @@ def test_chat_of_odd_tables(spark):
     check_chat(chat(spark, rows), rows)
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_roundtrip.format_conversations(empty).collect() == []
+
+
+def test_running_starts(spark):
+    for n in (0, 1, 2, 511, 512, 513, 1024, 1025, 3000):
+        sizes = [(7 * i) % 50 for i in range(n)]
+        df = spark.createDataFrame([(sizes,)], "s array<bigint>").select(chat_roundtrip.running_starts(F.col("s")).alias("at"))
+        assert df.first().at == [sum(sizes[:i]) for i in range(n)]
+
+
+def test_spans_that_are_no_turns_are_cut_out_of_the_text(spark):
+    df = spark.createDataFrame([(1, 0, "user", "abc"), (1, 1, "assistant", "defg"), (1, 2, "assistant", "h<s>")], "conv_id long, turn long, role string, text string")
+    out = chat_roundtrip.format_conversations(df)
+    moved = out.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), s["end"].alias("end"))))
+    assert chat_roundtrip.read_back(out).first().loss_chars == 8
+    assert chat_roundtrip.read_back(moved).first().loss_chars == 6
+    assert chat_roundtrip.read_back(out.withColumn("loss_spans", F.slice("loss_spans", 1, 1))).first().loss_chars == 4
+
+
+def test_time_grows_with_the_turns(spark):
+    import time
+
+    def took(n):
+        rows = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                     F.concat(F.lit("turn </s> number "), F.col("id").cast("string")).alias("text"))
+        start = time.time()
+        got = chat_roundtrip.read_back(chat_roundtrip.format_conversations(rows)).first()
+        assert got.n_turns == n
+        return time.time() - start
+
+    took(1000)
+    small = took(20_000)
+    assert took(40_000) <= 2.5 * small + 1.5
