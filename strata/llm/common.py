@@ -82,6 +82,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     Alternating large-star and small-star steps: each only takes a neighbourhood's
     minimum (combined before the shuffle) and joins it back, so a node with very many
     neighbours is never gathered; rounds grow with the logarithm of the longest chain."""
+    parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # unions would add theirs up
     edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .filter("u <> v").distinct())
     state = None
@@ -93,7 +94,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = (large.join(low, "u").select("v", "m").filter("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = materialise(small)
+        edges = materialise(small.coalesce(parts))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == tuple(now):
             break

@@ -42,6 +42,7 @@ MISS = 1e-6                  # posterior chance below which a pair is pruned
 SEED = 20240506
 ROUNDS = 2                   # rounds of single comparisons before the last pass
 BLOCK = 256                  # signatures of a bucket compared at once
+SENT = 200_000               # rows of 32 bytes that are sent to all tasks at most; more are joined by a shuffle
 HELD = 100_000               # pairs a task holds before it hands them on
 NO_ID = (1 << 63) - 1         # stands for a null id in joins
 REMEMBERED = 500_000         # word hashes a task keeps; bounds memory, changes no result
@@ -174,7 +175,8 @@ def _likely(pairs: DataFrame, signatures: DataFrame, limits: list[tuple[int, int
 
 
 def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
-    """Unpruned pairs between members of different components of a bucket.
+    """Unpruned pairs between members of different components of a bucket, each made in
+    the bucket of the first band that the two share.
 
     ``members(key, n, main, node, root)``: the rows of buckets of several components, n of
     them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
@@ -184,21 +186,25 @@ def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
 
     def blocks(part: DataFrame, prefix: str) -> DataFrame:
-        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"))
-        return gathered.select("key", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
+        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature", "keys")).alias("m"))
+        return gathered.select("key", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature", "keys")])
 
     pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y"), "key")
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             found: set[tuple[bytes, bytes]] = set()
-            for xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
+            for key, xn, xr, xs, xk, yn, yr, ys, yk in zip(*[pdf[c] for c in columns]):
                 x, y, (n, least) = _signatures(xs), _signatures(ys), limits[0]
+                xk, yk = np.stack(xk), np.stack(yk)
                 same = {r: i for i, r in enumerate(set(xr) | set(yr))}
                 other = np.array([same[r] for r in xr])[:, None] != np.array([same[r] for r in yr])
                 i, j = np.nonzero(((x[:, None, :n] == y[None, :, :n]).sum(axis=2) >= least) & other)
                 for k in range(0, len(i), 65_536):
                     p, q = i[k:k + 65_536], j[k:k + 65_536]
+                    shared = xk[p] == yk[q]
+                    here = xk[p, shared.argmax(axis=1)] == key
+                    p, q = p[here], q[here]
                     at = _sequential(x[p], y[q], limits)
                     found |= {(min(xn[a], yn[b]), max(xn[a], yn[b])) for a, b in zip(p[at], q[at])}
                 if len(found) >= HELD:
@@ -206,7 +212,7 @@ def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple
                     found = set()
             yield pd.DataFrame(sorted(found), columns=["a", "b"])
 
-    columns = [p + c for p in "xy" for c in ("node", "root", "signature")]
+    columns = ["key", *[p + c for p in "xy" for c in ("node", "root", "signature", "keys")]]
     return pairs.select(*columns).mapInPandas(test, "a binary, b binary")
 
 
@@ -266,7 +272,8 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     banded = materialise(banded.join(shared, "key"))
     # Signatures of nodes without a bucket partner are needed no more.
     signatures = materialise(described.join(banded.select("node").distinct(), "node", "left_semi")
-                             .groupBy("node").agg(F.first("signature").alias("signature")))
+                             .groupBy("node").agg(F.first("signature").alias("signature"), F.first("keys").alias("keys")))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # unions would add theirs up
 
     limits = least_matches(threshold_percent / 100, miss, hashes)
 
@@ -292,6 +299,9 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         first = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.col("said").alias("t"))).alias("m")
         chosen = wanted.join(members.filter("node is not null").groupBy("node").agg(first), "node").select("node", F.col("m.i").alias("i"), F.col("m.t").alias("t"))
         keyed = source.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.col("said").alias("t"), "text")
+        chosen = materialise(chosen)
+        if chosen.count() <= SENT:  # a bounded number: the texts are met where they lie
+            chosen = F.broadcast(chosen)
         sets = keyed.join(chosen, ["i", "t"]).select("node", "text").mapInPandas(sets_of, "node binary, shingles binary").dropDuplicates(["node"])
         return _verified(likely, sets, threshold_percent)
 
@@ -316,10 +326,10 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         # A member of the main component, the same one in as many buckets as can be, others each round.
         one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64(F.lit(turn), "node").alias("weight"), "node")).alias("m"))
         offers = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("partner"), F.col("m.weight").alias("weight")), "key"))
-        links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))))
+        links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))).coalesce(parts))
     # In each bucket of several components: those outside the largest against all others.
-    across = linked(_likely_across(mixed_buckets(), signatures, limits).distinct())
-    roots = connected_components(links.unionByName(across))
+    across = linked(_likely_across(mixed_buckets(), signatures, limits))
+    roots = connected_components(links.unionByName(across).coalesce(parts))
 
     out = members.filter("node is not null").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # Rows without a node have no partner: they take no part in the join.
