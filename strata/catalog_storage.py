@@ -15,13 +15,14 @@ from pyspark.sql import types as T
 
 from strata import catalog, oracle, schemas
 from strata.catalog import QUERIES, STORAGE_QUERIES, Layers, out, register
-from strata.operators import tables
-from strata.plans import checks, daily, gold, kpi, publish
+from strata.operators import hot_keys, tables
+from strata.plans import checks, daily, gold, kpi, named, publish, sketches, states
+from strata.plans import silver as silver_plan
 from strata.session import work_path
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
 from strata.sources.crm import scan_crm
-from strata.streaming import cart_stream, silver_stream
+from strata.streaming import cart_stream, landing_stream, silver_stream
 
 FIRST_BATCH_END = "2024-01-20"        # batch 1: days up to here
 SECOND_BATCH_START = "2024-01-15"     # batch 2 re-loads an overlap from here on
@@ -348,6 +349,98 @@ register("dq_report", w(f"{catalog.SQL_NOT_NULL}\nUNION ALL {catalog.SQL_UNIQUE}
     lambda L: checks.dq_report(stored_gold(L, "dq_report")))
 
 
+# ---------------------------------------------------------------- states by day, sketches, names
+
+
+def _serving_by_day(L: Layers, name: str) -> tuple[daily.Paths, DataFrame, list[str]]:
+    P, serving = _serving_in_storage(L, name)
+    return P, serving, [d for d in tables.list_partitions(L.spark, P.serving, "event_date") if d != tables.NULL_PARTITION]
+
+
+def _by_weeks(state: states.DayState, serving: DataFrame, days: list[str]) -> None:
+    """Load the days week by week, the last day of each again with the next; fold the first half."""
+    for k in range(0, len(days), 7):
+        state.update(serving, days[max(0, k - 1):k + 7])
+        if k == 14:
+            state.fold(days[k - 2])
+
+
+@register("dim_users_incremental", w("SELECT * FROM d_users"))
+def q_dim_users_incremental(L: Layers) -> DataFrame:
+    """The user dimension from visits by day: every day is loaded by itself, some twice."""
+    P, serving, days = _serving_by_day(L, "dim_users_incremental")
+    state = states.DayState(L.spark, P.visits, states.VISITS)
+    _by_weeks(state, serving, days)
+    return out(states.dim_users(state))
+
+
+@register("dim_users_loyalty_incremental", w("SELECT * FROM d_users_loyalty"))
+def q_dim_users_loyalty_incremental(L: Layers) -> DataFrame:
+    P, serving, days = _serving_by_day(L, "dim_users_loyalty_incremental")
+    state = states.DayState(L.spark, P.visits, states.VISITS)
+    _by_weeks(state, serving, days)
+    return out(states.dim_users_loyalty(state, L.crm))
+
+
+@register("dim_products_incremental", w("SELECT * FROM d_products"))
+def q_dim_products_incremental(L: Layers) -> DataFrame:
+    P, serving, days = _serving_by_day(L, "dim_products_incremental")
+    state = states.DayState(L.spark, P.products, states.PRODUCTS)
+    _by_weeks(state, serving, days)
+    return states.dim_products(state)
+
+
+@register("kpi_sessions_sketch", w("""
+    SELECT CAST(date_trunc('week', event_time) AS DATE) AS week, CAST(count(DISTINCT user_session) AS BIGINT) AS sessions, true AS close
+    FROM f_sales GROUP BY ALL
+    UNION ALL SELECT NULL, CAST(count(DISTINCT user_session) AS BIGINT), true FROM f_sales"""))
+def q_kpi_sessions_sketch(L: Layers) -> DataFrame:
+    """Purchasing sessions by week and over all weeks (null) from one sketch a day, beside the exact
+    count; ``close``: the estimate is within four standard errors of it, and one session."""
+    P, serving, days = _serving_by_day(L, "kpi_sessions_sketch")
+    bought = serving.where("event_type = 'purchase'")
+    for part in (days[:10], days[8:]):
+        sketches.update_sketches(L.spark, P.session_sketches, bought, "user_session", "event_date", part)
+    kept = tables.read_table(L.spark, P.session_sketches).withColumn("week", F.date_trunc("week", "event_date").cast("date"))
+    whole = sketches.merged_count(kept).select(F.lit(None).cast("date").alias("week"), "estimate")
+    told = sketches.merged_count(kept, "week").unionByName(whole)
+    exact = bought.groupBy(F.date_trunc("week", "event_time").cast("date").alias("week")).agg(F.countDistinct("user_session").alias("sessions"))
+    exact = exact.unionByName(bought.agg(F.lit(None).cast("date").alias("week"), F.countDistinct("user_session").alias("sessions")))
+    both = exact.withColumnRenamed("week", "_w").join(told, F.col("_w").eqNullSafe(F.col("week")))
+    near = F.abs(F.col("estimate") - F.col("sessions")) <= F.lit(4 * sketches.relative_error()) * F.col("sessions") + 1
+    return both.select("week", "sessions", near.alias("close"))
+
+
+@register("silver_enriched_hot", w("SELECT * FROM silver"))
+def q_silver_enriched_hot(L: Layers) -> DataFrame:
+    """Silver with the users of a hundredth of the rows or more, as a sketch finds them, joined apart."""
+    hot = hot_keys.hot_keys(silver_plan.silver_clean(L.raw), "user_id", 0.01)
+    return out(silver_plan.silver_parts(L.raw, L.crm, hot_users=hot)[1])
+
+
+@register("gold_by_name", w("""
+    SELECT CAST(s.event_time AS DATE) AS day, p.category, u.loyalty_tier, CAST(count(*) AS BIGINT) AS sales,
+           CAST(sum(CAST(s.price AS DECIMAL(38,10))) AS DOUBLE) AS revenue
+    FROM f_sales s JOIN d_products p USING (product_id) JOIN d_users_loyalty u ON u.user_id = s.user_id
+    WHERE s.event_time >= TIMESTAMP '2024-01-08' GROUP BY ALL"""))
+def q_gold_by_name(L: Layers) -> DataFrame:
+    """Plain SQL over tables of the catalogue: names, partitions and statistics, no path."""
+    P, serving = _serving_in_storage(L, "gold_by_name")
+    rows = serving.drop("event_date")
+    daily.build_dims(L.spark, P, rows, L.crm)
+    daily.fact_sales_incremental(L.spark, P.fact_sales, rows)
+    db = f"strata_{P.root.rsplit('-', 1)[-1]}"  # a database for each run
+    named.declare(L.spark, db, "fact_sales", P.fact_sales, daily.FACT_SCHEMAS["sale_date"], "sale_date")
+    named.declare(L.spark, db, "dim_products", P.dim_products, schemas.DIM_PRODUCTS)
+    named.declare(L.spark, db, "dim_users_loyalty", P.dim_users_loyalty, schemas.DIM_USERS_LOYALTY)
+    return L.spark.sql(f"""
+        SELECT s.sale_date AS day, p.category, u.loyalty_tier, count(*) AS sales,
+               CAST(sum(CAST(s.price AS DECIMAL(38,10))) AS DOUBLE) AS revenue
+        FROM {db}.fact_sales s JOIN {db}.dim_products p ON p.product_id = s.product_id
+        JOIN {db}.dim_users_loyalty u ON u.user_id = s.user_id
+        WHERE s.sale_date >= DATE '2024-01-08' GROUP BY s.sale_date, p.category, u.loyalty_tier""")
+
+
 # ---------------------------------------------------------------- published versions
 
 
@@ -406,6 +499,23 @@ def q_stream_silver(L: Layers) -> DataFrame:
     return out(daily.read_silver(L.spark, P))
 
 
+@register("stream_landing", w(STAGED_SQL))
+def q_stream_landing(L: Layers) -> DataFrame:
+    """Landing files in two drops, each picked up by the file stream when it is there."""
+    P = workspace(L, "stream_landing")
+    land(L, P)
+    files = csv_src.landing_files(L.spark, P.landing)
+    fs, _, jvm = tables._fs(L.spark, P.landing)
+    for drop in (files[::2], files[1::2]):
+        for f in drop:  # a folder per period, as they were landed
+            folder, name = f.rsplit("/", 2)[-2:]
+            target = jvm.org.apache.hadoop.fs.Path(f"{P.drops}/{folder}/{name}")
+            fs.mkdirs(target.getParent())
+            fs.rename(jvm.org.apache.hadoop.fs.Path(f), target)
+        landing_stream.stage_landing(L.spark, P.drops, P.staging, P.stream_checkpoint, RAW_WITH_ID)
+    return landing_stream.read_staged(L.spark, P.staging, RAW_WITH_ID)
+
+
 @register("stream_dedup", w("SELECT * FROM deduped"))
 def q_stream_dedup(L: Layers) -> DataFrame:
     """Day files written by several tasks, found in no order of time."""

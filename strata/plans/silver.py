@@ -16,17 +16,18 @@ def lineage(df: DataFrame) -> list[str]:
     return [c for c in LINEAGE if c in df.columns]
 
 
-def silver_parts(raw: DataFrame, crm: DataFrame) -> tuple[DataFrame, DataFrame]:
+def silver_parts(raw: DataFrame, crm: DataFrame, hot_users: list | None = None) -> tuple[DataFrame, DataFrame]:
     """(quarantined rows, Silver rows) from one parse of the raw rows.
 
     Deduplication runs before the CRM join — enrichment is a per-row function
     of ``user_id`` so the survivor is the same — which shrinks the join input.
+    ``hot_users`` (``operators.hot_keys``) are joined apart from the others.
     """
     parsed = parse(raw)
     q = quarantine(parsed)
     extra = lineage(raw)
     cleaned = dedup(clean(parsed), order_by=extra)
-    silver = schemas.conform(enrich(cleaned, crm), schemas.SILVER, keep_extra=extra)
+    silver = schemas.conform(enrich(cleaned, crm, hot_users), schemas.SILVER, keep_extra=extra)
     return q, silver
 
 
