@@ -152,7 +152,8 @@ def components(vectors: DataFrame, **options) -> DataFrame:
 
     ``n_links`` counts the other rows linked directly, copies included; ``component_id``
     is the smallest vec_id reachable (a null id counts as larger than any other); a vector
-    that links with nothing is its own component. An empty table gives no row."""
+    that links with nothing is its own component. An empty table gives no row; other
+    columns, of any name, are ignored."""
     rows, links = near_vectors(vectors, **options)
     copies = materialise(rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min("vec_id").alias("low")))
     ways = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
@@ -165,7 +166,7 @@ def components(vectors: DataFrame, **options) -> DataFrame:
                     F.coalesce("root", "node").alias("root"), "low"))
     lowest = node.groupBy("root").agg(F.min("low").alias("component_id"))
     node = node.join(lowest, "root").select("node", "n_links", "component_id")
-    out = rows.join(node, "node", "left")
-    return (out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                       F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
-            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+    # Rows without a node link with nothing: they take no part in the join.
+    linked = rows.filter("node is not null").join(node, "node").select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
+    alone = rows.filter("node is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

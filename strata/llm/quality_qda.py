@@ -211,7 +211,9 @@ def accepted(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
             if x:
                 yield batch.filter(pa.array(model.score(np.stack(x)) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    # By place: a name may hold any character.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -106,3 +106,66 @@ def test_stages_decide_on_rows_of_null_and_repeated_ids(spark, make_docs):
     count = lambda *texts: [i for i, t in got if t in texts]
     assert count(a, a + "end") == [None] and count(b) == [3] and count(c) == [None] and count(d, d + "end") == [5]
     assert count("other words") == [5] and count("") == [None, None] and count(None) == [6] and len(got) == 8
+
+
+CLASHES = ("_id", "_text", "_sha", "_rejected", "id", "row", "i", "s", "z", "node", "size", "key", "place", "uid", "label", "quality", "n", "a.b", "score")
+
+
+def odd_documents(spark):
+    """Clean, repeated, null, empty and very long rows with columns of the operators' own names."""
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    long = " ".join(r.text for r in docs.filter("length(text) > 400").orderBy("doc_id").limit(60).collect())
+    rows = docs.limit(40).unionByName(docs.limit(5))
+    rows = rows.unionByName(docs.limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    rows = rows.unionByName(docs.limit(2).withColumn("source", F.lit(None).cast("string")).withColumn("doc_id", F.col("doc_id") + 5000))
+    rows = rows.unionByName(docs.limit(1).withColumn("text", F.lit(long * 12)).withColumn("doc_id", F.lit(7000).cast("long")))
+    rows = rows.unionByName(docs.limit(2).withColumn("text", F.lit(None).cast("string")).withColumn("doc_id", F.col("doc_id") + 8000))
+    rows = rows.unionByName(docs.limit(2).withColumn("text", F.lit("")).withColumn("doc_id", F.col("doc_id") + 9000))
+    for name in CLASHES:
+        rows = rows.withColumn(name, F.lit("clash"))
+    return rows.withColumn("when", F.current_timestamp()).withColumn("list", F.array(F.lit(1), F.lit(2)))
+
+
+def test_stages_carry_odd_rows_and_columns(spark, tmp_path):
+    import corpus_pipeline
+    docs = odd_documents(spark)
+    docs.write.parquet(f"file://{tmp_path}/in")
+    docs = start = spark.read.parquet(f"file://{tmp_path}/in")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"file://{tmp_path}/{k}")
+        before, docs = docs, spark.read.parquet(f"file://{tmp_path}/{k}")
+        assert 0 < docs.count()
+        if k < 4:
+            assert docs.dtypes == start.dtypes, name
+            assert docs.filter("`a.b` <> 'clash' or size(list) <> 2").count() == 0
+        if k < 3:
+            assert docs.exceptAll(before).count() == 0, name  # rows of the stage before, none made anew
+    assert max(r.length for r in docs.collect()) <= 4096
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+    docs = start = odd_documents(spark).limit(0)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, SF).write.parquet(f"file://{tmp_path}/{k}")
+        docs = spark.read.parquet(f"file://{tmp_path}/{k}")
+        assert docs.count() == 0 and (k == 4 or docs.dtypes == start.dtypes), name
+
+
+def test_null_ids_cost_what_ids_cost(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from strata.llm import minhash_bayes
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[(i * 7 + j * j * (i % 13 + 1)) % 400] for j in range(60))) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    took = []
+    for df in (docs, docs, docs.withColumn("doc_id", F.lit(None).cast("long"))):
+        start = time.time()
+        got = minhash_bayes.near_duplicates(df, shingle_words=5).collect()
+        took.append(time.time() - start)
+        assert len(got) == 1500
+    assert took[2] <= 2 * took[1] + 5
