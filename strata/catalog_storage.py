@@ -45,10 +45,15 @@ def workspace(L: Layers, name: str) -> daily.Paths:
     return daily.Paths(work_path(L.spark, name))
 
 
+def by_month(raw: DataFrame) -> DataFrame:
+    """Rows with the ``period`` their landing file is named by."""
+    month = F.when(F.col("event_time").rlike("^[0-9]{4}-[0-9]{2}-"), F.substring("event_time", 1, 7)).otherwise("undated")
+    return raw.withColumn("period", month)
+
+
 def land(L: Layers, P: daily.Paths) -> str:
     """Write the raw clickstream as gzip CSV landing files, one folder per month."""
-    month = F.when(F.col("event_time").rlike("^[0-9]{4}-[0-9]{2}-"), F.substring("event_time", 1, 7)).otherwise("undated")
-    csv_src.write_csv(L.raw.withColumn("period", month), P.landing, "period")
+    csv_src.write_csv(by_month(L.raw), P.landing, "period")
     return P.landing
 
 

@@ -46,6 +46,19 @@ def relationships(child: DataFrame, table: str, column: str,
     return _frame(rows, table, f"relationships:{parent_table}.{parent_column}")
 
 
+def relationships_to(parent: DataFrame, parent_column: str, parent_table: str,
+                     children: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """``relationships`` of several ``children`` (frame, table, column) to one parent, which
+    is read and joined once: their keys go through one anti join, marked with their child."""
+    keys = union_all([c.select(F.col(column).alias("_k"), F.lit(i).alias("_i")).where(F.col("_k").isNotNull())
+                      for i, (c, _, column) in enumerate(children)])
+    orphans = anti_join(keys, parent.select(F.col(parent_column).alias("_k")), ["_k"])
+    counts = orphans.agg(*[F.count_if(F.col("_i") == i).alias(f"c{i}") for i in range(len(children))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(table).alias("table"), F.lit(column).alias("column"), F.lit(f"relationships:{parent_table}.{parent_column}").alias("check"),
+                 F.col(f"c{i}").cast("bigint").alias("failures")) for i, (_, table, column) in enumerate(children)])))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -39,7 +39,11 @@ def dq_unique(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def dq_referential(t: dict[str, DataFrame]) -> DataFrame:
-    return quality.union_all([quality.relationships(t[c], c, cc, t[p], pc, p) for c, cc, p, pc in REFERENTIAL])
+    by_parent: dict[tuple[str, str], list] = {}
+    for child, column, parent, parent_column in REFERENTIAL:
+        by_parent.setdefault((parent, parent_column), []).append((t[child], child, column))
+    return quality.union_all([quality.relationships_to(t[parent], column, parent, children)
+                              for (parent, column), children in by_parent.items()])
 
 
 def dq_report(t: dict[str, DataFrame]) -> DataFrame:
