@@ -9,6 +9,11 @@
     python -m strata.jobs dq       --root R --crm-path P      (exit 1 when a check fails)
     python -m strata.jobs kpi      --root R
     python -m strata.jobs day      --root R --date 2024-01-05 --crm-path P   (publish to checks; exit 1 when one fails)
+    python -m strata.jobs land     --root R --landing DIR     (stage the landing files that came since the last run)
+    python -m strata.jobs dims     --root R --date 2024-01-05 --crm-path P [--fold 2023-12-31]   (dimensions from states by day)
+    python -m strata.jobs sketch   --root R --date 2024-01-05 (distinct purchasing sessions from one sketch a day)
+    python -m strata.jobs carts    --root R --crm-path P [--delay "2 days"] [--horizon "31 days"]  (abandonment as a stream)
+    python -m strata.jobs names    --root R --database D      (name the stored tables in the session's catalogue)
     python -m strata.jobs sample   --root R --quota-bytes N --used-bytes N  (users that fit the quota)
 
 Folders below ``--root``: staging, bronze, silver, quarantine, serving,
@@ -36,13 +41,14 @@ from pyspark.sql import functions as F
 
 from strata import schemas
 from strata.operators import sample, tables
-from strata.plans import checks, daily, kpi, publish
+from strata.plans import checks, daily, kpi, named, publish, sketches, states
 from strata.plans.publish import Draft, GoldStore
 from strata.session import build_session
 from strata.sources import bronze as bronze_src
 from strata.sources import csv as csv_src
 from strata.sources import jdbc
 from strata.sources.crm import scan_crm
+from strata.streaming import cart_stream, landing_stream
 
 SEED_SALT = "crm-seed"
 
@@ -114,6 +120,33 @@ def run_day(spark: SparkSession, P: daily.Paths, run_date: str, crm: DataFrame,
     return counts
 
 
+def update_dims(spark: SparkSession, P: daily.Paths, dates: list[str], crm: DataFrame, fold: str | None = None) -> dict:
+    """Load the days into the states and write the dimensions from them; with ``fold`` merge
+    older days, which then can't be loaded again."""
+    serving = daily.read_serving(spark, P, with_id=False)
+    visits = states.DayState(spark, P.state_visits, states.VISITS)
+    products = states.DayState(spark, P.state_products, states.PRODUCTS)
+    for state in (visits, products):
+        state.update(serving, dates)
+        if fold:
+            state.fold(fold)
+    tables.write_table(states.dim_users(visits), P.dim_users)
+    tables.write_table(states.dim_products(products), P.dim_products)
+    tables.write_table(states.dim_users_loyalty(visits, crm), P.dim_users_loyalty)
+    return {"days": len(visits.open_days()), "folded_until": visits.folded_until()}
+
+
+def declare_tables(spark: SparkSession, P: daily.Paths, database: str) -> list[str]:
+    """Name the tables that are stored in place."""
+    known = [("ecommerce_events", P.serving, daily.serving_schema(False), "event_date"), ("user_loyalty", P.crm, schemas.CRM, None),
+             ("dim_users", P.dim_users, schemas.DIM_USERS, None), ("dim_products", P.dim_products, schemas.DIM_PRODUCTS, None),
+             ("dim_users_loyalty", P.dim_users_loyalty, schemas.DIM_USERS_LOYALTY, None),
+             ("fact_sales", P.fact_sales, daily.FACT_SCHEMAS["sale_date"], "sale_date"),
+             ("fact_cart_abandonment", P.fact_carts, daily.FACT_SCHEMAS["cart_date"], "cart_date")]
+    return [named.declare(spark, database, name, path, schema, column) for name, path, schema, column in known
+            if tables.table_exists(spark, path)]
+
+
 def register_views(spark: SparkSession, P: daily.Paths, crm: DataFrame) -> list[str]:
     """Name the stored tables as temporary views for SQL; returns the names."""
     named = stored_tables(spark, P, crm)
@@ -150,7 +183,8 @@ def _gated(job: Callable[[], object]) -> int:
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     ap = argparse.ArgumentParser(prog="strata.jobs")
-    ap.add_argument("job", choices=["stage", "publish", "silver", "compact", "serving", "gold", "dq", "kpi", "day", "sample"])
+    ap.add_argument("job", choices=["stage", "publish", "silver", "compact", "serving", "gold", "dq", "kpi", "day", "sample",
+                                     "land", "dims", "sketch", "carts", "names"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--date", action="append", help="run date YYYY-MM-DD (repeatable)")
     ap.add_argument("--landing")
@@ -164,6 +198,10 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     ap.add_argument("--local-sort", action="store_true", help="stage without a shuffle (time-ordered landing)")
     ap.add_argument("--full-refresh", action="store_true")
     ap.add_argument("--retract", action="store_true")
+    ap.add_argument("--fold", help="merge the states of days up to this one")
+    ap.add_argument("--delay", default=cart_stream.DELAY, help="how late a row of the stream may come")
+    ap.add_argument("--horizon", default=cart_stream.HORIZON, help="how far apart a cart and its purchase may lie")
+    ap.add_argument("--database", default="strata")
     ap.add_argument("--publish", action="store_true", help="check Gold as a draft, then publish it as a version")
     ap.add_argument("--delta", type=int, help="number of the load: append to Silver instead of rewriting days")
     ap.add_argument("--jdbc-url", help="also reload the days into this database")
@@ -177,7 +215,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
     spark = spark or build_session(app_name=f"strata-{args.job}")
     P = daily.Paths(args.root)
     dates = args.date or []
-    if args.job in ("publish", "silver", "serving", "day") and not dates:
+    if args.job in ("publish", "silver", "serving", "day", "dims", "sketch") and not dates:
         ap.error(f"{args.job} needs --date")
 
     if args.job == "stage":
@@ -219,6 +257,23 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> int
                          ("tiers", kpi.users_by_tier(users)), ("channels", kpi.users_by_channel(users)),
                          ("top_brands", kpi.top_brands(sales))]:
             print(name, [r.asDict() for r in df.collect()])   # small reports (≤ 10 rows)
+    elif args.job == "land":
+        if not args.landing:
+            ap.error("land needs --landing")
+        print(landing_stream.stage_landing(spark, args.landing, P.staging_landed, P.landing_checkpoint))
+    elif args.job == "dims":
+        return _gated(lambda: update_dims(spark, P, dates, _crm(spark, args, P), args.fold))
+    elif args.job == "sketch":
+        bought = daily.read_serving(spark, P, with_id=False).where("event_type = 'purchase'")
+        sketches.update_sketches(spark, P.session_sketches, bought, "user_session", "event_date", dates)
+        print({"sessions": sketches.merged_count(tables.read_table(spark, P.session_sketches)).first()[0],
+               "standard_error": round(sketches.relative_error(), 4)})
+    elif args.job == "carts":
+        return _gated(lambda: cart_stream.stream_cart_abandonment(
+            spark, P.bronze, P.fact_carts_stream, _crm(spark, args, P), bronze_src.staged_schema(), P.carts_checkpoint,
+            delay=args.delay, horizon=args.horizon))
+    elif args.job == "names":
+        print(declare_tables(spark, P, args.database))
     elif args.job == "sample":
         users = sample.distinct_users(spark.read.schema(bronze_src.staged_schema()).parquet(P.staging))
         chosen = sample.bounded_sample(users, sample.row_budget(args.quota_bytes, args.used_bytes), "user_id", SEED_SALT)

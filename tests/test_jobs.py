@@ -57,3 +57,36 @@ def test_daily_jobs_end_to_end(spark, workdir, capsys):
     bad = workdir + "/bad_crm"
     L.crm.withColumn("loyalty_tier", F.when(F.col("user_id") > 3, F.col("loyalty_tier"))).write.parquet(bad)
     assert job("day", "--crm-path", bad, "--date", days[5]) == 1
+
+
+def test_incremental_and_streaming_jobs(spark, workdir, capsys):
+    L = catalog.Layers(spark, SF)
+    raw = L.raw.drop("event_id")
+    csv_src.write_csv(raw.withColumn("period", F.lit("2024-01")), workdir + "/landing", "period")
+    P = daily.Paths(workdir + "/lake")
+    L.crm.write.parquet(P.crm)
+
+    def job(*argv):
+        return jobs.run(list(argv) + ["--root", P.root], spark=spark)
+
+    assert job("land", "--landing", workdir + "/landing") == 0 and job("land", "--landing", workdir + "/landing") == 0
+    assert "'read': 0" in capsys.readouterr().out
+    assert job("stage", "--landing", workdir + "/landing") == 0
+    days = bronze_src.staged_days(spark, P.staging)
+    dates = [a for d in days for a in ("--date", d)]
+    for name in ("publish", "silver", "serving"):
+        assert job(name, *dates) == 0
+    assert job("dims", *dates, "--fold", days[20]) == 0 and job("dims", "--date", days[25]) == 0
+    assert job("sketch", *dates) == 0
+    serving = daily.read_serving(spark, P, with_id=False).drop("event_date")
+    rows = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    assert rows(tables.read_table(spark, P.dim_users)) == rows(gold.dim_users(serving))
+    assert rows(tables.read_table(spark, P.dim_users_loyalty)) == rows(gold.dim_users_loyalty(serving, L.crm))
+    assert job("carts", "--delay", "40 days", "--horizon", "31 days") == 0
+    assert job("gold") == 0 and job("names", "--database", "strata_jobs") == 0
+    bought = serving.where("event_type = 'purchase'")
+    assert spark.sql("SELECT count(*) FROM strata_jobs.fact_sales").first()[0] == bought.count()
+    exact = bought.select("user_session").distinct().na.drop().count()
+    out = capsys.readouterr().out
+    assert f"'sessions': {exact}," in out and "'undecided'" in out  # few sessions are counted exactly
+    spark.sql("DROP DATABASE strata_jobs CASCADE")
