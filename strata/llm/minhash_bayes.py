@@ -5,13 +5,12 @@
 2. Nodes that agree in a band of their MinHash signature are candidates. First every
    node is compared with one other: the most central node (the one of the largest buckets
    over all bands: an original rather than one of its copies) of the buckets that the two
-   share most of. After the components of those links are known, a few rounds do
-   the same for nodes that are still outside the largest component of one of their buckets,
-   with a member of it, and a last pass compares, in every bucket, the members outside its
-   largest component with all members of other components, in blocks of signatures inside
-   a task. Pairs already joined are never made, so a large group of near copies costs its
-   size, not its square, and no pair that shares a bucket is left out across components.
-   Members that stay below the threshold are never joined: a bucket of n of them (much
+   share most of; then those still apart with a member of the largest group of each of
+   their buckets. After the components of those links are known, a last pass compares,
+   in every bucket, the members outside its largest component with all members of other
+   components, in blocks of signatures inside a task. Pairs already joined are never made,
+   so a large group of near copies costs its size, not its square, and no pair that shares
+   a bucket is left out across components. Members that stay below the threshold are never joined: a bucket of n of them (much
    shared boilerplate) still costs n * n comparisons of signatures, inside tasks.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
@@ -40,7 +39,6 @@ SIGNATURE = 256              # hashes; those beyond the bands serve verification
 BATCH = 32                   # hashes compared at a time (a byte of each)
 MISS = 1e-6                  # posterior chance below which a pair is pruned
 SEED = 20240506
-ROUNDS = 2                   # rounds of single comparisons before the last pass
 BLOCK = 256                  # signatures of a bucket compared at once
 SENT = 200_000               # rows of 32 bytes that are sent to all tasks at most; more are joined by a shuffle
 HELD = 100_000               # pairs a task holds before it hands them on
@@ -282,7 +280,7 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         the largest ``weight``, for each ``by``."""
         often = offers.groupBy(*by, "partner").agg(F.count("*").alias("times"), F.max("weight").alias("weight"))
         best = often.groupBy(*by).agg(F.max(F.struct("times", "weight", "partner")).alias("m"))
-        return best.select(F.least("node", "m.partner").alias("a"), F.greatest("node", "m.partner").alias("b")).distinct()
+        return best.select(F.col("node").alias("a"), F.col("m.partner").alias("b"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         likely = materialise(pairs)
@@ -312,23 +310,22 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
               .filter("node <> partner"))
     links = materialise(linked(_likely(closest(offers, ["node"]), signatures, limits)))
 
-    def mixed_buckets() -> DataFrame:
-        """Rows of the buckets of several components, with the largest of them (``main``)."""
-        roots = connected_components(links)
+    def mixed_buckets(roots: DataFrame) -> DataFrame:
+        """Rows of the buckets of several roots (nodes without one are their own), with the largest (``main``)."""
         grouped = banded.join(roots, "node", "left").select("key", "n", "node", F.coalesce("root", "node").alias("root"))
         per_root = grouped.groupBy("key", "root").agg(F.count("*").alias("c"))
         largest = (per_root.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("c", "root")).alias("m"))
                    .filter("roots > 1").select("key", F.col("m.root").alias("main")))
         return materialise(grouped.join(largest, "key"))
 
-    for turn in range(ROUNDS):
-        mixed = mixed_buckets()
-        # A member of the main component, the same one in as many buckets as can be, others each round.
-        one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64(F.lit(turn), "node").alias("weight"), "node")).alias("m"))
-        offers = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("partner"), F.col("m.weight").alias("weight")), "key"))
-        links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))).coalesce(parts))
+    # Once more with those that are still apart: a member of the largest group of each of their buckets,
+    # the same one in as many buckets as can be. What a node was linked with names its group for now.
+    mixed = mixed_buckets(links.select(F.col("a").alias("node"), F.col("b").alias("root")))
+    one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64("node").alias("weight"), "node")).alias("m"))
+    offers = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("partner"), F.col("m.weight").alias("weight")), "key"))
+    links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))).coalesce(parts))
     # In each bucket of several components: those outside the largest against all others.
-    across = linked(_likely_across(mixed_buckets(), signatures, limits))
+    across = linked(_likely_across(mixed_buckets(connected_components(links)), signatures, limits))
     roots = connected_components(links.unionByName(across).coalesce(parts))
 
     out = members.filter("node is not null").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
