@@ -25,7 +25,7 @@ CONTROL = r"<(\\*)(/?s>)"
 ESCAPED = r"<\\(\\*)(/?s>)"
 PLAIN_ROLE = r"\A[a-z0-9_-]+\z"
 LOSS_ROLE = "assistant"
-BLOCK = 512  # sums added to an array before it is set aside
+BLOCK = 512  # sums taken at a time
 
 
 def escape(text: Column) -> Column:
@@ -49,29 +49,40 @@ def render_turn(role: Column, text: Column) -> Column:
     return F.concat(F.lit(OPEN + "["), token, F.lit("] "), text, F.lit(" [/"), token, F.lit("]" + CLOSE))
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _sums(sizes: Column, first: Column) -> Column:
+    """``first`` and the running sums of ``sizes`` behind it, without the last. A step copies
+    the array it adds to, so this is for short ones."""
+    sums = F.aggregate(sizes, F.array(first), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    return F.slice(sums, F.lit(1), F.size(sizes))
+
+
 def running_starts(sizes: Column) -> Column:
     """Where each of ``sizes`` (array of long) starts when they lie one behind the other.
 
-    A step copies the array it adds to, so sums gather in blocks of ``BLOCK`` that are
-    joined at the end: time grows as the array times a block, not as its square."""
-    longs, zero = "array<bigint>", F.lit(0).cast("long")
-    begin = F.struct(F.array().cast(f"array<{longs}>").alias("done"), F.array().cast(longs).alias("block"), zero.alias("at"))
+    Summed in blocks of ``BLOCK``: first over whole blocks, then inside each. Time grows as
+    the array times a block (and the square of the number of blocks), not as its square."""
+    zero = F.lit(0).cast("long")
 
-    def step(acc, n):
-        full, own = F.size(acc["block"]) >= BLOCK, F.array(acc["at"])
-        return F.struct(F.when(full, F.concat(acc["done"], F.array(acc["block"]))).otherwise(acc["done"]).alias("done"),
-                        F.when(full, own).otherwise(F.concat(acc["block"], own)).alias("block"), (acc["at"] + n).alias("at"))
+    def summed(blocks):
+        totals = F.transform(blocks, lambda block: F.aggregate(block, zero, lambda acc, n: acc + n))
+        return F.flatten(F.zip_with(blocks, _sums(totals, zero), _sums))
 
-    return F.aggregate(sizes, begin, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["block"]))))
+    def cut(array):
+        begins = F.when(F.size(array) > 0, F.sequence(F.lit(1), F.greatest(F.size(array), F.lit(1)), F.lit(BLOCK)))
+        return _let(F.transform(F.coalesce(begins, F.array().cast("array<int>")), lambda b: F.slice(array, b, F.lit(BLOCK))), summed)
+
+    return _let(sizes, cut)
 
 
 def parse(formatted: Column) -> Column:
     """Turns of a formatted conversation: array of (role, raw, text, start).
 
     ``raw`` is the text as it stands in the output, from code point ``start`` (from 0) on."""
-    pieces = F.filter(F.split(formatted, CLOSE, -1), lambda p: p != "")
-    starts = running_starts(F.transform(pieces, lambda p: (F.length(p) + len(CLOSE)).cast("long")))
-
     def turn(piece, begin):
         token = F.regexp_extract(piece, r"^<s>\[([^\]]*)\] ", 1)
         head, tail = F.length(token) + len(OPEN) + 3, F.length(token) + 4
@@ -79,7 +90,10 @@ def parse(formatted: Column) -> Column:
         return F.struct(role_of(token).alias("role"), raw.alias("raw"), unescape(raw).alias("text"),
                         (begin + head).alias("start"))
 
-    return F.zip_with(pieces, starts, turn)
+    def turns(pieces):
+        return F.zip_with(pieces, running_starts(F.transform(pieces, lambda p: (F.length(p) + len(CLOSE)).cast("long"))), turn)
+
+    return _let(F.filter(F.split(formatted, CLOSE, -1), lambda p: p != ""), turns)
 
 
 def _returns(rendered: Column, role: Column, text: Column) -> Column:
