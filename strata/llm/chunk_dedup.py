@@ -44,7 +44,7 @@ def decide(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     Texts are equal if they are after white space is deleted. Of equal texts the row of
     most code points (white space included) stays, then the one of the smallest id (null
     ids last); of repeated rows one stays. Null and empty texts, and those of white space
-    only, are equal to each other. An empty table gives no row; other columns are
+    only, are equal to each other. Texts of any length are cut whole. An empty table gives no row; other columns are
     ignored. ``identify`` maps a chunk to its identifier; any function will do, as
     identifiers are verified.
     """

@@ -428,7 +428,7 @@ def extract_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
 
     Blocks are joined by one line feed, white space inside a block is one space, character
     references are decoded. Null and empty pages give an empty text; pages without a host
-    follow their own vote; repeated rows vote and are extracted once each; ties go
+    follow their own vote; pages of any length and depth are read whole; repeated rows vote and are extracted once each; ties go
     to more votes, then the shorter, then smaller path; an empty table gives no row; other columns are
     ignored. A class word counts if two pages of the host, and one in ``COMMON``, have it
     (a host of one page: any)."""

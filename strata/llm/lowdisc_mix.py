@@ -85,6 +85,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
       never taken; a null source is a source of its own, last in the order;
     * no block is taken more than ``max_epochs`` times, so no document is either;
     * repeated rows are documents of their own; an empty table gives empty tables;
+    * texts of any length are counted whole where they lie; a document longer than a block lies in several;
     * other columns of ``docs`` are ignored, whatever their names.
     """
     spark = docs.sparkSession

@@ -129,7 +129,8 @@ def near_words(counts: DataFrame, parts: int = PARTS, tile: int = TILE) -> DataF
              .filter("words > 1 and any = 1").select("key", F.ceil(F.col("words") / tile).cast("int").alias("tiles")))
     placed = keyed.join(sizes, "key").withColumn("tile", F.pmod(F.xxhash64("word"), F.col("tiles")).cast("int"))
     tiled = materialise(placed.groupBy("key", "tile", "tiles", "m", "part")
-                        .agg(F.collect_list("word").alias("words"), F.collect_list("n").alias("ns")))
+                        .agg(F.collect_list(F.struct("word", "n")).alias("w"))
+                        .select("key", "tile", "tiles", "m", "part", F.col("w.word").alias("words"), F.col("w.n").alias("ns")))
     single = tiled.select("m", "part", "words", "ns", F.lit(None).cast("array<string>").alias("words2"), F.lit(None).cast("array<long>").alias("ns2"))
     # Tiles of a key that has several: each meets those after it.
     many = tiled.filter("tiles > 1")

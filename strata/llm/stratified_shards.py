@@ -32,6 +32,9 @@ def assign_shards(docs: DataFrame, shards: int = 40, *, id_col: str = "doc_id",
     * ``slot`` counts from 0 without a gap in each shard; shards beyond the number of
       rows stay empty; an empty table gives no row;
     * ``grown_shard`` is null: the law is ``rows``, not ``key``;
+    * equal texts are not kept together: a group may be larger than a shard, and shards of
+      equal numbers of rows would then have to split it;
+    * texts of any length are read whole where they lie, ties of the hash go by id, then text;
     * other columns of ``docs`` are ignored, whatever their names.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")

@@ -204,7 +204,8 @@ def learn_weights(rows: DataFrame, marked: DataFrame, *, fit_rows: int = FIT_ROW
     size = counted.filter("token = ''").first()
     if size is None or not size["d1"] or not size["d0"]:
         return Weights({}, gap)
-    # Tokens commoner among toxic documents; their number is bounded by the sample.
+    # Tokens commoner among toxic documents: at most those that min_toxic of the sample's toxic documents
+    # (FIT_ROWS rows in all) share, so a document of any length adds its own words only where others have them.
     likely = counted.filter((F.col("token") != "") & (F.col("d1") >= min_toxic)
                             & (F.col("d1") * size["d0"] > F.col("d0") * (2 * size["d1"]))).toPandas().sort_values("token")
     d1, d0 = likely["d1"].to_numpy(float), likely["d0"].to_numpy(float)
@@ -292,7 +293,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id
 
     Null and empty texts have no evidence and get the score of a text without toxic words.
     Without labels of both classes no word has a weight and every score is the same.
-    Repeated rows and null ids are scored like any other; an empty table gives no row;
+    Repeated rows and null ids are scored like any other, texts of any length whole; an empty table gives no row;
     only the text enters a score; other columns are ignored."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"),
