@@ -41,6 +41,7 @@ MISS = 1e-6                  # posterior chance below which a pair is pruned
 SEED = 20240506
 BLOCK = 256                  # signatures of a bucket compared at once
 SENT = 200_000               # rows of 32 bytes that are sent to all tasks at most; more are joined by a shuffle
+VERIFIED = 64                # nodes of a block whose full sets are compared at once
 HELD = 100_000               # pairs a task holds before it hands them on
 NO_ID = (1 << 63) - 1         # stands for a null id in joins
 REMEMBERED = 500_000         # word hashes a task keeps; bounds memory, changes no result
@@ -172,27 +173,43 @@ def _likely(pairs: DataFrame, signatures: DataFrame, limits: list[tuple[int, int
     return both.select("a", "b", "x", "y").mapInPandas(test, "a binary, b binary")
 
 
+PAIRS = "main binary, inside boolean, i int, j int, a array<binary>, b array<binary>"
+
+
 def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple[int, int]]) -> DataFrame:
     """Unpruned pairs between members of different components of a bucket, each made in
-    the bucket of the first band that the two share.
+    the bucket of the first band that the two share, as ``PAIRS``.
 
     ``members(key, n, main, node, root)``: the rows of buckets of several components, n of
     them in the bucket. Members are gathered in blocks of about ``BLOCK``; a block of those
     outside the main component meets every block of its bucket, and their signatures are
-    compared there, so what leaves a task is only what the test leaves."""
+    compared there. What the test leaves comes out as lists, by main component (``inside``:
+    one of the two is in it) and by blocks of about ``VERIFIED`` of its nodes and of those
+    around it."""
+    around = (members.select("main", "node", F.col("root") != F.col("main")).toDF("main", "node", "outer").distinct()
+              .groupBy("main").agg(F.count_if("outer").alias("outer"), F.count_if(~F.col("outer")).alias("inner")))
+    blocks_of = [F.greatest(F.lit(1), F.ceil(F.col(c) / VERIFIED)).cast("int").alias(c) for c in ("outer", "inner")]
+    members = members.join(materialise(around.select("main", *blocks_of)), "main")
     signed = members.join(signatures, "node")
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
 
-    def blocks(part: DataFrame, prefix: str) -> DataFrame:
-        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature", "keys")).alias("m"))
-        return gathered.select("key", *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature", "keys")])
+    def blocks(part: DataFrame, prefix: str, *more: str) -> DataFrame:
+        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature", "keys")).alias("m"),
+                                                  *[F.first(c).alias(c) for c in more])  # one main a bucket
+        return gathered.select("key", *more, *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature", "keys")])
 
-    pairs = blocks(signed.filter("root <> main"), "x").join(blocks(signed, "y"), "key")
+    pairs = blocks(signed.filter("root <> main"), "x", "main", "outer", "inner").join(blocks(signed, "y"), "key")
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: dict[tuple, set] = {}
+        held = 0
+
+        def out() -> pd.DataFrame:
+            rows = [(*k, [x for x, _ in v], [y for _, y in v]) for k, v in ((k, sorted(v)) for k, v in found.items())]
+            return pd.DataFrame(rows, columns=["main", "inside", "i", "j", "a", "b"])
+
         for pdf in batches:
-            found: set[tuple[bytes, bytes]] = set()
-            for key, xn, xr, xs, xk, yn, yr, ys, yk in zip(*[pdf[c] for c in columns]):
+            for key, main, outer, inner, xn, xr, xs, xk, yn, yr, ys, yk in zip(*[pdf[c] for c in columns]):
                 x, y, (n, least) = _signatures(xs), _signatures(ys), limits[0]
                 xk, yk = np.stack(xk), np.stack(yk)
                 same = {r: i for i, r in enumerate(set(xr) | set(yr))}
@@ -204,14 +221,59 @@ def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple
                     here = xk[p, shared.argmax(axis=1)] == key
                     p, q = p[here], q[here]
                     at = _sequential(x[p], y[q], limits)
-                    found |= {(min(xn[a], yn[b]), max(xn[a], yn[b])) for a, b in zip(p[at], q[at])}
-                if len(found) >= HELD:
-                    yield pd.DataFrame(sorted(found), columns=["a", "b"])
-                    found = set()
-            yield pd.DataFrame(sorted(found), columns=["a", "b"])
+                    for u, v in zip(p[at].tolist(), q[at].tolist()):
+                        one, two, inside = xn[u], yn[v], yr[v] == main
+                        if not inside and two < one:
+                            one, two = two, one
+                        place = (main, inside, _part(one, outer), _part(two, inner if inside else outer))
+                        group = found.setdefault(place, set())
+                        held -= len(group)
+                        group.add((one, two))
+                        held += len(group)
+                if held >= HELD:
+                    yield out()
+                    found.clear()
+                    held = 0
+        yield out()
+
+    columns = ["key", "main", "outer", "inner", *[p + c for p in "xy" for c in ("node", "root", "signature", "keys")]]
+    return pairs.select(*columns).mapInPandas(test, PAIRS)
+
+
+def _part(node: bytes, parts: int) -> int:
+    return int.from_bytes(node[:8], "little") % parts
+
+
+def _verified_lists(likely: DataFrame, sets_of, threshold_percent: int) -> DataFrame:
+    """Links (a, b) among the pairs of ``likely`` (``PAIRS``) whose full sets reach the threshold: of a node
+    with a component, one link.
+
+    The pairs of two blocks are one row; the sets of its nodes come once, however many
+    pairs they are in."""
+    lists = (likely.groupBy("main", "inside", "i", "j").agg(F.flatten(F.collect_list("a")).alias("a"), F.flatten(F.collect_list("b")).alias("b"))
+             .withColumn("rid", F.monotonically_increasing_id()))
+    lists = materialise(lists.select("rid", "inside", "a", "b"))
+    nodes = lists.select("rid", F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
+    held = (nodes.join(sets_of(nodes.select("node").distinct()), "node")
+            .groupBy("rid").agg(F.collect_list(F.struct("node", "shingles")).alias("s")))  # two blocks' nodes
 
-    columns = ["key", *[p + c for p in "xy" for c in ("node", "root", "signature", "keys")]]
-    return pairs.select(*columns).mapInPandas(test, "a binary, b binary")
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for inside, a, b, names, sets in zip(*[pdf[c] for c in ("inside", "a", "b", "node", "shingles")]):
+                of = {n: np.frombuffer(x, np.uint64) for n, x in zip(names, sets)}
+                done = set()
+                for one, two in zip(a, b):
+                    if inside and one in done:  # linked with that component already
+                        continue
+                    x, y = of[one], of[two]
+                    shared = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * shared >= threshold_percent * (len(x) + len(y) - shared):
+                        out.append((one, two))
+                        done.add(one)
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    return (lists.join(held, "rid").select("inside", "a", "b", "s.node", "s.shingles").mapInPandas(check, "a binary, b binary"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,
@@ -282,11 +344,9 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         best = often.groupBy(*by).agg(F.max(F.struct("times", "weight", "partner")).alias("m"))
         return best.select(F.col("node").alias("a"), F.col("m.partner").alias("b"))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        likely = materialise(pairs)
-        wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
-
-        def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        """(node, shingles): the full sets of the nodes ``wanted``."""
+        def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             shingler = Shingler(shingle_words)
             for pdf in batches:
                 made = pd.DataFrame({"node": pdf["node"], "shingles": [shingler(t).tobytes() for t in pdf["text"]]})
@@ -300,8 +360,12 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         chosen = materialise(chosen)
         if chosen.count() <= SENT:  # a bounded number: the texts are met where they lie
             chosen = F.broadcast(chosen)
-        sets = keyed.join(chosen, ["i", "t"]).select("node", "text").mapInPandas(sets_of, "node binary, shingles binary").dropDuplicates(["node"])
-        return _verified(likely, sets, threshold_percent)
+        return keyed.join(chosen, ["i", "t"]).select("node", "text").mapInPandas(shingled, "node binary, shingles binary").dropDuplicates(["node"])
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        likely = materialise(pairs)
+        wanted = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        return _verified(likely, sets_of(wanted), threshold_percent)
 
     # Each node with the most central node (that of the largest buckets) it shares most buckets with.
     central = banded.groupBy("node").agg(F.sum("n").alias("reach"))
@@ -325,7 +389,8 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     offers = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("partner"), F.col("m.weight").alias("weight")), "key"))
     links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))).coalesce(parts))
     # In each bucket of several components: those outside the largest against all others.
-    across = linked(_likely_across(mixed_buckets(connected_components(links)), signatures, limits))
+    likely = materialise(_likely_across(mixed_buckets(connected_components(links)), signatures, limits))
+    across = _verified_lists(likely, sets_of, threshold_percent)
     roots = connected_components(links.unionByName(across).coalesce(parts))
 
     out = members.filter("node is not null").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

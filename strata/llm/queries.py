@@ -18,7 +18,8 @@ from strata.llm import (bestfit_packing, chat_roundtrip, chunk_dedup, crosspolyt
 from strata.llm.common import crc_mod, table
 
 TOKENIZER = "word_bpe_49k.json"
-LEAST_SIZED_BATCH = "1000"  # rows a Python batch holds: bounds the memory of batches of texts
+LEAST_SIZED_BATCH = "1000"  # rows a Python batch holds at most, and bytes: bounds the memory of batches of texts
+BATCH_BYTES = str(32 << 20)
 
 
 def tokenizer_path() -> str:
@@ -34,6 +35,7 @@ def tokenizer_path() -> str:
 def prepare(spark: SparkSession) -> None:
     """Session settings of these queries: small Python batches, this package for the tasks."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", LEAST_SIZED_BATCH)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
