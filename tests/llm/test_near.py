@@ -153,3 +153,22 @@ def test_vectors_of_odd_tables(spark):
     rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 0.0]), (5, [float("nan"), 1.0, 0.0]), (6, [float("inf"), 1.0, 0.0]),
             (7, [1.0, 2.0, 3.0]), (8, [2.0, 4.0, 6.0]), (9, [1.0, 2.0, 3.0]), (10, [1.0, 2.0]), (11, [-1.0, -2.0, -3.0]), (12, [1e30, 2e30, 3e30]), (13, [5.0])]
     assert digest(crosspolytope.components(vectors(spark, rows))) == brute_vectors(rows)
+
+
+@pytest.mark.parametrize("block,verified", [(256, 64), (2, 2), (5, 1)])
+def test_blocks_of_any_size_give_the_components_of_brute_force(spark, make_docs, monkeypatch, block, verified):
+    monkeypatch.setattr(minhash_bayes, "BLOCK", block)
+    monkeypatch.setattr(minhash_bayes, "VERIFIED", verified)
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(4):  # texts on both sides of the threshold of each other, many apart from the largest group
+        base = [f"g{g}w{i}" for i in range(80)]
+        for _ in range(22):
+            words = list(base)
+            for i in rng.choice(80, rng.integers(0, 9), replace=False):
+                words[i] = f"x{rng.integers(1 << 30)}"
+            rows.append((len(rows), " ".join(words)))
+    rows += [(len(rows) + k, rows[k * 7][1]) for k in range(5)]
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash_bayes.near_duplicates(make_docs(*rows), shingle_words=2).collect()}
+    want = brute_near(rows, 2, 80)
+    assert got == want and 8 < len({c for _, c, _ in want.values()}) < 80
