@@ -5,13 +5,13 @@
 2. Nodes that agree in a band of their MinHash signature are candidates. First every
    node is compared with one other: the most central node (the one of the largest buckets
    over all bands: an original rather than one of its copies) of the buckets that the two
-   share most of; then those still apart with a member of the largest group of each of
-   their buckets. After the components of those links are known, a last pass compares,
+   share most of. After the components of those links are known, a last pass compares,
    in every bucket, the members outside its largest component with all members of other
    components, in blocks of signatures inside a task. Pairs already joined are never made,
    so a large group of near copies costs its size, not its square, and no pair that shares
-   a bucket is left out across components. Members that stay below the threshold are never joined: a bucket of n of them (much
-   shared boilerplate) still costs n * n comparisons of signatures, inside tasks.
+   a bucket is left out across components. Members that stay below the threshold are never
+   joined: a bucket of n of them (much shared boilerplate) still costs n * n comparisons of
+   signatures, inside tasks.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
    reaches the threshold; below ``miss`` the pair is pruned. Bands are made of whole hashes;
@@ -330,18 +330,17 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     banded = described.filter("node is not null").select("node", F.explode("keys").alias("key")).distinct()
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     banded = materialise(banded.join(shared, "key"))
-    # Signatures of nodes without a bucket partner are needed no more.
-    signatures = materialise(described.join(banded.select("node").distinct(), "node", "left_semi")
-                             .groupBy("node").agg(F.first("signature").alias("signature"), F.first("keys").alias("keys")))
+    signatures = materialise(described.filter("node is not null").groupBy("node")
+                             .agg(F.first("signature").alias("signature"), F.first("keys").alias("keys")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # unions would add theirs up
 
     limits = least_matches(threshold_percent / 100, miss, hashes)
 
-    def closest(offers: DataFrame, by: list[str]) -> DataFrame:
+    def closest(offers: DataFrame) -> DataFrame:
         """Of the partners offered to a node (a row for each bucket), the one of most buckets, then of
-        the largest ``weight``, for each ``by``."""
-        often = offers.groupBy(*by, "partner").agg(F.count("*").alias("times"), F.max("weight").alias("weight"))
-        best = often.groupBy(*by).agg(F.max(F.struct("times", "weight", "partner")).alias("m"))
+        the largest ``weight``."""
+        often = offers.groupBy("node", "partner").agg(F.count("*").alias("times"), F.max("weight").alias("weight"))
+        best = often.groupBy("node").agg(F.max(F.struct("times", "weight", "partner")).alias("m"))
         return best.select(F.col("node").alias("a"), F.col("m.partner").alias("b"))
 
     def sets_of(wanted: DataFrame) -> DataFrame:
@@ -372,7 +371,7 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     leads = banded.join(central, "node").groupBy("key").agg(F.max(F.struct("reach", "node")).alias("m"))
     offers = (banded.join(leads.select("key", F.col("m.node").alias("partner"), F.col("m.reach").alias("weight")), "key")
               .filter("node <> partner"))
-    links = materialise(linked(_likely(closest(offers, ["node"]), signatures, limits)))
+    links = materialise(linked(_likely(closest(offers), signatures, limits)))
 
     def mixed_buckets(roots: DataFrame) -> DataFrame:
         """Rows of the buckets of several roots (nodes without one are their own), with the largest (``main``)."""
@@ -382,12 +381,6 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                    .filter("roots > 1").select("key", F.col("m.root").alias("main")))
         return materialise(grouped.join(largest, "key"))
 
-    # Once more with those that are still apart: a member of the largest group of each of their buckets,
-    # the same one in as many buckets as can be. What a node was linked with names its group for now.
-    mixed = mixed_buckets(links.select(F.col("a").alias("node"), F.col("b").alias("root")))
-    one = mixed.filter("root = main").groupBy("key").agg(F.max(F.struct(F.xxhash64("node").alias("weight"), "node")).alias("m"))
-    offers = (mixed.filter("root <> main").join(one.select("key", F.col("m.node").alias("partner"), F.col("m.weight").alias("weight")), "key"))
-    links = materialise(links.unionByName(linked(_likely(closest(offers, ["node", "main"]), signatures, limits))).coalesce(parts))
     # In each bucket of several components: those outside the largest against all others.
     likely = materialise(_likely_across(mixed_buckets(connected_components(links)), signatures, limits))
     across = _verified_lists(likely, sets_of, threshold_percent)
