@@ -14,9 +14,9 @@
    signatures, inside tasks.
 3. A candidate's signatures are compared batch by batch. After each batch the posterior
    of the similarity, Beta(1 + matches, 1 + misses), bounds the chance that the pair
-   reaches the threshold; below ``miss`` the pair is pruned. Bands are made of whole hashes;
-   what is compared here, and travels, is the lowest byte of each: two sets agree in it at
-   least as often as in the hash, so the bound holds.
+   reaches the threshold; below ``miss`` the pair is pruned. What bands are made of, is
+   compared here, and travels, is the lowest byte of each hash: two sets agree in it at
+   least as often as in the hash, so the bound holds and no band is missed for it.
 4. Survivors are verified exactly, on their full sets, made anew from the texts.
 """
 
@@ -29,12 +29,12 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import connected_components, materialise
 
-BANDS, ROWS = 40, 6          # a pair of similarity 0.8 misses all bands once in 190,000
+BANDS, ROWS = 40, 6          # a pair of similarity 0.8 misses all bands once in 190,000 at most
 SIGNATURE = 256              # hashes; those beyond the bands serve verification only
 BATCH = 32                   # hashes compared at a time (a byte of each)
 MISS = 1e-6                  # posterior chance below which a pair is pruned
@@ -99,12 +99,16 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """A 64-bit key for each band of ``rows`` whole hashes."""
-    key = np.arange(1, bands + 1, dtype=np.uint64)
-    for column in minima[:bands * rows].reshape(bands, rows).T:
-        key = _mix(key) + column
-    return _mix(key)
+def band_keys(bands: int, rows: int) -> Column:
+    """The keys of a ``signature``'s bands: a band's number (two bytes), then its ``rows`` bytes."""
+    return F.array(*[F.concat(F.lit(i.to_bytes(2, "big")), F.substring("signature", i * rows + 1, rows)) for i in range(bands)])
+
+
+def _met_before(key: bytes, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the paired signatures ``x`` and ``y`` share a band before that of ``key``."""
+    band, rows = int.from_bytes(key[:2], "big"), len(key) - 2
+    same = x[:, :band * rows] == y[:, :band * rows]
+    return same.reshape(len(x), band, rows).all(axis=2).any(axis=1)
 
 
 def hash_functions(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -194,9 +198,9 @@ def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias("block")
 
     def blocks(part: DataFrame, prefix: str, *more: str) -> DataFrame:
-        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature", "keys")).alias("m"),
+        gathered = part.groupBy("key", block).agg(F.collect_list(F.struct("node", "root", "signature")).alias("m"),
                                                   *[F.first(c).alias(c) for c in more])  # one main a bucket
-        return gathered.select("key", *more, *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature", "keys")])
+        return gathered.select("key", *more, *[F.col(f"m.{c}").alias(prefix + c) for c in ("node", "root", "signature")])
 
     pairs = blocks(signed.filter("root <> main"), "x", "main", "outer", "inner").join(blocks(signed, "y"), "key")
 
@@ -209,16 +213,14 @@ def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple
             return pd.DataFrame(rows, columns=["main", "inside", "i", "j", "a", "b"])
 
         for pdf in batches:
-            for key, main, outer, inner, xn, xr, xs, xk, yn, yr, ys, yk in zip(*[pdf[c] for c in columns]):
+            for key, main, outer, inner, xn, xr, xs, yn, yr, ys in zip(*[pdf[c] for c in columns]):
                 x, y, (n, least) = _signatures(xs), _signatures(ys), limits[0]
-                xk, yk = np.stack(xk), np.stack(yk)
                 same = {r: i for i, r in enumerate(set(xr) | set(yr))}
                 other = np.array([same[r] for r in xr])[:, None] != np.array([same[r] for r in yr])
                 i, j = np.nonzero(((x[:, None, :n] == y[None, :, :n]).sum(axis=2) >= least) & other)
                 for k in range(0, len(i), 65_536):
                     p, q = i[k:k + 65_536], j[k:k + 65_536]
-                    shared = xk[p] == yk[q]
-                    here = xk[p, shared.argmax(axis=1)] == key
+                    here = ~_met_before(key, x[p], y[q])
                     p, q = p[here], q[here]
                     at = _sequential(x[p], y[q], limits)
                     for u, v in zip(p[at].tolist(), q[at].tolist()):
@@ -236,7 +238,7 @@ def _likely_across(members: DataFrame, signatures: DataFrame, limits: list[tuple
                     held = 0
         yield out()
 
-    columns = ["key", "main", "outer", "inner", *[p + c for p in "xy" for c in ("node", "root", "signature", "keys")]]
+    columns = ["key", "main", "outer", "inner", *[p + c for p in "xy" for c in ("node", "root", "signature")]]
     return pairs.select(*columns).mapInPandas(test, PAIRS)
 
 
@@ -303,6 +305,8 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             miss: float = MISS, seed: int = SEED, hashed: bool = False) -> DataFrame:
     """(doc_id, n_shingles, node, root) of every row; with ``hashed`` also the text's hash,
     ``sha``. Rows of one group have one root; those of no words have none."""
+    if bands * rows > hashes:
+        raise ValueError(f"{bands} bands of {rows} need more than {hashes} hashes")
     a, b = hash_functions(seed, hashes)
     more = ["sha"] if hashed else []
 
@@ -314,24 +318,22 @@ def _rooted(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 s = shingler(text)
                 if len(s):
                     minima = signature(s, a, b)
-                    out.append((doc_id, len(s), _node(s.tobytes()), band_keys(minima, bands, rows).view(np.int64), minima.astype(np.uint8).tobytes()))
+                    out.append((doc_id, len(s), _node(s.tobytes()), minima.astype(np.uint8).tobytes()))
                 else:
-                    out.append((doc_id, 0, None, None, None))
-            made = pd.DataFrame(out, columns=["doc_id", "n_shingles", "node", "keys", "signature"])
+                    out.append((doc_id, 0, None, None))
+            made = pd.DataFrame(out, columns=["doc_id", "n_shingles", "node", "signature"])
             made["doc_id"] = made["doc_id"].astype("Int64")
             yield made.assign(**{c: pdf[c].to_numpy() for c in ["said", *more]})
 
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.col(f"`{text_col}`")).alias("said"))
     described = materialise(source.select("*", *[_text_hash("text").alias(c) for c in more]).mapInPandas(describe, ", ".join(
-        ["doc_id long, n_shingles long, node binary, keys array<long>, signature binary, said long", *(f"{c} string" for c in more)])))
+        ["doc_id long, n_shingles long, node binary, signature binary, said long", *(f"{c} string" for c in more)])))
     members = described.select("doc_id", "n_shingles", "node", "said", *more)
 
-    # Equal sets have equal signatures and keys: one row a node.
-    banded = described.filter("node is not null").select("node", F.explode("keys").alias("key")).distinct()
-    shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    banded = materialise(banded.join(shared, "key"))
-    signatures = materialise(described.filter("node is not null").groupBy("node")
-                             .agg(F.first("signature").alias("signature"), F.first("keys").alias("keys")))
+    # Equal sets have equal signatures: one row a node, and of it one a band. A bucket's rows are only counted.
+    signatures = materialise(described.filter("node is not null").groupBy("node").agg(F.first("signature").alias("signature")))
+    banded = signatures.select("node", F.explode(band_keys(bands, rows)).alias("key"))
+    banded = materialise(banded.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # unions would add theirs up
 
     limits = least_matches(threshold_percent / 100, miss, hashes)

@@ -1,6 +1,7 @@
 """MinHash and cross-polytope near-duplicates against brute force."""
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import crosspolytope, minhash_bayes
 from strata.llm.common import connected_components
+from strata.session import checkpoint_dir, local_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -172,3 +174,33 @@ def test_blocks_of_any_size_give_the_components_of_brute_force(spark, make_docs,
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash_bayes.near_duplicates(make_docs(*rows), shingle_words=2).collect()}
     want = brute_near(rows, 2, 80)
     assert got == want and 8 < len({c for _, c, _ in want.values()}) < 80
+
+
+def test_bands_travel_inside_the_signatures(spark, make_docs):
+    folder = Path(local_path(checkpoint_dir(spark)))
+
+    def written():
+        return sum(p.stat().st_size for p in folder.rglob("part-*"))
+
+    rng = np.random.default_rng(9)
+    docs = make_docs(*[(d, " ".join(f"w{i}" for i in rng.integers(0, 1 << 40, 30))) for d in range(1500)])
+    before = written()
+    got = minhash_bayes.near_duplicates(docs, shingle_words=2).collect()
+    assert len(got) == 1500 and all(r.kept for r in got)
+    assert written() - before < 1500 * 3.5 * minhash_bayes.SIGNATURE  # a signature, twice, and what names a row
+
+
+def test_bands_of_signatures(spark):
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 2, (300, 16), dtype=np.uint8)
+    y = rng.integers(0, 2, (300, 16), dtype=np.uint8)
+    rows = spark.createDataFrame([(v.tobytes(),) for v in np.concatenate([x, y])], "signature binary").select(minhash_bayes.band_keys(5, 3))
+    keys = [r[0] for r in rows.collect()]
+    for band in range(5):
+        at = [i for i in range(300) if keys[i][band] == keys[300 + i][band]]
+        assert at == np.flatnonzero((x[:, band * 3:band * 3 + 3] == y[:, band * 3:band * 3 + 3]).all(axis=1)).tolist() != []
+        want = [any(keys[i][k] == keys[300 + i][k] for k in range(band)) for i in at]
+        assert minhash_bayes._met_before(bytes(keys[at[0]][band]), x[at], y[at]).tolist() == want
+    assert len({bytes(k) for r in keys for k in r}) == 5 * 8
+    with pytest.raises(ValueError):
+        minhash_bayes.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), bands=50)
