@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,16 +12,32 @@ from strata.session import checkpoint_dir
 
 # Code points of `[\x20\x09-\x0D]`: the white space every contract here speaks of.
 ASCII_SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What runs inside drops its shuffle files when it ends, not when the driver collects garbage."""
+    before = spark.conf.get(DROP_SHUFFLES, "false")
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
+
+
+def materialise(df: DataFrame, drop_shuffles: bool = False) -> DataFrame:
     """Write ``df`` once to the session's shared checkpoint folder and cut its lineage.
 
     Used where a table is read by several jobs, or where ids assigned per partition
-    must stay the same; a lost executor re-reads the files."""
+    must stay the same; a lost executor re-reads the files. With ``drop_shuffles`` the
+    shuffle files of the write go as it ends: for steps that follow on each other."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not drop_shuffles:
+        return df.checkpoint(eager=True)
+    with shuffles_dropped(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # the setting is read where a query is made
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +103,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     neighbours is never gathered; rounds grow with the logarithm of the longest chain."""
     parts = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # unions would add theirs up
     edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .filter("u <> v").distinct())
+                        .filter("u <> v").distinct(), drop_shuffles=True)
     while True:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -93,12 +112,14 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = (large.join(low, "u").select("v", "m").filter("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
-        edges = materialise(small.coalesce(parts))
+        edges = materialise(small.coalesce(parts), drop_shuffles=True)
         # Done when all edges lead to a root at once: no node has an edge of its own and is another's end.
         ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("own"), F.lit(0).alias("end"))
                 .unionByName(edges.select("v", F.lit(0), F.lit(1)).toDF("node", "own", "end")))
         twice = ends.groupBy("node").agg(F.sum("own").alias("own"), F.max("end").alias("end"))
-        if twice.filter("own > 1 or (own > 0 and end > 0)").isEmpty():
+        with shuffles_dropped(links.sparkSession):
+            done = twice.filter("own > 1 or (own > 0 and end > 0)").isEmpty()
+        if done:
             break
     return (edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct())

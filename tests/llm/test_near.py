@@ -157,6 +157,41 @@ def test_vectors_of_odd_tables(spark):
     assert digest(crosspolytope.components(vectors(spark, rows))) == brute_vectors(rows)
 
 
+@pytest.mark.parametrize("kind,sizes", [
+    ("float", {}),
+    ("double", {"PASS_BYTES": 1, "PASS_SHARE": 24.0}),               # several tables in a pass
+    ("float", {"PASS_BYTES": 1, "GROUP": 1, "DENSE": 1, "TILE": 5}),  # shares of a table, buckets by all axes, matrices
+])
+def test_vectors_in_passes_of_any_size_equal_brute_force(spark, monkeypatch, kind, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(crosspolytope, name, value)
+    rng = np.random.default_rng(6)
+    found = []
+    for size, spread in ((16, 0.02), (16, 0.2), (5, 0.1)):  # near all of each other; chains about the threshold; another length
+        centre = rng.normal(size=size)
+        found += [(centre / np.linalg.norm(centre) + rng.normal(size=size) * spread / np.sqrt(size) * 2).tolist() for _ in range(40)]
+    found += rng.normal(size=(60, 16)).tolist() + [found[3], [2 * c for c in found[3]], found[90]]
+    rows = [(i, np.array(v, np.float32).tolist()) for i, v in enumerate(found)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    want = brute_vectors(rows)
+    assert digest(crosspolytope.components(df)) == want
+    assert max(n for n, _, _ in want.values()) >= 40 and sum(kept for _, _, kept in want.values()) >= 60
+
+
+def test_disk_of_near_vectors_follows_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(crosspolytope, "PASS_BYTES", 1, raising=False)  # as for a large table
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def written():
+        at = [(Path(local_path(checkpoint_dir(spark))), "part-*"), *((Path(d), "shuffle_*.data") for d in local)]
+        return sum(p.stat().st_size for folder, names in at for p in folder.rglob(names))
+
+    n, rng = 2000, np.random.default_rng(9)
+    before = written()
+    crosspolytope.near_vectors(vectors(spark, list(enumerate(rng.normal(size=(n, 64)).tolist()))))
+    assert written() - before < n * 4 * 64 * 4  # four times the vectors: files of earlier passes are gone
+
+
 @pytest.mark.parametrize("block,verified", [(256, 64), (2, 2), (5, 1)])
 def test_blocks_of_any_size_give_the_components_of_brute_force(spark, make_docs, monkeypatch, block, verified):
     monkeypatch.setattr(minhash_bayes, "BLOCK", block)
