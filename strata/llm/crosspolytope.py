@@ -13,11 +13,13 @@ they count as links of each other and of what links with one of them.
 Nodes travel as packed records (name, copies, components, axes in one table), a few tables
 or a share of one table at a time, so that no pass holds much more than the vectors
 themselves; its shuffle files go before the next. Buckets that begin with the same axes
-meet in one task, which looks its nodes up, verifies the pairs there and counts a pair
-where it meets first (earlier tables are hashed again, for pairs that are near). What
-leaves a task is a row for each node it found links of, however many they are. A task
-holds the nodes of its buckets: more axes are taken while a group of buckets is large,
-but one bucket is never split.
+meet in one task. First components travel as single bytes, whose cosine bounds the true
+one: nodes that meet none which may reach the threshold link with nothing. The others
+travel whole: a task verifies the pairs that meet there and counts a pair where it meets
+first (earlier tables are hashed again, for pairs that are near). What leaves a task is
+a row for each node it found links of, however many they are. A task holds the nodes of
+its buckets: more axes are taken while a group of buckets is large, but one bucket is
+never split.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from strata.llm.common import connected_components, materialise
 
 TABLES, HASHES, PROBES = 16, 3, 8
 SEED = 20240502
-PASS_BYTES, PASS_SHARE = 256 << 20, 2.0  # a pass may hold so many bytes, or so many times the vectors'
+PASS_BYTES, PASS_SHARE = 256 << 20, 2.2  # a pass may hold so many bytes, or so many times the vectors'
 PART_BYTES = 32 << 20                    # of records that a task of a pass reads, if they spread evenly
 GROUP = 400_000                          # records of buckets that begin alike, beyond which another axis is taken
 DENSE = 1 << 14                          # pairs of a bucket from which they are compared as a matrix
@@ -104,16 +106,17 @@ def nearest_axes(x: np.ndarray, table: int, seed: int, hashes: int, probes: int)
     return axes, chosen
 
 
-def bucket_codes(axes: np.ndarray, d: int) -> np.ndarray:
+def bucket_codes(axes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Codes of each row's buckets in a table: its own first, then those of all ``changes``."""
     n, hashes, ranks = axes.shape
-    weights = np.array([(2 * d) ** k for k in range(hashes)], np.int64)
-    own = axes[:, :, 0].astype(np.int64) @ weights
-    other = (axes.astype(np.int64) - axes[:, :, :1]) * weights[:, None]
-    codes = np.empty((n, 1 + len(changes(hashes, ranks))), np.int64)
-    codes[:, 0] = own
+    axes = axes.astype(weights.dtype)
+    other = (axes - axes[:, :, :1]) * weights[:, None]
+    codes = np.empty((n, 1 + len(changes(hashes, ranks))), weights.dtype)
+    codes[:, 0] = axes[:, :, 0] @ weights
     for c, change in enumerate(changes(hashes, ranks), 1):
-        codes[:, c] = own + sum(other[:, j, r] for j, r in change)
+        codes[:, c] = codes[:, 0]
+        for j, r in change:
+            codes[:, c] += other[:, j, r]
     return codes
 
 
@@ -132,17 +135,30 @@ class Layout:
         bits = int(np.log2(self.d)) + 1
         self.hashes, self.ranks = min(hashes, 60 // bits), min(3, self.d)
         self.others = len(changes(self.hashes, self.ranks))
-        self.weights = np.array([(2 * self.d) ** k for k in range(self.hashes)], np.int64)
+        self.weights = np.array([(2 * self.d) ** k for k in range(self.hashes)], np.int32 if bits * self.hashes < 31 else np.int64)
         axis = next(t for t in ("<u1", "<u2", "<u4", "<u8") if bits <= 8 * int(t[2]))
         self.table = np.dtype([("axes", axis, (self.hashes, self.ranks)), ("chosen", "u1", (-(-self.others // 8),))])
         self.record = np.dtype([("node", "<u8", (2,)), ("copies", "<i8"), ("vector", kind, (size,))])
-        self.dealt = np.dtype([("record", self.record), ("table", self.table)])
+        self.whole = np.dtype([("record", self.record), ("table", self.table)])
+        self.sketch = np.dtype([("node", "<u8", (2,)), ("vector", "i1", (size,)), ("table", self.table)])
 
     def packed(self, node: bytes, copies: np.ndarray, x: np.ndarray) -> np.ndarray:
         out = np.empty(len(x), self.record)
         out["node"], out["copies"], out["vector"] = np.frombuffer(node, "<u8").reshape(-1, 2), copies, x
         return out
 
+    def dealt(self, rec: np.ndarray, table: np.ndarray, at: np.ndarray, whole: bool) -> np.ndarray:
+        """Records as they travel, ``whole`` or as sketches: components in 127ths of the largest."""
+        out = np.empty(len(at), self.whole if whole else self.sketch)
+        out["table"] = table[at]
+        if whole:
+            out["record"] = rec[at]
+        else:
+            out["node"] = rec["node"][at]
+            x = rec["vector"] / np.abs(rec["vector"]).max(axis=1, keepdims=True)
+            out["vector"] = np.rint(x * 127).astype(np.int8)[at]
+        return out
+
     def hashed(self, x: np.ndarray, table: int) -> np.ndarray:
         """Axes of the vectors' buckets in a table."""
         out = np.empty(len(x), self.table)
@@ -156,18 +172,19 @@ class Layout:
 
     def own(self, table: np.ndarray) -> np.ndarray:
         """Codes of the buckets where records are stored."""
-        return table["axes"][:, :, 0].astype(np.int64) @ self.weights
+        return table["axes"][:, :, 0].astype(self.weights.dtype) @ self.weights
 
     def buckets(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(codes, kept): codes of records' buckets, own first, and which of them are looked up."""
         kept = np.ones((len(table), 1 + self.others), bool)
         kept[:, 1:] = np.unpackbits(table["chosen"], axis=1, count=self.others)
-        return bucket_codes(table["axes"], self.d), kept
+        return bucket_codes(table["axes"], self.weights), kept
 
     def places(self, codes: np.ndarray, table: int, depth: int, cells: int) -> np.ndarray:
         """Number below ``cells``, the same for buckets whose first ``depth`` axes are."""
-        start = codes % (2 * self.d) ** min(depth, self.hashes)
-        return (start + xxhash.xxh64_intdigest(f"{table}:{self.size}") % cells) % cells
+        starts = (2 * self.d) ** min(depth, self.hashes)
+        start, shift = codes & (starts - 1), xxhash.xxh64_intdigest(f"{table}:{self.size}") % cells
+        return ((np.arange(starts) + shift) % cells)[start] if starts <= 1 << 16 else (start.astype(np.int64) + shift) % cells
 
 
 def _binary(x: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -177,31 +194,18 @@ def _binary(x: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 class Meeting:
-    """Links between records that meet in buckets of one table: sums of copies, and roots, by record."""
+    """Records that meet in buckets of one table."""
 
-    def __init__(self, dealt: np.ndarray, layout: Layout, table: int, threshold: float, dense: int, tile: int):
-        self.rec, self.layout, self.table, self.threshold, self.dense, self.tile = dealt["record"], layout, table, threshold, dense, tile
+    def __init__(self, vectors: np.ndarray, layout: Layout, threshold: float, dense: int, tile: int):
+        self.layout, self.threshold, self.dense, self.tile = layout, threshold, dense, tile
         # What single precision may be off by, rounding of the components included.
         self.margin = (layout.size + 8) * 2.0 ** -23
         self.pairs = max(1, PAIRS * 64 // max(64, layout.size))
-        self.unit = np.empty((len(dealt), layout.size), np.float32)
-        for k in range(0, len(dealt), self.pairs):
-            x = self.rec["vector"][k:k + self.pairs]
+        self.unit = np.empty((len(vectors), layout.size), np.float32)
+        for k in range(0, len(vectors), self.pairs):
+            x = vectors[k:k + self.pairs].astype(np.result_type(vectors, np.float32))
             x = (x / np.abs(x).max(axis=1, keepdims=True)).astype(np.float32)
             self.unit[k:k + self.pairs] = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
-        self.tables = {table: (dealt["table"], np.ones(len(dealt), bool))}
-        self.copies = np.ascontiguousarray(self.rec["copies"])
-        self.others, self.parent = np.zeros(len(dealt), np.int64), np.arange(len(dealt))
-
-    def axes_in(self, table: int, rows: np.ndarray) -> np.ndarray:
-        """Axes of some records in a table, hashed when first asked for."""
-        if table not in self.tables:
-            self.tables[table] = np.empty(len(self.rec), self.layout.table), np.zeros(len(self.rec), bool)
-        axes, known = self.tables[table]
-        new = np.unique(rows[~known[rows]])
-        if len(new):
-            axes[new], known[new] = self.layout.hashed(self.rec["vector"][new], table), True
-        return axes[rows]
 
     def find(self, here: np.ndarray, codes: np.ndarray) -> None:
         """Compare what is stored in a bucket with what looks itself up there; ``here`` says in which."""
@@ -231,11 +235,70 @@ class Meeting:
             n = counts[at[lo:hi]]
             y, p = np.repeat(seen[lo:hi], n), np.repeat(probe[lo:hi], n)
             x = own[np.repeat(starts[at[lo:hi]] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            once = np.flatnonzero(p | (x < y))  # two that are stored in a bucket look each other up
+            once = np.flatnonzero((p | (x < y)) & self.wanted(x, y))  # two that are stored in a bucket look each other up
             x, y, p = x[once], y[once], p[once]
             self.settle(x, y, p, np.einsum("ij,ij->i", self.unit[x], self.unit[y]))
             lo = hi
 
+
+class Marks(Meeting):
+    """Which records may link with one that they meet, as far as sketches tell."""
+
+    def __init__(self, dealt: np.ndarray, layout: Layout, threshold: float, dense: int, tile: int):
+        super().__init__(dealt["vector"], layout, threshold, dense, tile)
+        self.marked = np.zeros(len(dealt), bool)
+        length = np.sqrt((dealt["vector"].astype(np.float32) ** 2).sum(axis=1))
+        # A component is rounded by half at most: a sketch is turned by no more than this angle.
+        off = 0.501 * np.sqrt(layout.size) / length
+        self.turned = np.where(off < 1, np.arcsin(np.minimum(off, 1)), np.pi)
+        self.angle = np.arccos(np.clip(threshold, -1, 1))
+
+    def wanted(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return ~(self.marked[x] & self.marked[y])
+
+    def matrix(self, stored: np.ndarray, seen: np.ndarray, probe: bool) -> None:
+        self.compare(stored[:1], seen)
+        for a in range(0, len(stored), self.tile):
+            for b in range(0 if probe else a, len(seen), self.tile):
+                x, y = stored[a:a + self.tile], seen[b:b + self.tile]
+                self.compare(x[~self.marked[x]], y)
+                self.compare(x, y[~self.marked[y]])
+
+    def compare(self, x: np.ndarray, y: np.ndarray) -> None:
+        least = np.cos(np.minimum(np.pi, self.angle + self.turned[x][:, None] + self.turned[y].max(initial=0)))
+        near = (self.unit[x] @ self.unit[y].T >= least - self.margin) & (x[:, None] != y[None, :])
+        self.marked[x[near.any(axis=1)]] = True
+        self.marked[y[near.any(axis=0)]] = True
+
+    def settle(self, x: np.ndarray, y: np.ndarray, probe: np.ndarray, cosine: np.ndarray) -> None:
+        near = cosine >= np.cos(np.minimum(np.pi, self.angle + self.turned[x] + self.turned[y])) - self.margin
+        self.marked[x[near]] = True
+        self.marked[y[near]] = True
+
+
+class Links(Meeting):
+    """Links between records that meet: sums of copies, and roots, by record."""
+
+    def __init__(self, dealt: np.ndarray, layout: Layout, table: int, threshold: float, dense: int, tile: int):
+        self.rec, self.table = dealt["record"], table
+        super().__init__(self.rec["vector"], layout, threshold, dense, tile)
+        self.tables = {table: (dealt["table"], np.ones(len(dealt), bool))}
+        self.copies = np.ascontiguousarray(self.rec["copies"])
+        self.others, self.parent = np.zeros(len(dealt), np.int64), np.arange(len(dealt))
+
+    def wanted(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.ones(len(x), bool)
+
+    def axes_in(self, table: int, rows: np.ndarray) -> np.ndarray:
+        """Axes of some records in a table, hashed when first asked for."""
+        if table not in self.tables:
+            self.tables[table] = np.empty(len(self.rec), self.layout.table), np.zeros(len(self.rec), bool)
+        axes, known = self.tables[table]
+        new = np.unique(rows[~known[rows]])
+        if len(new):
+            axes[new], known[new] = self.layout.hashed(self.rec["vector"][new], table), True
+        return axes[rows]
+
     def matrix(self, stored: np.ndarray, seen: np.ndarray, probe: bool) -> None:
         for a in range(0, len(stored), self.tile):
             for b in range(0 if probe else a, len(seen), self.tile):
@@ -244,6 +307,9 @@ class Meeting:
                 near = cosine >= self.threshold - self.margin
                 if not probe and a == b:
                     near = np.triu(near, 1)
+                if not probe and self.table == 0:
+                    self.settle_all(x, y, near, cosine)
+                    continue
                 for t in range(self.table):  # most that are near have met in an earlier table
                     if np.count_nonzero(near) < self.tile:
                         break
@@ -253,26 +319,44 @@ class Meeting:
                     u, v = i[k:k + self.pairs], j[k:k + self.pairs]
                     self.settle(x[u], y[v], np.full(len(u), probe), cosine[u, v])
 
+    def settle_all(self, x: np.ndarray, y: np.ndarray, near: np.ndarray, cosine: np.ndarray) -> None:
+        """``settle`` for what is stored in a bucket of the first table: no pair has met before."""
+        i, j = np.nonzero(near & (cosine <= self.threshold + self.margin))
+        for k in range(0, len(i), self.pairs):
+            u, v = i[k:k + self.pairs], j[k:k + self.pairs]
+            near[u, v] = self.exact(x[u], y[v]) >= self.threshold
+        many = near.astype(np.float64)  # sums below 2 ** 53 are exact
+        np.add.at(self.others, x, (many @ self.copies[y].astype(np.float64)).astype(np.int64))
+        np.add.at(self.others, y, (self.copies[x].astype(np.float64) @ many).astype(np.int64))
+        first = near.argmax(axis=1)
+        some = near[np.arange(len(x)), first]
+        self.unite(x[some], y[first[some]])
+        i, j = np.nonzero(near & (self.parent[x][:, None] != self.parent[y][None, :]))
+        self.unite(x[i], y[j])
+
+    def exact(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", unit_rows(self.rec["vector"][x]), unit_rows(self.rec["vector"][y]))
+
     def settle(self, x: np.ndarray, y: np.ndarray, probe: np.ndarray, cosine: np.ndarray) -> None:
         """Count pairs that reach the threshold and meet here first; ``probe``: y looks itself up where x is stored."""
         near = np.flatnonzero(cosine >= self.threshold - self.margin)
         sure = cosine[near] > self.threshold + self.margin
         close = near[~sure]
-        sure[~sure] = np.einsum("ij,ij->i", unit_rows(self.rec["vector"][x[close]]), unit_rows(self.rec["vector"][y[close]])) >= self.threshold
+        sure[~sure] = self.exact(x[close], y[close]) >= self.threshold
         near = near[sure]
         x, y, probe = x[near], y[near], probe[near]
-        for t in range(self.table + 1):
+        for t in range(self.table):
             if not len(x):
                 return
             mine, theirs = self.axes_in(t, x), self.axes_in(t, y)
-            looked_up = self.holds(mine, theirs)
-            if t < self.table:
-                fresh = ~(self.holds(theirs, mine) | looked_up)
-            else:  # each is stored where the other looks: the lesser one counts
-                name_x, name_y = self.rec["node"][x], self.rec["node"][y]
-                less = (name_x[:, 0] < name_y[:, 0]) | ((name_x[:, 0] == name_y[:, 0]) & (name_x[:, 1] < name_y[:, 1]))
-                fresh = ~probe | ~looked_up | less
+            fresh = ~(self.holds(mine, theirs) | self.holds(theirs, mine))
             x, y, probe = x[fresh], y[fresh], probe[fresh]
+        # Where each is stored where the other looks, the lesser one counts.
+        more = np.flatnonzero(probe)
+        name_x, name_y = self.rec["node"][x[more]], self.rec["node"][y[more]]
+        more = more[(name_x[:, 0] > name_y[:, 0]) | ((name_x[:, 0] == name_y[:, 0]) & (name_x[:, 1] > name_y[:, 1]))]
+        more = more[self.holds(self.axes_in(self.table, x[more]), self.axes_in(self.table, y[more]))]
+        x, y = np.delete(x, more), np.delete(y, more)
         np.add.at(self.others, x, self.copies[y])
         np.add.at(self.others, y, self.copies[x])
         self.unite(x, y)
@@ -363,14 +447,14 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
         for s, them in held.items():
             yield (layout := Layout(s, kind, hashes, probes, seed)), np.frombuffer(b"".join(them), layout.record)
 
-    def starts(depth: int) -> DataFrame:
+    def starts(nodes: DataFrame, depth: int) -> DataFrame:
         """How many nodes are looked up in the buckets that begin with the same axes, in two
         tables: turned at random, the others are much alike, and only sizes depend on it."""
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for layout, rec in blocks(batches):
                 for t in range(min(2, tables)):
                     codes, kept = layout.buckets(layout.hashed(rec["vector"], t))
-                    begin = np.where(kept, codes % np.int64((2 * layout.d) ** min(depth, layout.hashes)), -1)
+                    begin = np.where(kept, codes & ((2 * layout.d) ** min(depth, layout.hashes) - 1), -1).astype(np.int64)
                     begin.sort(axis=1)
                     first = begin >= 0
                     first[:, 1:] &= begin[:, 1:] != begin[:, :-1]
@@ -379,18 +463,27 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
 
         return nodes.mapInArrow(count, "size long, t long, begin long, n long").groupBy("size", "t", "begin").agg(F.sum("n").alias("n"))
 
-    n, weight, moved = (x or 0 for x in nodes.agg(F.sum("n"), F.sum(F.col("n") * F.col("size")) * np.dtype(kind).itemsize, F.sum(F.length("block"))).first())
-    depth, most, largest = 1, 3, n
-    while largest > group and depth < hashes:
-        largest = starts(depth).agg(F.max("n")).first()[0]
-        if largest > group:
-            depth, most = depth + 1, min(probes + 1, most + 3 * depth)
-    moved *= tables * most
-    passes = max(1, int(np.ceil(moved / max(pass_bytes, pass_share * weight))))
-    shares, together = -(-passes // tables), max(1, tables // passes)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(np.ceil(moved * together / tables / shares / part_bytes)))
-
-    def ties_of(wanted: range, share: int) -> DataFrame:
+    def passes(nodes: DataFrame, whole: bool) -> DataFrame:
+        """What the nodes' meetings give, over all tables: ties, or nodes that may have some."""
+        n, weight, records = (x or 0 for x in nodes.agg(F.sum("n"), F.sum(F.col("n") * F.col("size")) * np.dtype(kind).itemsize, F.sum(F.length("block"))).first())
+        depth, most, largest = 1, 3, n
+        while largest > group and depth < hashes:
+            largest = starts(nodes, depth).agg(F.max("n")).first()[0]
+            if largest > group:
+                depth, most = depth + 1, min(probes + 1, most + 3 * depth)
+        records *= tables * most
+        moved = records if whole else records * np.dtype("i1").itemsize / np.dtype(kind).itemsize + n * 16 * tables * most
+        wanted = max(1, int(np.ceil(moved / max(pass_bytes, pass_share * weight))))
+        shares, together = -(-wanted // tables), max(1, tables // wanted)
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(np.ceil(records * together / tables / shares / part_bytes)))
+        found = None
+        for t in range(0, tables, together):
+            for share in range(shares):
+                made = one_pass(nodes, range(t, min(t + together, tables)), share, shares, parts, depth, whole)
+                found = made if found is None else found.unionByName(made)
+        return found
+
+    def one_pass(nodes: DataFrame, wanted: range, share: int, shares: int, parts: int, depth: int, whole: bool) -> DataFrame:
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for layout, rec in blocks(batches):
                 for t in wanted:
@@ -403,9 +496,7 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
                     first[:, 1:] &= part[:, 1:] != part[:, :-1]
                     at, k = np.nonzero(first)
                     part = part[at, k]
-                    at = at[np.argsort(part, kind="stable")]
-                    out = np.empty(len(at), layout.dealt)
-                    out["record"], out["table"] = rec[at], table[at]
+                    out = layout.dealt(rec, table, at[np.argsort(part, kind="stable")], whole)
                     to, n = np.unique(part, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(to.astype(np.int32)), pa.array(np.full(len(to), t, np.int32)), pa.array(np.full(len(to), layout.size, np.int32)),
@@ -418,24 +509,32 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
                     held[part, t, size].append(block)
             for part, t, size in sorted(held):
                 layout = Layout(size, kind, hashes, probes, seed)
-                dealt = np.frombuffer(b"".join(held.pop((part, t, size))), layout.dealt)
+                dealt = np.frombuffer(b"".join(held.pop((part, t, size))), layout.whole if whole else layout.sketch)
                 codes, kept = layout.buckets(dealt["table"])
                 here = kept & (layout.places(codes, t, depth, shares * parts) == part * shares + share)
-                found = Meeting(dealt, layout, t, threshold, dense, tile)
+                names = np.ascontiguousarray(dealt["record"]["node"] if whole else dealt["node"])
+                found = Links(dealt, layout, t, threshold, dense, tile) if whole else Marks(dealt, layout, threshold, dense, tile)
                 found.find(here, codes)
-                at = np.flatnonzero(found.others)
-                names, ends = np.ascontiguousarray(dealt["record"]["node"]), 16 * np.arange(1, len(at) + 1)
-                yield pa.RecordBatch.from_arrays([_binary(names[at], ends), _binary(names[found.parent[at]], ends), pa.array(found.others[at])],
-                                                 ["node", "root", "others"])
+                at = np.flatnonzero(found.others if whole else found.marked)
+                ends = 16 * np.arange(1, len(at) + 1)
+                more = [_binary(names[found.parent[at]], ends), pa.array(found.others[at])] if whole else []
+                yield pa.RecordBatch.from_arrays([_binary(names[at], ends), *more], ["node", "root", "others"] if whole else ["node"])
 
         dealt = nodes.mapInArrow(deal, "part int, t int, size int, block binary").repartitionById(parts, F.col("part"))
-        return materialise(dealt.mapInArrow(meet, "node binary, root binary, others long"), drop_shuffles=True)
-
-    ties = None
-    for t in range(0, tables, together):
-        for share in range(shares):
-            made = ties_of(range(t, min(t + together, tables)), share)
-            ties = made if ties is None else ties.unionByName(made)
+        met = dealt.mapInArrow(meet, "node binary, root binary, others long" if whole else "node binary")
+        return materialise(met if whole else met.distinct(), drop_shuffles=True)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for layout, rec in blocks(batches):
+            n = np.arange(1, len(rec) + 1)
+            yield pa.RecordBatch.from_arrays([_binary(np.ascontiguousarray(rec["node"]), n * 16), _binary(x := np.ascontiguousarray(rec["vector"]), n * layout.size * x.itemsize),
+                                              pa.array(np.ascontiguousarray(rec["copies"]))], ["node", "raw", "copies"])
+
+    marked = materialise(passes(nodes, False).distinct(), drop_shuffles=True)
+    if 2 * marked.count() < (nodes.agg(F.sum("n")).first()[0] or 0):
+        whole = nodes.mapInArrow(unpack, "node binary, raw binary, copies long").join(marked, "node", "left_semi")
+        nodes = materialise(whole.select("node", "raw", "copies").mapInArrow(pack, "size int, n long, block binary"), drop_shuffles=True)
+    ties = passes(nodes, True)
     return named.select("vec_id", "node"), ties
 
 
