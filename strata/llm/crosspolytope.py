@@ -44,7 +44,7 @@ PART_BYTES = 32 << 20                    # of records that a task of a pass read
 GROUP = 400_000                          # records of buckets that begin alike, beyond which another axis is taken
 DENSE = 1 << 14                          # pairs of a bucket from which they are compared as a matrix
 TILE = 1024                              # rows and columns of such a matrix at once
-PAIRS = 1 << 16                          # pairs of 64 components compared at once elsewhere
+PAIRS = 1 << 14                          # pairs of 64 components compared at once elsewhere
 HASHED = 1024                            # vectors hashed at once
 
 
@@ -252,6 +252,7 @@ class Marks(Meeting):
         off = 0.501 * np.sqrt(layout.size) / length
         self.turned = np.where(off < 1, np.arcsin(np.minimum(off, 1)), np.pi)
         self.angle = np.arccos(np.clip(threshold, -1, 1))
+        self.least = np.cos(np.minimum(np.pi, self.angle + 2 * self.turned.max(initial=0))) - self.margin
 
     def wanted(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return ~(self.marked[x] & self.marked[y])
@@ -271,6 +272,8 @@ class Marks(Meeting):
         self.marked[y[near.any(axis=0)]] = True
 
     def settle(self, x: np.ndarray, y: np.ndarray, probe: np.ndarray, cosine: np.ndarray) -> None:
+        near = np.flatnonzero(cosine >= self.least)
+        x, y, cosine = x[near], y[near], cosine[near]
         near = cosine >= np.cos(np.minimum(np.pi, self.angle + self.turned[x] + self.turned[y])) - self.margin
         self.marked[x[near]] = True
         self.marked[y[near]] = True
